@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promoledger.functions.joins import null_safe_join
 from promoledger.operators.numbering import HOT_ROWS, rank_within
 
 
@@ -54,9 +55,8 @@ def first_commit_wins(writes: DataFrame, key: Sequence[str], base_version: str,
     """
     group = [*key, base_version]
     winners = writes.groupBy(*group).agg(F.min(commit_seq).alias("__first"))
-    condition = [writes[c].eqNullSafe(winners[c]) for c in group]
-    outcome = F.when(writes[commit_seq] == winners["__first"], F.lit("applied")).otherwise(F.lit("conflict"))
-    return writes.join(winners, condition, "left").select(*[writes[c] for c in writes.columns], outcome.alias("outcome"))
+    outcome = F.when(F.col(commit_seq) == F.col("__first"), F.lit("applied")).otherwise(F.lit("conflict"))
+    return null_safe_join(writes, winners, group, "left").select(*writes.columns, outcome.alias("outcome"))
 
 
 def last_write_wins(writes: DataFrame, key: Sequence[str], value: str, commit_seq: str) -> DataFrame:

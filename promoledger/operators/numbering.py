@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from promoledger.functions.joins import null_safe_join
 from promoledger.session import materialize
 
 HOT_ROWS = 5_000_000
@@ -21,13 +22,6 @@ HOT_ROWS = 5_000_000
 _SEQ, _PART, _SHIFT = "__seq", "__part", 1 << 33
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows or ``None``).
 
@@ -38,8 +32,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> t
     if hot_keys.isEmpty():
         return df, None
     hot_keys = F.broadcast(hot_keys)
-    condition = _same(df, hot_keys, keys)
-    return df.join(hot_keys, condition, "left_anti"), df.join(hot_keys, condition, "left_semi")
+    return null_safe_join(df, hot_keys, keys, "left_anti"), null_safe_join(df, hot_keys, keys, "left_semi")
 
 
 def _positions(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
@@ -83,11 +76,9 @@ def _rank_hot(hot: DataFrame, keys: Sequence[str], order_by: Sequence[Column], c
     runs = rows.groupBy(_PART, *keys).agg(F.min(_SEQ).alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    condition = (rows[_PART] == offsets[_PART]) & _same(rows, offsets, keys)
-    rank = (F.col("__before") + rows[_SEQ] - F.col("__first") + 1).cast("bigint")
-    return rows.join(F.broadcast(offsets), condition).select(
-        *[rows[c] for c in rows.columns if c not in (_SEQ, _PART)], rank.alias(column)
-    )
+    rank = (F.col("__before") + F.col(_SEQ) - F.col("__first") + 1).cast("bigint")
+    joined = null_safe_join(rows, F.broadcast(offsets), [_PART, *keys], "inner")
+    return joined.select(*hot.columns, rank.alias(column))
 
 
 def with_previous(
@@ -112,11 +103,8 @@ def with_previous(
     earlier = ranked.select(
         *keys, (F.col("__rank") + 1).alias("__rank"), *[F.col(s).alias(n) for n, s in previous.items()]
     )
-    condition = (ranked["__rank"] == earlier["__rank"]) & _same(ranked, earlier, keys)
-    linked = ranked.join(earlier, condition, "left").select(
-        *[ranked[c] for c in df.columns],
-        (ranked["__rank"] == 1).alias("is_first"),
-        *[earlier[n] for n in previous],
+    linked = null_safe_join(ranked, earlier, ["__rank", *keys], "left").select(
+        *df.columns, (F.col("__rank") == 1).alias("is_first"), *previous
     )
     return result.unionByName(linked)
 

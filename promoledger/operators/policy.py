@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from promoledger.functions.predicates import all_of, any_true, contains_percent
 from promoledger.functions.scalars import split_list
+from promoledger.sources.literal import literal
 
 ALLOW, DENY = "1=1", "1=0"
 
@@ -46,7 +47,7 @@ class TablePolicy:
     def listing(self, spark: SparkSession) -> DataFrame:
         rows = [(u, self.table, cmd, "column", c) for (u, cmd), cs in self.columns.items() for c in cs]
         rows += [("PUBLIC", self.table, cmd, "row", self.row_column) for cmd in sorted(self.row_commands)]
-        return spark.createDataFrame(rows, "grantee string, table_name string, command string, kind string, target string")
+        return literal(spark, rows, "grantee string, table_name string, command string, kind string, target string")
 
 
 def select_columns(df: DataFrame, granted: Sequence[str], wanted: Sequence[str]) -> DataFrame:
@@ -200,9 +201,9 @@ def _rules_by_user(
         names = [r["user_id"] for r in wanted.collect()]
     else:
         names = list(users)
-        wanted = spark.createDataFrame([(u,) for u in names], "user_id string")
+        wanted = literal(spark, [(u,) for u in names], "user_id string")
     targets = wanted.withColumn("table_name", F.lit(table))
-    known = spark.createDataFrame([(table, c) for c in df.columns], "table_name string, column_name string")
+    known = literal(spark, [(table, c) for c in df.columns], "table_name string, column_name string")
     result: dict[str, str | list[Column]] = {u: DENY for u in names}
     rules = user_rules(config, targets, known).collect()
     for r in rules:

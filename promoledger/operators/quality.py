@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from promoledger.functions.predicates import any_true, holds
 from promoledger.operators.relational import blocked_parents, missing_parents
 from promoledger.sources.schemas import Check, Table
+from promoledger.sources.literal import literal
 
 BAD = "bad"
 
@@ -86,7 +87,7 @@ def flag_orphans(
     """Extend ``bad`` by ``name`` where a complete foreign key has no parent."""
     keys = [f"__f{i}" for i in range(len(columns))]
     parents = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_columns, keys)]).distinct()
-    joined = df.join(parents.withColumn("__hit", F.lit(1)), [df[c] == parents[k] for c, k in zip(columns, keys)], "left")
+    joined = df.join(parents.withColumn("__hit", F.lit(1)), [F.col(c) == F.col(k) for c, k in zip(columns, keys)], "left")
     given = ~any_true([F.col(c).isNull() for c in columns])
     return _extend(joined, name, given & F.col("__hit").isNull()).select(*df.columns)
 
@@ -232,7 +233,7 @@ def constraint_summary(spark: SparkSession, reports: Mapping[str, DataFrame]) ->
         rows = df.select("constraint_name")
         union = rows if union is None else union.unionByName(rows)
     if union is None:
-        return spark.createDataFrame([], "constraint_name string, n_rows bigint")
+        return literal(spark, [], "constraint_name string, n_rows bigint")
     return union.groupBy("constraint_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
 

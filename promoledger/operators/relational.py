@@ -33,7 +33,7 @@ def lookup(df: DataFrame, reference: DataFrame, on: Mapping[str, str], take: Map
         *[F.col(r).alias(k) for k, r in zip(keys, on.values())], *[F.col(c).alias(n) for n, c in take.items()]
     )
     side = unique_rows(side, keys, "lookup row")
-    condition = [df[c] == side[k] for c, k in zip(on, keys)]
+    condition = [F.col(c) == F.col(k) for c, k in zip(on, keys)]
     return df.join(side, condition, "left").drop(*keys)
 
 
@@ -47,7 +47,7 @@ def missing_parents(child: DataFrame, columns: Sequence[str], parent: DataFrame,
     keys = [f"__p{i}" for i in range(len(columns))]
     parents = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_columns, keys)])
     given = child.dropna(subset=list(columns))
-    return given.join(parents, [given[c] == parents[k] for c, k in zip(columns, keys)], "left_anti")
+    return given.join(parents, [F.col(c) == F.col(k) for c, k in zip(columns, keys)], "left_anti")
 
 
 def blocked_parents(doomed: DataFrame, parent_columns: Sequence[str], child: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -55,7 +55,7 @@ def blocked_parents(doomed: DataFrame, parent_columns: Sequence[str], child: Dat
     keys = [f"__c{i}" for i in range(len(columns))]
     # Distinct keys first: a parent with a billion children shuffles as a handful of rows.
     used = child.select(*[F.col(c).alias(k) for c, k in zip(columns, keys)]).dropna().distinct()
-    return doomed.join(used, [doomed[p] == used[k] for p, k in zip(parent_columns, keys)], "left_semi")
+    return doomed.join(used, [F.col(p) == F.col(k) for p, k in zip(parent_columns, keys)], "left_semi")
 
 
 def semi(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from promoledger.operators.dml import next_ids, update_where
 from promoledger.operators.quality import BAD, flag_rows, row_rules, violations
 from promoledger.sources.schemas import TABLES
 from promoledger.sources.snapshots import SnapshotStore
+from promoledger.sources.literal import literal
 
 RECONCILED_BY = "SYSTEM_PROCEDURE"
 
@@ -80,7 +81,7 @@ def reconcile_month(
     if partner_ids is None:
         requested = month_clicks.select("partner_id").distinct()
     else:
-        requested = spark.createDataFrame([(int(p),) for p in partner_ids], "partner_id bigint")
+        requested = literal(spark, [(int(p),) for p in partner_ids], "partner_id bigint")
     errors = requested.join(rated.select("partner_id"), "partner_id", "left_anti").withColumn(
         "error", F.concat(F.lit("Partner ID "), F.col("partner_id"), F.lit(" not found or has been deleted"))
     )

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from promoledger.sources.schemas import TABLES, Table
+from promoledger.sources.literal import literal
 
 
 def has_column(df: DataFrame, name: str) -> bool:
@@ -20,7 +21,7 @@ def columns_frame(spark: SparkSession, frames: Mapping[str, DataFrame] | None =
         rows = [(t.name, c.name) for t in TABLES.values() for c in t.columns]
     else:
         rows = [(name, column) for name, df in frames.items() for column in df.columns]
-    return spark.createDataFrame(rows, "table_name string, column_name string")
+    return literal(spark, rows, "table_name string, column_name string")
 
 
 def constraints_frame(spark: SparkSession, tables: Iterable[Table] | None = None) -> DataFrame:
@@ -39,7 +40,7 @@ def constraints_frame(spark: SparkSession, tables: Iterable[Table] | None = None
             for k in t.foreign_keys
         ]
         rows += [(t.name, f"{t.name}_{c.name}_not_null", "n", c.name) for c in t.columns if c.required]
-    return spark.createDataFrame(rows, "table_name string, constraint_name string, kind string, definition string")
+    return literal(spark, rows, "table_name string, constraint_name string, kind string, definition string")
 
 
 def create_tables(spark: SparkSession, database: str, tables: Iterable[Table], rebuild: bool = False) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from promoledger.operators.dml import fill_defaults
 from promoledger.sources.schemas import TABLES
+from promoledger.sources.literal import literal
 
 # Status ids and codes, payout rates, budget limits, quotas, the example policy
 # configuration and the example region mapping are part of the data contract.
@@ -138,9 +139,9 @@ def seed_rows(as_of: str) -> dict[str, tuple[str, list[tuple]]]:
 def seed_frames(spark: SparkSession, as_of: str, actor: str = "SYSTEM") -> dict[str, DataFrame]:
     """The start rows with declared types and defaults."""
     frames = {
-        name: fill_defaults(spark.createDataFrame(rows, ddl), TABLES[name], as_of, actor)
+        name: fill_defaults(literal(spark, rows, ddl), TABLES[name], as_of, actor)
         for name, (ddl, rows) in seed_rows(as_of).items()
     }
     for name in ("budget_transaction", "promotion_program_history"):
-        frames[name] = spark.createDataFrame([], TABLES[name].schema)
+        frames[name] = literal(spark, [], TABLES[name].schema)
     return frames

@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from promoledger.sources.literal import literal
 
 _LOG = "commit_id bigint, table_name string, version bigint, schema_json string"
 
@@ -76,5 +77,5 @@ class SnapshotStore:
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(f"{self.root}/{name}/v={commit_id}")
             lines.append((commit_id, name, commit_id, df.schema.json()))
-        self.spark.createDataFrame(lines, _LOG).coalesce(1).write.mode("append").json(f"{self.root}/commits")
+        literal(self.spark, lines, _LOG).coalesce(1).write.mode("append").json(f"{self.root}/commits")
         return commit_id

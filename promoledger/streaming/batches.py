@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
+from promoledger.sources.literal import literal
 
 BATCH = "batch_id"
 
@@ -34,7 +35,7 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType, first: in
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return literal(spark, [], full)
     rows = rows.filter(F.col(BATCH) >= first)
     return rows if before is None else rows.filter(F.col(BATCH) < before)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from promoledger.sources.literal import literal
 
 AS_OF = "2024-02-01 00:00:00"
 
@@ -104,9 +105,9 @@ _PROFILES_SQL = (
 
 def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if name == "statuses":
-        return spark.createDataFrame(STATUSES, "status_id bigint, status_code string, entity_type string, is_final boolean")
+        return literal(spark, STATUSES, "status_id bigint, status_code string, entity_type string, is_final boolean")
     if name == "mapping":
-        return spark.createDataFrame(REGION_USERS, "username string, assigned_region string")
+        return literal(spark, REGION_USERS, "username string, assigned_region string")
     if name == "profiles":
         places = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         rows = table(spark, sf, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
