@@ -43,7 +43,7 @@ def month_of(ts: Column) -> Column:
 
 def split_list(text: Column, separator: str = ",") -> Column:
     """Split and trim; an empty text is an empty list and NULL stays NULL."""
-    parts = F.transform(F.split(text, separator), F.trim)
+    parts = F.transform(F.split(text, separator), lambda v: F.trim(v))
     return F.when(text == "", F.array().cast("array<string>")).otherwise(parts)
 
 
