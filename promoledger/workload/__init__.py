@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("relational", "reports", "writes", "quality", "policies")
+MODULES = ("relational", "reports", "writes", "quality", "policies", "layouts", "streams")
 
 
 def _merged(attribute: str) -> dict:
