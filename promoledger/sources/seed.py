@@ -40,10 +40,10 @@ PROGRAMS = [
     (3, "100000000", "2026-11-01", "2026-11-30"),
 ]
 VOUCHERS = [
-    (1, 1, "TET50K", "AMOUNT", "50000", 1000, 125),
-    (2, 1, "TET10P", "PERCENT", "10", 5000, 350),
-    (3, 2, "SUMMER15P", "PERCENT", "15", 3000, 500),
-    (4, 3, "BLACK100K", "AMOUNT", "100000", 500, 50),
+    (1, 1, "V001", "AMOUNT", "50000", 1000, 125),
+    (2, 1, "V002", "PERCENT", "10", 5000, 350),
+    (3, 2, "V003", "PERCENT", "15", 3000, 500),
+    (4, 3, "V004", "AMOUNT", "100000", 500, 50),
 ]
 CLAIMS = [(1, 1, 1), (2, 2, 2), (3, 3, 3), (4, 4, 1), (5, 5, 4)]
 COMMISSIONS = [(1, 12, "5000"), (2, 12, "7000"), (3, 10, "10000"), (4, 11, "3000"), (5, 13, "8000")]
