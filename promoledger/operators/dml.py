@@ -54,10 +54,9 @@ def fill_defaults(rows: DataFrame, table: Table, as_of, actor: str) -> DataFrame
 
 def next_ids(batch: DataFrame, target: DataFrame, id_column: str, order_by: Sequence[Column]) -> DataFrame:
     """Number a batch from ``max(id) + 1`` of the target, in the given total order."""
-    top = target.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("__top"))
-    numbered = number_rows(batch.drop(id_column), order_by, "__id")
-    ided = numbered.join(F.broadcast(top)).withColumn(id_column, F.col("__id") + F.col("__top"))
-    return ided.drop("__id", "__top").select(id_column, *[c for c in batch.columns if c != id_column])
+    top = target.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint")).scalar()
+    numbered = number_rows(batch.drop(id_column), order_by, id_column, start=top)
+    return numbered.select(id_column, *[c for c in batch.columns if c != id_column])
 
 
 def chain_keys(children: DataFrame, parents: DataFrame, natural_key: Sequence[str], id_column: str) -> DataFrame:

@@ -201,9 +201,20 @@ def file_overlap(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def clustering_correlation(df: DataFrame, value: Column, position: Column) -> DataFrame:
-    """Correlation of physical position and value: near 1 when the table is stored in order."""
-    return df.agg(F.corr(value.cast("double"), position.cast("double")).alias("correlation"))
+def clustering_correlation(df: DataFrame, value: Column) -> DataFrame:
+    """Correlation of a value with its row's position in the stored table: near 1 when stored in order.
+
+    ``df`` reads Parquet files. A position is the row's index in its file plus the rows of the files
+    before it by name; the running sum has one row per file.
+    """
+    rows = df.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("__index"), value.cast("double").alias("__value")
+    )
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = files.select("file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    position = (F.col("__before") + F.col("__index")).cast("double")
+    return rows.join(offsets, "file").agg(F.corr("__value", position).alias("correlation"))
 
 
 def unreconciled_extract(clicks: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ range bounds may differ between two evaluations of the same plan.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,29 +23,46 @@ HOT_ROWS = 5_000_000
 _SEQ, _PART, _SHIFT = "__seq", "__part", 1 << 33
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+@dataclass(frozen=True)
+class HotRows:
+    """Rows of the hot keys and the number of range partitions that keeps each near ``hot_rows``."""
+
+    rows: DataFrame
+    partitions: int
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, HotRows | None]:
     """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows or ``None``).
 
     The list of hot keys has at most ``rows / hot_rows`` entries, so it is safe to broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot_keys = materialize(counts.filter(F.col("__n") > hot_rows).select(*keys), "hot-keys")
-    if hot_keys.isEmpty():
+    found = materialize(counts.filter(F.col("__n") > hot_rows), "hot-keys")
+    total = found.agg(F.sum("__n")).first()[0]
+    if total is None:
         return df, None
-    hot_keys = F.broadcast(hot_keys)
-    return null_safe_join(df, hot_keys, keys, "left_anti"), null_safe_join(df, hot_keys, keys, "left_semi")
+    hot_keys = F.broadcast(found.drop("__n"))
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = HotRows(null_safe_join(df, hot_keys, keys, "left_semi"), max(configured, -(-total // hot_rows)))
+    return null_safe_join(df, hot_keys, keys, "left_anti"), hot
 
 
-def _positions(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
+def _positions(df: DataFrame, order_by: Sequence[Column], partitions: int | None = None) -> DataFrame:
     """Range-partitioned, sorted, written rows with partition number and position in it."""
-    ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    ranged = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
+    ordered = ranged.sortWithinPartitions(*order_by)
     written = materialize(ordered.withColumn(_SEQ, F.monotonically_increasing_id()), "ranges")
     return written.withColumn(_PART, F.floor(F.col(_SEQ) / _SHIFT)).withColumn(_SEQ, F.col(_SEQ) % _SHIFT)
 
 
-def number_rows(df: DataFrame, order_by: Sequence[Column], column: str = "row_num", start: Column | int = 0) -> DataFrame:
-    """Number all rows 1, 2, 3, ... (after ``start``) in a total order, without one global task."""
-    rows = _positions(df, order_by)
+def number_rows(
+    df: DataFrame, order_by: Sequence[Column], column: str = "row_num", start: Column | int = 0, partitions: int | None = None
+) -> DataFrame:
+    """Number all rows 1, 2, 3, ... (after ``start``) in a total order, without one global task.
+
+    The rows are spread over ``partitions`` tasks, by default ``spark.sql.shuffle.partitions``.
+    """
+    rows = _positions(df, order_by, partitions)
     # One row per range partition: a window in one task and a broadcast are both bounded by that.
     parts = rows.groupBy(_PART).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -70,15 +88,15 @@ def rank_within(
     return ranked.unionByName(_rank_hot(hot, keys, order_by, column).select(ranked.columns))
 
 
-def _rank_hot(hot: DataFrame, keys: Sequence[str], order_by: Sequence[Column], column: str) -> DataFrame:
-    rows = _positions(hot, [F.col(k).asc_nulls_first() for k in keys] + list(order_by))
+def _rank_hot(hot: HotRows, keys: Sequence[str], order_by: Sequence[Column], column: str) -> DataFrame:
+    rows = _positions(hot.rows, [F.col(k).asc_nulls_first() for k in keys] + list(order_by), hot.partitions)
     # One row per (partition, key): at most hot keys + partitions rows, since keys are contiguous.
     runs = rows.groupBy(_PART, *keys).agg(F.min(_SEQ).alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     rank = (F.col("__before") + F.col(_SEQ) - F.col("__first") + 1).cast("bigint")
     joined = null_safe_join(rows, F.broadcast(offsets), [_PART, *keys], "inner")
-    return joined.select(*hot.columns, rank.alias(column))
+    return joined.select(*hot.rows.columns, rank.alias(column))
 
 
 def with_previous(

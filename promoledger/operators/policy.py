@@ -65,9 +65,11 @@ def rows_of_user(df: DataFrame, mapping: DataFrame, user: str, column: str = "re
     return df.join(own, column, "left_semi").select(df.columns)
 
 
-def visible_rows(df: DataFrame, mapping: DataFrame, column: str = "region") -> DataFrame:
-    """All users at once: one row per (username, visible row)."""
-    return df.join(mapping.withColumnRenamed("assigned_region", column), column).select("username", *df.columns)
+def visible_counts(df: DataFrame, mapping: DataFrame, column: str = "region") -> DataFrame:
+    """Rows visible to each mapped user: counted per region first, so no (user, row) pair is formed."""
+    counts = df.groupBy(F.col(column).alias("assigned_region")).agg(F.count(F.lit(1)).alias("n_rows"))
+    joined = mapping.join(counts, "assigned_region", "left")
+    return joined.select("username", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 def rejected_inserts(batch: DataFrame, mapping: DataFrame, user: str, column: str = "region") -> DataFrame:

@@ -52,11 +52,9 @@ def common_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFra
     """
     long = _long_form(df, columns).dropna(subset=["value"])
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = df.agg(F.count(F.lit(1)).alias("__total"))
+    total = df.agg(F.count(F.lit(1)).alias("__total")).scalar()
     top = top_per_key(counts, ["column_name"], [F.col("n").desc(), F.col("value").asc()], k)
-    frequency = ratio(F.col("n"), F.col("__total"), 6)
-    # ``totals`` is one row.
-    return top.join(F.broadcast(totals)).select("column_name", "value", "n", frequency.alias("frequency"))
+    return top.select("column_name", "value", "n", ratio(F.col("n"), total, 6).alias("frequency"))
 
 
 def analyze(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> None:

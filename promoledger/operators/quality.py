@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from promoledger.functions.predicates import any_true, holds
 from promoledger.operators.relational import blocked_parents, missing_parents
+from promoledger.session import materialize
 from promoledger.sources.schemas import Check, Table
 from promoledger.sources.literal import literal
 
@@ -154,7 +155,8 @@ def bad_units(flagged: Mapping[str, DataFrame], unit: str) -> DataFrame:
 
 def quarantine_units(flagged: Mapping[str, DataFrame], unit: str) -> dict[str, Split]:
     """All or nothing: one bad row anywhere sends every row of its unit, in all tables, aside."""
-    bad = bad_units(flagged, unit)
+    # Every valid and rejected frame needs the list; written once, the tables are not checked again.
+    bad = materialize(bad_units(flagged, unit), "bad-units")
     return {
         name: Split(df.join(bad, unit, "left_anti").drop(BAD), df.join(bad, unit, "left_semi"))
         for name, df in flagged.items()

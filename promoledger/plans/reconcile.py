@@ -54,9 +54,7 @@ def reconcile_month(
     start, end = month_bounds(year, month)
     month_clicks = any_of(clicks.filter(half_open("clicked_at", start, end)), "partner_id", partner_ids)
     eligible = ~F.col("is_suspicious") & F.col("reconciliation_status_id").isNull()
-    known = month_clicks.join(rated.select("partner_id"), "partner_id", "left_semi") if partner_ids is None else month_clicks
-
-    counts = known.filter(eligible).groupBy("partner_id").agg(F.count(F.lit(1)).alias("__n"))
+    counts = month_clicks.filter(eligible).groupBy("partner_id").agg(F.count(F.lit(1)).alias("__n"))
     valid = F.coalesce("__n", F.lit(0)).cast("bigint")
     report = rated.join(counts, "partner_id", "left").select(
         "partner_id",

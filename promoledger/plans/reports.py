@@ -28,14 +28,16 @@ def partner_performance(
         F.count(F.when(suspicious, F.col("click_id"))).alias("__bad"),
     )
     wanted = any_of(live(partners), "partner_id", partner_ids).select("partner_id", "partner_code", "partner_name")
-    joined = wanted.join(per_partner, "partner_id", "left")
-    grouped = joined.groupBy("partner_code", "partner_name").agg(
+    # The partner code is unique, so a row per partner is a row per (code, name).
+    report = wanted.join(per_partner, "partner_id", "left").select(
+        "partner_code",
+        "partner_name",
         *[
-            F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(n)
+            F.coalesce(c, F.lit(0)).alias(n)
             for c, n in (("__total", "total_clicks"), ("__valid", "valid_clicks"), ("__bad", "suspicious_clicks"))
-        ]
+        ],
+        percentage(F.col("__bad"), F.col("__total")).alias("fraud_rate_pct"),
     )
-    report = grouped.withColumn("fraud_rate_pct", percentage(F.col("suspicious_clicks"), F.col("total_clicks")))
     return report.orderBy(descending(F.col("total_clicks")), "partner_code") if ordered else report
 
 
@@ -144,25 +146,24 @@ def click_slice(clicks: DataFrame, partner_id: int, start, end) -> DataFrame:
     return clicks.filter((F.col("partner_id") == partner_id) & half_open("clicked_at", start, end))
 
 
-def bursts(clicks: DataFrame, threshold: int, window: str = "minute") -> DataFrame:
-    """(ip_address, window start, clicks) wherever one address reaches the threshold in a window."""
-    counts = clicks.groupBy("ip_address", _floor(window).alias("window_start")).agg(F.count(F.lit(1)).alias("n_clicks"))
-    return counts.filter(F.col("n_clicks") >= threshold)
+def _with_window(clicks: DataFrame, window: str) -> DataFrame:
+    return clicks.withColumn("window_start", F.window("clicked_at", window)["start"])
 
 
-def _floor(window: str):
-    # date_trunc yields a zoned timestamp; the cast back uses the same session zone.
-    return F.date_trunc(window, "clicked_at").cast("timestamp_ntz")
+def bursts(clicks: DataFrame, threshold: int, window: str = "1 minute") -> DataFrame:
+    """(ip_address, window start, clicks) wherever one address reaches the threshold in a tumbling window."""
+    counts = _with_window(clicks, window).groupBy("ip_address", "window_start").agg(F.count(F.lit(1)).alias("n_clicks"))
+    return counts.filter(F.col("n_clicks") >= threshold)
 
 
-def flag_bursts(clicks: DataFrame, threshold: int, window: str = "minute") -> DataFrame:
+def flag_bursts(clicks: DataFrame, threshold: int, window: str = "1 minute") -> DataFrame:
     """Clicks with ``is_suspicious`` set in every window that reached the threshold.
 
     Few windows are hot, so the joined side is small; a window that holds very many clicks is split
     by the adaptive skew join, its other side being one row.
     """
     hot = bursts(clicks, threshold, window).select("ip_address", "window_start").withColumn("__hot", F.lit(True))
-    marked = clicks.withColumn("window_start", _floor(window)).join(hot, ["ip_address", "window_start"], "left")
+    marked = _with_window(clicks, window).join(hot, ["ip_address", "window_start"], "left")
     flag = F.col("is_suspicious") | F.coalesce(F.col("__hot"), F.lit(False))
     return marked.withColumn("is_suspicious", flag).select(clicks.columns)
 

@@ -18,6 +18,10 @@ _SETTINGS = {
 }
 
 
+# Scratch paths handed out, by application.
+_written: dict[str, list[str]] = {}
+
+
 def build_session(app_name: str = "promoledger", master: str | None = None, **conf: str) -> SparkSession:
     """Session for tests, the bench and small jobs; a cluster brings its own."""
     builder = SparkSession.builder.appName(app_name)
@@ -46,7 +50,16 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/promoledger/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/promoledger/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the written intermediates of this application, once its results are stored."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -54,8 +67,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     Used where a plan must not be evaluated twice with different outcomes (sampled range bounds,
     partition numbers) or where a small result feeds several branches. The written table survives
-    the loss of any executor. ``scratch_root`` holds these tables until the operator of the
-    cluster expires them.
+    the loss of any executor; ``release_scratch`` deletes it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)

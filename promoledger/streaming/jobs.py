@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from promoledger.functions.predicates import between
 from promoledger.functions.scalars import MONEY, zero_if_null
 from promoledger.operators.audit import capture_from_images
 from promoledger.operators.counters import allocate_capped
@@ -21,16 +22,23 @@ from promoledger.streaming.batches import (
 
 def ingest_clicks(
     stream: DataFrame, path: str, checkpoint: str, key: str = "click_id", time: str = "clicked_at",
-    watermark: str = "1 hour", available_now: bool = True,
+    watermark: str = "1 hour", replays_keep_time: bool = False, available_now: bool = True,
 ) -> StreamingQuery:
     """Idempotent ingest. Copies within the watermark are dropped by stream state, older replays by an
-    anti-join against what is already stored."""
+    anti-join against what is already stored.
+
+    That join reads the key column of the stored log. Where a replay is known to carry the original
+    event time, ``replays_keep_time`` limits the read to the time span of the batch.
+    """
     schema = stream.schema
     once = event_time(stream, time).withWatermark(time, watermark).dropDuplicatesWithinWatermark([key])
 
     def store(batch: DataFrame, batch_id: int) -> None:
         stored = read_batches(batch.sparkSession, path, schema, before=batch_id).select(*schema.fieldNames())
         rows = zoneless(batch, time).select(*schema.fieldNames())
+        if replays_keep_time:
+            low, high = rows.agg(F.min(time), F.max(time)).first()
+            stored = stored.filter(between(time, low, high))
         write_batch(insert_ignore(stored, rows, [key]).changed, path, batch_id)
 
     return start_batches(once, checkpoint, store, "append", available_now)

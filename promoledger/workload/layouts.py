@@ -130,18 +130,14 @@ def clustered_copy(spark, sf):
 
 @query("SELECT TRUE AS loose_before, TRUE AS tight_after")
 def clustering_quality(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_shipdate", "l_orderkey")
+    lines = table(spark, sf, "lineitem")
     path = scratch_path(spark, "clustered")
-    layout.cluster_by(lines, "l_shipdate").coalesce(1).write.parquet(path)
-    after = spark.read.schema(lines.schema).parquet(path)
+    layout.write_clustered(lines.select("l_shipdate", "l_orderkey"), path, "l_shipdate")
+    after = spark.read.schema("l_shipdate timestamp_ntz, l_orderkey bigint").parquet(path)
     day = F.datediff(F.col("l_shipdate"), F.lit("1970-01-01").cast("date"))
-    position = F.col("_metadata.row_index")
-    parts = [
-        layout.clustering_correlation(df.select(day.alias("v"), position.alias("p")), F.col("v"), F.col("p")).withColumnRenamed("correlation", n)
-        for df, n in ((table(spark, sf, "lineitem"), "before"), (after, "after"))
-    ]
-    both = parts[0].join(F.broadcast(parts[1]))
-    return both.select((F.abs("before") < 0.5).alias("loose_before"), (F.col("after") > 0.9).alias("tight_after"))
+    tight = layout.clustering_correlation(after, day).scalar()
+    loose = layout.clustering_correlation(lines, day)
+    return loose.select((F.abs("correlation") < 0.5).alias("loose_before"), (tight > 0.9).alias("tight_after"))
 
 
 # ---- profiles -----------------------------------------------------------------------------------

@@ -371,10 +371,9 @@ def selectivity(spark, sf):
     "(SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS returned_lines"
 )
 def scalar_counts_row(spark, sf):
-    a = table(spark, sf, "orders").filter("o_orderstatus = 'P'").agg(F.count(F.lit(1)).alias("pending_orders"))
-    b = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").agg(F.count(F.lit(1)).alias("returned_lines"))
-    # Both sides are one-row aggregates.
-    return a.join(F.broadcast(b))
+    pending = table(spark, sf, "orders").filter("o_orderstatus = 'P'").agg(F.count(F.lit(1)).alias("pending_orders"))
+    returned = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").agg(F.count(F.lit(1)))
+    return pending.select("pending_orders", returned.scalar().alias("returned_lines"))
 
 
 @query(

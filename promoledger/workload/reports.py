@@ -301,7 +301,7 @@ def reconcile_month_errors(spark, sf):
     )
 )
 def fraud_windows(spark, sf):
-    return reports.bursts(view(spark, sf, "clicks"), 2, "hour")
+    return reports.bursts(view(spark, sf, "clicks"), 2, "1 hour")
 
 
 @query(
@@ -311,7 +311,7 @@ def fraud_windows(spark, sf):
     )
 )
 def fraud_flags(spark, sf):
-    return reports.flag_bursts(view(spark, sf, "clicks"), 5, "day").select("click_id", "is_suspicious")
+    return reports.flag_bursts(view(spark, sf, "clicks"), 5, "1 day").select("click_id", "is_suspicious")
 
 
 _COUNTED = (

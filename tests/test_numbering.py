@@ -47,8 +47,8 @@ def test_previous_equals_plain_lag(skewed, hot_rows):
 
 def test_hot_split_covers_all_rows(skewed):
     cold, hot = split_hot(skewed, ["k"], 1000)
-    assert {r.k for r in hot.select("k").distinct().collect()} == {0}
-    assert cold.count() + hot.count() == skewed.count()
+    assert {r.k for r in hot.rows.select("k").distinct().collect()} == {0}
+    assert cold.count() + hot.rows.count() == skewed.count()
 
 
 def test_first_and_top_per_key_cut_groups_before_the_shuffle(skewed):
