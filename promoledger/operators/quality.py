@@ -73,13 +73,13 @@ def flag_duplicates(df: DataFrame, name: str, key: Sequence[str], row_id: str |
     bad = F.col("__n").isNotNull()
     if row_id:
         bad = bad & (F.col(row_id) != F.col("__keep"))
-    return _extend(joined, name, bad).select(*df.columns)
+    return mark(joined, name, bad).select(*df.columns)
 
 
 def flag_taken(df: DataFrame, name: str, key: Sequence[str], existing: DataFrame) -> DataFrame:
     """Extend ``bad`` by ``name`` where the key is present in an existing table."""
     taken = existing.select(*key).join(df.select(*key), list(key), "left_semi").distinct().withColumn("__t", F.lit(1))
-    return _extend(df.join(taken, list(key), "left"), name, F.col("__t").isNotNull()).select(*df.columns)
+    return mark(df.join(taken, list(key), "left"), name, F.col("__t").isNotNull()).select(*df.columns)
 
 
 def flag_orphans(
@@ -90,10 +90,11 @@ def flag_orphans(
     parents = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_columns, keys)]).distinct()
     joined = df.join(parents.withColumn("__hit", F.lit(1)), [F.col(c) == F.col(k) for c, k in zip(columns, keys)], "left")
     given = ~any_true([F.col(c).isNull() for c in columns])
-    return _extend(joined, name, given & F.col("__hit").isNull()).select(*df.columns)
+    return mark(joined, name, given & F.col("__hit").isNull()).select(*df.columns)
 
 
-def _extend(df: DataFrame, name: str, bad: Column) -> DataFrame:
+def mark(df: DataFrame, name: str, bad: Column) -> DataFrame:
+    """Extend ``bad`` by ``name`` where the condition holds."""
     more = F.when(bad, F.array(F.lit(name))).otherwise(F.array().cast("array<string>"))
     return df.withColumn(BAD, F.concat(F.col(BAD), more))
 

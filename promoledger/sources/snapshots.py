@@ -8,6 +8,7 @@ time: the log does not arbitrate between two.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -31,13 +32,13 @@ class Pinned:
 
     def read(self, table: str) -> DataFrame:
         version, schema = self.versions[table]
-        return self.spark.read.schema(T.StructType.fromJson(_json(schema))).parquet(f"{self.root}/{table}/v={version}")
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{self.root}/{table}/v={version}")
 
 
-def _json(text: str) -> dict:
-    import json
-
-    return json.loads(text)
+    def register_views(self, prefix: str = "") -> None:
+        """Make the pinned tables available to SQL as temporary views."""
+        for table in self.versions:
+            self.read(table).createOrReplaceTempView(f"{prefix}{table}")
 
 
 class SnapshotStore:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from promoledger.operators import policy
+from promoledger.plans.sql_functions import register_profile_reader
 from promoledger.sources.literal import literal
 from promoledger.workload.views import sql, table, view
 
@@ -74,6 +75,16 @@ def caller_rights_read(spark, sf):
     return _by_region(spark, sf, "caller")
 
 
+@query(sql("SELECT profile_id, full_name, region FROM profiles WHERE region = 'ASIA'", "profiles"))
+def profile_reader_sql(spark, sf):
+    for name in ("profiles", "mapping"):
+        view(spark, sf, name).createOrReplaceTempView(f"__promoledger_{name}")
+    register_profile_reader(spark, "__promoledger_profiles", "__promoledger_mapping")
+    own = "SELECT * FROM customer_profiles_of_region('da_asia', 'ASIA')"
+    other = "SELECT * FROM customer_profiles_of_region('da_asia', 'EUROPE')"
+    return spark.sql(f"{own} UNION ALL {other}")
+
+
 @query(sql("SELECT profile_id, full_name, region FROM profiles WHERE region = 'EUROPE'", "profiles"))
 def owner_rights_read(spark, sf):
     return _by_region(spark, sf, "owner")

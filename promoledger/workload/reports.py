@@ -9,6 +9,7 @@ from promoledger.functions.scalars import MONEY
 from promoledger.operators.relational import with_pages
 from promoledger.plans import reports
 from promoledger.plans.reconcile import reconcile_month
+from promoledger.plans.sql_functions import register_reports
 from promoledger.sources.literal import literal
 from promoledger.workload.views import AS_OF, pct_sql, sql, table, view
 
@@ -62,6 +63,14 @@ def partner_performance_pages(spark, sf):
     return with_pages(report, [F.col("total_clicks").desc(), F.col("partner_code").asc()], 100)
 
 
+@query(sql(f"{_PERFORMANCE} AND p.partner_id = ANY([1, 2, 8]) GROUP BY p.partner_code, p.partner_name", "partners", "clicks"))
+def partner_performance_sql(spark, sf):
+    _register(spark, sf)
+    return spark.sql(
+        "SELECT * FROM partner_performance_report(timestamp_ntz'2024-01-10', timestamp_ntz'2024-01-20', array(1L, 2L, 8L))"
+    )
+
+
 _SUM = "coalesce(sum(l.amount) FILTER (WHERE l.entry_type = '{}'), 0)"
 _USAGE = (
     "SELECT p.program_id, p.program_name, p.budget_limit, CAST({income} AS DECIMAL(18,2)) AS total_income, "
@@ -77,6 +86,19 @@ def budget_usage(spark, sf):
     return reports.budget_usage(view(spark, sf, "programs"), view(spark, sf, "ledger"))
 
 
+def _register(spark, sf):
+    names = {"partner": "partners", "click": "clicks", "program": "programs", "ledger": "ledger"}
+    for source in names.values():
+        view(spark, sf, source).createOrReplaceTempView(f"__promoledger_{source}")
+    register_reports(spark, **{k: f"__promoledger_{v}" for k, v in names.items()})
+
+
+@query(sql(f"{_USAGE} AND p.status_id = 15 {_USAGE_KEYS}", "programs", "ledger"))
+def budget_usage_sql(spark, sf):
+    _register(spark, sf)
+    return spark.sql("SELECT * FROM program_budget_usage(status => 15L)")
+
+
 @query(sql(f"{_USAGE} AND p.status_id = 15 {_USAGE_KEYS}", "programs", "ledger"))
 def budget_usage_of_status(spark, sf):
     return reports.budget_usage(view(spark, sf, "programs"), view(spark, sf, "ledger"), status_id=15)
