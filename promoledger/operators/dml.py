@@ -105,7 +105,7 @@ def insert_ignore(
     nulls = incoming.filter(any_true([F.col(k).isNull() for k in key]))
     keyed = incoming.dropna(subset=list(key))
     once = first_per_key(keyed, key, order_by) if order_by else keyed.dropDuplicates(list(key))
-    fresh = once.join(_existing(target, once, key), list(key), "left_anti").select(target.columns)
+    fresh = once.join(_existing(target, keyed, key), list(key), "left_anti").select(target.columns)
     if any(f.nullable for f in incoming.select(*key).schema.fields):
         fresh = fresh.unionByName(nulls.select(target.columns))
     return Change(target.unionByName(fresh), fresh)
@@ -156,7 +156,7 @@ def upsert(
     updated = joined.filter(hit).select(
         *[new[c].cast(types[c]).alias(c) if c in new else F.col(c) for c in target.columns]
     )
-    absent = once.join(_existing(target, once, key), list(key), "left_anti")
+    absent = once.join(_existing(target, incoming, key), list(key), "left_anti")
     inserted = absent.select(
         *[(F.col(c) if c in once.columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns]
     )

@@ -6,7 +6,8 @@ around them, so storage permissions stay with the platform.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from promoledger.functions.predicates import all_of, any_true, contains_percent
 from promoledger.functions.scalars import split_list
+from promoledger.session import materialize
 from promoledger.sources.literal import literal
 
 ALLOW, DENY = "1=1", "1=0"
@@ -143,27 +145,32 @@ def user_rules(config: DataFrame, targets: DataFrame, columns: DataFrame) -> Dat
     return checked.filter(keep).select("user_id", "table_name", "kind", "field_name", "value")
 
 
-def _quoted(values: Column) -> Column:
-    return F.transform(values, lambda v: F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("''")), F.lit("'")))
+def _with_condition_text(rules: DataFrame) -> DataFrame:
+    """Add ``__text``: SQL text of the rule in ``field_name`` and ``value``; NULL when the value is empty."""
 
+    def quoted(v: Column) -> Column:
+        return F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("''")), F.lit("'"))
 
-def _condition_text() -> Column:
-    """SQL text of one rule, from ``field_name`` and ``value``; NULL when the value is empty."""
-    values = split_list(F.col("value"))
-    patterns = F.filter(values, contains_percent)
-    plain = F.filter(values, lambda v: ~contains_percent(v))
-    likes = F.transform(_quoted(patterns), lambda q: F.concat(F.col("field_name"), F.lit(" LIKE "), q))
-    ors = F.array_join(likes, " OR ")
-    in_list = F.concat(F.col("field_name"), F.lit(" IN ("), F.array_join(_quoted(plain), ","), F.lit(")"))
-    equal = F.concat(F.col("field_name"), F.lit(" = "), F.get(_quoted(plain), 0))
-    n_like, n_plain = F.size(patterns), F.size(plain)
-    return (
+    def like(v: Column) -> Column:
+        return F.concat(F.col("field_name"), F.lit(" LIKE "), quoted(v))
+
+    split = rules.withColumn("__values", split_list(F.col("value"))).withColumns(
+        {
+            "__likes": F.transform(F.filter("__values", contains_percent), like),
+            "__plain": F.transform(F.filter("__values", lambda v: ~contains_percent(v)), quoted),
+        }
+    )
+    n_like, n_plain = F.size("__likes"), F.size("__plain")
+    ors = F.array_join("__likes", " OR ")
+    in_list = F.concat(F.col("field_name"), F.lit(" IN ("), F.array_join("__plain", ","), F.lit(")"))
+    text = (
         F.when((n_like > 0) & (n_plain > 0), F.concat(F.lit("("), ors, F.lit(" OR "), in_list, F.lit(")")))
         .when(n_like > 1, F.concat(F.lit("("), ors, F.lit(")")))
         .when(n_like == 1, ors)
         .when(n_plain > 1, in_list)
-        .when(n_plain == 1, equal)
+        .when(n_plain == 1, F.concat(F.col("field_name"), F.lit(" = "), F.get("__plain", 0)))
     )
+    return split.withColumn("__text", text)
 
 
 def predicate_table(config: DataFrame, targets: DataFrame, columns: DataFrame) -> DataFrame:
@@ -171,7 +178,7 @@ def predicate_table(config: DataFrame, targets: DataFrame, columns: DataFrame) -
 
     The text is for reading and comparing; filtering uses ``predicate_column``.
     """
-    rules = user_rules(config, targets, columns).withColumn("__text", _condition_text())
+    rules = _with_condition_text(user_rules(config, targets, columns))
     part = F.when((F.col("kind") == "field") & F.col("__text").isNotNull(), F.struct("field_name", "value", "__text"))
     grouped = rules.groupBy("user_id", "table_name").agg(
         F.max(F.col("kind") == "allow").alias("__allow"), F.sort_array(F.collect_list(part)).alias("__parts")
@@ -185,52 +192,57 @@ def predicate_table(config: DataFrame, targets: DataFrame, columns: DataFrame) -
     )
 
 
-def _rule_column(field_name: str, value: str) -> Column | None:
-    entries = [v.strip(" ") for v in value.split(",")] if value else []
+def _rule_column(field_name: str, value: str) -> Column:
+    entries = [v.strip(" ") for v in value.split(",")]
     parts = [F.col(f"`{field_name}`").like(v) for v in entries if "%" in v]
     plain = [v for v in entries if "%" not in v]
     if plain:
         parts.append(F.col(f"`{field_name}`").isin(plain))
-    return any_true(parts) if parts else None
+    return any_true(parts)
+
 
+def _set_column(rule_set: str) -> Column:
+    if rule_set in (ALLOW, DENY):
+        return F.lit(rule_set == ALLOW)
+    return all_of([_rule_column(r["field_name"], r["value"]) for r in json.loads(rule_set)])
 
-def _rules_by_user(
-    config: DataFrame, table: str, df: DataFrame, users: Sequence[str] | None
-) -> dict[str, str | list[Column]]:
+
+def rule_sets(config: DataFrame, table: str, df: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """(user_id, rule_set): what each user may see of one table, as ``1=1``, ``1=0`` or a JSON list of
+    (field_name, value) rules. Users with the same rules share one text."""
     spark = df.sparkSession
-    if users is None:
-        wanted = config.select("user_id").distinct()
-        names = [r["user_id"] for r in wanted.collect()]
-    else:
-        names = list(users)
-        wanted = literal(spark, [(u,) for u in names], "user_id string")
-    targets = wanted.withColumn("table_name", F.lit(table))
+    wanted = (config if users is None else users).select("user_id").distinct()
     known = literal(spark, [(table, c) for c in df.columns], "table_name string, column_name string")
-    result: dict[str, str | list[Column]] = {u: DENY for u in names}
-    rules = user_rules(config, targets, known).collect()
-    for r in rules:
-        if r["kind"] == "field" and (condition := _rule_column(r["field_name"], r["value"])) is not None:
-            found = result[r["user_id"]]
-            result[r["user_id"]] = [condition] if isinstance(found, str) else [*found, condition]
-    for r in rules:
-        if r["kind"] == "allow":
-            result[r["user_id"]] = ALLOW
-    return result
-
-
-def predicate_columns(config: DataFrame, table: str, df: DataFrame, users: Sequence[str] | None = None) -> dict[str, Column]:
-    """The predicate of each user on one table as a Column tree (no SQL text, nothing to inject).
-
-    Reads the configuration rows that concern the table on the driver: one row per user and field,
-    a table kept by hand.
+    rules = user_rules(config, wanted.withColumn("table_name", F.lit(table)), known)
+    part = F.when((F.col("kind") == "field") & (F.col("value") != ""), F.struct("field_name", "value"))
+    grouped = rules.groupBy("user_id").agg(
+        F.max(F.col("kind") == "allow").alias("__allow"), F.sort_array(F.collect_set(part)).alias("__parts")
+    )
+    text = F.when(F.col("__allow"), ALLOW).when(F.size("__parts") > 0, F.to_json("__parts")).otherwise(DENY)
+    sets = grouped.select("user_id", text.alias("rule_set"))
+    return wanted.join(sets, "user_id", "left").select("user_id", F.coalesce("rule_set", F.lit(DENY)).alias("rule_set"))
+
+
+def predicate_column(config: DataFrame, user: str, table: str, df: DataFrame) -> Column:
+    """The predicate of one user on one table as a Column tree: no SQL text, nothing to inject.
+
+    One row, the user's own rules, comes to the driver.
     """
-    found = _rules_by_user(config, table, df, users)
-    return {u: F.lit(r == ALLOW) if isinstance(r, str) else all_of(r) for u, r in found.items()}
+    asked = literal(df.sparkSession, [(user,)], "user_id string")
+    return _set_column(rule_sets(config, table, df, asked).first()["rule_set"])
 
 
 def filter_by_config(df: DataFrame, config: DataFrame, user: str, table: str) -> DataFrame:
     """Rows of ``df`` one user may see under the configuration."""
-    return df.filter(predicate_columns(config, table, df, [user])[user])
+    return df.filter(predicate_column(config, user, table, df))
+
+
+def _numbered_sets(config: DataFrame, table: str, df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Users with the number of their rule set, and the distinct sets (one per role, not per user)."""
+    users = materialize(rule_sets(config, table, df), "rule-sets")
+    sets = sorted(r["rule_set"] for r in users.select("rule_set").distinct().collect())
+    numbers = literal(df.sparkSession, list(enumerate(sets)), "set_no int, rule_set string")
+    return users.join(numbers, "rule_set").select("user_id", "set_no"), sets
 
 
 def config_visibility(
@@ -238,24 +250,24 @@ def config_visibility(
 ) -> DataFrame:
     """(user_id, key...) for every configured user and each row the user may see.
 
-    One narrow pass per ``chunk`` users: a row is emitted only for users whose predicate it meets, and
-    nothing is shuffled. Users with full access see every row, so they are left out unless asked for.
+    Each distinct rule set is tested once per row, ``chunk`` sets in one narrow pass; only matches are
+    emitted and then joined to the users of the set. Users with full access see every row, so they are
+    left out unless asked for.
     """
-    found = _rules_by_user(config, table, df, None)
-    users = sorted(u for u, r in found.items() if r != DENY and (unrestricted or r != ALLOW))
-    predicates = {u: F.lit(True) if found[u] == ALLOW else all_of(found[u]) for u in users}
-    result = None
-    for start in range(0, max(len(users), 1), chunk):
-        hits = [F.when(predicates[u], F.lit(u)) for u in users[start : start + chunk]]
-        seen = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
-        part = df.select(*key, F.explode(seen).alias("user_id")).select("user_id", *key)
-        result = part if result is None else result.unionByName(part)
-    return result
-
-
-def visibility_counts(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
-    """Rows visible to each user, all users in one pass over the table."""
-    users = list(predicates)
-    counts = df.agg(*[F.count(F.when(predicates[u], F.lit(1))).alias(f"u{i}") for i, u in enumerate(users)])
-    pairs = F.array(*[F.struct(F.lit(u).alias("user_id"), F.col(f"u{i}").alias("n_rows")) for i, u in enumerate(users)])
-    return counts.select(F.inline(pairs))
+    users, sets = _numbered_sets(config, table, df)
+    tested = [i for i, s in enumerate(sets) if s != DENY and (unrestricted or s != ALLOW)]
+    seen = None
+    for start in range(0, max(len(tested), 1), chunk):
+        hits = [F.when(_set_column(sets[i]), F.lit(i)) for i in tested[start : start + chunk]]
+        matches = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<int>")
+        part = df.select(*key, F.explode(matches).alias("set_no"))
+        seen = part if seen is None else seen.unionByName(part)
+    return seen.join(users, "set_no").select("user_id", *key)
+
+
+def visibility_counts(df: DataFrame, config: DataFrame, table: str) -> DataFrame:
+    """Rows visible to each configured user: counted per rule set in one pass, then given to its users."""
+    users, sets = _numbered_sets(config, table, df)
+    counts = df.agg(*[F.count(F.when(_set_column(s), F.lit(1))).alias(f"n{i}") for i, s in enumerate(sets)])
+    pairs = [F.struct(F.lit(i).alias("set_no"), F.col(f"n{i}").alias("n_rows")) for i in range(len(sets))]
+    return users.join(counts.select(F.inline(F.array(*pairs))), "set_no").select("user_id", "n_rows")

@@ -137,8 +137,7 @@ def config_filter(spark, sf):
 
 @query(" UNION ALL ".join(f"SELECT '{u}' AS user_id, count(*) FILTER (WHERE {p}) AS n_rows FROM part" for u, p in _SEES_ALL.items()))
 def config_visible_counts(spark, sf):
-    df = table(spark, sf, "part")
-    return policy.visibility_counts(df, policy.predicate_columns(literal(spark, _CONFIG, _COLUMNS), "part", df))
+    return policy.visibility_counts(table(spark, sf, "part"), literal(spark, _CONFIG, _COLUMNS), "part")
 
 
 # A configuration derived from the data: the clerk of each customer name sees the parts of the brands
@@ -149,19 +148,12 @@ _DERIVED_SQL = (
     "CASE WHEN c_mktsegment = 'MACHINERY' THEN '1, 2' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Brand#%' WHEN c_nationkey > 20 THEN '*' "
     "ELSE concat('Brand#', c_nationkey) END AS value FROM customer"
 )
-_DERIVED_TEXT = (
-    "CASE WHEN table_name = 'part' AND value = '*' THEN '1=1' WHEN table_name = 'part' AND field_name = 'p_size' THEN 'p_size IN (''1'',''2'')' "
-    "WHEN table_name = '*' AND field_name = 'p_size' THEN 'p_size IN (''1'',''2'')' "
-    "WHEN table_name = 'supplier' OR (table_name = '*' AND (field_name = 'no_such' OR value = '*')) THEN '1=0' "
-    "WHEN value LIKE '%~%%' ESCAPE '~' THEN concat(field_name, ' LIKE ''', value, '''') ELSE concat(field_name, ' = ''', value, '''') END"
-)
 
 
-@query(f"SELECT user_id, 'part' AS table_name, {_DERIVED_TEXT} AS predicate FROM ({_DERIVED_SQL})")
-def predicate_table(spark, sf):
+def _derived_config(spark, sf):
     customer = table(spark, sf, "customer")
     segment, nation = F.col("c_mktsegment"), F.col("c_nationkey")
-    config = customer.select(
+    return customer.select(
         F.col("c_name").alias("user_id"),
         F.when(F.col("c_acctbal") < 0, "*").when(nation < 5, "supplier").otherwise("part").alias("table_name"),
         F.when(segment == "MACHINERY", "p_size").when(segment == "BUILDING", "no_such").otherwise("p_brand").alias("field_name"),
@@ -171,6 +163,31 @@ def predicate_table(spark, sf):
         .otherwise(F.concat(F.lit("Brand#"), nation))
         .alias("value"),
     )
-    targets = customer.select(F.col("c_name").alias("user_id"), F.lit("part").alias("table_name"))
+
+
+_DERIVED_TEXT = (
+    "CASE WHEN table_name = 'part' AND value = '*' THEN '1=1' WHEN table_name = 'part' AND field_name = 'p_size' THEN 'p_size IN (''1'',''2'')' "
+    "WHEN table_name = '*' AND field_name = 'p_size' THEN 'p_size IN (''1'',''2'')' "
+    "WHEN table_name = 'supplier' OR (table_name = '*' AND (field_name = 'no_such' OR value = '*')) THEN '1=0' "
+    "WHEN value LIKE '%~%%' ESCAPE '~' THEN concat(field_name, ' LIKE ''', value, '''') ELSE concat(field_name, ' = ''', value, '''') END"
+)
+
+
+@query(f"SELECT user_id, 'part' AS table_name, {_DERIVED_TEXT} AS predicate FROM ({_DERIVED_SQL})")
+def predicate_table(spark, sf):
+    config = _derived_config(spark, sf)
+    targets = config.select("user_id", F.lit("part").alias("table_name"))
     known = literal(spark, [("part", c) for c in table(spark, sf, "part").columns], "table_name string, column_name string")
     return policy.predicate_table(config, targets, known)
+
+
+@query(
+    f"SELECT user_id, CASE WHEN p = '1=1' THEN (SELECT count(*) FROM part) WHEN p = '1=0' THEN 0 WHEN field_name = 'p_size' THEN (SELECT count(*) FROM part "
+    "WHERE p_size IN (1, 2)) WHEN value = 'Brand#%' THEN (SELECT count(*) FROM part WHERE p_brand LIKE 'Brand#%') ELSE coalesce(n, 0) END AS n_rows FROM "
+    f"(SELECT *, {_DERIVED_TEXT} AS p FROM ({_DERIVED_SQL}) WHERE field_name <> 'no_such' OR table_name <> 'part') LEFT JOIN "
+    "(SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand) ON p_brand = value"
+)
+def config_counts_many_users(spark, sf):
+    """One user per customer, few distinct rule sets."""
+    config = _derived_config(spark, sf).filter("field_name <> 'no_such' OR table_name <> 'part'")
+    return policy.visibility_counts(table(spark, sf, "part"), config, "part")
