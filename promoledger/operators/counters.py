@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoledger.functions.joins import null_safe_join
@@ -31,6 +31,38 @@ def allocate_capped(
     return ranked.join(free, key, "left").withColumn("granted", granted).drop("__free")
 
 
+def grant_claims(
+    claims: DataFrame,
+    quotas: DataFrame,
+    key: str,
+    order_by: Sequence[str],
+    limit: str = "issuance_limit",
+    issued: str = "total_issued",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``allocate_capped`` without the claim numbers: adds ``granted`` alone.
+
+    Whether a claim is in time only needs the last claim each quota still covers. Finding it takes the
+    first few claims per key, which Spark cuts in every map task before the shuffle; the claims
+    themselves are then compared with that one row per key and not sorted or moved. Quotas too large
+    for the cut fall back to numbering the claims. ``order_by`` names ascending columns.
+    """
+    free = quotas.select(key, (F.col(limit) - F.col(issued)).cast("bigint").alias("__free"))
+    most = free.agg(F.max("__free")).first()[0] or 0
+    threshold = int(claims.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if most > threshold:
+        order = [F.col(c).asc() for c in order_by]
+        return allocate_capped(claims, quotas, key, order, limit, issued, hot_rows).drop("claim_no")
+    at = F.struct(*order_by)
+    window = Window.partitionBy(key).orderBy(*order_by)
+    early = claims.select(key, *order_by).withColumn("__no", F.row_number().over(window)).filter(F.col("__no") <= max(most, 1))
+    last = early.join(free, key).filter("__no = __free").select(key, at.alias("__last"))
+    known = free.join(last, key, "left")
+    in_time = F.col("__last").isNull() | (at <= F.col("__last"))
+    granted = F.coalesce((F.col("__free") > 0) & in_time, F.lit(False))
+    return claims.join(known, key, "left").withColumn("granted", granted).drop("__free", "__last")
+
+
 def advance_counters(quotas: DataFrame, allocated: DataFrame, key: str, issued: str = "total_issued") -> DataFrame:
     """The counters after an allocation."""
     given = allocated.filter("granted").groupBy(key).agg(F.count(F.lit(1)).alias("__given"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from promoledger.functions.predicates import any_true
 from promoledger.operators.dml import fill_defaults
-from promoledger.operators.quality import BAD, check_table, mark, quarantine_units, split_rows, violations
+from promoledger.operators.quality import check_table, mark, quarantine_units, split_rows, violations
 from promoledger.session import materialize
 from promoledger.sources.catalog import child_first_order
 from promoledger.sources.schemas import TABLES, Col, ForeignKey, Table

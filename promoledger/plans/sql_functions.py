@@ -21,11 +21,12 @@ CREATE OR REPLACE TEMPORARY FUNCTION partner_performance_report(
 RETURNS TABLE (partner_code STRING, partner_name STRING, total_clicks BIGINT, valid_clicks BIGINT,
     suspicious_clicks BIGINT, fraud_rate_pct DECIMAL(38,2))
 RETURN
-    SELECT p.partner_code, p.partner_name, coalesce(c.total, 0), coalesce(c.total - c.bad, 0), coalesce(c.bad, 0),
+    SELECT p.partner_code, p.partner_name, coalesce(c.total, 0), coalesce(c.good, 0), coalesce(c.bad, 0),
         {_PERCENT.format(part="c.bad", whole="c.total")}
     FROM {{partner}} p
     LEFT JOIN (
-        SELECT partner_id, count(click_id) AS total, count(click_id) FILTER (WHERE is_suspicious) AS bad
+        SELECT partner_id, count(click_id) AS total, count(click_id) FILTER (WHERE NOT is_suspicious) AS good,
+            count(click_id) FILTER (WHERE is_suspicious) AS bad
         FROM {{click}}
         WHERE clicked_at BETWEEN partner_performance_report.start_at AND partner_performance_report.end_at
         GROUP BY partner_id

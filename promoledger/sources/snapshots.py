@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+
 from promoledger.sources.literal import literal
 
 _LOG = "commit_id bigint, table_name string, version bigint, schema_json string"
@@ -34,7 +35,6 @@ class Pinned:
         version, schema = self.versions[table]
         return self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{self.root}/{table}/v={version}")
 
-
     def register_views(self, prefix: str = "") -> None:
         """Make the pinned tables available to SQL as temporary views."""
         for table in self.versions:

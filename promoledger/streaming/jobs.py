@@ -12,7 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from promoledger.functions.predicates import between
 from promoledger.functions.scalars import MONEY, zero_if_null
 from promoledger.operators.audit import capture_from_images
-from promoledger.operators.counters import allocate_capped
+from promoledger.operators.counters import grant_claims
 from promoledger.operators.dml import insert_ignore
 from promoledger.operators.numbering import HOT_ROWS
 from promoledger.streaming.batches import (
@@ -78,9 +78,9 @@ def admit_claims(
         current = quotas.select(key, limit, issued).join(given, key, "left").select(
             key, limit, (F.col(issued) + F.coalesce("given", F.lit(0))).alias(issued)
         )
-        decided = allocate_capped(batch, current, key, [F.col(c) for c in order_by], limit, issued, hot_rows)
-        write_batch(decided.drop("claim_no"), f"{path}/claims", batch_id)
-        done = read_batches(spark, f"{path}/claims", decided.drop("claim_no").schema, batch_id, batch_id + 1)
+        decided = grant_claims(batch, current, key, order_by, limit, issued, hot_rows)
+        write_batch(decided, f"{path}/claims", batch_id)
+        done = read_batches(spark, f"{path}/claims", decided.schema, batch_id, batch_id + 1)
         fresh = done.filter("granted").groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
         total = (F.coalesce("given", F.lit(0)) + F.col("__n")).alias("given")
         state.save(batch_id, fresh.join(given, key, "left").select(key, total))

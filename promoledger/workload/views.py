@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
 from promoledger.sources.literal import literal
 
 AS_OF = "2024-02-01 00:00:00"

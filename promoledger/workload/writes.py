@@ -228,6 +228,18 @@ def capped_issuance(spark, sf):
     )
 
 
+@query(
+    sql(
+        "SELECT a.claim_id, a.voucher_id, a.claimed_at, coalesce(a.claim_no <= v.issuance_limit - v.total_issued, FALSE) AS granted "
+        "FROM (SELECT *, row_number() OVER (PARTITION BY voucher_id ORDER BY claimed_at, claim_id) AS claim_no FROM arrivals) a "
+        "LEFT JOIN vouchers v ON v.voucher_id = a.voucher_id",
+        "arrivals", "vouchers",
+    )
+)
+def claim_grants(spark, sf):
+    return counters.grant_claims(view(spark, sf, "arrivals"), view(spark, sf, "vouchers"), "voucher_id", ["claimed_at", "claim_id"])
+
+
 @query(
     sql(
         "SELECT v.voucher_id, v.issuance_limit, CAST(v.total_issued + least(count(a.claim_id), v.issuance_limit - v.total_issued) AS INTEGER) AS total_issued "
@@ -238,7 +250,7 @@ def capped_issuance(spark, sf):
 def capped_issuance_counters(spark, sf):
     quotas = view(spark, sf, "vouchers")
     claims = view(spark, sf, "arrivals")
-    decided = counters.allocate_capped(claims, quotas, "voucher_id", [F.col("claimed_at"), F.col("claim_id")])
+    decided = counters.grant_claims(claims, quotas, "voucher_id", ["claimed_at", "claim_id"])
     return counters.advance_counters(quotas, decided, "voucher_id").select("voucher_id", "issuance_limit", "total_issued")
 
 

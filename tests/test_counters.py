@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from promoledger.operators import counters
 from promoledger.sources.literal import literal
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def claims_of(spark, n, voucher=1):
@@ -45,6 +45,18 @@ def test_allocation_against_brute_force(spark):
     quotas = literal(spark, [(v, a, b) for v, (a, b) in limits.items()], "voucher_id bigint, issuance_limit int, total_issued int")
     done = counters.allocate_capped(claims, quotas, "voucher_id", [F.col("at"), F.col("claim_id")], hot_rows=50)
     assert {r.claim_id for r in done.filter("granted").collect()} == expected
+    # By cutoff, and once more with a quota beyond the cut, which numbers the claims.
+    for more in ([], [(9, 5000, 0)]):
+        wider = quotas.unionByName(literal(spark, more, quotas.schema))
+        short = counters.grant_claims(claims, wider, "voucher_id", ["at", "claim_id"], hot_rows=50)
+        assert short.count() == 400 and {r.claim_id for r in short.filter("granted").collect()} == expected
+
+
+def test_claims_stay_in_place_when_only_grants_are_asked(spark, tmp_path):
+    claims_of(spark, 1000).write.parquet(str(tmp_path / "claims"))
+    stored = spark.read.parquet(str(tmp_path / "claims"))
+    text = plan(counters.grant_claims(stored, quota(spark, 10, 0), "voucher_id", ["at", "claim_id"]))
+    assert "WindowGroupLimit" in text and "SortMergeJoin" not in text
 
 
 def test_increments_are_not_lost(spark):
