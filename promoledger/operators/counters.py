@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from promoledger.functions.joins import null_safe_join
 from promoledger.operators.numbering import HOT_ROWS, rank_within
+from promoledger.session import materialize
 
 
 def allocate_capped(
@@ -57,7 +58,8 @@ def grant_claims(
     window = Window.partitionBy(key).orderBy(*order_by)
     early = claims.select(key, *order_by).withColumn("__no", F.row_number().over(window)).filter(F.col("__no") <= max(most, 1))
     last = early.join(free, key).filter("__no = __free").select(key, at.alias("__last"))
-    known = free.join(last, key, "left")
+    # One row per quota; written, Spark sees its size and need not shuffle the claims to it.
+    known = materialize(free.join(last, key, "left"), "cutoffs")
     in_time = F.col("__last").isNull() | (at <= F.col("__last"))
     granted = F.coalesce((F.col("__free") > 0) & in_time, F.lit(False))
     return claims.join(known, key, "left").withColumn("granted", granted).drop("__free", "__last")

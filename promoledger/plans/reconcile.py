@@ -13,6 +13,7 @@ from promoledger.functions.scalars import MONEY
 from promoledger.operators.audit import PROGRAM_COLUMNS, capture_changes
 from promoledger.operators.dml import next_ids, update_where
 from promoledger.operators.quality import BAD, flag_rows, row_rules, violations
+from promoledger.session import materialize
 from promoledger.sources.schemas import TABLES
 from promoledger.sources.snapshots import SnapshotStore
 from promoledger.sources.literal import literal
@@ -46,11 +47,12 @@ def reconcile_month(
     marks and counts, so a second run over ``marked`` pays nothing. Clicks are counted per partner
     before the rates are joined.
     """
-    rated = (
-        live(any_of(partners, "partner_id", partner_ids))
-        .join(rules.select("commission_rule_id", "payout_rate"), "commission_rule_id")
-        .select("partner_id", "partner_name", "payout_rate")
+    rated = live(any_of(partners, "partner_id", partner_ids)).join(
+        rules.select("commission_rule_id", "payout_rate"), "commission_rule_id"
     )
+    # Read by the report, the marks and the errors. Written, its size is known, so a partner table
+    # that fits is broadcast to the clicks instead of both being shuffled.
+    rated = materialize(rated.select("partner_id", "partner_name", "payout_rate"), "rated")
     start, end = month_bounds(year, month)
     month_clicks = any_of(clicks.filter(half_open("clicked_at", start, end)), "partner_id", partner_ids)
     eligible = ~F.col("is_suspicious") & F.col("reconciliation_status_id").isNull()

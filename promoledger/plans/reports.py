@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from promoledger.functions.predicates import any_of, between, equals_if_given, half_open, live
 from promoledger.functions.scalars import MONEY, day_of, descending, percentage, zero_if_null
 from promoledger.operators.relational import semi, top_k
+from promoledger.session import materialize
 
 
 def partner_performance(
@@ -159,10 +160,11 @@ def bursts(clicks: DataFrame, threshold: int, window: str = "1 minute") -> DataF
 def flag_bursts(clicks: DataFrame, threshold: int, window: str = "1 minute") -> DataFrame:
     """Clicks with ``is_suspicious`` set in every window that reached the threshold.
 
-    Few windows are hot, so the joined side is small; a window that holds very many clicks is split
-    by the adaptive skew join, its other side being one row.
+    The hot windows, at most clicks / threshold of them, are written first: Spark then knows their size
+    and broadcasts them without moving the clicks, or falls back to a join it can split on skew.
     """
-    hot = bursts(clicks, threshold, window).select("ip_address", "window_start").withColumn("__hot", F.lit(True))
+    hot = materialize(bursts(clicks, threshold, window).select("ip_address", "window_start"), "bursts")
+    hot = hot.withColumn("__hot", F.lit(True))
     marked = _with_window(clicks, window).join(hot, ["ip_address", "window_start"], "left")
     flag = F.col("is_suspicious") | F.coalesce(F.col("__hot"), F.lit(False))
     return marked.withColumn("is_suspicious", flag).select(clicks.columns)
