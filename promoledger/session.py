@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,8 +20,9 @@ _SETTINGS = {
 }
 
 
-# Scratch paths handed out, by application.
+# Scratch paths handed out, by application; inside a ``scratch_scope`` by thread.
 _written: dict[str, list[str]] = {}
+_scope = threading.local()
 
 
 def build_session(app_name: str = "promoledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,13 +54,29 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared scratch folder."""
     path = f"{scratch_root(spark)}/promoledger/{label}-{uuid.uuid4().hex}"
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    scoped = getattr(_scope, "paths", None)
+    (_written.setdefault(spark.sparkContext.applicationId, []) if scoped is None else scoped).append(path)
     return path
 
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete the written intermediates of this application, once its results are stored."""
-    for path in _written.pop(spark.sparkContext.applicationId, []):
+    _delete(spark, _written.pop(spark.sparkContext.applicationId, []))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the intermediates written inside the block at its end; store results before that."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _scope.paths = _scope.paths, outer
+        _delete(spark, paths)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 

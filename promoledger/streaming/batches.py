@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from promoledger.session import scratch_scope
 from promoledger.sources.literal import literal
 
 BATCH = "batch_id"
@@ -74,13 +75,29 @@ class KeyedState:
 def start_batches(
     stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], mode: str = "append", available_now: bool = True
 ) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
+    """Run ``handle(batch, batch_id)`` per micro-batch.
+
+    The batch is kept while the handler reads it several times: without that each read would run the
+    stateful part of the stream again. Intermediates of the handler go when it returns.
+    """
+
+    def kept(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            with scratch_scope(batch.sparkSession):
+                handle(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.foreachBatch(kept).outputMode(mode).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def sink_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", available_now: bool = True) -> StreamingQuery:
     """Write every micro-batch to its own folder."""
-    return start_batches(stream, checkpoint, lambda df, n: write_batch(df, path, n), mode, available_now)
+    writer = stream.writeStream.foreachBatch(lambda df, n: write_batch(df, path, n)).outputMode(mode)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def latest_updates(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]) -> DataFrame:

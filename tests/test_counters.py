@@ -56,7 +56,7 @@ def test_claims_stay_in_place_when_only_grants_are_asked(spark, tmp_path):
     claims_of(spark, 1000).write.parquet(str(tmp_path / "claims"))
     stored = spark.read.parquet(str(tmp_path / "claims"))
     text = plan(counters.grant_claims(stored, quota(spark, 10, 0), "voucher_id", ["at", "claim_id"]))
-    assert "WindowGroupLimit" in text and "SortMergeJoin" not in text
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
 def test_increments_are_not_lost(spark):

@@ -1,9 +1,12 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from promoledger.operators.audit import capture_from_images
 from promoledger.operators.counters import allocate_capped
 from promoledger.plans import reports
+from promoledger.session import scratch_root
 from promoledger.sources.feeds import read_feed
 from promoledger.sources.literal import literal
 from promoledger.streaming import batches, jobs
@@ -12,6 +15,11 @@ from tests.conftest import rows
 CLICK = "click_id string, ip_address string, clicked_at timestamp_ntz"
 
 
+def intermediates(spark):
+    folder = f"{scratch_root(spark)}/promoledger"
+    return sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+
+
 def feed(spark, folder, frames):
     """One file per frame, in order, read one file per micro-batch."""
     for df in frames:
@@ -92,7 +100,9 @@ def test_admission_over_batches_equals_batch_allocation(spark, tmp_path, hot_row
     quotas = literal(spark, [(v, 20, v) for v in range(5)], "voucher_id bigint, issuance_limit int, total_issued int")
     parts = [claims.filter((F.col("claim_id") >= a) & (F.col("claim_id") < a + 30)) for a in (0, 30, 60, 90)]
     stream = feed(spark, str(tmp_path / "in"), parts)
+    before = intermediates(spark)
     jobs.admit_claims(stream, quotas, str(tmp_path / "out"), str(tmp_path / "cp"), "voucher_id", ["claim_id"], hot_rows=hot_rows).awaitTermination()
+    assert intermediates(spark) == before
     got = batches.read_batches(spark, str(tmp_path / "out" / "claims"), claims.schema.add("granted", "boolean"))
     twin = allocate_capped(claims, quotas, "voucher_id", [F.col("claim_id")])
     assert rows(got, "claim_id", "granted") == rows(twin, "claim_id", "granted")
