@@ -17,7 +17,7 @@ from promoledger.workload import all_queries
 HEADLINE = [
     "partner_performance", "budget_usage", "remaining_budget", "reconcile_month_payout", "reconcile_month_marked", "claims_per_program",
     "daily_series", "recent_clicks", "fraud_flags", "duplicate_payouts", "net_commissions", "distinct_counts", "selectivity",
-    "column_profile", "common_values", "upsert_ignore", "upsert_update", "update_with_semi_join", "surrogate_keys", "capped_issuance",
+    "column_profile", "common_values", "upsert_ignore", "upsert_update", "update_with_semi_join", "surrogate_keys", "capped_issuance", "claim_grants",
     "flash_sale_single_voucher", "apply_increments", "stale_writes", "lost_updates", "check_rules", "first_of_key_kept", "foreign_key_check",
     "unit_quarantine", "step_quarantine", "change_capture", "change_capture_from_log", "restore_from_history", "row_policy", "config_visibility",
     "predicate_table", "month_partition_read", "hash_partition_lookup", "report_pages", "streamed_ingest", "streamed_fraud_windows",

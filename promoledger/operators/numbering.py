@@ -134,6 +134,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], k: int) -> DataFrame:
-    """At most ``k`` rows of each key; up to k = 1000 Spark cuts groups before the shuffle."""
+    """At most ``k`` rows of each key.
+
+    Up to Spark's group-limit threshold the groups are cut before the shuffle; a larger ``k`` ranks
+    the rows in the form that spreads hot keys.
+    """
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        return rank_within(df, keys, order_by, "__rn").filter(F.col("__rn") <= k).drop("__rn")
     window = Window.partitionBy(*keys).orderBy(*order_by)
     return df.withColumn("__rn", F.row_number().over(window)).filter(F.col("__rn") <= k).drop("__rn")

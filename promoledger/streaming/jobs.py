@@ -22,23 +22,27 @@ from promoledger.streaming.batches import (
 
 def ingest_clicks(
     stream: DataFrame, path: str, checkpoint: str, key: str = "click_id", time: str = "clicked_at",
-    watermark: str = "1 hour", replays_keep_time: bool = False, available_now: bool = True,
+    watermark: str | None = None, replays_keep_time: bool = False, available_now: bool = True,
 ) -> StreamingQuery:
-    """Idempotent ingest. Copies within the watermark are dropped by stream state, older replays by an
+    """Idempotent ingest: copies inside a batch are dropped before the shuffle, replays of any age by an
     anti-join against what is already stored.
 
     That join reads the key column of the stored log. Where a replay is known to carry the original
-    event time, ``replays_keep_time`` limits the read to the time span of the batch.
+    event time, ``replays_keep_time`` limits the read to the time span of the batch. ``watermark`` adds
+    stream state that drops copies delivered within that time earlier; it moves every copy of a click
+    to one task, so leave it out where single clicks are repeated en masse.
     """
     schema = stream.schema
-    once = event_time(stream, time).withWatermark(time, watermark).dropDuplicatesWithinWatermark([key])
+    once = event_time(stream, time)
+    if watermark:
+        once = once.withWatermark(time, watermark).dropDuplicatesWithinWatermark([key])
 
     def store(batch: DataFrame, batch_id: int) -> None:
         stored = read_batches(batch.sparkSession, path, schema, before=batch_id).select(*schema.fieldNames())
         rows = zoneless(batch, time).select(*schema.fieldNames())
         if replays_keep_time:
             low, high = rows.agg(F.min(time), F.max(time)).first()
-            stored = stored.filter(between(time, low, high))
+            stored = stored.filter(between(time, low, high) if low else F.lit(False))
         write_batch(insert_ignore(stored, rows, [key]).changed, path, batch_id)
 
     return start_batches(once, checkpoint, store, "append", available_now)
@@ -67,7 +71,8 @@ def admit_claims(
     batches, so one hot voucher still spreads over tasks.
 
     Order holds within a batch by ``order_by`` and between batches by arrival; the result equals the
-    batch allocation when files arrive in time order.
+    batch allocation when files arrive in time order. Claims are taken as they come: let
+    ``ingest_clicks`` remove repeated deliveries first.
     """
     state_schema = T.StructType([quotas.schema[key], T.StructField("given", T.LongType())])
     spark = stream.sparkSession

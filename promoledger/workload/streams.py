@@ -36,11 +36,20 @@ def _paths(spark, label):
 
 @query("SELECT event_id, ts, user_id, event_type FROM events")
 def streamed_ingest(spark, sf):
+    return _ingested(spark, sf)
+
+
+@query("SELECT event_id, ts, user_id, event_type FROM events")
+def streamed_ingest_with_state(spark, sf):
+    return _ingested(spark, sf, watermark="1 hour")
+
+
+def _ingested(spark, sf, **options):
     path, checkpoint = _paths(spark, "ingest")
     clicks = _stream(spark, sf).select("event_id", "ts", "user_id", "event_type")
     # The source delivers every click twice.
     twice = clicks.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    jobs.ingest_clicks(twice, path, checkpoint, "event_id", "ts").awaitTermination()
+    jobs.ingest_clicks(twice, path, checkpoint, "event_id", "ts", **options).awaitTermination()
     return batches.read_batches(spark, path, clicks.schema).drop(batches.BATCH)
 
 

@@ -58,6 +58,7 @@ def test_first_and_top_per_key_cut_groups_before_the_shuffle(skewed):
     top = top_per_key(skewed, ["k"], order(), 7)
     assert rows(top, "id") == rows(ranked.filter("rn <= 7"), "id")
     assert "WindowGroupLimit" in plan(top)
+    assert rows(top_per_key(skewed, ["k"], order(), 1500), "id") == rows(ranked.filter("rn <= 1500"), "id")
 
 
 def test_pages(spark, skewed, tmp_path):

@@ -31,20 +31,29 @@ def clicks(spark, data):
     return literal(spark, data, "click_id string, ip_address string, at string").withColumn("clicked_at", F.col("at").cast("timestamp_ntz")).drop("at")
 
 
-def test_ingest_is_idempotent_across_batches_and_restarts(spark, tmp_path):
+@pytest.mark.parametrize("options", [{}, {"watermark": "1 hour"}])
+def test_ingest_is_idempotent_across_batches_and_restarts(spark, tmp_path, options):
     folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     first = clicks(spark, [("A", "ip", "2026-06-01 00:00:00"), ("B", "ip", "2026-06-01 00:01:00"), ("A", "ip", "2026-06-01 00:00:00")])
     again = clicks(spark, [("B", "ip", "2026-06-01 00:01:00"), ("C", "ip", "2026-06-01 00:02:00")])
-    jobs.ingest_clicks(feed(spark, folder, [first, again]), out, checkpoint).awaitTermination()
+    jobs.ingest_clicks(feed(spark, folder, [first, again]), out, checkpoint, **options).awaitTermination()
     stored = batches.read_batches(spark, out, first.schema)
     assert rows(stored, "click_id") == [("A",), ("B",), ("C",)]
     # The partner sends the day again, long after the watermark: a new stream, an empty state.
     late = clicks(spark, [("D", "ip", "2026-06-09 00:00:00"), ("A", "ip", "2026-06-09 00:00:00")])
     stream = feed(spark, folder, [late])
-    jobs.ingest_clicks(stream, out, checkpoint).awaitTermination()
+    jobs.ingest_clicks(stream, out, checkpoint, **options).awaitTermination()
     assert rows(batches.read_batches(spark, out, first.schema), "click_id") == [("A",), ("B",), ("C",), ("D",)]
 
 
+def test_ingest_of_replays_that_keep_their_time(spark, tmp_path):
+    first = clicks(spark, [("A", "ip", "2026-06-01 00:00:00"), ("B", "ip", "2026-06-01 00:01:00")])
+    again = clicks(spark, [("B", "ip", "2026-06-01 00:01:00"), ("C", "ip", "2026-06-01 00:02:00")])
+    stream = feed(spark, str(tmp_path / "in"), [first, again])
+    jobs.ingest_clicks(stream, str(tmp_path / "out"), str(tmp_path / "cp"), replays_keep_time=True).awaitTermination()
+    assert rows(batches.read_batches(spark, str(tmp_path / "out"), first.schema), "click_id") == [("A",), ("B",), ("C",)]
+
+
 def test_replayed_batch_overwrites_itself(spark, tmp_path):
     path = str(tmp_path / "sink")
     frame = spark.range(3).select("id")
