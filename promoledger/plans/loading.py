@@ -35,8 +35,10 @@ def _flag_fk(
     for name, parent, scope in (("__stored", stored_parent, []), ("__own", new_parent, [unit])):
         if parent is None:
             continue
-        side = parent.select(*scope, *[F.col(p).alias(k) for p, k in zip(fk.parent_columns, keys)]).dropna().distinct()
-        side = side.withColumnsRenamed({unit: "__unit"}).withColumn(name, F.lit(True))
+        side = parent.select(*scope, *[F.col(p).alias(k) for p, k in zip(fk.parent_columns, keys)]).dropna()
+        # Only the parents the batch mentions: a small batch is broadcast to a large parent table.
+        mentioned = rows.select(*[F.col(c).alias(k) for c, k in zip(fk.columns, keys)])
+        side = side.join(mentioned, keys, "left_semi").distinct().withColumnsRenamed({unit: "__unit"}).withColumn(name, F.lit(True))
         condition = [F.col(c) == F.col(k) for c, k in zip(fk.columns, keys)] + [F.col(u) == F.col("__unit") for u in scope]
         rows = rows.join(side, condition, "left").drop(*keys, "__unit")
         found.append(F.col(name).isNotNull())
@@ -80,11 +82,8 @@ def load_checked(
         # Children, quarantine and reports all read the verdicts; written once, rules run once.
         flagged[name] = materialize(checked, f"checked-{name}")
     split = quarantine_units(flagged, unit) if mode == "unit" else {n: split_rows(df) for n, df in flagged.items()}
-    new = {}
-    for name, part in split.items():
-        fresh = part.valid.select(*tables[name].schema.fieldNames())
-        new[name] = stored[name].unionByName(fresh) if name in stored else fresh
-    commit = store.commit(new)
+    fresh = {name: part.valid.select(*tables[name].schema.fieldNames()) for name, part in split.items()}
+    commit = store.commit(append=fresh)
     return Load({n: s.rejected for n, s in split.items()}, {n: violations(df, [unit]) for n, df in flagged.items()}, commit)
 
 

@@ -108,8 +108,10 @@ def run_reconciliation(
 
 @dataclass(frozen=True)
 class AuditedUpdate:
+    """New table, new history rows and the broken rules."""
+
     table: DataFrame
-    history: DataFrame
+    captured: DataFrame
     violations: DataFrame
 
 
@@ -140,7 +142,7 @@ def audited_update(
     new_table = rest.unionByName(good)
     captured = capture_changes(programs, good, key, tracked, as_of, actor)
     numbered = next_ids(captured, history, "history_id", [F.col("changed_at"), F.col(key)])
-    return AuditedUpdate(new_table, history.unionByName(numbered.select(history.columns)), bad)
+    return AuditedUpdate(new_table, numbered.select(history.columns), bad)
 
 
 def run_audited_update(
@@ -153,4 +155,4 @@ def run_audited_update(
     )
     if not result.violations.isEmpty():
         raise ValueError(f"update breaks rules: {[r.constraint_name for r in result.violations.limit(5).collect()]}")
-    store.commit({"promotion_program": result.table, "promotion_program_history": result.history})
+    store.commit({"promotion_program": result.table}, append={"promotion_program_history": result.captured})

@@ -365,7 +365,7 @@ def change_capture_from_log(spark, sf):
 def change_capture_one_hot_key(spark, sf):
     """Every image belongs to one program: the spread form for hot keys."""
     images = _image_log(spark, sf).withColumn("user_id", F.lit(0).cast("bigint"))
-    return audit.capture_from_images(images, "user_id", ["event_type"], [F.col("ts"), F.col("event_id")], "ts", "props", hot_rows=1000)
+    return audit.capture_from_images(images, "user_id", ["event_type"], [F.col("ts"), F.col("event_id")], "ts", "props", hot_rows=5000)
 
 
 @query(
@@ -385,7 +385,7 @@ def audited_update_job(spark, sf):
     history = literal(spark, [], TABLES["promotion_program_history"].schema)
     done = audited_update(programs, history, F.col("status_id") == 15, {"budget_limit": F.col("budget_limit") - 1000}, AS_OF, "AUDITOR")
     counts = [
-        df.groupBy("program_id").agg(F.count(F.lit(1)).alias(name)) for df, name in ((done.history, "n_history"), (done.violations, "n_violations"))
+        df.groupBy("program_id").agg(F.count(F.lit(1)).alias(name)) for df, name in ((done.captured, "n_history"), (done.violations, "n_violations"))
     ]
     joined = done.table.select("program_id", "budget_limit", "updated_by")
     for c in counts:

@@ -265,7 +265,7 @@ def flash_sale_single_voucher(spark, sf):
     """All claims hit one voucher: the spread form for hot keys."""
     claims = view(spark, sf, "arrivals").withColumn("voucher_id", F.lit(1))
     quota = literal(spark, [(1, 500, 100)], "voucher_id int, issuance_limit int, total_issued int")
-    return counters.allocate_capped(claims, quota, "voucher_id", [F.col("claimed_at"), F.col("claim_id")], hot_rows=1000)
+    return counters.allocate_capped(claims, quota, "voucher_id", [F.col("claimed_at"), F.col("claim_id")], hot_rows=5000)
 
 
 @query(

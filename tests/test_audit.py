@@ -16,15 +16,15 @@ def test_change_is_recorded_and_restored(seed):
         seed["promotion_program"], seed["promotion_program_history"], F.col("program_id") == 1,
         {"budget_limit": 999000000, "updated_by": "ROGUE_EMPLOYEE"}, AS_OF, "SYSTEM",
     )
-    entry = bad.history.collect()
+    entry = bad.captured.collect()
     assert len(entry) == 1
     assert (entry[0].history_id, int(entry[0].old_budget_limit), entry[0].changed_by, entry[0].change_type) == (1, 50_000_000, "ROGUE_EMPLOYEE", "UPDATE")
     assert program(bad.table, "budget_limit")[0] == 999_000_000
 
-    back = audit.restore(bad.table, bad.history, "program_id", ["budget_limit"], "2026-06-16 00:00:00", "ADMIN_ROLLBACK")
+    back = audit.restore(bad.table, bad.captured, "program_id", ["budget_limit"], "2026-06-16 00:00:00", "ADMIN_ROLLBACK")
     assert tuple(program(back.table, "budget_limit", "updated_by")) == (50_000_000, "ADMIN_ROLLBACK")
     again = audit.capture_changes(bad.table, back.table, "program_id", audit.PROGRAM_COLUMNS, "2026-06-16 00:00:00", "SYSTEM")
-    history = bad.history.unionByName(dml.next_ids(again, bad.history, "history_id", [F.col("program_id")]).select(bad.history.columns))
+    history = bad.captured.unionByName(dml.next_ids(again, bad.captured, "history_id", [F.col("program_id")]).select(bad.captured.columns))
     newest = audit.history_of(history, "program_id", 1).collect()
     assert [r.history_id for r in newest] == [2, 1] and int(newest[0].old_budget_limit) == 999_000_000
     assert back.table.count() == 3
@@ -34,7 +34,7 @@ def test_equal_values_leave_no_history(seed):
     done = audited_update(
         seed["promotion_program"], seed["promotion_program_history"], F.col("program_id") <= 2, {"budget_limit": F.col("budget_limit")}, AS_OF, "ME"
     )
-    assert done.history.isEmpty()
+    assert done.captured.isEmpty()
     assert rows(done.table.filter("updated_at IS NOT NULL"), "program_id") == [(1,), (2,)]
 
 
@@ -44,7 +44,7 @@ def test_rule_breaking_rows_stay_as_they_were(seed):
     )
     assert rows(done.violations, "constraint_name", "program_id") == [("chk_budget_limit", 1)]
     assert [int(r[0]) for r in done.table.orderBy("program_id").select("budget_limit").collect()] == [50_000_000, 10_000_000, 40_000_000]
-    assert rows(done.history, "program_id") == [(2,), (3,)]
+    assert rows(done.captured, "program_id") == [(2,), (3,)]
 
 
 def test_table_and_history_become_visible_together(spark, seed, tmp_path):
@@ -58,7 +58,7 @@ def test_table_and_history_become_visible_together(spark, seed, tmp_path):
     assert store.read("promotion_program_history").count() == 1
     with pytest.raises(ValueError, match="chk_budget_limit"):
         run_audited_update(store, F.col("program_id") == 1, {"budget_limit": -1}, AS_OF, "ME")
-    assert store.pin().commit_id == 2 and store.pin(1).versions["promotion_program"][0] == 1
+    assert store.pin().commit_id == 2 and store.pin(1).versions["promotion_program"].parts == (1,)
 
 
 def test_interrupted_commit_is_invisible(spark, seed, tmp_path):
@@ -69,3 +69,15 @@ def test_interrupted_commit_is_invisible(spark, seed, tmp_path):
     assert store.read("partner").count() == 5
     store.commit({"partner": seed["partner"].limit(3)})
     assert store.read("partner").count() == 3
+
+
+def test_appends_write_new_rows_only_and_a_whole_version_ends_them(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    for start in (0, 10, 20):
+        store.commit(append={"t": spark.range(start, start + 10)})
+    assert store.read("t").count() == 30 and store.pin().versions["t"].parts == (1, 2, 3)
+    assert store.pin(2).read("t").count() == 20
+    assert spark.read.parquet(f"{store.root}/t/v=3").count() == 10
+    store.commit({"t": store.read("t").filter("id < 5")})
+    store.commit(append={"t": spark.range(100, 101)})
+    assert rows(store.read("t")) == [(0,), (1,), (100,), (2,), (3,), (4,)] and store.pin().versions["t"].parts == (4, 5)
