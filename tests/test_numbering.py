@@ -51,6 +51,14 @@ def test_hot_split_covers_all_rows(skewed):
     assert cold.count() + hot.rows.count() == skewed.count()
 
 
+def test_hot_rows_spread_over_tasks(skewed):
+    _, hot = split_hot(skewed, ["k"], 300)
+    ranged = hot.rows.repartitionByRange(hot.partitions, F.col("k").asc_nulls_first(), *order())
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    total = hot.rows.count()
+    assert hot.partitions == -(-total // 300) and max(sizes) < 700 and sum(sizes) == total
+
+
 def test_first_and_top_per_key_cut_groups_before_the_shuffle(skewed):
     window = Window.partitionBy("k").orderBy("at", "id")
     ranked = skewed.withColumn("rn", F.row_number().over(window))

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +140,46 @@ def test_view_and_listing(spark, seed, guard):
     listing = guard.listing(spark)
     assert listing.filter("grantee = 'da_north' AND command = 'SELECT'").count() == 3
     assert rows(listing.filter("kind = 'row'"), "command") == [("INSERT",), ("SELECT",)]
+
+
+def python_sees(rules, row):
+    """Brute force of the decision order for one user and a table ``T`` with columns a and b."""
+    own = [r for r in rules if r[0] in ("T", "*")]
+    if any(t == "*" and f == "*" for t, f, _ in own):
+        return True
+    if any(t == "T" and (f == "*" or v == "*") for t, f, v in own):
+        return True
+    conditions = []
+    for t, f, v in own:
+        if f == "*" or v == "*" or (t == "*" and f.lower() not in ("a", "b")):
+            continue
+        entries = [e.strip(" ") for e in v.split(",")] if v else []
+        if entries:
+            text = row[f.lower()]
+            conditions.append(any(re.fullmatch(".*".join(map(re.escape, e.split("%"))), text) if "%" in e else text == e for e in entries))
+    return bool(conditions) and all(conditions)
+
+
+def test_random_configurations_against_brute_force(spark):
+    rng = random.Random(11)
+    values = ["x", "xy", "y", "z", "x%", "%y", "%", "x,y", "x, z%", "", "*", "zz,xy"]
+    config = []
+    for user in range(60):
+        for _ in range(rng.randrange(1, 4)):
+            config.append((f"U{user}", rng.choice(["T", "T", "T", "*", "S"]), rng.choice(["a", "A", "b", "a", "B", "*"]) if rng.random() < 0.9 else "c", rng.choice(values)))
+    # A rule of the table itself on a column it lacks is an error in both forms; only '*' rules may name one.
+    config = [(u, t if f != "c" else "*", f, v) for u, t, f, v in config]
+    data = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in ("x", "xy", "y", "z", "zz", "") for b in ("x", "y", "xy"))]
+    df = literal(spark, data, "id int, a string, b string")
+    rules = literal(spark, config, "user_id string, table_name string, field_name string, value string")
+    expected = {
+        (f"U{u}", i) for u in range(60) for i, a, b in data if python_sees([c[1:] for c in config if c[0] == f"U{u}"], {"a": a, "b": b})
+    }
+    seen = policy.config_visibility(df, rules, "T", ["id"], unrestricted=True, chunk=7)
+    assert {tuple(r) for r in seen.collect()} == expected
+    counts = {r.user_id: r.n_rows for r in policy.visibility_counts(df, rules, "T").collect()}
+    assert counts == {u: sum(1 for e in expected if e[0] == u) for u in {c[0] for c in config}}
+    known = literal(spark, [("T", "a"), ("T", "b"), ("T", "id")], "table_name string, column_name string")
+    texts = policy.predicate_table(rules, rules.select("user_id", F.lit("T").alias("table_name")), known).collect()
+    marks = df.select("id", *[F.expr(r.predicate).alias(r.user_id) for r in texts]).collect()
+    assert {(r.user_id, m.id) for r in texts for m in marks if m[r.user_id]} == expected
