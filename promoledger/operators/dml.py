@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from promoledger.functions.predicates import any_true, holds
 from promoledger.operators.numbering import first_per_key, number_rows
-from promoledger.operators.relational import unique_rows
+from promoledger.operators.relational import counted_rows, only_one, unique_rows
 from promoledger.sources.schemas import ACTOR, AS_OF, NEXT_ID, Table
 
 
@@ -100,17 +100,21 @@ def insert_ignore(
 ) -> Change:
     """Insert rows whose key is new; existing keys and later copies in the batch are passed over.
 
-    A NULL in the key never collides.
+    Of the copies in a batch the first by ``order_by`` counts, without it the smallest row, so that a
+    repeated run picks the same one. A NULL in the key never collides.
     """
-    nulls = incoming.filter(any_true([F.col(k).isNull() for k in key]))
-    keyed = incoming.dropna(subset=list(key))
-    once = first_per_key(keyed, key, order_by) if order_by else keyed.dropDuplicates(list(key))
+    keyed, nulls = _split_null_keys(incoming, key)
+    rest = [F.col(c).asc() for c in incoming.columns if c not in key]
+    once = first_per_key(keyed, key, order_by or rest) if order_by or rest else keyed.distinct()
     fresh = once.join(_existing(target, keyed, key), list(key), "left_anti").select(target.columns)
-    if any(f.nullable for f in incoming.select(*key).schema.fields):
-        fresh = fresh.unionByName(nulls.select(target.columns))
+    fresh = fresh.unionByName(nulls.select(target.columns))
     return Change(target.unionByName(fresh), fresh)
 
 
+def _split_null_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    return df.dropna(subset=list(key)), df.filter(any_true([F.col(k).isNull() for k in key]))
+
+
 def insert_strict(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> Change:
     """Insert that fails as a whole when a key exists already or occurs twice in the batch."""
     clashes = insert_conflicts(target, incoming, key).limit(5).collect()
@@ -138,7 +142,8 @@ def upsert(
     ``update`` lists columns taken from the incoming row, or maps columns to fixed values. Copies of
     a key in one batch need ``order_by`` (the first row wins); without it they fail the query.
     """
-    once = first_per_key(incoming, key, order_by) if order_by else unique_rows(incoming, list(key), "incoming row")
+    keyed, nulls = _split_null_keys(incoming, key)
+    once = first_per_key(keyed, key, order_by) if order_by else unique_rows(keyed, list(key), "incoming row")
     renamed = once.select(*key, *[F.col(c).alias(f"__new_{c}") for c in once.columns if c not in key]).withColumn(
         "__hit", F.lit(True)
     )
@@ -147,20 +152,13 @@ def upsert(
     else:
         new = {c: F.col(f"__new_{c}") for c in update}
     new.update(_columns(stamp or {}))
+    updated = _apply(target, target.join(renamed, list(key), "left"), new)
     types = {f.name: f.dataType for f in target.schema.fields}
-    joined = target.join(renamed, list(key), "left")
-    hit = F.col("__hit").isNotNull()
-    kept = joined.select(
-        *[F.when(hit, new[c]).otherwise(F.col(c)).cast(types[c]).alias(c) if c in new else F.col(c) for c in target.columns]
-    )
-    updated = joined.filter(hit).select(
-        *[new[c].cast(types[c]).alias(c) if c in new else F.col(c) for c in target.columns]
-    )
-    absent = once.join(_existing(target, incoming, key), list(key), "left_anti")
+    absent = once.join(_existing(target, keyed, key), list(key), "left_anti").unionByName(nulls)
     inserted = absent.select(
         *[(F.col(c) if c in once.columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns]
     )
-    return Change(kept.unionByName(inserted), updated.unionByName(inserted))
+    return Change(updated.table.unionByName(inserted), updated.changed.unionByName(inserted))
 
 
 def update_from(
@@ -172,11 +170,11 @@ def update_from(
 ) -> Change:
     """Set target columns from the matching source row: ``{target column: source column}``.
 
-    Two source rows for one key fail the query.
+    Two source rows for one target row fail the query.
     """
     side = source.select(*on, *[F.col(s).alias(f"__new_{t}") for t, s in assignments.items()])
-    side = unique_rows(side, list(on), "source row").withColumn("__hit", F.lit(True))
-    new = {t: F.col(f"__new_{t}") for t in assignments}
+    side = counted_rows(side, list(on)).withColumn("__hit", F.lit(True))
+    new = {t: only_one(F.col(f"__new_{t}"), on, "source row") for t in assignments}
     new.update(_columns(stamp or {}))
     return _apply(target, target.join(side, list(on), "left"), new)
 

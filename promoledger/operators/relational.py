@@ -10,31 +10,42 @@ from pyspark.sql import functions as F
 from promoledger.operators.numbering import number_rows
 
 
-def unique_rows(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """One row per key; the query fails if a key occurs twice.
-
-    The test is part of the plan (``raise_error`` in the aggregate), so it costs no extra job.
-    """
+def counted_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key with ``__n``, the number of rows the key had."""
     values = [c for c in df.columns if c not in keys]
     picked = F.first(F.struct(*values)) if values else F.lit(None)
     grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), picked.alias("__row"))
+    return grouped.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in values], "__n")
+
+
+def only_one(value: Column, keys: Sequence[str], what: str) -> Column:
+    """The value, or a failure of the query where ``__n`` is above one.
+
+    As a value and not as a filter the test stays above a join, so only rows that take part in it can
+    fail. It is part of the plan and costs no extra job.
+    """
     message = F.concat(F.lit(f"more than one {what} for "), F.to_json(F.struct(*keys)))
-    kept = grouped.filter(F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
-    return kept.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in values]).select(df.columns)
+    return F.when(F.col("__n") > 1, F.raise_error(message)).otherwise(value)
+
+
+def unique_rows(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """One row per key; the query fails if a key occurs twice."""
+    counted = counted_rows(df, keys)
+    return counted.filter(only_one(F.lit(True), keys, what)).select(df.columns)
 
 
 def lookup(df: DataFrame, reference: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> DataFrame:
     """Scalar lookup: add ``take`` = {new column: reference column}; NULL when nothing matches.
 
-    ``on`` maps columns of ``df`` to columns of ``reference``. Two matches fail the query.
+    ``on`` maps columns of ``df`` to columns of ``reference``. Two matches for one row fail the query.
     """
     keys = [f"__k{i}" for i in range(len(on))]
     side = reference.select(
         *[F.col(r).alias(k) for k, r in zip(keys, on.values())], *[F.col(c).alias(n) for n, c in take.items()]
     )
-    side = unique_rows(side, keys, "lookup row")
     condition = [F.col(c) == F.col(k) for c, k in zip(on, keys)]
-    return df.join(side, condition, "left").drop(*keys)
+    joined = df.join(counted_rows(side, keys), condition, "left")
+    return joined.withColumns({n: only_one(F.col(n), keys, "lookup row") for n in take}).select(*df.columns, *take)
 
 
 def left_with_condition(left: DataFrame, right: DataFrame, on: str | Sequence[str], keep: Column) -> DataFrame:

@@ -97,6 +97,15 @@ def test_update_from_fails_on_two_source_rows(spark, seed):
     source = literal(spark, [(1, 1), (1, 2)], "partner_id bigint, r bigint")
     with pytest.raises(PySparkException, match="more than one source row"):
         dml.update_from(seed["partner"], source, ["partner_id"], {"commission_rule_id": "r"}).table.collect()
+    unmatched = literal(spark, [(77, 1), (77, 2), (1, 4)], "partner_id bigint, r bigint")
+    changed = dml.update_from(seed["partner"], unmatched, ["partner_id"], {"commission_rule_id": "r"}).changed
+    assert rows(changed, "partner_id", "commission_rule_id") == [(1, 4)]
+
+
+def test_null_keys_never_meet_in_an_upsert(spark):
+    target = literal(spark, [(1, "a"), (None, "n")], "k int, v string")
+    batch = literal(spark, [(1, "b"), (None, "x"), (None, "y")], "k int, v string")
+    assert rows(dml.upsert(target, batch, ["k"], ["v"]).table) == [(1, "b"), (None, "n"), (None, "x"), (None, "y")]
 
 
 def test_ids_continue_from_the_maximum_and_chain_to_children(spark, seed):
@@ -121,6 +130,9 @@ def test_scalar_lookup(spark, seed):
     df = literal(spark, [("SAVED", "CUSTOMER_VOUCHER"), ("NONE", "CUSTOMER_VOUCHER")], "c string, e string")
     on, take = {"c": "status_code", "e": "entity_type"}, {"status_id": "status_id"}
     assert rows(lookup(df, seed["status_master"], on, take), "c", "status_id") == [("NONE", None), ("SAVED", 6)]
+    # Codes that several entities share only fail the rows that ask for them.
+    single = literal(spark, [("SAVED",)], "c string")
+    assert rows(lookup(single, seed["status_master"], {"c": "status_code"}, take)) == [("SAVED", 6)]
     ambiguous = literal(spark, [("ACTIVE",)], "c string")
     with pytest.raises(PySparkException, match="more than one lookup row"):
         lookup(ambiguous, seed["status_master"], {"c": "status_code"}, take).collect()
