@@ -12,6 +12,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promoledger.functions.predicates import half_open, month_bounds, ntz
 
@@ -132,10 +133,18 @@ def out_of_bounds(df: DataFrame, column: str, start, end) -> DataFrame:
 
 
 def attach(df: DataFrame, rule: MonthRange, year: int, month: int, path: str) -> MonthRange:
-    """Prove the bounds of a finished dataset, then add it as one month partition."""
+    """Prove the bounds of a finished dataset, then add it as one month partition.
+
+    The default partition must not hold rows of that month, which pruned reads would no longer find;
+    ``add_month`` moves such rows.
+    """
     start, end = month_bounds(year, month)
     if not out_of_bounds(df, rule.column, start, end).isEmpty():
         raise ValueError(f"rows outside {start}..{end}")
+    schema = T.StructType([*df.schema.fields, T.StructField(rule.partition, T.StringType())])
+    stored = df.sparkSession.read.schema(schema).parquet(path).filter(F.col(rule.partition) == DEFAULT)
+    if not stored.filter(half_open(rule.column, start, end)).isEmpty():
+        raise ValueError(f"default partition holds rows of {start}..{end}")
     wider = replace(rule, first=min(rule.first, (year, month)), last=max(rule.last, (year, month)))
     write_partitioned(df, wider, path, mode="append")
     return wider

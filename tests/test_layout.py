@@ -76,6 +76,10 @@ def test_attach_detach_and_later_month(spark, bench, by_month, tmp_path):
     layout.write_partitioned(bench, HALF_YEAR, path)
     with pytest.raises(ValueError):
         layout.attach(bench, HALF_YEAR, 2025, 12, path)
+    crowded = str(tmp_path / "crowded")
+    layout.write_partitioned(bench.unionByName(december), HALF_YEAR, crowded)
+    with pytest.raises(ValueError, match="default partition"):
+        layout.attach(december, HALF_YEAR, 2025, 12, crowded)
     wider = layout.attach(december, HALF_YEAR, 2025, 12, path)
     counts = {r.partition_name: r.row_count for r in layout.partition_counts(stored(spark, path), wider).collect()}
     assert counts["2025-12"] == 100 and wider.first == (2025, 12)

@@ -31,7 +31,7 @@ def canonical(arrow):
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query_matches_sql(spark, duck, name):
     got = canonical(entry_module.queries()[name](spark, SF).toArrow())
-    want = canonical(duck.execute(entry_module.oracle_sql()[name]).to_arrow_table())
+    want = canonical(duck.sql(entry_module.oracle_sql()[name]).to_arrow_table())
     assert got[0] == want[0]
     assert got[1] == want[1]
     assert got[2] == want[2]
