@@ -35,7 +35,7 @@ def components(links: DataFrame) -> DataFrame:
     edges, state = pairs.filter("u <> v"), None
     while True:
         edges = materialize(_small_star(_large_star(edges)), "stars")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state or now[0] == 0:
             break
         state = now

@@ -7,12 +7,12 @@ space. Two linked sets of sizes near r differ in at most k(r) shingles. Cut by h
 hold the same content in the same slice; documents near a size boundary are replicated to the regions
 of both size bands.
 
-Inside the regions the join is by pivots. The first pivot of each region is its smallest class; what
-lies within the threshold of it is one component and its pairs need no further look. Regions that
-still hold several components take more pivots: members go to the region of the nearest pivot and,
-by the triangle inequality, to every pivot not farther by more than twice the threshold. That
-repeats until a region is small enough for its pairs of different components to be compared. Regions
-that pivots cannot split are compared block by block. Every comparison is exact, on whole sets.
+Inside a region the join is by pivots. First a few rounds of hubs: members within the threshold of a
+region's hub are one component and their pairs need no further look. Regions that still hold several
+components are joined recursively: members go to the Voronoi cell of the nearest pivot and, by the
+triangle inequality, to every pivot not farther by more than twice the threshold; small cells compare
+pairs of different components. Cells use the L1 distance of bucket counts, which never exceeds the
+number of differing shingles, so nothing is lost; what passes is compared exactly on whole sets.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ from promoledger.llm.graph import components
 from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, word_ranges
 from promoledger.session import materialize
 
-LEAF, PIVOTS, SPARE, BLOCK_KEYS = 48, 4, 4, 1 << 20
+LEAF, PIVOTS, SPARE, BLOCK_KEYS = 32, 8, 4, 1 << 20
+BUCKETS, REGION_ROWS, HUB_ROUNDS = 256, 4096, 3
 
 
 @dataclass(frozen=True)
@@ -42,9 +43,10 @@ class Threshold:
     def linked(self, shared: int, a: int, b: int) -> bool:
         return self.den * shared >= self.num * (a + b - shared)
 
-    @property
-    def radius(self) -> float:
-        return 1 - self.num / self.den
+    def possible(self, differ: np.ndarray, both: np.ndarray) -> np.ndarray:
+        """Whether sets of ``both`` shingles in all that differ in ``differ`` or more can be linked."""
+        shared = (both - differ) // 2
+        return self.den * shared >= self.num * (both - shared)
 
     def bands(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(largest size, slices) per band, for sizes up to ``size``. Partners of a band's sets lie in
@@ -214,120 +216,156 @@ def _measured(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(class, set) of the wanted classes, from the text of one document each; ``wanted``: (class, doc_id)."""
+    """(class, size, sketch, set) of the wanted classes, from the text of one document each.
+
+    ``wanted`` has (class, doc_id). The sketch holds counts of shingles by hash bucket, up to 255.
+    """
     right = wanted.select(F.col("doc_id").alias("__d"), "class")
     picked = docs.join(right, F.col("doc_id").eqNullSafe(F.col("__d"))).select("class", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, off in slices(batch.column(1)):
-                want = batch.column(0).slice(lo, hi - lo).to_pylist()
-                found = [(c, s.tobytes()) for c, s in zip(want, shingle_sets(data, off, k), strict=True) if len(s) and set_class(s) == c]
+                found = []
+                for c, s in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), shingle_sets(data, off, k), strict=True):
+                    if len(s) and set_class(s) == c:
+                        counts = np.bincount((s & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+                        found.append((c, len(s), np.minimum(counts, 255).astype(np.uint8).tobytes(), s.tobytes()))
                 if found:
-                    names, flat = zip(*found, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(flat, pa.binary())], ["class", "set"])
+                    columns = zip(*found, strict=True)
+                    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                    arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, ["class", "size", "sketch", "set"])
 
     # Rows that share an id and a text give the same set.
-    return picked.mapInArrow(run, "class long, set binary").groupBy("class").agg(F.first("set").alias("set"))
+    return picked.mapInArrow(run, "class long, size long, sketch binary, set binary").dropDuplicates(["class"])
+
+
+def _screened(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
+    """The pairs (a, b) whose sketches allow a link."""
+    left = pairs.join(sets.select(F.col("class").alias("a"), F.col("size").alias("n"), F.col("sketch").alias("x")), "a")
+    both = left.join(sets.select(F.col("class").alias("b"), F.col("size").alias("m"), F.col("sketch").alias("y")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (text_rows(batch.column(k)) for k in (3, 4))
+            differ = np.abs(x.astype(np.int16) - y).sum(1, dtype=np.int64)
+            fits = threshold.possible(differ, batch.column(2).to_numpy())
+            yield batch.select([0, 1]).filter(pa.array(fits))
+
+    return both.select("a", "b", F.col("n") + F.col("m"), "x", "y").mapInArrow(run, "a long, b long")
+
+
+def text_rows(column: pa.Array) -> np.ndarray:
+    """A binary column of sketches as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+
+
+class RegionJoin:
+    """Pairs of one region that may be linked: recursive Voronoi cells over the L1 distance of sketches."""
+
+    def __init__(self, names: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, threshold: Threshold):
+        self.names, self.roots, self.sizes = names, roots, sizes
+        self.sketches, self.threshold = sketches.astype(np.int16), threshold
+        top = 2 * int(sizes.max())
+        self.reach = (threshold.den - threshold.num) * top // (threshold.den + threshold.num)
+        self.found: list[np.ndarray] = []
+
+    def distances(self, rows: np.ndarray, to: np.ndarray) -> np.ndarray:
+        return np.abs(self.sketches[rows][:, None, :] - self.sketches[to][None, :, :]).sum(2, dtype=np.int32)
+
+    def compare(self, rows: np.ndarray, to: np.ndarray) -> None:
+        fits = self.threshold.possible(self.distances(rows, to), self.sizes[rows][:, None] + self.sizes[to][None, :])
+        fits &= self.roots[rows][:, None] != self.roots[to][None, :]
+        x, y = np.nonzero(fits)
+        a, b = self.names[rows[x]], self.names[to[y]]
+        self.found.append(np.stack([np.maximum(a, b), np.minimum(a, b)]))
+
+    def join(self, rows: np.ndarray) -> None:
+        if len(rows) > LEAF:
+            pivots = rows[:: -(-len(rows) // PIVOTS)]
+            far = np.concatenate([self.distances(rows[i : i + LEAF], pivots) for i in range(0, len(rows), LEAF)])
+            inside = far <= far.min(1)[:, None] + 2 * self.reach
+            if inside.sum(0).max() <= 0.8 * len(rows):
+                for q in range(len(pivots)):
+                    self.join(rows[inside[:, q]])
+                return
+        # A small cell, or one that pivots do not split: all its pairs, a few rows at a time.
+        for i in range(0, len(rows), LEAF):
+            self.compare(rows[i : i + LEAF], rows[i:])
+
+    def pairs(self) -> np.ndarray:
+        self.join(np.arange(len(self.names)))
+        return np.unique(np.concatenate(self.found, axis=1), axis=1)
+
+
+def _region_pairs(open_: DataFrame, sets: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
+    """Distinct pairs (a, b) of open regions that may be linked.
+
+    Regions above ``REGION_ROWS`` members are cut into blocks and joined block against block.
+    """
+    blocks = F.ceil(F.col("members") / REGION_ROWS)
+    rows = open_.join(sets.select("class", "size", "sketch"), "class").withColumn("blocks", blocks)
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("class", F.lit(1)), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    unit = F.xxhash64("region", F.least("mine", "other"), F.greatest("mine", "other"))
+    rows = rows.select(F.pmod(unit, F.lit(parts)).alias("part"), unit.alias("unit"), "class", "root", "size", "sketch")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("unit")
+        unit, names, roots, sizes = (table.column(c).to_numpy() for c in ("unit", "class", "root", "size"))
+        cuts = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1], [True]]))
+        found = [np.zeros((2, 0), np.int64)]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            sketches = text_rows(table.column("sketch").slice(a, b - a))
+            found.append(RegionJoin(names[a:b], roots[a:b], sizes[a:b], sketches, threshold).pairs())
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
+
+    return rows.groupBy("part").applyInArrow(run, "a long, b long").distinct()
 
 
 def _open_regions(regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """(region, class, root, members) of the regions that hold several components."""
+    """(region, class, root, members) of the regions that hold several components; of regions with the
+    same members one is kept."""
     named = regions.join(roots, "class", "left").select("region", "class", F.coalesce("root", "class").alias("root"))
-    state = named.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
-    return named.join(state.filter("lo <> hi").drop("lo", "hi"), "region")
+    same = F.bit_xor(F.xxhash64("class")).alias("same")
+    state = named.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"), same)
+    kept = state.filter("lo <> hi").groupBy("same", "members").agg(F.min("region").alias("region"))
+    return named.join(kept.select("region", "members"), "region")
 
 
-def class_links(docs: DataFrame, k: int, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
-    """(document rows, links between classes that join all linked classes), both written tables."""
-    spark = docs.sparkSession
-    rows = materialize(_documents(docs, k), "shingle-docs")
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    regions = materialize(_regions(docs, k, threshold, parts).distinct(), "regions")
-    candidates = regions.select("class").distinct()
-    wanted = rows.join(candidates, "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialize(_sets(docs, wanted, k), "shingle-sets")
-    hubs = regions.groupBy("region").agg(F.min("class").alias("b"))
-    pairs = regions.join(hubs, "region").filter("class <> b").select(F.col("class").alias("a"), "b").distinct()
-    measured = materialize(_measured(pairs, sets, threshold), "measured")
-    links, done = measured.filter("linked").select("a", "b"), measured.select("a", "b")
-    roots = _roots(links)
-    step = 0
-    while True:
-        open_ = materialize(_open_regions(regions, roots), "open-regions")
-        if open_.isEmpty():
-            return rows, links
-        small = open_.filter(F.col("members") <= LEAF)
-        pairs = _pairs(small, small)
-        large = open_.filter(F.col("members") > LEAF)
-        regions = None
-        if not large.isEmpty():
-            pivots = _pivots(large, step)
-            pairs = pairs.unionByName(_pairs(large, pivots)).distinct()
-        fresh = materialize(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        measured = materialize(_measured(fresh, sets, threshold), "measured")
-        links = links.unionByName(measured.filter("linked").select("a", "b"))
-        roots = _roots(links)
-        if large.isEmpty():
-            return rows, links
-        # Pairs of one component were not measured: they need no link, and no place in a sub-region.
-        done = materialize(done.unionByName(measured.select("a", "b")), "done")
-        regions, blocks = _split(large, pivots, measured, threshold, step)
-        regions = materialize(regions, "regions")
-        by_block = materialize(_block_pairs(blocks).join(done, ["a", "b"], "left_anti"), "pairs")
-        if not by_block.isEmpty():
-            measured = materialize(_measured(by_block, sets, threshold), "measured")
-            links = links.unionByName(measured.filter("linked").select("a", "b"))
-            roots = _roots(links)
-        step += 1
+def _hub_pairs(open_: DataFrame, step: int) -> DataFrame:
+    """One pair (a, b) per class: with the first hub, in an order that changes by step, of its regions."""
+    order = F.xxhash64("class", F.lit(step))
+    hubs = open_.groupBy("region").agg(F.min(F.struct(order.alias("o"), F.col("class").alias("hub"), F.col("root").alias("hub_root"))).alias("h"))
+    met = open_.join(hubs, "region").filter("root <> h.hub_root").groupBy("class").agg(F.min("h").alias("h"))
+    return met.select(F.greatest("class", "h.hub").alias("a"), F.least("class", "h.hub").alias("b")).distinct()
 
 
 def _roots(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("class"), "root")
 
 
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct pairs a > b of one region and different components."""
-    other = right.select("region", F.col("class").alias("__c"), F.col("root").alias("__r"))
-    both = left.join(other, "region").filter("root <> __r")
-    return both.select(F.greatest("class", "__c").alias("a"), F.least("class", "__c").alias("b")).distinct()
-
-
-def _pivots(large: DataFrame, step: int) -> DataFrame:
-    """A few members of each region, of different components where there are: one per hash of the root."""
-    order = Window.partitionBy("region").orderBy(F.xxhash64("root", F.lit(step)), F.xxhash64("class", F.lit(step)))
-    return large.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= PIVOTS).drop("__n")
-
-
-def _split(large: DataFrame, pivots: DataFrame, measured: DataFrame, threshold: Threshold, step: int) -> tuple[DataFrame, DataFrame]:
-    """(sub-regions of nearest pivots with their windows, regions that no pivot splits)."""
-    at = pivots.select("region", F.col("class").alias("pivot"), F.col("root").alias("pivot_root"))
-    rows = large.join(at, "region").filter("class <> pivot")
-    known = measured.select("a", "b", (1 - F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))).alias("d"))
-    rows = rows.withColumn("a", F.greatest("class", "pivot")).withColumn("b", F.least("class", "pivot")).join(known, ["a", "b"], "left")
-    # An unmeasured distance (one component with the pivot) counts as 1 for the nearest pivot, as 0 for the window.
-    near = rows.groupBy("region", "class").agg(F.min(F.coalesce("d", F.lit(1.0))).alias("near"))
-    window = F.coalesce("d", F.lit(0.0)) <= F.col("near") + 2 * threshold.radius + 1e-9
-    kept = rows.join(near, ["region", "class"]).filter(window)
-    kept = kept.withColumn("sub", F.xxhash64("region", "pivot", F.lit(step)))
-    sizes = kept.groupBy("region", "sub").agg(F.count(F.lit(1)).alias("n"), F.max("members").alias("members"))
-    sizes = sizes.withColumn("splits", F.col("n") <= 0.75 * F.col("members"))
-    stuck = sizes.groupBy("region").agg(F.min("splits").alias("splits"))
-    tagged = kept.join(stuck, "region")
-    subs = tagged.filter("splits").select(F.col("sub").alias("region"), "class").distinct()
-    blocks = large.join(stuck.filter("not splits"), "region").drop("splits")
-    return subs, blocks
-
-
-def _block_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of different components in regions that no pivot splits, block against block."""
-    cut = F.ceil(F.col("members") / LEAF)
-    rows = rows.withColumn("blocks", cut).withColumn("block", F.pmod(F.xxhash64("class"), cut))
-    left = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    left = left.select("region", "class", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    right = left.select("region", "i", "j", F.col("class").alias("__c"), F.col("root").alias("__r"))
-    both = left.join(right, ["region", "i", "j"]).filter("class > __c and root <> __r")
-    return both.select(F.col("class").alias("a"), F.col("__c").alias("b")).distinct()
+def class_links(docs: DataFrame, k: int, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
+    """(document rows, components of the classes), both from written tables."""
+    rows = materialize(_documents(docs, k), "shingle-docs")
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    regions = materialize(_regions(docs, k, threshold, parts).distinct(), "regions")
+    wanted = rows.join(regions.select("class").distinct(), "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    sets = materialize(_sets(docs, wanted, k), "shingle-sets")
+    alone = regions.select("class", F.col("class").alias("root")).distinct()
+    open_ = materialize(_open_regions(regions, alone), "open-regions")
+    links = None
+    for step in range(HUB_ROUNDS + 1):
+        pairs = _hub_pairs(open_, step) if step < HUB_ROUNDS else _region_pairs(open_, sets, threshold, parts)
+        fits = materialize(_screened(pairs, sets, threshold) if step < HUB_ROUNDS else pairs, "pairs")
+        linked = materialize(_measured(fits, sets, threshold).filter("linked").select("a", "b"), "linked")
+        links = linked if links is None else links.unionByName(linked)
+        roots = _roots(links)
+        if step < HUB_ROUNDS:
+            open_ = materialize(_open_regions(open_.select("region", "class"), roots), "open-regions")
+    return rows, roots
 
 
 def jaccard_components(
@@ -341,8 +379,8 @@ def jaccard_components(
     gives no rows. Whole texts count. Jobs run when called; intermediates are written tables.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows, links = class_links(base, k, threshold)
-    named = rows.join(_roots(links).withColumnRenamed("class", "__c"), F.col("class") == F.col("__c"), "left").drop("__c")
+    rows, roots = class_links(base, k, threshold)
+    named = rows.join(roots.withColumnRenamed("class", "__c"), F.col("class") == F.col("__c"), "left").drop("__c")
     named = named.withColumn("root", F.coalesce("root", "class"))
     least = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     out = named.join(least, "root", "left").withColumn("component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
