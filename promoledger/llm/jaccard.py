@@ -30,7 +30,7 @@ from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, w
 from promoledger.session import materialize
 
 LEAF, PIVOTS, SPARE, BLOCK_KEYS = 32, 8, 4, 1 << 20
-BUCKETS, REGION_ROWS, HUB_ROUNDS = 256, 4096, 3
+BUCKETS, REGION_ROWS, HUB_ROUNDS, BEST_ROUNDS = 256, 4096, 2, 2
 
 
 @dataclass(frozen=True)
@@ -270,16 +270,18 @@ class RegionJoin:
         top = 2 * int(sizes.max())
         self.reach = (threshold.den - threshold.num) * top // (threshold.den + threshold.num)
         self.found: list[np.ndarray] = []
+        self.close: list[np.ndarray] = []
 
     def distances(self, rows: np.ndarray, to: np.ndarray) -> np.ndarray:
         return np.abs(self.sketches[rows][:, None, :] - self.sketches[to][None, :, :]).sum(2, dtype=np.int32)
 
     def compare(self, rows: np.ndarray, to: np.ndarray) -> None:
-        fits = self.threshold.possible(self.distances(rows, to), self.sizes[rows][:, None] + self.sizes[to][None, :])
-        fits &= self.roots[rows][:, None] != self.roots[to][None, :]
+        differ, both = self.distances(rows, to), self.sizes[rows][:, None] + self.sizes[to][None, :]
+        fits = self.threshold.possible(differ, both) & (self.roots[rows][:, None] != self.roots[to][None, :])
         x, y = np.nonzero(fits)
-        a, b = self.names[rows[x]], self.names[to[y]]
-        self.found.append(np.stack([np.maximum(a, b), np.minimum(a, b)]))
+        if len(x):
+            self.found.append(np.stack([rows[x], to[y]]))
+            self.close.append(differ[x, y] / both[x, y])
 
     def join(self, rows: np.ndarray) -> None:
         if len(rows) > LEAF:
@@ -294,21 +296,36 @@ class RegionJoin:
         for i in range(0, len(rows), LEAF):
             self.compare(rows[i : i + LEAF], rows[i:])
 
-    def pairs(self) -> np.ndarray:
+    def pairs(self, best: bool) -> np.ndarray:
+        """(larger, smaller) classes of the pairs; with ``best`` the closest partner of each member only."""
         self.join(np.arange(len(self.names)))
-        return np.unique(np.concatenate(self.found, axis=1), axis=1)
-
-
-def _region_pairs(open_: DataFrame, sets: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
-    """Distinct pairs (a, b) of open regions that may be linked.
-
-    Regions above ``REGION_ROWS`` members are cut into blocks and joined block against block.
+        if not self.found:
+            return np.zeros((2, 0), np.int64)
+        pairs = np.concatenate(self.found, axis=1)
+        if best:
+            close = np.concatenate(self.close)
+            ends, twice = pairs.reshape(-1), np.tile(np.arange(len(close)), 2)
+            order = np.lexsort((twice, close[twice], ends))
+            first = np.concatenate([[True], np.diff(ends[order]) != 0])
+            pairs = pairs[:, np.unique(twice[order[first]])]
+        a, b = self.names[pairs[0]], self.names[pairs[1]]
+        return np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+
+
+def _region_pairs(open_: DataFrame, sets: DataFrame, threshold: Threshold, parts: int, best: bool) -> DataFrame:
+    """Distinct pairs (a, b) of open regions that may be linked; ``best`` as in ``RegionJoin.pairs``.
+
+    Regions with the same hub are joined as one, since copies meet in many regions. Unions above
+    ``REGION_ROWS`` members are cut into blocks and joined block against block.
     """
-    blocks = F.ceil(F.col("members") / REGION_ROWS)
-    rows = open_.join(sets.select("class", "size", "sketch"), "class").withColumn("blocks", blocks)
+    hubs = open_.groupBy("region").agg(F.min_by("class", F.xxhash64("class")).alias("hub"))
+    unions = open_.join(hubs, "region").select("hub", "class", "root").distinct()
+    counts = unions.groupBy("hub").agg(F.count(F.lit(1)).alias("members"))
+    rows = unions.join(counts, "hub").join(sets.select("class", "size", "sketch"), "class")
+    rows = rows.withColumn("blocks", F.ceil(F.col("members") / REGION_ROWS))
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("class", F.lit(1)), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    unit = F.xxhash64("region", F.least("mine", "other"), F.greatest("mine", "other"))
+    unit = F.xxhash64("hub", F.least("mine", "other"), F.greatest("mine", "other"))
     rows = rows.select(F.pmod(unit, F.lit(parts)).alias("part"), unit.alias("unit"), "class", "root", "size", "sketch")
 
     def run(table: pa.Table) -> pa.Table:
@@ -318,7 +335,7 @@ def _region_pairs(open_: DataFrame, sets: DataFrame, threshold: Threshold, parts
         found = [np.zeros((2, 0), np.int64)]
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             sketches = text_rows(table.column("sketch").slice(a, b - a))
-            found.append(RegionJoin(names[a:b], roots[a:b], sizes[a:b], sketches, threshold).pairs())
+            found.append(RegionJoin(names[a:b], roots[a:b], sizes[a:b], sketches, threshold).pairs(best))
         pairs = np.unique(np.concatenate(found, axis=1), axis=1)
         return pa.table({"a": pairs[0], "b": pairs[1]})
 
@@ -357,13 +374,17 @@ def class_links(docs: DataFrame, k: int, threshold: Threshold) -> tuple[DataFram
     alone = regions.select("class", F.col("class").alias("root")).distinct()
     open_ = materialize(_open_regions(regions, alone), "open-regions")
     links = None
-    for step in range(HUB_ROUNDS + 1):
-        pairs = _hub_pairs(open_, step) if step < HUB_ROUNDS else _region_pairs(open_, sets, threshold, parts)
-        fits = materialize(_screened(pairs, sets, threshold) if step < HUB_ROUNDS else pairs, "pairs")
+    for step in range(HUB_ROUNDS + BEST_ROUNDS + 1):
+        last = step == HUB_ROUNDS + BEST_ROUNDS
+        if step < HUB_ROUNDS:
+            pairs = _screened(_hub_pairs(open_, step), sets, threshold)
+        else:
+            pairs = _region_pairs(open_, sets, threshold, parts, best=not last)
+        fits = materialize(pairs, "pairs")
         linked = materialize(_measured(fits, sets, threshold).filter("linked").select("a", "b"), "linked")
         links = linked if links is None else links.unionByName(linked)
         roots = _roots(links)
-        if step < HUB_ROUNDS:
+        if not last:
             open_ = materialize(_open_regions(open_.select("region", "class"), roots), "open-regions")
     return rows, roots
 

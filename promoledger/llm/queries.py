@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from promoledger.llm import grading, jaccard, lines, mixing, packing, sentences, sharding
+from promoledger.llm import grading, jaccard, lattice, lines, mixing, packing, sentences, sharding
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -58,3 +58,8 @@ def op3_jaccard_join(spark, sf):
 def op7_substring_dedup(spark, sf):
     docs = _read(spark, sf, "documents").select("doc_id", "text")
     return sentences.remove_repeated_passages(docs)
+
+
+@query
+def op6_lattice_near_dedup(spark, sf):
+    return lattice.near_duplicate_vectors(_read(spark, sf, "embeddings"))
