@@ -21,7 +21,7 @@ from promoledger.llm.graph import components
 from promoledger.llm.kernels import U, mix
 from promoledger.session import materialize
 
-TABLES, PROBES, SCALE, SEED, COSINE, CELL_ROWS = 8, 8, 1.4, 5, 0.98, 4096
+TABLES, PROBES, SCALE, SEED, COSINE, CELL_ROWS = 6, 6, 1.4, 5, 0.98, 4096
 
 
 def minimal_vectors() -> np.ndarray:
@@ -84,7 +84,7 @@ def vector_classes(vectors: DataFrame, id_col: str, vector_col: str, label_col:
     return found.select("label", "vector", F.xxhash64("label", "vector").alias("class"), "weight")
 
 
-def _placed(classes: DataFrame, tables: int, probes: int, scale: float, seed: int) -> DataFrame:
+def _placed(classes: DataFrame, kind: str, tables: int, probes: int, scale: float, seed: int) -> DataFrame:
     """(class, weight, vector, cells): the keys of all tables as one binary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +101,7 @@ def _placed(classes: DataFrame, tables: int, probes: int, scale: float, seed: in
                     unit /= np.sqrt((unit**2).sum(1))[:, None]
                     got = cells(unit, mix(salt[part] + U(int(d))), tables, probes, scale, seed)
                     for k, i in enumerate(part):
-                        raw[i], keys[i] = x[k].astype("<f8").tobytes(), got[k].tobytes()
+                        raw[i], keys[i] = x[k].astype(kind).tobytes(), got[k].tobytes()
             arrays = [batch.column(1), batch.column(2), pa.array(raw, pa.binary()), pa.array(keys, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["class", "weight", "vector", "cells"])
 
@@ -126,10 +126,10 @@ def _cell_rows(placed: DataFrame, tables: int, probes: int) -> DataFrame:
     return placed.select("class", "weight", "cells").mapInArrow(run, "cell long, table int, home boolean, class long")
 
 
-def class_links(classes: DataFrame, cosine: float, tables: int, probes: int, scale: float, seed: int) -> tuple[DataFrame, DataFrame]:
+def class_links(classes: DataFrame, kind: str, cosine: float, tables: int, probes: int, scale: float, seed: int) -> tuple[DataFrame, DataFrame]:
     """(class, n_linked: vectors of other classes linked) and (a, b): links that join all linked classes."""
     spark = classes.sparkSession
-    placed = materialize(_placed(classes, tables, probes, scale, seed), "lattice")
+    placed = materialize(_placed(classes, kind, tables, probes, scale, seed), "lattice")
     rows = _cell_rows(placed, tables, probes)
     # A cell matters if a vector lives there and another one lives there or probes it.
     live = rows.groupBy("cell").agg(F.count_if("home").alias("homes"), F.count(F.lit(1)).alias("members")).filter("homes > 0 and members > 1")
@@ -143,11 +143,12 @@ def class_links(classes: DataFrame, cosine: float, tables: int, probes: int, sca
     cut = cut.select(F.pmod(unit, F.lit(parts)).alias("part"), unit.alias("unit"), "cell", "table", "home", "class", F.col("mine").cast("int").alias("mine"), (low != high).alias("cross"))
     # Each vector goes once to each part it has a cell in.
     need = cut.select("part", "class").distinct().join(placed, "class").select("part", "class", "weight", "vector", "cells")
+    need = materialize(need, "lattice-vectors")
 
     def run(key: tuple, cell_rows: pa.Table, vectors: pa.Table) -> pa.Table:
         names = vectors.column("class").to_numpy()
         weight = vectors.column("weight").to_numpy()
-        data = [np.frombuffer(v, "<f8") for v in vectors.column("vector").to_pylist()]
+        data = [np.frombuffer(v, kind).astype(float) for v in vectors.column("vector").to_pylist()]
         keys = np.frombuffer(b"".join(vectors.column("cells").to_pylist()), np.int64).reshape(-1, tables, 1 + probes)
         order = np.argsort(names)
         cell_rows = cell_rows.combine_chunks().sort_by("unit")
@@ -218,7 +219,8 @@ def near_duplicate_vectors(
     a vector each; NULL ids stay and give their component no id. An empty table gives no rows.
     """
     classes = materialize(vector_classes(vectors, id_col, vector_col, label_col), "vector-classes")
-    counts, links = class_links(classes, cosine, tables, probes, scale, seed)
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
+    counts, links = class_links(classes, kind, cosine, tables, probes, scale, seed)
     roots = components(links).select(F.col("node").alias("__node"), "root")
     state = classes.select("class", "weight").join(counts, "class", "left").join(roots, F.col("class") == F.col("__node"), "left")
     state = state.select("class", (F.coalesce("n_linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "class").alias("root"))
