@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from promoledger.llm import grading, jaccard, lattice, lines, mixing, packing, sentences, sharding
+from promoledger.llm import grading, jaccard, lattice, lines, mixing, mixing_model, packing, sentences, sharding
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -63,3 +63,8 @@ def op7_substring_dedup(spark, sf):
 @query
 def op6_lattice_near_dedup(spark, sf):
     return lattice.near_duplicate_vectors(_read(spark, sf, "embeddings"))
+
+
+@query
+def op10_context_mixing(spark, sf):
+    return mixing_model.score_documents(_read(spark, sf, "documents"))
