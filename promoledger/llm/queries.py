@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from promoledger.llm import grading, jaccard, lattice, lines, mixing, mixing_model, packing, sentences, sharding
+from promoledger.llm import grading, jaccard, lattice, lines, mixing, mixing_model, packing, sentences, sharding, suffixes
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -68,3 +68,8 @@ def op6_lattice_near_dedup(spark, sf):
 @query
 def op10_context_mixing(spark, sf):
     return mixing_model.score_documents(_read(spark, sf, "documents"))
+
+
+@query
+def op5_suffix_dedup(spark, sf):
+    return suffixes.remove_repeated_bytes(_read(spark, sf, "documents"), with_text=False)
