@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from promoledger.functions.joins import null_safe_join
 from promoledger.operators.numbering import HOT_ROWS, rank_within
+from promoledger.operators.relational import unique_rows
 from promoledger.session import materialize
 
 
@@ -27,7 +28,7 @@ def allocate_capped(
     order. Claims on an unknown key are refused. One key may hold most claims: see ``numbering``.
     """
     ranked = rank_within(claims, [key], order_by, "claim_no", hot_rows)
-    free = quotas.select(key, (F.col(limit) - F.col(issued)).cast("bigint").alias("__free"))
+    free = unique_rows(quotas.select(key, (F.col(limit) - F.col(issued)).cast("bigint").alias("__free")), [key], "quota")
     granted = F.coalesce(F.col("claim_no") <= F.col("__free"), F.lit(False))
     return ranked.join(free, key, "left").withColumn("granted", granted).drop("__free")
 
@@ -46,23 +47,34 @@ def grant_claims(
     Whether a claim is in time only needs the last claim each quota still covers. Finding it takes the
     first few claims per key, which Spark cuts in every map task before the shuffle; the claims
     themselves are then compared with that one row per key and not sorted or moved. Quotas too large
-    for the cut fall back to numbering the claims. ``order_by`` names ascending columns.
+    for the cut fall back to numbering the claims. ``order_by`` names ascending columns; claims that tie
+    on them are ordered by a hash of the row, in either form, and never more than the quota is granted.
+    Two quota rows for one key fail the query.
     """
-    free = quotas.select(key, (F.col(limit) - F.col(issued)).cast("bigint").alias("__free"))
+    free = unique_rows(quotas.select(key, (F.col(limit) - F.col(issued)).cast("bigint").alias("__free")), [key], "quota")
+    tie = F.xxhash64(*[F.col(c) for c in claims.columns])
     most = free.agg(F.max("__free")).first()[0] or 0
     threshold = int(claims.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if most > threshold:
-        order = [F.col(c).asc() for c in order_by]
+        order = [*[F.col(c).asc() for c in order_by], tie]
         return allocate_capped(claims, quotas, key, order, limit, issued, hot_rows).drop("claim_no")
-    at = F.struct(*order_by)
-    window = Window.partitionBy(key).orderBy(*order_by)
-    early = claims.select(key, *order_by).withColumn("__no", F.row_number().over(window)).filter(F.col("__no") <= max(most, 1))
-    last = early.join(free, key).filter("__no = __free").select(key, at.alias("__last"))
+    at = F.struct(*order_by, tie.alias("__tie"))
+    window = Window.partitionBy(key).orderBy(*order_by, "__tie")
+    numbered = claims.select(key, *order_by, tie.alias("__tie")).withColumn("__no", F.row_number().over(window))
+    early = numbered.filter(F.col("__no") <= max(most, 1)).join(free, key).filter("__no <= __free")
+    # The last claim covered, and how many rows equal to it are: rows that agree in all columns share it.
+    here = F.struct(*order_by, "__tie")
+    last = early.filter("__no = __free").select(key, here.alias("__last"))
+    room = early.join(last.withColumnRenamed(key, "__k"), F.col(key) == F.col("__k")).filter(here == F.col("__last")).groupBy(key).agg(F.count(F.lit(1)).alias("__room"))
     # One row per quota; written, Spark sees its size and need not shuffle the claims to it.
-    known = materialize(free.join(last, key, "left"), "cutoffs")
-    in_time = F.col("__last").isNull() | (at <= F.col("__last"))
-    granted = F.coalesce((F.col("__free") > 0) & in_time, F.lit(False))
-    return claims.join(known, key, "left").withColumn("granted", granted).drop("__free", "__last")
+    known = materialize(free.join(last, key, "left").join(room, key, "left"), "cutoffs")
+    compared = claims.join(known, key, "left").withColumn("__at", at)
+    is_last = F.coalesce(F.col("__at") == F.col("__last"), F.lit(False))
+    in_time = F.col("__last").isNull() | (F.col("__at") < F.col("__last"))
+    sure = compared.filter(~is_last).withColumn("granted", F.coalesce((F.col("__free") > 0) & in_time, F.lit(False)))
+    equal = Window.partitionBy(key).orderBy("__at")
+    edge = compared.filter(is_last).withColumn("granted", F.row_number().over(equal) <= F.col("__room"))
+    return sure.unionByName(edge).drop("__free", "__last", "__room", "__at")
 
 
 def advance_counters(quotas: DataFrame, allocated: DataFrame, key: str, issued: str = "total_issued") -> DataFrame:

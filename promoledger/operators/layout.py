@@ -47,14 +47,19 @@ class MonthRange:
 
     def prune(self, start: date | datetime, end: date | datetime) -> list[str]:
         """Partitions that can hold rows of ``[start, end)``."""
-        first, last = str(start)[:7], str(end)[:7]
-        names = [m for m in self.months() if first <= m <= last and not (m == last and _at_month_start(end))]
-        outside = str(start) < str(month_bounds(*self.first)[0]) or str(end)[:10] > str(month_bounds(*self.last)[1])
+        low, high = _moment(start), _moment(end)
+        names = []
+        for name in self.months():
+            first, after = (_moment(x) for x in month_bounds(int(name[:4]), int(name[5:])))
+            if first < high and low < after:
+                names.append(name)
+        outside = low < _moment(month_bounds(*self.first)[0]) or high > _moment(month_bounds(*self.last)[1])
         return names + [DEFAULT] if outside else names
 
 
-def _at_month_start(end: date | datetime) -> bool:
-    return str(end)[8:] in ("01", "01 00:00:00")
+def _moment(value: date | datetime | str) -> datetime:
+    """A point in time from a date, a datetime or ISO text."""
+    return datetime.fromisoformat(str(value)).replace(tzinfo=None)
 
 
 @dataclass(frozen=True)
@@ -135,17 +140,22 @@ def out_of_bounds(df: DataFrame, column: str, start, end) -> DataFrame:
 def attach(df: DataFrame, rule: MonthRange, year: int, month: int, path: str) -> MonthRange:
     """Prove the bounds of a finished dataset, then add it as one month partition.
 
-    The default partition must not hold rows of that month, which pruned reads would no longer find;
-    ``add_month`` moves such rows.
+    The default partition must not hold rows of any month that becomes declared by it, gaps included:
+    pruned reads would no longer find them; ``add_month`` moves such rows. A month that holds rows
+    already is refused.
     """
     start, end = month_bounds(year, month)
     if not out_of_bounds(df, rule.column, start, end).isEmpty():
         raise ValueError(f"rows outside {start}..{end}")
     schema = T.StructType([*df.schema.fields, T.StructField(rule.partition, T.StringType())])
     stored = df.sparkSession.read.schema(schema).parquet(path).filter(F.col(rule.partition) == DEFAULT)
-    if not stored.filter(half_open(rule.column, start, end)).isEmpty():
-        raise ValueError(f"default partition holds rows of {start}..{end}")
     wider = replace(rule, first=min(rule.first, (year, month)), last=max(rule.last, (year, month)))
+    declared = half_open(rule.column, month_bounds(*wider.first)[0], month_bounds(*wider.last)[1])
+    if not stored.filter(declared).isEmpty():
+        raise ValueError(f"default partition holds rows of the months {wider.first}..{wider.last}")
+    present = df.sparkSession.read.schema(schema).parquet(path).filter(F.col(rule.partition) == f"{year:04d}-{month:02d}")
+    if not present.isEmpty():
+        raise ValueError(f"month {year:04d}-{month:02d} holds rows already")
     write_partitioned(df, wider, path, mode="append")
     return wider
 
@@ -168,6 +178,13 @@ def expired_months(rule: MonthRange, as_of: date | datetime, keep: int) -> list[
     return [m for m in rule.months() if m < oldest]
 
 
+def drop_months(spark: SparkSession, rule: MonthRange, months: Sequence[str], path: str) -> None:
+    """Remove month partitions from stored data: their folders go, no row is read."""
+    for month in months:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{rule.partition}={month}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def add_month(df: DataFrame, rule: MonthRange, year: int, month: int) -> tuple[DataFrame, MonthRange]:
     """Declare a further month; default rows that belong to it get their new partition value."""
     wider = rule.extended((year, month))

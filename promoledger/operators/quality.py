@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from promoledger.functions.predicates import any_true, holds
 from promoledger.operators.relational import blocked_parents, missing_parents
+from promoledger.functions.joins import null_safe_join
 from promoledger.session import materialize
 from promoledger.sources.schemas import Check, Table
 from promoledger.sources.literal import literal
@@ -155,11 +156,18 @@ def bad_units(flagged: Mapping[str, DataFrame], unit: str) -> DataFrame:
 
 
 def quarantine_units(flagged: Mapping[str, DataFrame], unit: str) -> dict[str, Split]:
-    """All or nothing: one bad row anywhere sends every row of its unit, in all tables, aside."""
+    """All or nothing: one bad row anywhere sends every row of its unit, in all tables, aside.
+
+    A row without a unit is a unit of its own.
+    """
     # Every valid and rejected frame needs the list; written once, the tables are not checked again.
     bad = materialize(bad_units(flagged, unit), "bad-units")
+    alone = F.col(unit).isNull() & (F.size(BAD) > 0)
     return {
-        name: Split(df.join(bad, unit, "left_anti").drop(BAD), df.join(bad, unit, "left_semi"))
+        name: Split(
+            df.filter(~alone).join(bad, unit, "left_anti").drop(BAD),
+            df.join(bad, unit, "left_semi").unionByName(df.filter(alone)),
+        )
         for name, df in flagged.items()
     }
 
@@ -169,26 +177,29 @@ def quarantine_steps(
 ) -> Split:
     """Step-level acceptance: of each (unit, step) the first valid attempt stands.
 
-    Failed attempts are set aside. A unit whose ``required`` step has no valid attempt is dropped
+    Failed attempts are set aside. Attempts with the same number are told apart by a hash of the row; of
+    rows that agree in all columns one stands. A unit whose ``required`` step has no valid attempt is dropped
     with all its steps.
     """
     valid = holds(ok)
     need = holds(required) if required is not None else F.lit(False)
-    steps = attempts.groupBy(unit, step).agg(
-        F.min(F.when(valid, F.col(attempt))).alias("__first"), F.max(need).alias("__need")
-    )
+    order = F.struct(F.col(attempt).alias("at"), F.xxhash64(*[F.col(c) for c in attempts.columns]).alias("tie"))
+    steps = attempts.groupBy(unit, step).agg(F.min(F.when(valid, order)).alias("__first"), F.max(need).alias("__need"))
     lost = steps.filter(F.col("__need") & F.col("__first").isNull()).select(unit).distinct()
     winners = steps.filter(F.col("__first").isNotNull()).drop("__need").join(lost, unit, "left_anti")
     marked = attempts.join(winners, [unit, step], "left").withColumn(
-        "__kept", holds(valid & (F.col(attempt) == F.col("__first")))
+        "__kept", holds(valid & (order == F.col("__first")))
     )
-    kept, aside = marked.filter("__kept"), marked.filter("NOT __kept")
-    return Split(kept.select(attempts.columns), aside.select(attempts.columns))
+    kept, aside = marked.filter("__kept").select(attempts.columns), marked.filter("NOT __kept").select(attempts.columns)
+    again = kept.groupBy(unit, step).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    copies = null_safe_join(kept.dropDuplicates([unit, step]), again, [unit, step], "inner")
+    copies = copies.withColumn("__k", F.explode(F.sequence(F.lit(2), F.col("__n").cast("int")))).select(attempts.columns)
+    return Split(kept.dropDuplicates([unit, step]), aside.unionByName(copies))
 
 
-def partial_units(rows: DataFrame, unit: str, expected: int) -> DataFrame:
+def partial_units(rows: DataFrame, unit: str, expected: int, step: str = "step") -> DataFrame:
     """Units that are only partly present: fewer distinct steps than expected."""
-    present = rows.groupBy(unit).agg(F.count_distinct("step").alias("present"))
+    present = rows.groupBy(unit).agg(F.count_distinct(step).alias("present"))
     return present.filter(F.col("present") < expected).withColumn("expected", F.lit(expected).cast("bigint"))
 
 

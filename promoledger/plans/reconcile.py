@@ -18,13 +18,13 @@ from promoledger.sources.schemas import TABLES
 from promoledger.sources.snapshots import SnapshotStore
 from promoledger.sources.literal import literal
 
+# Stored value, fixed by the given schema.
 RECONCILED_BY = "SYSTEM_PROCEDURE"
 
 
 @dataclass(frozen=True)
 class Reconciliation:
-    """``marked``: clicks of the month with the eligible ones marked; ``report``: payout per
-    partner; ``errors``: requested partners that do not exist or have no rate."""
+    """``marked``: all given clicks, the eligible ones marked; ``report``: payout per partner; ``errors``: requested partners that do not exist or have no rate."""
 
     marked: DataFrame
     report: DataFrame
@@ -43,8 +43,9 @@ def reconcile_month(
 ) -> Reconciliation:
     """Close a month for all (or the given) partners at once.
 
-    Eligible are clicks of the month that are neither suspicious nor reconciled. The same condition
-    marks and counts, so a second run over ``marked`` pays nothing. Clicks are counted per partner
+    Eligible are clicks of the month and of the requested partners that are neither suspicious nor
+    reconciled; no other click changes and none is left out. The same condition marks and counts, so a
+    second run over ``marked`` pays nothing. Clicks are counted per partner
     before the rates are joined.
     """
     rated = live(any_of(partners, "partner_id", partner_ids)).join(
@@ -54,7 +55,8 @@ def reconcile_month(
     # that fits is broadcast to the clicks instead of both being shuffled.
     rated = materialize(rated.select("partner_id", "partner_name", "payout_rate"), "rated")
     start, end = month_bounds(year, month)
-    month_clicks = any_of(clicks.filter(half_open("clicked_at", start, end)), "partner_id", partner_ids)
+    in_month = half_open("clicked_at", start, end)
+    month_clicks = any_of(clicks.filter(in_month), "partner_id", partner_ids)
     eligible = ~F.col("is_suspicious") & F.col("reconciliation_status_id").isNull()
     counts = month_clicks.filter(eligible).groupBy("partner_id").agg(F.count(F.lit(1)).alias("__n"))
     valid = F.coalesce("__n", F.lit(0)).cast("bigint")
@@ -66,10 +68,11 @@ def reconcile_month(
         (valid.cast("decimal(20,0)") * F.col("payout_rate")).cast(MONEY).alias("total_payout"),
     )
 
-    flagged = month_clicks.join(rated.select("partner_id").withColumn("__rated", F.lit(True)), "partner_id", "left")
+    # ``rated`` holds the requested partners only.
+    flagged = clicks.join(rated.select("partner_id").withColumn("__rated", F.lit(True)), "partner_id", "left")
     marked = update_where(
         flagged.select(*clicks.columns, "__rated"),
-        eligible & F.col("__rated"),
+        eligible & in_month & F.col("__rated"),
         {
             "reconciliation_status_id": status_id,
             **({"reconciled_at": F.lit(str(as_of)).cast("timestamp_ntz")} if "reconciled_at" in clicks.columns else {}),
@@ -83,7 +86,7 @@ def reconcile_month(
     else:
         requested = literal(spark, [(int(p),) for p in partner_ids], "partner_id bigint")
     errors = requested.join(rated.select("partner_id"), "partner_id", "left_anti").withColumn(
-        "error", F.concat(F.lit("Partner ID "), F.col("partner_id"), F.lit(" not found or has been deleted"))
+        "error", F.concat(F.lit("no live, rated partner "), F.col("partner_id"))
     )
     return Reconciliation(marked, report, errors)
 
@@ -94,16 +97,24 @@ def run_reconciliation(
     """The job over stored tables: read one pinned version, write marks and report, commit both.
 
     Clicks are kept one table version per month, so closing a month rewrites that month only. Until
-    the commit is written readers see the old version: a failure before it changes nothing.
+    the commit is written readers see the old version: a failure before it changes nothing. Payouts are
+    appended by run: earlier runs, of other partners too, stay, and a rerun adds nothing.
     """
     pinned = store.pin()
     name = f"partner_click_{year:04d}_{month:02d}"
     result = reconcile_month(
         pinned.read(name), pinned.read("partner"), pinned.read("commission_rule"), year, month, as_of, partner_ids
     )
-    report = result.report.withColumn("period", F.lit(f"{year:04d}-{month:02d}"))
-    store.commit({name: result.marked, f"payout_{year:04d}_{month:02d}": report})
-    return store.pin().read(f"payout_{year:04d}_{month:02d}")
+    period, payouts = f"{year:04d}-{month:02d}", f"payout_{year:04d}_{month:02d}"
+    known = pinned.read(payouts) if payouts in pinned.versions else None
+    run = 1 if known is None else (known.agg(F.max("run_no")).first()[0] or 0) + 1
+    report = result.report.withColumn("period", F.lit(period)).withColumn("run_no", F.lit(run))
+    if known is not None:
+        # A partner that was paid gets a further row only for clicks that came in since.
+        paid = known.select("partner_id").distinct()
+        report = report.filter("valid_clicks > 0").unionByName(report.filter("valid_clicks = 0").join(paid, "partner_id", "left_anti"))
+    store.commit({name: result.marked}, append={payouts: report})
+    return store.pin().read(payouts)
 
 
 @dataclass(frozen=True)

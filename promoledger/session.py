@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import threading
 import uuid
 from contextlib import contextmanager
@@ -38,8 +37,8 @@ def build_session(app_name: str = "promoledger", master: str | None = None, **co
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates and stream checkpoints.
 
-    It is the folder the cluster names in ``spark.checkpoint.dir``. Only a ``local`` master may
-    fall back to a folder of its own, because there driver and executors share one disk.
+    It is the folder the cluster names in ``spark.checkpoint.dir``. A ``local`` session without that
+    setting uses a folder in its warehouse.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -47,7 +46,7 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="promoledger-"))
+    sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch")
     return sc.getCheckpointDir().rstrip("/")
 
 

@@ -281,7 +281,7 @@ def wrong_entity_status(spark, sf):
 _NEW = (
     "(SELECT c_custkey AS id, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS balance, c_nationkey AS nation, "
     "CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'HOUSEHOLD' ELSE c_mktsegment END AS segment, "
-    "CASE WHEN c_acctbal > 5000 THEN 'ROGUE_EMPLOYEE' END AS updated_by FROM customer WHERE c_mktsegment <> 'MACHINERY')"
+    "CASE WHEN c_acctbal > 5000 THEN 'NIGHT_EDITOR' END AS updated_by FROM customer WHERE c_mktsegment <> 'MACHINERY')"
 )
 _OLD = "(SELECT c_custkey AS id, c_acctbal AS balance, c_nationkey AS nation, c_mktsegment AS segment FROM customer)"
 _CHANGED = "o.balance IS DISTINCT FROM n.balance OR o.nation IS DISTINCT FROM n.nation OR o.segment IS DISTINCT FROM n.segment"
@@ -296,7 +296,7 @@ def _images(spark, sf):
         "CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS balance",
         "c_nationkey AS nation",
         "CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'HOUSEHOLD' ELSE c_mktsegment END AS segment",
-        "CASE WHEN c_acctbal > 5000 THEN 'ROGUE_EMPLOYEE' END AS updated_by",
+        "CASE WHEN c_acctbal > 5000 THEN 'NIGHT_EDITOR' END AS updated_by",
     )
     return old, new
 
@@ -322,7 +322,7 @@ def restore_from_history(spark, sf):
     old, new = _images(spark, sf)
     captured = audit.capture_changes(old, new, "id", _TRACKED, AS_OF, "SYSTEM").withColumn("history_id", F.col("id"))
     current = new.drop("updated_by")
-    return audit.restore(current, captured, "id", _TRACKED, AS_OF, "ADMIN_ROLLBACK").table
+    return audit.restore(current, captured, "id", _TRACKED, AS_OF, "RESTORE_JOB").table
 
 
 @query(
@@ -393,14 +393,17 @@ def audited_update_job(spark, sf):
     return joined.na.fill(0, ["n_history", "n_violations"])
 
 
-@query("SELECT strftime(o_orderdate, '%Y-%m') AS partition_name, count(*) AS row_count FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01' GROUP BY ALL")
+@query(
+    "SELECT CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01' THEN strftime(o_orderdate, '%Y-%m') ELSE '__default__' END "
+    "AS partition_name, count(*) AS row_count FROM orders WHERE o_orderdate < TIMESTAMP '1990-01-01' OR o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY ALL"
+)
 def history_partitions_kept(spark, sf):
-    from promoledger.operators.layout import MonthRange, expired_months, partition_counts, write_partitioned
+    from promoledger.operators.layout import MonthRange, drop_months, expired_months, partition_counts, write_partitioned
 
     rule = MonthRange("changed_at", (1990, 1), (1998, 12))
-    history = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("changed_at")).filter("changed_at < timestamp_ntz'1999-01-01'")
+    history = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("changed_at"))
     path = scratch_path(spark, "history")
     write_partitioned(history, rule, path)
-    gone = expired_months(rule, "1999-01-15", 12)
+    drop_months(spark, rule, expired_months(rule, "1999-01-15", 12), path)
     stored = spark.read.schema("o_orderkey bigint, changed_at timestamp_ntz, month string").parquet(path)
-    return partition_counts(stored.filter(~F.col("month").isin(gone)), rule)
+    return partition_counts(stored, rule)

@@ -13,6 +13,7 @@ from promoledger.functions.scalars import (
     zero_if_null,
 )
 from promoledger.operators import profile
+from promoledger.operators.numbering import number_rows
 from promoledger.operators.relational import (
     after_key, blocked_parents, left_with_condition, lookup, missing_parents, semi, top_k, with_pages,
 )
@@ -389,32 +390,32 @@ def group_by_two_columns(spark, sf):
 # ---- sorts, limits, pages -----------------------------------------------------------------------
 
 
-@query("SELECT o_orderpriority, o_orderkey FROM orders ORDER BY o_orderpriority, o_orderkey LIMIT 100")
+@query("SELECT o_orderpriority, o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) AS position FROM orders")
 def multi_key_sort(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey")
-    return top_k(rows, [F.col("o_orderpriority"), F.col("o_orderkey")], 100)
+    return number_rows(rows, [F.col("o_orderpriority"), F.col("o_orderkey")], "position")
 
 
 @query(
     sql(
-        "SELECT click_id, reconciliation_status_id FROM clicks ORDER BY reconciliation_status_id DESC NULLS FIRST, click_id LIMIT 50",
+        "SELECT click_id, reconciliation_status_id, row_number() OVER (ORDER BY reconciliation_status_id DESC NULLS FIRST, click_id) AS position FROM clicks",
         "clicks",
     )
 )
 def descending_nulls_first(spark, sf):
     rows = view(spark, sf, "clicks").select("click_id", "reconciliation_status_id")
-    return top_k(rows, [descending(F.col("reconciliation_status_id")), F.col("click_id")], 50)
+    return number_rows(rows, [descending(F.col("reconciliation_status_id")), F.col("click_id")], "position")
 
 
 @query(
     sql(
-        "SELECT click_id, reconciliation_status_id FROM clicks ORDER BY reconciliation_status_id DESC NULLS LAST, click_id LIMIT 50",
+        "SELECT click_id, reconciliation_status_id, row_number() OVER (ORDER BY reconciliation_status_id DESC NULLS LAST, click_id) AS position FROM clicks",
         "clicks",
     )
 )
 def descending_nulls_last(spark, sf):
     rows = view(spark, sf, "clicks").select("click_id", "reconciliation_status_id")
-    return top_k(rows, [descending(F.col("reconciliation_status_id"), nulls_last=True), F.col("click_id")], 50)
+    return number_rows(rows, [descending(F.col("reconciliation_status_id"), nulls_last=True), F.col("click_id")], "position")
 
 
 @query("SELECT s_suppkey, s_nationkey FROM supplier ORDER BY s_suppkey LIMIT 5")

@@ -282,8 +282,8 @@ def reconcile_month_payout(spark, sf):
 @query(
     sql(
         "SELECT click_id, partner_id, CAST(CASE WHEN NOT is_suspicious AND reconciliation_status_id IS NULL AND partner_id IN "
-        f"(SELECT partner_id FROM {_RATED}) THEN 1 ELSE reconciliation_status_id END AS BIGINT) AS reconciliation_status_id FROM clicks "
-        "WHERE clicked_at >= TIMESTAMP '2024-01-01' AND clicked_at < TIMESTAMP '2024-02-01'",
+        f"(SELECT partner_id FROM {_RATED}) AND clicked_at >= TIMESTAMP '2024-01-01' AND clicked_at < TIMESTAMP '2024-02-01' "
+        "THEN 1 ELSE reconciliation_status_id END AS BIGINT) AS reconciliation_status_id FROM clicks",
         "clicks", "partners", "rules",
     )
 )
@@ -303,7 +303,20 @@ def reconcile_month_rerun(spark, sf):
 
 @query(
     sql(
-        "SELECT DISTINCT partner_id, concat('Partner ID ', partner_id, ' not found or has been deleted') AS error FROM clicks WHERE "
+        "SELECT click_id, partner_id, CAST(CASE WHEN NOT is_suspicious AND reconciliation_status_id IS NULL AND partner_id IN "
+        f"(SELECT partner_id FROM {_RATED}) AND partner_id IN (1, 2, 3) AND clicked_at >= TIMESTAMP '2024-01-01' "
+        "AND clicked_at < TIMESTAMP '2024-02-01' THEN 1 ELSE reconciliation_status_id END AS BIGINT) AS reconciliation_status_id FROM clicks",
+        "clicks", "partners", "rules",
+    )
+)
+def reconcile_job_some_partners(spark, sf):
+    done = reconcile_month(view(spark, sf, "clicks"), view(spark, sf, "partners"), view(spark, sf, "rules"), 2024, 1, AS_OF, [1, 2, 3])
+    return done.marked.select("click_id", "partner_id", "reconciliation_status_id")
+
+
+@query(
+    sql(
+        "SELECT DISTINCT partner_id, concat('no live, rated partner ', partner_id) AS error FROM clicks WHERE "
         f"clicked_at >= TIMESTAMP '2024-01-01' AND clicked_at < TIMESTAMP '2024-02-01' AND partner_id NOT IN (SELECT partner_id FROM {_RATED})",
         "clicks", "partners", "rules",
     )

@@ -45,13 +45,13 @@ _SUPPLIER_BOOK = Table(
 
 @query(
     "SELECT s_suppkey AS entry_id, s_name AS name, CASE WHEN s_acctbal > 0 THEN 'ok' END AS note, TIMESTAMP '2024-02-01 00:00:00' "
-    "AS created_at, 'ETL_USER' AS created_by, FALSE AS is_deleted FROM supplier"
+    "AS created_at, 'LOADER' AS created_by, FALSE AS is_deleted FROM supplier"
 )
 def insert_with_defaults(spark, sf):
     rows = table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("entry_id"), F.col("s_name").alias("name"), F.when(F.col("s_acctbal") > 0, "ok").alias("note")
     )
-    return dml.fill_defaults(rows, _SUPPLIER_BOOK, AS_OF, "ETL_USER")
+    return dml.fill_defaults(rows, _SUPPLIER_BOOK, AS_OF, "LOADER")
 
 
 @query("SELECT p_partkey, p_brand, p_retailprice FROM part UNION ALL SELECT p_partkey, p_brand, p_retailprice FROM part WHERE p_size > 25")
@@ -187,12 +187,12 @@ def upsert_ignore_rerun(spark, sf):
 
 @query(
     f"SELECT event_id, ts, user_id, CAST(CAST(value AS DECIMAL(18,2)) * CASE WHEN {_SECOND} THEN 2 ELSE 1 END AS DECIMAL(18,2)) AS value, "
-    f"CASE WHEN {_FIRST} AND {_SECOND} THEN 'ETL_USER' END AS updated_by FROM events"
+    f"CASE WHEN {_FIRST} AND {_SECOND} THEN 'LOADER' END AS updated_by FROM events"
 )
 def upsert_update(spark, sf):
     target, incoming = _deliveries(spark, sf)
     target = target.withColumn("updated_by", F.lit(None).cast("string"))
-    return dml.upsert(target, incoming, ["event_id"], ["value"], [F.col("ts")], {"updated_by": "ETL_USER"}).table
+    return dml.upsert(target, incoming, ["event_id"], ["value"], [F.col("ts")], {"updated_by": "LOADER"}).table
 
 
 @query(
@@ -240,6 +240,20 @@ def claim_grants(spark, sf):
     return counters.grant_claims(view(spark, sf, "arrivals"), view(spark, sf, "vouchers"), "voucher_id", ["claimed_at", "claim_id"])
 
 
+@query(
+    sql(
+        "SELECT a.voucher_id, count(*) AS claims, least(count(*), greatest(max(v.issuance_limit - v.total_issued), 0)) AS granted "
+        "FROM arrivals a JOIN vouchers v ON v.voucher_id = a.voucher_id GROUP BY a.voucher_id",
+        "arrivals", "vouchers",
+    )
+)
+def claim_grants_with_ties(spark, sf):
+    claims = view(spark, sf, "arrivals").withColumn("day", F.to_date("claimed_at"))
+    decided = counters.grant_claims(claims, view(spark, sf, "vouchers"), "voucher_id", ["day"])
+    known = decided.join(view(spark, sf, "vouchers").select("voucher_id"), "voucher_id")
+    return known.groupBy("voucher_id").agg(F.count(F.lit(1)).alias("claims"), F.count_if("granted").alias("granted"))
+
+
 @query(
     sql(
         "SELECT v.voucher_id, v.issuance_limit, CAST(v.total_issued + least(count(a.claim_id), v.issuance_limit - v.total_issued) AS INTEGER) AS total_issued "

@@ -52,6 +52,18 @@ def test_allocation_against_brute_force(spark):
         assert short.count() == 400 and {r.claim_id for r in short.filter("granted").collect()} == expected
 
 
+def test_ties_never_exceed_the_quota(spark):
+    tied = literal(spark, [(i, 1, 7) for i in range(10)], "claim_id bigint, voucher_id bigint, at bigint")
+    same = literal(spark, [(1, 1, 7)] * 10, "claim_id bigint, voucher_id bigint, at bigint")
+    schema = "voucher_id bigint, issuance_limit int, total_issued int"
+    for claims in (tied, same):
+        for more in ([], [(9, 5000, 0)]):
+            done = counters.grant_claims(claims, literal(spark, [(1, 3, 0), *more], schema), "voucher_id", ["at"])
+            assert done.count() == 10 and done.filter("granted").count() == 3
+    with pytest.raises(Exception, match="more than one quota"):
+        counters.grant_claims(tied, literal(spark, [(1, 3, 0), (1, 3, 0)], schema), "voucher_id", ["at"]).collect()
+
+
 def test_claims_stay_in_place_when_only_grants_are_asked(spark, tmp_path):
     claims_of(spark, 1000).write.parquet(str(tmp_path / "claims"))
     stored = spark.read.parquet(str(tmp_path / "claims"))

@@ -183,3 +183,9 @@ def test_feed_formats(spark, seed, tmp_path, fmt):
     assert rows(back) == rows(frame)
     with pytest.raises(ValueError):
         feeds.read_feed(spark, path, frame.schema, "avro?")
+
+
+def test_prune_to_the_second():
+    half = layout.MonthRange("clicked_at", (2026, 1), (2026, 6))
+    assert half.prune("2026-06-20", "2026-07-01T12:00:00") == ["2026-06", layout.DEFAULT]
+    assert half.prune("2026-06-20 10:00:00", "2026-07-01 00:00:00") == ["2026-06"]

@@ -152,3 +152,12 @@ def test_summary(spark):
     flagged = quality.flag_rows(spark.range(4).withColumnRenamed("id", "k"), {"low": F.col("k") > 1, "odd": F.col("k") % 2 == 1})
     report = quality.constraint_summary(spark, {"t": quality.violations(flagged, ["k"])})
     assert rows(report) == [("low", 2), ("odd", 2)]
+
+
+def test_bad_rows_without_a_unit_and_repeated_attempts(spark):
+    flagged = literal(spark, [(None, 1, []), (None, 2, ["chk"]), (1, 3, []), (2, 4, ["chk"]), (2, 5, [])], f"u int, v int, {quality.BAD} array<string>")
+    done = quality.quarantine_units({"t": flagged}, "u")["t"]
+    assert sorted(r.v for r in done.valid.collect()) == [1, 3] and sorted(r.v for r in done.rejected.collect()) == [2, 4, 5]
+    tries = literal(spark, [(1, 1, 1, "a"), (1, 1, 1, "b"), (1, 2, 1, "c"), (1, 2, 1, "c")], "u int, s int, n int, x string")
+    split = quality.quarantine_steps(tries, "u", "s", "n", F.col("x").isNotNull())
+    assert split.valid.count() == 2 and split.rejected.count() == 2

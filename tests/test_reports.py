@@ -87,7 +87,8 @@ def test_reconciliation_of_named_partners(spark, seed):
     done = reconcile_month(seed["partner_click"], partners, seed["commission_rule"], 2026, 6, AS_OF, [1, 2, 77])
     assert rows(done.report, "partner_id", "valid_clicks") == [(1, 1)]
     assert rows(done.errors, "partner_id") == [(2,), (77,)]
-    assert rows(done.marked, "partner_id", "reconciliation_status_id") == [(1, 1), (2, None)]
+    # The clicks of the other partners stay as they are.
+    assert rows(done.marked, "partner_id", "reconciliation_status_id") == [(1, 1), (2, None), (3, None), (4, None), (5, None)]
 
 
 def test_reconciliation_job_commits_marks_and_report_together(spark, seed, tmp_path):
@@ -95,7 +96,17 @@ def test_reconciliation_job_commits_marks_and_report_together(spark, seed, tmp_p
     store.commit({"partner_click_2026_06": seed["partner_click"], "partner": seed["partner"], "commission_rule": seed["commission_rule"]})
     assert run_reconciliation(store, 2026, 6, AS_OF).agg(F.sum("valid_clicks")).first()[0] == 5
     assert store.read("partner_click_2026_06").filter("reconciliation_status_id IS NULL").isEmpty()
-    assert run_reconciliation(store, 2026, 6, AS_OF).agg(F.sum("valid_clicks")).first()[0] == 0
+    # A rerun pays nothing and keeps the first payout.
+    assert run_reconciliation(store, 2026, 6, AS_OF).agg(F.sum("valid_clicks")).first()[0] == 5
+
+
+def test_reconciliation_job_per_partner(spark, seed, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.commit({"partner_click_2026_06": seed["partner_click"], "partner": seed["partner"], "commission_rule": seed["commission_rule"]})
+    for asked in ([1], [1], [2]):
+        paid = run_reconciliation(store, 2026, 6, AS_OF, asked)
+    assert [tuple(map(str, r)) for r in sorted(paid.select("partner_id", "total_payout").collect())] == [("1", "5.00"), ("2", "7.00")]
+    assert store.read("partner_click_2026_06").count() == seed["partner_click"].count()
 
 
 def test_payouts_and_adjustments(spark, seed):
