@@ -16,9 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.llm.kernels import LOWER, RangeHash, U, slices, word_ranges
+from promoledger.llm.kernels import LOWER, RangeHash, U, mix, slices, word_ranges
 
-BITS, SAMPLE_DOCS, MIN_DOCS, ROUNDS, GRADES, TAIL_GRADE, KEEP = 18, 4000, 4, 150, 3, 2, 0.5
+BITS, SAMPLE_DOCS, MIN_DOCS, LEAST_Z, ROUNDS, GRADES, TAIL_GRADE, KEEP = 18, 4000, 4, 4.0, 150, 3, 2, 0.5
+_SYMBOLS, _MARKS = np.zeros(256, bool), np.zeros(256, bool)
+_SYMBOLS[list(b"#*$%&|<>")] = True
+_MARKS[list(b"#*$%&|<>.,;:!?\"'()[]-")] = True
+_STEPS = (0.02, 0.05, 0.1, 0.2, 0.4)
 
 
 @dataclass(frozen=True)
@@ -32,23 +36,56 @@ class OrdinalModel:
 
 
 def features(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hashed feature) pairs, each once per row: lower-cased words, and words' last two bytes."""
-    low = LOWER[data]
-    starts, ends, row = word_ranges(data, off)
+    """(row, hashed feature) pairs, each once per row.
+
+    Features are lower-cased words without punctuation at their ends, words' last two bytes, and steps
+    of three shares: words equal to the one before, symbols among the words' bytes, words of symbols alone.
+    """
+    low, n = LOWER[data], len(off) - 1
+    starts, ends, row = word_ranges(low, off)
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     ranges = RangeHash(low)
+    first, last = starts.copy(), ends.copy()
+    for _ in range(3):
+        last -= (last - 1 > first) & _MARKS[low[last - 1]]
+        first += (first + 1 < last) & _MARKS[low[first]]
     shift = U(64 - bits)
-    words = ranges(starts, ends) >> shift
+    whole = ranges(first, last)
+    words = whole >> shift
     tails = (ranges(np.maximum(starts, ends - 2), ends) * U(0x9E3779B97F4A7C15)) >> shift
-    pairs = np.unique(np.concatenate([(row.astype(U) << U(bits)) | h for h in (words, tails)])) if len(starts) else np.zeros(0, U)
+    total = np.maximum(np.bincount(row, minlength=n), 1)
+    again = np.concatenate([[False], (whole[1:] == whole[:-1]) & (row[1:] == row[:-1])])
+    bare = (last - first == 1) & _MARKS[low[first]]
+    size = np.maximum(np.bincount(row, ends - starts, n), 1)
+    symbols = np.concatenate([[0], np.cumsum(_SYMBOLS[low])])
+    shares = (np.bincount(row[again], minlength=n) / total, np.bincount(row, symbols[ends] - symbols[starts], n) / size, np.bincount(row[bare], minlength=n) / total)
+    found = [(row.astype(U) << U(bits)) | h for h in (words, tails)]
+    for k, share in enumerate(shares):
+        for j, step in enumerate(_STEPS):
+            mark = mix(np.array([1000 + 10 * k + j], U)) >> shift
+            found.append((np.flatnonzero(share >= step).astype(U) << U(bits)) | mark)
+    pairs = np.unique(np.concatenate(found))
     return (pairs >> U(bits)).astype(np.int64), (pairs & U((1 << bits) - 1)).astype(np.int64)
 
 
+def telling(rows: np.ndarray, ids: np.ndarray, grades: np.ndarray, size: int, least: float, min_docs: int) -> np.ndarray:
+    """Features whose documents' grades differ from all documents' by ``least`` standard errors."""
+    held, keep = np.bincount(ids, minlength=size), np.zeros(size, bool)
+    for cut in range(1, GRADES):
+        above = grades >= cut
+        p = above.mean() if len(grades) else 0.0
+        z = (np.bincount(ids, above[rows], size) - held * p) / np.sqrt(np.maximum(held * p * (1 - p), 1e-9))
+        keep |= (np.abs(z) >= least) & (held >= min_docs)
+    return keep
+
+
 def train_ordinal(
     rows: np.ndarray, ids: np.ndarray, grades: np.ndarray, bits: int = BITS, min_docs: int = MIN_DOCS, rounds: int = ROUNDS, shrink: float = 2e-4
 ) -> OrdinalModel:
-    """Cumulative logit by Adam. Features of fewer than ``min_docs`` documents keep weight 0."""
+    """Cumulative logit by Adam. Features that do not tell grades apart keep weight 0."""
     size, k = 1 << bits, GRADES - 1
-    seen = np.bincount(ids, minlength=size) >= min_docs
+    seen = telling(rows, ids, grades, size, LEAST_Z, min_docs)
     rows, ids = rows[seen[ids]], ids[seen[ids]]
     cut = np.array([np.clip(np.mean(grades > g), 0.01, 0.99) for g in range(k)]) if len(grades) else np.full(k, 0.5)
     cut = np.minimum.accumulate(cut - 1e-3 * np.arange(k))
