@@ -17,7 +17,9 @@ number of differing shingles, so nothing is lost; what passes is compared exactl
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +32,7 @@ from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, w
 from promoledger.session import materialize
 
 LEAF, PIVOTS, SPARE, BLOCK_KEYS = 32, 8, 4, 1 << 20
-BUCKETS, REGION_ROWS, HUB_ROUNDS, BEST_ROUNDS = 256, 4096, 2, 2
+BUCKETS, REGION_ROWS, HUB_ROUNDS, BEST_ROUNDS = 256, 4096, 1, 2
 
 
 @dataclass(frozen=True)
@@ -237,8 +239,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                     arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
                     yield pa.RecordBatch.from_arrays(arrays, ["class", "size", "sketch", "set"])
 
-    # Rows that share an id and a text give the same set.
-    return picked.mapInArrow(run, "class long, size long, sketch binary, set binary").dropDuplicates(["class"])
+    # Rows that share an id and a text give the same set more than once.
+    return picked.mapInArrow(run, "class long, size long, sketch binary, set binary")
 
 
 def _screened(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
@@ -370,7 +372,24 @@ def class_links(docs: DataFrame, k: int, threshold: Threshold) -> tuple[DataFram
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     regions = materialize(_regions(docs, k, threshold, parts).distinct(), "regions")
     wanted = rows.join(regions.select("class").distinct(), "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialize(_sets(docs, wanted, k), "shingle-sets")
+    with _bucketed(_sets(docs, wanted, k)) as sets:
+        return rows, _linked_roots(regions, sets, threshold, parts)
+
+
+@contextmanager
+def _bucketed(sets: DataFrame) -> Iterator[DataFrame]:
+    """The sets as a table bucketed by class: each round joins its pairs to it without moving the sets."""
+    spark, name = sets.sparkSession, f"shingle_sets_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets.repartition(n, "class").dropDuplicates(["class"]).write.bucketBy(n, "class").saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _linked_roots(regions: DataFrame, sets: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
+    """(class, root) of all linked classes, from written tables."""
     alone = regions.select("class", F.col("class").alias("root")).distinct()
     open_ = materialize(_open_regions(regions, alone), "open-regions")
     links = None
@@ -386,7 +405,7 @@ def class_links(docs: DataFrame, k: int, threshold: Threshold) -> tuple[DataFram
         roots = _roots(links)
         if not last:
             open_ = materialize(_open_regions(open_.select("region", "class"), roots), "open-regions")
-    return rows, roots
+    return roots
 
 
 def jaccard_components(
