@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from promoledger.llm.graph import components
@@ -32,6 +32,7 @@ from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, w
 from promoledger.session import materialize
 
 LEAF, PIVOTS, SPARE, BLOCK_KEYS = 32, 8, 4, 1 << 20
+BATCH_ROWS = "500"
 BUCKETS, REGION_ROWS, HUB_ROUNDS, BEST_ROUNDS = 256, 4096, 1, 2
 
 
@@ -295,8 +296,8 @@ class RegionJoin:
                     self.join(rows[inside[:, q]])
                 return
         # A small cell, or one that pivots do not split: all its pairs, a few rows at a time.
-        for i in range(0, len(rows), LEAF):
-            self.compare(rows[i : i + LEAF], rows[i:])
+        for i in range(0, len(rows), 8):
+            self.compare(rows[i : i + 8], rows[i:])
 
     def pairs(self, best: bool) -> np.ndarray:
         """(larger, smaller) classes of the pairs; with ``best`` the closest partner of each member only."""
@@ -372,10 +373,22 @@ def class_links(docs: DataFrame, k: int, threshold: Threshold) -> tuple[DataFram
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     regions = materialize(_regions(docs, k, threshold, parts).distinct(), "regions")
     wanted = rows.join(regions.select("class").distinct(), "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    with _bucketed(_sets(docs, wanted, k)) as sets:
+    with _short_batches(docs.sparkSession), _bucketed(_sets(docs, wanted, k)) as sets:
         return rows, _linked_roots(regions, sets, threshold, parts)
 
 
+@contextmanager
+def _short_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows per Arrow batch: rows of pairs hold two whole sets."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def _bucketed(sets: DataFrame) -> Iterator[DataFrame]:
     """The sets as a table bucketed by class: each round joins its pairs to it without moving the sets."""
