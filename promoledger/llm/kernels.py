@@ -58,6 +58,11 @@ class RangeHash:
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(U) * U(_SEED))
 
+    def every(self, size: int) -> np.ndarray:
+        """Hash of every range of ``size`` bytes, by start."""
+        n = len(self.sums) - size
+        return mix((self.sums[size:] - self.sums[:n]) * self.down[:n] + U(size * _SEED % (1 << 64)))
+
 
 def combine(hashes: list[np.ndarray]) -> np.ndarray:
     """One hash for an ordered tuple of hashes."""
