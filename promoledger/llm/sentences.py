@@ -1,9 +1,12 @@
 """Removing repeated passages by sliding spans of sentences.
 
-Every run of three consecutive sentences, and every shorter run of 25 words or more, is hashed over
-its lower-cased words. Spans join globally on the hash; the first occurrence (smallest id, then
-position) stays and the sentences under every later one go. Rows of a frequent span are combined to
-its first occurrence before the shuffle; joining back is a skew join with one row per span.
+From every sentence the shortest run of at least three sentences and LEAST_WORDS words is hashed over
+its lower-cased words, so short sentences are covered by longer runs; so is the run that ends a text
+(the whole text if it has three sentences and too few words), and every run of one or two sentences of
+25 words or more. A character of a script without spaces counts as a half or a quarter of a word.
+Spans join globally on the hash; the first occurrence (smallest id, then position) stays and the words
+under every later one go. Rows of a frequent span are combined to its first occurrence before the
+shuffle; joining back is a skew join with one row per span.
 """
 
 from __future__ import annotations
@@ -12,78 +15,146 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.llm.kernels import LOWER, RangeHash, U, mix, slices, word_ranges
+from promoledger.llm.kernels import LOWER, SPACE, RangeHash, U, mix, slices
 
 RUN, LONG_RUN_WORDS, LEAST_WORDS = 3, 25, 6
+PLACE = 1 << 32
+WORD = 4  # weight of a word; characters of scripts without spaces weigh 2 or 1
 _END = np.zeros(256, bool)
 _END[list(b".!?")] = True
 
 
 def sentence_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, row) of every sentence of every non-empty row. A sentence ends with its line or with the
-    white space after a full stop, question or exclamation mark; the pieces of a text add up to it."""
+    """(start, row) of every sentence of every non-empty row. A sentence ends with its line, with the
+    white space after a full stop, question or exclamation mark, or with a full-width one of these;
+    the pieces of a text add up to it."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     space = np.isin(data, (9, 10, 11, 12, 13, 32))
     cut = np.zeros(len(data) + 1, bool)
     cut[1:] = data == 10
     cut[2:] |= _END[data[:-1]] & space[1:]
+    if len(data) > 2:
+        a, b, c = data[:-2], data[1:-1], data[2:]
+        cut[3:] |= ((a == 0xE3) & (b == 0x80) & (c == 0x82)) | ((a == 0xEF) & (b == 0xBC) & ((c == 0x81) | (c == 0x9F)))
     cut[off] = True
     starts = np.flatnonzero(cut[:-1])
     return starts, np.searchsorted(off, starts, "right") - 1
 
 
-def sentence_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, row, number of words, hash of the words) of every sentence."""
-    start, row = sentence_bounds(data, off)
-    low = LOWER[data]
-    first, last, _ = word_ranges(low, off)
-    owner = np.searchsorted(start, first, "right") - 1
-    words = np.bincount(owner, minlength=len(start))
-    h = RangeHash(low)(first, last) if len(first) else np.zeros(0, U)
-    place = (np.arange(len(first)) - (np.cumsum(words) - words)[owner]).astype(U)
-    total = np.zeros(len(start), U)
-    np.add.at(total, owner, mix(h + mix(place + U(1))))
-    return start, row, words, total
-
-
-def _spans(row: np.ndarray, words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first sentence, number of sentences with words, hash) of the spans; wordless sentences are passed over."""
-    at = np.flatnonzero(words)
-    out = []
-    for n in range(1, RUN + 1):
-        if len(at) < n:
-            break
-        heads = at[: len(at) - n + 1]
-        size = sum(words[at[i : len(at) - n + 1 + i]] for i in range(n))
-        same = row[heads] == row[at[n - 1 :]]
-        h = np.full(len(heads), n, U)
-        for i in range(n):
-            h = mix(h * U(0xD1342543DE82EF95) + hashes[at[i : len(at) - n + 1 + i]])
-        take = same & ((size >= LONG_RUN_WORDS) if n < RUN else (size >= LEAST_WORDS))
-        out.append((heads[take], np.full(int(take.sum()), n), h[take]))
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U)
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+def weighed_words(data: np.ndarray, off: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, weight) of every word; characters of scripts without spaces are words of their own."""
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    after = np.append(data[1:], 0)
+    wide = (data >= 0xE3) & (data <= 0xE9) | (data == 0xEF) & (after >= 0xBC) & (after <= 0xBE)
+    thai = (data == 0xE0) & (after >= 0xB8) & (after <= 0xBB)
+    burmese = (data == 0xE1) & ((after >= 0x80) & (after <= 0x82) | (after == 0x9E))
+    single = np.flatnonzero(wide | thai | burmese)
+    edge = np.zeros(n + 4, bool)
+    edge[off] = edge[start] = edge[n] = True
+    edge[single] = edge[single + 3] = True
+    space = SPACE[data]
+    head, tail = edge[:n].copy(), edge[1 : n + 1].copy()
+    head[1:] |= space[:-1]
+    tail[:-1] |= space[1:]
+    first = np.flatnonzero(head & ~space)
+    weight = np.full(n, WORD)
+    weight[single] = np.where(wide[single], 2, 1)
+    return first, np.flatnonzero(tail & ~space) + 1, weight[first]
+
+
+class Words:
+    """The words of a slice with their sentences and rows; ``spans`` lists the hashed runs."""
+
+    def __init__(self, data: np.ndarray, off: np.ndarray):
+        low = LOWER[data]
+        self.start, self.row = sentence_bounds(data, off)
+        self.first, last, weight = weighed_words(low, off, self.start)
+        self.owner = np.searchsorted(self.start, self.first, "right") - 1
+        self.table = RangeHash(low)
+        self.hashes = self.table(self.first, last) if len(self.first) else np.zeros(0, U)
+        self.mass = np.concatenate([[0], np.cumsum(weight)])
+        self.begin = np.flatnonzero(np.diff(self.owner, prepend=-1))  # first word of every sentence with words
+        self.texts = self.row[self.owner]
+        self.text_begin = np.searchsorted(self.texts, np.arange(len(off)))
+
+    def ranges(self) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, end word) of the spans."""
+        begin, mass = self.begin, self.mass
+        end = np.append(begin[1:], len(self.first))
+        n, text = len(begin), self.texts[begin]
+        size, reach = mass[end], mass[begin]
+        heads, out = np.arange(n), []
+        for k in range(1, RUN):
+            to = heads[: max(n - k + 1, 0)] + k - 1
+            at = heads[: len(to)]
+            take = (text[at] == text[to]) & (size[to] - reach[at] >= LONG_RUN_WORDS * WORD)
+            out.append((begin[at[take]], end[to[take]]))
+        to = np.maximum(heads + RUN - 1, np.searchsorted(size, reach + LEAST_WORDS * WORD))
+        at = heads[to < n]
+        at = at[text[at] == text[to[at]]]
+        out.append((begin[at], end[to[at]]))
+        # The run that ends each text.
+        lo = np.flatnonzero(np.diff(text, prepend=-1))
+        hi = np.append(lo[1:], n) - 1
+        enough = np.searchsorted(reach, size[hi] - LEAST_WORDS * WORD, "right") - 1
+        at = np.maximum(np.minimum(enough, hi - RUN + 1), lo)
+        take = hi - at + 1 >= RUN
+        out.append((begin[at[take]], end[hi[take]]))
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, first word in its text, number of words, hash) of the spans."""
+        if not len(self.first):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U)
+        a, b = self.ranges()
+        sums = np.zeros(len(self.hashes) + 1, U)
+        np.cumsum(self.hashes * self.table.up[: len(self.hashes)], out=sums[1:])
+        h = mix((sums[b] - sums[a]) * self.table.down[a] + mix((b - a).astype(U)))
+        row = self.texts[a]
+        return row, a - self.text_begin[row], b - a, h
+
+    def without(self, data: np.ndarray, off: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes left, offsets, sentences with words, sentences cut) of the rows without words a to b.
+        A word goes with the space up to the next one; the first and last go with their sentence's ends."""
+        size = len(off) - 1
+        steps = np.zeros(len(self.first) + 1, np.int64)
+        np.add.at(steps, a, 1)
+        np.add.at(steps, b, -1)
+        drop = np.cumsum(steps[:-1]) > 0
+        head = self.first.copy()
+        head[self.begin] = self.start[self.owner[self.begin]]
+        tail = np.append(head[1:], len(data))
+        last = np.append(self.begin[1:], len(self.first)) - 1
+        if len(self.first):
+            tail[last] = np.append(self.start[1:], len(data))[self.owner[last]]
+        edge = np.zeros(len(data) + 1, np.int64)
+        edge[head[drop]] += 1
+        edge[tail[drop]] -= 1
+        left = np.cumsum(edge[:-1]) == 0
+        held = np.concatenate([[0], np.cumsum(left)])
+        counts = np.bincount(self.texts[self.begin], minlength=size)
+        return data[left], held[off], counts, np.bincount(self.row[np.unique(self.owner[drop])], minlength=size)
 
 
 def repeated_spans(keyed: DataFrame) -> DataFrame:
-    """(id, tag, spans) of the texts that hold later occurrences; ``keyed``: (id, tag, text).
+    """(id, tag, places) of the texts that hold later occurrences; ``keyed``: (id, tag, text).
 
-    ``spans`` lists first sentence and length; both count sentences with words from the text's start.
+    ``places`` lists first word (times PLACE) plus number of words, counted from the text's start.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, off in slices(batch.column(2)):
-                _, row, words, hashes = sentence_words(data, off)
-                head, n, h = _spans(row, words, hashes)
-                first = np.searchsorted(row, np.arange(hi - lo + 1))
-                take = pa.array(lo + row[head])
-                place = (head - first[row[head]]).astype(np.int64) * 4 + n
+                row, first, n, h = Words(data, off).spans()
+                take = pa.array(lo + row)
+                place = first * PLACE + n
                 arrays = [batch.column(0).take(take), batch.column(1).take(take), pa.array(place), pa.array(h.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(arrays, ["id", "tag", "place", "span"])
 
@@ -114,34 +185,14 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, off in slices(batch.column(1)):
-                start, row = sentence_bounds(data, off)
-                first, _, _ = word_ranges(data, off)
-                full = np.bincount(np.searchsorted(start, first, "right") - 1, minlength=len(start)) > 0
-                cuts = np.searchsorted(row, np.arange(hi - lo + 1))
-                ends = np.append(start[1:], len(data))
-                texts, counts, gone = [], [], []
-                raw = data.tobytes()
-                for i in range(hi - lo):
-                    a, b = int(cuts[i]), int(cuts[i + 1])
-                    places = batch.column(2)[lo + i].as_py()
-                    counts.append(int(full[a:b].sum()))
-                    if batch.column(1)[lo + i].as_py() is None:
-                        texts.append(None)
-                        gone.append(0)
-                        continue
-                    if not places:
-                        texts.append(raw[off[i] : off[i + 1]].decode())
-                        gone.append(0)
-                        continue
-                    at, drop = np.flatnonzero(full[a:b]), np.zeros(b - a, bool)
-                    rank = np.cumsum(full[a:b]) - 1
-                    for place in places:
-                        head, n = place >> 2, place & 3
-                        drop[at[rank[head] : rank[head] + n]] = True
-                    gone.append(int(drop.sum()))
-                    texts.append(b"".join(raw[start[a + j] : ends[a + j]] for j in np.flatnonzero(~drop)).decode())
-                size = hi - lo
-                arrays = [batch.column(0).slice(lo, size), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())]
+                size, words = hi - lo, Words(data, off)
+                places = batch.column(2).slice(lo, size)
+                first = pc.list_flatten(places).to_numpy(zero_copy_only=False).astype(np.int64)
+                begin = words.text_begin[pc.list_parent_indices(places).to_numpy(zero_copy_only=False)] + first // PLACE
+                left, ends, counts, gone = words.without(data, off, begin, begin + first % PLACE)
+                texts = pa.StringArray.from_buffers(size, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(left.tobytes()))
+                texts = pc.if_else(batch.column(1).slice(lo, size).is_valid(), texts, None)
+                arrays = [batch.column(0).slice(lo, size), texts, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["row", "text", "n_sentences", "n_removed"])
 
     kind = rows.schema["row"].dataType.simpleString()

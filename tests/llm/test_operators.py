@@ -273,6 +273,18 @@ def test_repeated_passages(spark, odd, empty):
     assert got[0] == rows[0][1] and all("passage" not in got[i] and f"Only {i}" in got[i] and f"And {i}" in got[i] for i in range(1, 30))
 
 
+def test_repeats_of_short_sentences(spark, empty):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(400)]
+    short = " ".join(f"{w}!!" for w in words[:165])
+    han = ["".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 5000, 60)) for _ in range(3)]
+    rows = [(1, short), (2, short), (3, "in. " * 200), (4, f"Before it is new. {short}"), (5, "\n".join(han)), (6, "\n".join(han)), (7, "one. two. six."), (8, "one. two. six."), (9, "a b c. d. e f. g"), (10, "a b c. d. e f. g")]
+    got = {r.doc_id: r for r in sentences.remove_repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[i].text for i in (1, 5, 7, 9)] == [rows[i - 1][1] for i in (1, 5, 7, 9)]
+    assert [got[i].text for i in (2, 4, 6, 8, 10)] == ["", "Before it is new. ", "", "", ""]
+    assert got[3].text == "in. " and got[3].n_sentences == 200 and got[3].n_removed == 199
+
+
 def brute_rules(text):
     w = WORD.findall(text or "")
     grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
