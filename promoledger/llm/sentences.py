@@ -4,9 +4,13 @@ From every sentence the shortest run of at least three sentences and LEAST_WORDS
 its lower-cased words, so short sentences are covered by longer runs; so is the run that ends a text
 (the whole text if it has three sentences and too few words), and every run of one or two sentences of
 25 words or more. A character of a script without spaces counts as a half or a quarter of a word.
-Spans join globally on the hash; the first occurrence (smallest id, then position) stays and the words
-under every later one go. Rows of a frequent span are combined to its first occurrence before the
-shuffle; joining back is a skew join with one row per span.
+Sentences of more than UNCUT_WORDS are cut into units where the hash of two neighbouring words is 0
+modulo CUT_EVERY, so that spans re-align inside them: from every unit the shortest run of 25 words is
+hashed too. A repeat loses at most the words before its first and after its last such place.
+
+Spans meet globally by hash; the first occurrence (smallest id, then position) stays and the words
+under every later one go. Each chunk of texts settles its own repeats and sends one entry per distinct
+span to the span's part, so a frequent span costs its part one entry per chunk.
 """
 
 from __future__ import annotations
@@ -16,12 +20,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promoledger.llm.kernels import LOWER, SPACE, RangeHash, U, mix, slices
 
 RUN, LONG_RUN_WORDS, LEAST_WORDS = 3, 25, 6
+UNCUT_WORDS, CUT_EVERY, CHUNK_BYTES = 12, 5, 4 << 20
 PLACE = 1 << 32
 WORD = 4  # weight of a word; characters of scripts without spaces weigh 2 or 1
 _END = np.zeros(256, bool)
@@ -107,8 +113,26 @@ class Words:
         at = np.maximum(np.minimum(enough, hi - RUN + 1), lo)
         take = hi - at + 1 >= RUN
         out.append((begin[at[take]], end[hi[take]]))
+        out.append(self.unit_ranges(begin, end))
         return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
+    def unit_ranges(self, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, end word) of the runs of units that start or end inside a sentence."""
+        mass, n = self.mass, len(self.first)
+        cut = np.zeros(n, bool)
+        cut[1:] = mix(self.hashes[:-1] + mix(self.hashes[1:])) % U(CUT_EVERY) == 0
+        cut &= np.repeat(mass[end] - mass[begin] > UNCUT_WORDS * WORD, end - begin)
+        whole = np.zeros(n + 1, bool)
+        whole[begin] = whole[n] = True
+        cut |= whole[:-1]
+        head = np.flatnonzero(cut)
+        stop = np.append(head[1:], n)
+        to = np.searchsorted(mass[stop], mass[head] + LONG_RUN_WORDS * WORD)
+        at = np.flatnonzero(to < len(head))
+        a, b = head[at], stop[to[at]]
+        take = (self.texts[a] == self.texts[b - 1]) & ~(whole[a] & whole[b])
+        return a[take], b[take]
+
     def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(row, first word in its text, number of words, hash) of the spans."""
         if not len(self.first):
@@ -143,32 +167,99 @@ class Words:
         return data[left], held[off], counts, np.bincount(self.row[np.unique(self.owner[drop])], minlength=size)
 
 
+def _ranks(ids: pa.Array) -> np.ndarray:
+    """Dense ranks; NULL ids come last, so a text with an id is never cut in favour of one without."""
+    return pc.rank(ids, "ascending", null_placement="at_end", tiebreaker="dense").to_numpy().astype(np.int64)
+
+
+def _shared(h: np.ndarray) -> np.ndarray:
+    """Whether another entry has the same hash."""
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    out = np.zeros(len(h), bool)
+    out[order[1:]] = same
+    out[order[:-1]] |= same
+    return out
+
+
+def _later(h: np.ndarray, rank: np.ndarray, tag: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order by hash and occurrence, whether each is another occurrence than its hash's first); entries
+    that agree in everything are one occurrence, of which one is marked."""
+    order = np.lexsort((place, tag, rank, h))
+    columns = [c[order] for c in (h, rank, tag, place)]
+    if not len(h):
+        return order, np.zeros(0, bool)
+    new = np.append(True, columns[0][1:] != columns[0][:-1])
+    differs = np.append(True, np.any([c[1:] != c[:-1] for c in columns], axis=0))
+    return order, ~new & differs
+
+
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """(id, tag, places) of the texts that hold later occurrences; ``keyed``: (id, tag, text).
 
     ``places`` lists first word (times PLACE) plus number of words, counted from the text's start.
     """
 
+    parts = 2 * int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        rows, tags, ids, held = [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal held
+            row, first, n, h = (np.concatenate(c) for c in zip(*rows, strict=True))
+            key, tag = pa.concat_arrays(ids), np.concatenate(tags)
+            place = first * PLACE + n
+            order, later = _later(h, _ranks(key)[row], tag[row], place)
+            row, place, h = row[order], place[order], h[order]
+            # One entry per span goes to the span's part; what is settled here goes anywhere.
+            new = np.append(True, h[1:] != h[:-1]) if len(h) else later
+            part = np.where(new, (h % U(parts)).astype(np.int64), parts + task % parts)
+            keep = np.flatnonzero(new | later)
+            keep = keep[np.argsort(part[keep], kind="stable")]
+            cuts = np.append(np.flatnonzero(np.diff(part[keep], prepend=-1)), len(keep))
+            lists = [key.take(pa.array(row[keep])), pa.array(tag[row[keep]]), pa.array(place[keep]), pa.array(h[keep].view(np.int64))]
+            offsets = pa.array(cuts.astype(np.int32))
+            for x in (rows, tags, ids):
+                x.clear()
+            held = 0
+            arrays = [pa.array(part[keep][cuts[:-1]].astype(np.int32)), *(pa.ListArray.from_arrays(offsets, x) for x in lists)]
+            return pa.RecordBatch.from_arrays(arrays, ["part", "id", "tag", "place", "span"])
+
         for batch in batches:
             for lo, hi, data, off in slices(batch.column(2)):
-                row, first, n, h = Words(data, off).spans()
-                take = pa.array(lo + row)
-                place = first * PLACE + n
-                arrays = [batch.column(0).take(take), batch.column(1).take(take), pa.array(place), pa.array(h.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, ["id", "tag", "place", "span"])
+                row, *found = Words(data, off).spans()
+                rows.append((row + sum(map(len, tags)), *found))
+                ids.append(batch.column(0).slice(lo, hi - lo))
+                tags.append(batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False))
+                held += len(data)
+                if held >= CHUNK_BYTES:
+                    yield flush()
+        if rows:
+            yield flush()
+
+    def settle(table: pa.Table) -> pa.Table:
+        key, tag, place, span = (table.column(c).combine_chunks() for c in ("id", "tag", "place", "span"))
+        key, tag, place, span = (c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in (key, tag, place, span))
+        key, tag, place, span = (c.flatten() for c in (key, tag, place, span))
+        tags, places = tag.to_numpy(), place.to_numpy()
+        take = np.arange(len(tags))
+        if table.column("part")[0].as_py() < parts:
+            h = span.to_numpy().view(U)
+            some = np.flatnonzero(_shared(h))
+            order, later = _later(h[some], _ranks(key.take(pa.array(some))), tags[some], places[some])
+            take = some[order[later]]
+        return pa.table([key.take(pa.array(take)), pa.array(tags[take]), pa.array(places[take])], ["id", "tag", "place"])
 
     kind = keyed.schema["id"].dataType.simpleString()
-    spans = keyed.mapInArrow(run, f"id {kind}, tag long, place long, span long")
-    # NULL ids come last, so a text with an id is never cut in favour of one without.
-    where = F.struct(F.col("id").isNull().alias("no_id"), "id", "tag", "place")
-    firsts = spans.groupBy("span").agg(F.min(where).alias("first"), F.max(where).alias("last")).filter("first <> last").select("span", "first")
-    later = spans.join(firsts, "span").filter(where != F.col("first"))
+    sent = keyed.mapInArrow(run, f"part int, id array<{kind}>, tag array<long>, place array<long>, span array<long>")
+    later = sent.groupBy("part").applyInArrow(settle, f"id {kind}, tag long, place long")
     return later.groupBy("id", "tag").agg(F.collect_list("place").alias("places"))
 
 
 def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
-    """``docs`` with shortened texts and two columns: ``n_sentences`` and ``n_removed``.
+    """``docs`` with shortened texts and two columns: ``n_sentences`` and ``n_removed`` (cut in whole or in part).
 
     Repeats inside a text count too. Rows that agree in id and text are one occurrence and stay alike.
     NULL texts stay NULL with no sentences, empty texts stay empty. A text may become empty; its row

@@ -285,6 +285,24 @@ def test_repeats_of_short_sentences(spark, empty):
     assert got[3].text == "in. " and got[3].n_sentences == 200 and got[3].n_removed == 199
 
 
+def test_repeats_inside_sentences(spark, monkeypatch):
+    monkeypatch.setattr(sentences, "CHUNK_BYTES", 500)
+    rng = np.random.default_rng(6)
+    fresh = lambda n: " ".join(f"f{i}" for i in rng.integers(0, 1 << 40, n))
+    passage = " ".join(f"p{i}" for i in range(76))
+    rows = [(i, f"{fresh(20)} {passage} {fresh(25)}") for i in range(24)] + [(99, f"{fresh(10)}. {fresh(30)} {passage}. {fresh(9)}.")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in sentences.remove_repeated_passages(frame).collect()}
+    assert got[0].text == rows[0][1]
+    for i, text in rows[1:]:
+        left = got[i].text.split()
+        assert [w for w in left if w[0] == "f"] == [w for w in text.split() if w[0] == "f"]
+        assert sum(w[0] == "p" for w in left) < 25 and got[i].n_removed == 1
+    names = [(f"k{i:02}", text) for i, text in rows[:5]]
+    got = {r.doc_id: r.text for r in sentences.remove_repeated_passages(spark.createDataFrame(names, "doc_id string, text string")).collect()}
+    assert [len(got[k]) == len(text) for k, text in names] == [True] + 4 * [False]
+
+
 def brute_rules(text):
     w = WORD.findall(text or "")
     grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
