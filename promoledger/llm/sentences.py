@@ -255,7 +255,7 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     kind = keyed.schema["id"].dataType.simpleString()
     sent = keyed.mapInArrow(run, f"part int, id array<{kind}>, tag array<long>, place array<long>, span array<long>")
     later = sent.groupBy("part").applyInArrow(settle, f"id {kind}, tag long, place long")
-    return later.groupBy("id", "tag").agg(F.collect_list("place").alias("places"))
+    return later.groupBy("id", "tag").agg(F.collect_set("place").alias("places"))
 
 
 def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:

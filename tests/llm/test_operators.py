@@ -303,6 +303,14 @@ def test_repeats_inside_sentences(spark, monkeypatch):
     assert [len(got[k]) == len(text) for k, text in names] == [True] + 4 * [False]
 
 
+def test_places_of_rows_that_agree(spark, monkeypatch):
+    monkeypatch.setattr(sentences, "CHUNK_BYTES", 500)
+    text = " ".join(f"Sentence {w} of the passage has some words." for w in "abcdefgh")
+    rows = [(1, 0, text)] + [(None, 5, text)] * 60
+    (found,) = sentences.repeated_spans(spark.createDataFrame(rows, "id bigint, tag bigint, text string").repartition(4)).collect()
+    assert found.id is None and len(found.places) == len(set(found.places))
+
+
 def brute_rules(text):
     w = WORD.findall(text or "")
     grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
