@@ -10,6 +10,8 @@ pieces of the emptiest ones, which leaves at most one padded window per partitio
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -27,11 +29,15 @@ _encodings: dict[str, tiktoken.Encoding] = {}
 
 
 def byte_encoding(name: str) -> tiktoken.Encoding:
-    """The rank file ``name`` as an encoder, loaded once per worker. Special strings are ordinary text."""
+    """The rank file ``name`` as an encoder, loaded once per worker; added tokens are those of the vocabulary beside it."""
     if name not in _encodings:
         with open(public_tokenizers.path(name), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _encodings[name] = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        vocabulary, added = public_tokenizers.path(name.replace(".tiktoken", ".json")), {}
+        if os.path.exists(vocabulary):
+            with open(vocabulary, encoding="utf-8") as lines:
+                added = {t["content"]: t["id"] for t in json.load(lines)["added_tokens"]}
+        _encodings[name] = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
     return _encodings[name]
 
 
@@ -113,7 +119,8 @@ def pack(
     schema = f"`{id_col}` {kind.simpleString()}, {_FIELDS}" + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = byte_encoding(ranks).encode_ordinary, LevelPacker(window)
+        encoding, packer = byte_encoding(ranks), LevelPacker(window)
+        added = encoding.special_tokens_set
         sequence, rows, id_type = TaskContext.get().partitionId() << 33, [], None
 
         def emit(pieces: list) -> None:
@@ -138,7 +145,7 @@ def pack(
         for batch in batches:
             id_type = batch.column(0).type
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "")
+                ids = encoding.encode(text.as_py() or "", allowed_special=added, disallowed_special=())
                 ids.append(end_id)
                 ids = np.array(ids, "<u4")
                 doc, tokens, cut = doc.as_py(), len(ids), len(ids) - len(ids) % window

@@ -181,6 +181,15 @@ def test_packing_round_trip(odd, empty):
         assert ids == reference.encode(text, add_special_tokens=False).ids + [1]
 
 
+def test_packing_matches_added_tokens(spark):
+    texts = ["end of file <|endoftext|> next", "<|endoftext|><|endoftext|>", "a  <|endoftext|>\n b <|endoftext", "plain"]
+    pieces = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for p in pieces:
+        ids = reference.encode(texts[p.doc_id], add_special_tokens=False).ids + [1]
+        assert list(p.ids) == ids and p.length == p.doc_tokens == len(ids)
+
+
 @needs_tables
 def test_packing_leaves_little_padding(spark):
     per = queries.op4_packing(spark, SF).groupBy("sequence_id").agg(F.sum("length").alias("n")).toPandas()
