@@ -398,6 +398,36 @@ def test_word_chances_add_up():
     assert owner[-1] == 255
 
 
+def test_order_of_words_counts(spark, monkeypatch):
+    monkeypatch.setattr(mixing_model, "CHUNK_BYTES", 2000)
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    text = "the cat sat on a mat while old dogs slept under green trees"
+    rows = [(i, text) for i in range(200)]
+    rows[held[0]], rows[held[1]] = (held[0], text), (held[1], " ".join(reversed(text.split())))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in mixing_model.score_documents(frame).collect()}
+    plain, turned = got[held[0]], got[held[1]]
+    assert math.isclose(plain.base_score, turned.base_score, rel_tol=1e-9) and plain.score > turned.score + 5
+
+
+def test_key_counts_leave_out_the_held_fold(spark):
+    rows = [(i, "red fox" if i % 2 else "red hen") for i in range(100)]
+    n = [zlib.crc32(str(i).encode()) % 7 != 2 for i in range(100)]
+    chunks = mixing_model._chunks(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(1), 4)
+    (text,) = chunks.filter("part < 0").collect()
+    sequence, doc, keys = mixing_model._body(text.body)
+    _, places, _ = mixing_model._key_order(keys, 8)
+    found = sorted(mixing_model._key_counts(chunks.filter("part < 0"), 8).collect(), key=lambda r: r.part)
+    counts = np.concatenate([mixing_model._unpacked(r.found, 0)[0] for r in found])
+    pairs = Counter(zip(np.roll(sequence, 1).tolist(), sequence.tolist()))
+    assert len(doc) == 300 and len(pairs) == 5
+    for k, (a, b) in enumerate(zip(np.roll(sequence, 1), sequence)):
+        same = (np.roll(sequence, 1) == a) & (sequence == b)
+        used = ~np.array(text.held)[doc]
+        assert counts[places[0][k]] == (same & used).sum()
+    assert sum(n) == counts[places[0][0]]
+
+
 @needs_tables
 def test_pipeline_stages(spark):
     docs = docs_of(spark)
