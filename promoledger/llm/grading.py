@@ -83,11 +83,12 @@ def telling(rows: np.ndarray, ids: np.ndarray, grades: np.ndarray, size: int, le
 def train_ordinal(
     rows: np.ndarray, ids: np.ndarray, grades: np.ndarray, bits: int = BITS, min_docs: int = MIN_DOCS, rounds: int = ROUNDS, shrink: float = 2e-4
 ) -> OrdinalModel:
-    """Cumulative logit by Adam. Features that do not tell grades apart keep weight 0."""
+    """Cumulative logit by Adam. Features that do not tell grades apart keep weight 0. Without ratings
+    the best grade has a chance of just over one half."""
     size, k = 1 << bits, GRADES - 1
     seen = telling(rows, ids, grades, size, LEAST_Z, min_docs)
     rows, ids = rows[seen[ids]], ids[seen[ids]]
-    cut = np.array([np.clip(np.mean(grades > g), 0.01, 0.99) for g in range(k)]) if len(grades) else np.full(k, 0.5)
+    cut = np.array([np.clip(np.mean(grades > g), 0.01, 0.99) for g in range(k)]) if len(grades) else np.full(k, 0.5 + 2e-3 * k)
     cut = np.minimum.accumulate(cut - 1e-3 * np.arange(k))
     base = -np.log(cut / (1 - cut))
     # Thresholds stay ordered: the first is free, each further one adds a positive step.

@@ -362,6 +362,14 @@ def test_grades(spark, odd, empty, labels):
     assert grading.grade_documents(odd, undecided, columns=odd.columns[:6]).count() == 13
 
 
+def test_all_rows_kept_without_ratings(spark, odd, empty, labels):
+    foreign = spark.createDataFrame([(10**9, 0, 1), (10**9 + 1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    unrated = spark.createDataFrame([(1, None, None), (5, None, None)], "doc_id bigint, quality int, toxic int")
+    for docs, rated in ((odd, labels.limit(0)), (empty, labels), (odd, foreign), (odd, unrated)):
+        rows = grading.grade_documents(odd, grading.fit_grades(docs, rated)).collect()
+        assert len(rows) == 13 and all(r.kept for r in rows)
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables not present")
 def test_grades_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
