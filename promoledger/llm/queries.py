@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from promoledger.llm import grading, jaccard, lattice, lines, mixing, mixing_model, packing, sentences, sharding, suffixes
+from promoledger.llm import collocations, grading, jaccard, lattice, lines, mixing, mixing_model, packing, pieces, periods, sentences, sharding, suffixes
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -73,3 +73,18 @@ def op10_context_mixing(spark, sf):
 @query
 def op5_suffix_dedup(spark, sf):
     return suffixes.remove_repeated_bytes(_read(spark, sf, "documents"), with_text=False)
+
+
+@query
+def op11_collocations(spark, sf):
+    return collocations.mine_collocations(_read(spark, sf, "documents"))
+
+
+@query
+def op12_pieces(spark, sf):
+    return pieces.encode_pieces(_read(spark, sf, "documents"), with_ids=False)
+
+
+@query
+def op13_periods(spark, sf):
+    return periods.collapse_periodic_runs(_read(spark, sf, "documents"), planted=True)
