@@ -27,8 +27,9 @@ from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices
 from promoledger.session import materialize, scratch_path, scratch_scope
 
 SHARDS, LONGEST, LEAST_COUNT, SUPPORT_PERCENT, TOP, SCALE = 3, 4, 30, 80, 2000, 2_000_000
-# Words of a written row, phrases counted at once, counters of a part (as powers of two), bits of the largest filter.
-ROW_WORDS, HELD_PHRASES, PART_BITS, FILTER_BITS = 1 << 18, 1 << 21, 18, 1 << 29
+# Words of a written row, words of phrases counted at once, counters of a part (a power of two), bits of the largest filter; bytes of text at once.
+ROW_WORDS, HELD_PHRASES, PART_BITS, FILTER_BITS = 1 << 17, 1 << 20, 18, 1 << 29
+SLICE = 1 << 19
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 32]] = True
 _CUT = np.zeros(256, bool)
@@ -54,18 +55,17 @@ class _Shelf:
 
     def __init__(self):
         self.codes: list[np.ndarray] = []
-        self.found: dict[int, list] = {}
+        self.phrases: list[np.ndarray] = []
+        self.spelling: dict[int, bytes] = {}
         self.n_words = 0
 
     def add(self, codes: np.ndarray, pieces: np.ndarray, text: bytes, starts: np.ndarray, ends: np.ndarray) -> None:
         self.n_words += len(codes)
-        distinct, first, count = np.unique(codes, return_index=True, return_counts=True)
-        for code, k, n in zip(distinct.tolist(), first.tolist(), count.tolist(), strict=True):
-            known = self.found.get(code)
-            if known is None:
-                self.found[code] = [text[starts[k] : ends[k]], n]
-            else:
-                known[1] += n
+        self.codes.append(codes)
+        distinct, first = np.unique(codes, return_index=True)
+        for code, k in zip(distinct.tolist(), first.tolist(), strict=True):
+            if code not in self.spelling:
+                self.spelling[code] = text[starts[k] : ends[k]]
         # Single words have no phrase; 0 ends a piece.
         follows = pieces[1:] == pieces[:-1]
         shared = np.zeros(len(codes), bool)
@@ -73,38 +73,36 @@ class _Shelf:
         shared[:-1] |= follows
         codes, pieces = codes[shared], pieces[shared]
         breaks = np.flatnonzero(pieces[1:] != pieces[:-1]) + 1
-        self.codes += [np.insert(codes, breaks, U(0)), np.zeros(1, U)]
+        self.phrases += [np.insert(codes, breaks, U(0)), np.zeros(1, U)]
 
-    def row(self, lang: str, shard: int) -> tuple:
-        codes = np.concatenate(self.codes)
-        words = [{"word": w, "code": np.uint64(c).astype(np.int64).item(), "n": n} for c, (w, n) in self.found.items()]
-        return shard, lang, codes.tobytes(), self.n_words, words
+    def row(self, lang: str, shard: int) -> pa.RecordBatch:
+        codes, counts = np.unique(np.concatenate(self.codes), return_counts=True)
+        words = pa.array([self.spelling[c] for c in codes.tolist()], pa.binary())
+        words = pa.StructArray.from_arrays([words, pa.array(codes.view(np.int64)), pa.array(counts)], ["word", "code", "n"])
+        words = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+        phrases = pa.array([np.concatenate(self.phrases).tobytes()], pa.binary())
+        columns = [pa.array([shard], pa.int32()), pa.array([lang]), phrases, pa.array([self.n_words]), words]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "lang", "codes", "n_words", "words"])
 
 
 def write_shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", shards: int = SHARDS) -> DataFrame:
     """The documents' words as rows (shard, lang, codes, n_words, words), written once, a folder per shard."""
     schema = f"shard int, lang string, codes binary, n_words bigint, words array<{_WORDS}>"
-    arrow = pa.schema([
-        ("shard", pa.int32()), ("lang", pa.string()), ("codes", pa.binary()), ("n_words", pa.int64()),
-        ("words", pa.list_(pa.struct([("word", pa.binary()), ("code", pa.int64()), ("n", pa.int64())]))),
-    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shelves: dict[str, _Shelf] = {}
         turn, held = TaskContext.get().partitionId(), 0
 
-        def flush(langs: list[str]) -> pa.RecordBatch:
+        def flush(langs: list[str]) -> Iterator[pa.RecordBatch]:
             nonlocal turn, held
-            rows = []
             for lang in langs:
                 shelf = shelves.pop(lang)
                 held -= shelf.n_words
-                rows.append(shelf.row(lang, turn % shards))
+                yield shelf.row(lang, turn % shards)
                 turn += 1
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
         for batch in batches:
-            for lo, hi, data, off in slices(batch.column(0)):
+            for lo, hi, data, off in slices(batch.column(0), SLICE):
                 data, langs = LOWER[data], batch.column(1)[lo:hi].dictionary_encode()
                 starts, ends, row, piece = _words(data, off)
                 if not len(starts):
@@ -122,12 +120,10 @@ def write_shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                     if len(at):
                         shelves.setdefault(name, _Shelf()).add(codes[at], piece[at], text, starts[at], ends[at])
                         held += len(at)
-                if full := [n for n, shelf in shelves.items() if shelf.n_words >= ROW_WORDS]:
-                    yield flush(full)
-                if held >= 8 * ROW_WORDS:
-                    yield flush(list(shelves))
-        if shelves:
-            yield flush(list(shelves))
+                yield from flush([n for n, shelf in shelves.items() if shelf.n_words >= ROW_WORDS])
+                if held >= 4 * ROW_WORDS:
+                    yield from flush(list(shelves))
+        yield from flush(list(shelves))
 
     path = scratch_path(docs.sparkSession, "word-shards")
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")).mapInArrow(run, schema)
