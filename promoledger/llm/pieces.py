@@ -3,32 +3,45 @@
 Encoding keeps an agenda of adjacent symbol pairs ordered by the score of the piece they form, the
 leftmost first among equals; the best pair merges, and the pairs it forms with its neighbours join the
 agenda. Symbols left over that are no piece fall back to their UTF-8 bytes. No piece spans two characters
-that are neighbours in no piece, so a text is cut there, and the ids of recent parts are kept.
+that are neighbours in no piece, so a text is cut there, and the ids of recent parts are kept by a 64-bit
+hash. The new short parts of a batch keep their agendas in common arrays: a round takes the first entry of each.
 Each Arrow batch is compared with the sentencepiece library, ids and decoded texts alike.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import islice
+from itertools import chain, islice
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.llm.kernels import slices
+from promoledger.llm.kernels import RangeHash, slices
 
 MODEL, CACHED_PARTS, SPACE_MARK = "piece_bpe_32k.model", 1 << 19, "▁"
-SHIFT, LOW, UNKNOWN, MERGED = 20, (1 << 20) - 1, -1, -2
+SHIFT, LOW, UNKNOWN, MERGED, NEVER, SHORT = 20, (1 << 20) - 1, -1, -2, (1 << 30) - 1, 48
 _NAMES = ["n_tokens", "ids_sha256", "decoded_sha256", "matches_library"]
+USED, MARK = 1, 2
 _codecs: dict[str, PieceCodec] = {}
 
 
+def ragged(rows: list, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of ``rows[k]`` for every k of ``which`` in a row, and where each begins and the last one ends."""
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    flat = np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum()))
+    picked = sizes[which]
+    ends = np.zeros(len(which) + 1, np.int64)
+    np.cumsum(picked, out=ends[1:])
+    shift = np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], picked)
+    return flat[shift + np.arange(len(shift))], ends
+
+
 class PieceCodec:
     """Encoder and decoder of one vocabulary file."""
 
@@ -45,6 +58,13 @@ class PieceCodec:
                 left, right = self.piece_ids.get(piece[:k]), self.piece_ids.get(piece[k:])
                 if left is not None and right is not None:
                     self.pairs[left << SHIFT | right] = places[sp.get_score(i)] << SHIFT | i
+        self.pair_keys = np.array(sorted(self.pairs), np.int64)
+        self.pair_values = np.array([self.pairs[k] for k in self.pair_keys.tolist()], np.int64)
+        self.characters = np.full(0x110000, UNKNOWN, np.int32)
+        for p, i in self.piece_ids.items():
+            if len(p) == 1:
+                self.characters[ord(p)] = i
+        self.decimal = [str(i) for i in range(size)]
         self.byte_ids = {int(sp.id_to_piece(i)[1:-1], 16): i for i in range(size) if sp.is_byte(i)}
         # Bytes of every id in a decoded text; controls give none.
         self.surface = [b"" if special[i] else sp.id_to_piece(i).replace(SPACE_MARK, " ").encode() for i in range(size)]
@@ -57,9 +77,10 @@ class PieceCodec:
         self.neighbours = {p[k : k + 2] for p in self.piece_ids for k in range(len(p) - 1)}
         # A mark starts a new part, unless a piece holds one after another character.
         inner = any(pair[1] == SPACE_MARK != pair[0] for pair in self.neighbours)
-        self.parts = re.compile(r"(?s).+" if inner else f"(?s){SPACE_MARK}+[^{SPACE_MARK}]*|[^{SPACE_MARK}]+")
-        self.known: dict[str, list[int]] = {}
-        self.cuts: dict[str, list[int]] = {}
+        self.kinds = np.zeros(0x110000, np.uint8)
+        self.kinds[[ord(c) for p in self.piece_ids for c in p]] = USED
+        self.kinds[ord(SPACE_MARK)] = USED if inner else MARK
+        self.known: dict[int, tuple[int, ...]] = {}
         if len(self.byte_ids) != 256 or sp.encode("a  b ") != self.encode("a  b "):
             raise ValueError(f"{path} is not a merge-type vocabulary with byte fallback and plain white space")
 
@@ -99,29 +120,114 @@ class PieceCodec:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, as the library gives them without begin and end ids."""
-        if not text:
-            return []
-        ids: list[int] = []
-        for part in self.parts.findall((SPACE_MARK + text).replace(" ", SPACE_MARK)):
-            got = self.known.get(part)
-            ids += self._part(part) if got is None else got
-        return ids
-
-    def _part(self, part: str) -> list[int]:
-        """Ids of a new part: cut where no piece spans."""
-        ids, start, last = [], 0, len(part)
-        for k in range(1, last + 1):
-            if k == last or part[k - 1 : k + 1] not in self.neighbours:
-                cut = part[start:k]
-                got = self.cuts.get(cut)
-                ids += _keep(self.cuts, cut, self.merge(cut)) if got is None else got
-                start = k
-        return _keep(self.known, part, ids)
+        return self.encode_batch([text])[0].tolist()
+
+    def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, where each text's begin and the last ones end)."""
+        marked = "".join(SPACE_MARK + t for t in texts if t).replace(" ", SPACE_MARK)
+        points = np.frombuffer(marked.encode("utf-32-le"), np.uint32)
+        sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+        if not len(points):
+            return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+        # A mark starts a part, unless one is before it; characters of no piece stand apart.
+        kind = self.kinds[points]
+        starts = np.ones(len(kind), bool)
+        starts[1:] = (kind[1:] != kind[:-1]) & ~((kind[1:] == USED) & (kind[:-1] == MARK))
+        starts[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+        starts = np.flatnonzero(starts)
+        ends = np.append(starts[1:], len(points))
+        at = np.zeros(len(points) + 1, np.int64)
+        np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF), out=at[1:])
+        keys = RangeHash(np.frombuffer(marked.encode(), np.uint8))(at[starts], at[ends])
+        keys, first, which = np.unique(keys, return_index=True, return_inverse=True)
+        known, keys = self.known, keys.tolist()
+        self._learn({key: marked[starts[k] : ends[k]] for key, k in zip(keys, first.tolist(), strict=True) if key not in known})
+        ids, where = ragged([known[key] for key in keys], which)
+        bounds = where[np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)]))]
+        if len(known) > CACHED_PARTS:
+            # The older half goes; frequent parts come back with the next batch.
+            for old in list(islice(known, len(known) - CACHED_PARTS // 2)):
+                del known[old]
+        return ids, bounds
+
+    def _learn(self, parts: dict[int, str]) -> None:
+        """Keep the ids of new parts. Short ones share an agenda, long ones and those with unknown characters have their own."""
+        short = [key for key, part in parts.items() if len(part) <= SHORT]
+        points = np.frombuffer("".join([parts[key] for key in short]).encode("utf-32-le"), np.uint32)
+        symbols, sizes = self.characters[points], np.array([len(parts[key]) for key in short], np.int64)
+        spelt = np.ones(len(short), bool)
+        spelt[np.repeat(np.arange(len(short)), sizes)[symbols == UNKNOWN]] = False
+        rows = np.flatnonzero(spelt)
+        for k, ids in zip(rows.tolist(), self.merge_all(symbols[np.repeat(spelt, sizes)], sizes[rows]), strict=True):
+            self.known[short[k]] = tuple(ids)
+        for key, part in parts.items():
+            if key not in self.known:
+                ids, start, last = [], 0, len(part)
+                for k in range(1, last + 1):
+                    if k == last or part[k - 1 : k + 1] not in self.neighbours:
+                        ids += self.merge(part[start:k])
+                        start = k
+                self.known[key] = tuple(ids)
+
+    def merge_all(self, symbols: np.ndarray, sizes: np.ndarray) -> list[list[int]]:
+        """Ids of many parts at once, given as pieces of one character: every round takes the first entry
+        of each part's agenda (best score, then leftmost), merges it and looks up the pairs it forms."""
+        out: list[list[int]] = [[] for _ in range(len(sizes))]
+        part = np.arange(len(sizes))
+        place, piece = self._formed(symbols, np.append(symbols[1:], UNKNOWN))
+        place[np.cumsum(sizes) - 1] = NEVER
+        while len(part):
+            first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            best = np.minimum.reduceat(place << 32 | np.arange(len(place)), first)
+            open_, at = best >> 32 < NEVER, best & 0xFFFFFFFF
+            if not open_.all():
+                ended = ~open_
+                ids = symbols[np.repeat(ended, sizes)].tolist()
+                ends = np.cumsum(sizes[ended]).tolist()
+                for k, lo, hi in zip(part[ended].tolist(), [0, *ends], ends, strict=False):
+                    out[k] = ids[lo:hi]
+            at, last = at[open_], (first + sizes - 1)[open_]
+            symbols[at] = piece[at]
+            follower = np.minimum(at + 2, len(symbols) - 1)
+            formed, into = self._formed(symbols[at], symbols[follower])
+            place[at], piece[at] = np.where(at + 2 > last, NEVER, formed), into
+            led = at > first[open_]
+            before = at[led] - 1
+            place[before], piece[before] = self._formed(symbols[before], symbols[at[led]])
+            keep = np.repeat(open_, sizes)
+            keep[at + 1] = False
+            symbols, place, piece = symbols[keep], place[keep], piece[keep]
+            part, sizes = part[open_], sizes[open_] - 1
+        return out
+
+    def _formed(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the order of scores, id) of the pieces that pairs form; NEVER where they form none."""
+        key = left.astype(np.int64) << SHIFT | right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        value = self.pair_values[at]
+        return np.where(self.pair_keys[at] == key, value >> SHIFT, NEVER), value & LOW
+
+    def decode_batch(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of ids given as ``encode_batch`` gives them."""
+        raw, where = ragged(self.surface, ids)
+        whole, where, out = raw.astype(np.uint8).tobytes(), where[bounds].tolist(), []
+        plain = not np.isin(ids, list(self.controls)).any()
+        for k, (a, b) in enumerate(zip(where[:-1], where[1:], strict=True)):
+            try:
+                text = whole[a:b].decode() if plain else None
+            except UnicodeDecodeError:
+                text = None
+            if text is None:
+                text = self.decode(ids[bounds[k] : bounds[k + 1]].tolist())
+            elif b > a and int(ids[bounds[k]]) in self.marked:
+                text = text[1:]
+            out.append(text)
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: a first space mark goes, runs of bytes are read as UTF-8, a bad byte as U+FFFD."""
         raw = b"".join(map(self.surface.__getitem__, ids))
-        if not self.controls.isdisjoint(ids):
+        if any(c in ids for c in self.controls):
             text = self._decode_runs(ids)
         else:
             try:
@@ -153,15 +259,6 @@ class PieceCodec:
         return "".join(out)
 
 
-def _keep(cache: dict[str, list[int]], text: str, ids: list[int]) -> list[int]:
-    """Add to a cache; a full one first loses its older half."""
-    if len(cache) >= CACHED_PARTS:
-        for old in list(islice(cache, CACHED_PARTS // 2)):
-            del cache[old]
-    cache[text] = ids
-    return ids
-
-
 def piece_codec(name: str = MODEL) -> PieceCodec:
     """The codec of a vocabulary file, loaded once per worker."""
     if name not in _codecs:
@@ -189,15 +286,13 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for lo, hi, data, off in slices(batch.column(1)):
                 raw = data.tobytes()
                 texts = [raw[a:b].decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-                rows, every = [], []
-                for text, theirs in zip(texts, codec.library.encode(texts, num_threads=1), strict=True):
-                    ids = codec.encode(text)
-                    decoded = codec.decode(ids)
-                    every.append(ids)
-                    digests = (hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), decoded))
-                    rows.append([len(ids), *digests, ids == theirs, ids, decoded])
-                for row, text in zip(rows, codec.library.decode(every), strict=True):
-                    row[3] = row[3] and row[5] == text
+                every, bounds = codec.encode_batch(texts)
+                decoded = codec.decode_batch(every, bounds)
+                lists = [every[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                rows = []
+                for ids, text, their_ids, their_text in zip(lists, decoded, codec.library.encode(texts, num_threads=1), codec.library.decode(lists), strict=True):
+                    digests = (hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(codec.decimal.__getitem__, ids)), text))
+                    rows.append([len(ids), *digests, ids == their_ids and text == their_text, ids, text])
                 columns = list(zip(*rows, strict=True))
                 types = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.string()]
                 arrays = [pa.array(c, t) for c, t in zip(columns[: len(names)], types, strict=False)]
