@@ -16,6 +16,7 @@ Beyond that size more phrases are counted than need be, with the same result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -211,52 +212,55 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
     return shard.select("lang", "codes").mapInArrow(run, "lang string, size int, phrases binary, counts binary")
 
 
-def _single(shard: DataFrame) -> DataFrame:
-    """The words of a shard in the form of ``_scan``."""
+def _places(phrases: np.ndarray, counts: np.ndarray, bits: int, least: int) -> pa.RecordBatch:
+    """What phrases (a row each) add to their counters: a row per part."""
+    part_bits = min(PART_BITS, bits)
+    slot = (_phrase_hash([np.ascontiguousarray(c) for c in phrases.T]) >> U(64 - bits)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    slot, n = slot[order], np.minimum(counts[order], least).astype(np.uint8)
+    parts, first = np.unique(slot >> part_bits, return_index=True)
+    ends = np.append(first[1:], len(slot))
+    places = (slot & ((1 << part_bits) - 1)).astype(np.uint32)
+    columns = [[x[a:b].tobytes() for a, b in zip(first, ends, strict=True)] for x in (places, n)]
+    return pa.RecordBatch.from_arrays([pa.array(parts), *(pa.array(c, pa.binary()) for c in columns)], ["part", "places", "counts"])
+
+
+def _raise_counters(counters: DataFrame | None, words: DataFrame | None, phrases: DataFrame | None, bits: int, least: int) -> DataFrame:
+    """Counters (part, counts) after adding the words and phrases of a scan; a counter stops at the threshold."""
+    part_bits = min(PART_BITS, bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words in batch.column(0):
-                fields = words.values
-                codes, counts = (fields.field(k).to_numpy(zero_copy_only=False) for k in ("code", "n"))
-                yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([1], pa.int32()), pa.array([codes.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], ["lang", "size", "phrases", "counts"])
-
-    return shard.select("words").mapInArrow(run, "lang string, size int, phrases binary, counts binary")
-
-
-def _raise_counters(counters: DataFrame | None, counted: DataFrame, bits: int, least: int) -> DataFrame:
-    """Counters (part, counts) after adding what a scan counted; a counter stops at the threshold."""
-    part_bits = min(PART_BITS, bits)
+            for found in batch.column(0):
+                codes, counts = (found.values.field(k).to_numpy(zero_copy_only=False) for k in ("code", "n"))
+                yield _places(codes.view(U).reshape(-1, 1), counts, bits, least)
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, phrases, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                rows = np.frombuffer(phrases.as_buffer(), U).reshape(-1, k)
-                slot = (_phrase_hash([np.ascontiguousarray(rows[:, j]) for j in range(k)]) >> U(64 - bits)).astype(np.int64)
-                order = np.argsort(slot, kind="stable")
-                slot, n = slot[order], np.minimum(np.frombuffer(counts.as_buffer(), np.int64)[order], least).astype(np.uint8)
-                parts, first = np.unique(slot >> part_bits, return_index=True)
-                ends = np.append(first[1:], len(slot))
-                places = (slot & ((1 << part_bits) - 1)).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(parts), pa.array([places[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()), pa.array([n[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary())],
-                    ["part", "places", "counts"],
-                )
+            for k, found, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                yield _places(np.frombuffer(found.as_buffer(), U).reshape(-1, k), np.frombuffer(counts.as_buffer(), np.int64), bits, least)
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(1 << part_bits, np.int64)
-        for places, counts in zip(table.column("places"), table.column("counts"), strict=True):
+        total, places, more = np.zeros(1 << part_bits, np.int64), [], []
+        for place, counts in zip(table.column("places"), table.column("counts"), strict=True):
             n = np.frombuffer(counts.as_buffer(), np.uint8)
-            if places.is_valid:
-                total += np.bincount(np.frombuffer(places.as_buffer(), np.uint32), n, len(total)).astype(np.int64)
+            if place.is_valid:
+                places.append(np.frombuffer(place.as_buffer(), np.uint32))
+                more.append(n)
             else:
                 total += n
+        if places:
+            total += np.bincount(np.concatenate(places), np.concatenate(more), len(total)).astype(np.int64)
         return pa.table([table.column("part").slice(0, 1), pa.array([np.minimum(total, least).astype(np.uint8).tobytes()], pa.binary())], ["part", "counts"])
 
-    rows = counted.select("size", "phrases", "counts").mapInArrow(split, "part long, places binary, counts binary")
+    schema, rows = "part long, places binary, counts binary", []
+    if words is not None:
+        rows.append(words.select("words").mapInArrow(of_words, schema))
+    if phrases is not None:
+        rows.append(phrases.select("size", "phrases", "counts").mapInArrow(of_phrases, schema))
     if counters is not None:
-        rows = rows.unionByName(counters.withColumn("places", F.lit(None).cast("binary")))
-    return rows.groupBy("part").applyInArrow(add, "part long, counts binary")
+        rows.append(counters.select("part", F.lit(None).cast("binary").alias("places"), "counts"))
+    return reduce(DataFrame.unionByName, rows).groupBy("part").applyInArrow(add, "part long, counts binary")
 
 
 def _filter(counters: DataFrame, bits: int, wide: int, least: int) -> Filter:
@@ -291,15 +295,15 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
     # A scan after this point would count what the last cycle has counted.
     while (step := len(filters) - 1) < n_shards or filters[step].raw != filters[step - n_shards].raw:
         shard = shards.filter(F.col("shard") == step % n_shards)
-        found = _single(shard) if step < n_shards else None
+        words = shard if step < n_shards else None
+        short = None
         before = filters[step - n_shards] if step >= n_shards else None
         if any(filters[step].raw):
             counted.append(materialize(_scan(shard, filters[step], before, longest), "phrase-counts"))
             # Phrases of full length start no others.
             short = counted[-1].filter(F.col("size") < longest)
-            found = short if found is None else found.unionByName(short)
-        if found is not None:
-            counters = materialize(_raise_counters(counters, found, bits, least), "counters")
+        if words is not None or short is not None:
+            counters = materialize(_raise_counters(counters, words, short, bits, least), "counters")
         filters.append(_filter(counters, bits, wide, least))
     last = spark.sparkContext.broadcast(filters[-1])
 
@@ -330,10 +334,7 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
         raise ValueError("two frequent words share a 64-bit code")
     if not counted:
         return words, spark.createDataFrame([], "lang string, phrase array<bigint>, n bigint")
-    every = counted[0]
-    for more in counted[1:]:
-        every = every.unionByName(more)
-    phrases = every.mapInArrow(often, "lang string, phrase array<bigint>, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    phrases = reduce(DataFrame.unionByName, counted).mapInArrow(often, "lang string, phrase array<bigint>, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return words, materialize(phrases.filter(F.col("n") >= least), "phrases")
 
 
