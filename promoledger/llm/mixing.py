@@ -66,7 +66,7 @@ def plan_mix(
     """One row per distinct (doc_id, source, size) with ``n_rows``, ``source_size``, ``target``, ``copies``.
 
     Rows that agree in id, source and size are settled together. Rows without words get the whole
-    part of their source's copies (none if the source has no words). NULL ids and NULL sources are
+    part of their source's copies (none if the source has no words). Sizes may tie. NULL ids and NULL sources are
     values like others; an empty table gives no rows.
     """
     sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
@@ -115,7 +115,8 @@ def _level(unsettled: DataFrame, salt: int) -> DataFrame:
         f"""aggregate(
               slice(items, 2, size(items)),
               named_struct('done', cast(array() as array<struct<key:{key},up:int>>),
-                           'carry', named_struct('key', items[0].key, 'a', items[0].a, 'x', items[0].x)),
+                           -- nullable: two rows may settle each other and leave none
+                           'carry', if(size(items) > 0, named_struct('key', items[0].key, 'a', items[0].a, 'x', items[0].x), null)),
               (s, i) -> case when s.carry is null then
                 named_struct('done', s.done, 'carry', named_struct('key', i.key, 'a', i.a, 'x', i.x))
               else transform(array(named_struct(
@@ -157,7 +158,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plan = plan_mix(docs, id_col, text_col, source_col, **options).filter("copies > 0").select(
         F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies")
     )
-    keyed = docs.withColumn("__words", word_count(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
-    taken = keyed.join(plan, same)
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    keyed = docs.select(row, F.col(id_col).alias("__key"), F.col(source_col).cast("string").alias("__from"), word_count(F.col(text_col)).alias("__words"))
+    same = F.col("__key").eqNullSafe(F.col("__id")) & F.col("__from").eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
+    taken = keyed.join(plan, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return taken.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
