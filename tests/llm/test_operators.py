@@ -446,3 +446,25 @@ def test_pipeline_stages(spark):
             assert got.columns == base
             docs = spark.createDataFrame(got.collect(), docs.schema)
     assert got.filter("length > 2048 or length < 1").isEmpty() and got.count() > 0
+
+
+def test_mixing_of_equal_sizes(spark):
+    # Two rows of one size may settle each other exactly; sources of equal size with weights 5, 2, 1.
+    rows = spark.range(3000).selectExpr("id AS doc_id", "concat('w', id) AS text", "element_at(array('a', 'b', 'c'), cast(id % 3 AS int) + 1) AS source", "7 AS __copies", "'x' AS __id", "1 AS __row")
+    plan = mixing.plan_mix(rows).toPandas()
+    taken = (plan.copies * plan["size"] * plan.n_rows).groupby(plan.source).sum()
+    target = plan.groupby("source").target.first()
+    assert ((taken - target).abs() <= 1).all() and plan.copies.max() <= 3
+    mixed = mixing.mix(rows)
+    assert mixed.columns == rows.columns and mixed.count() == (plan.copies * plan.n_rows).sum()
+    for weights in ((1, 1, 1), (1, 2, 3), (3, 2, 1)):
+        got = mixing.plan_mix(rows, weights=weights).toPandas()
+        sums = (got.copies * got["size"]).groupby(got.source).sum()
+        assert ((sums - got.groupby("source").target.first()).abs() <= 1).all()
+
+
+def test_suffixes_of_very_many_documents_in_a_chunk(spark):
+    text = "abcdefghij" * 5
+    got = suffixes.remove_repeated_bytes(spark.range(0, 72_000, 1, 1).selectExpr("id AS doc_id", f"'{text}' AS text"), with_text=False)
+    kept = [r.doc_id for r in got.filter("n_removed = 0").collect()]
+    assert kept == [0] and got.filter("n_removed = 50").count() == 71_999
