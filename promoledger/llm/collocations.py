@@ -29,7 +29,7 @@ from promoledger.session import materialize, scratch_path, scratch_scope
 
 SHARDS, LONGEST, LEAST_COUNT, SUPPORT_PERCENT, TOP, SCALE = 3, 4, 30, 80, 2000, 2_000_000
 # Words of a written row, words of phrases counted at once, counters of a part (a power of two), bits of the largest filter; bytes of text at once.
-ROW_WORDS, HELD_PHRASES, PART_BITS, FILTER_BITS = 1 << 17, 1 << 20, 18, 1 << 29
+ROW_WORDS, HELD_PHRASES, PART_BITS, FILTER_BITS = 1 << 19, 1 << 22, 18, 1 << 29
 SLICE = 1 << 19
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 32]] = True
@@ -122,7 +122,7 @@ def write_shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                         shelves.setdefault(name, _Shelf()).add(codes[at], piece[at], text, starts[at], ends[at])
                         held += len(at)
                 yield from flush([n for n, shelf in shelves.items() if shelf.n_words >= ROW_WORDS])
-                if held >= 4 * ROW_WORDS:
+                if held >= 2 * ROW_WORDS:
                     yield from flush(list(shelves))
         yield from flush(list(shelves))
 
