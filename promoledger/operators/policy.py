@@ -237,37 +237,116 @@ def filter_by_config(df: DataFrame, config: DataFrame, user: str, table: str) ->
     return df.filter(predicate_column(config, user, table, df))
 
 
-def _numbered_sets(config: DataFrame, table: str, df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Users with the number of their rule set, and the distinct sets (one per role, not per user)."""
-    users = materialize(rule_sets(config, table, df), "rule-sets")
-    sets = sorted(r["rule_set"] for r in users.select("rule_set").distinct().collect())
-    numbers = literal(df.sparkSession, list(enumerate(sets)), "set_no int, rule_set string")
-    return users.join(numbers, "rule_set").select("user_id", "set_no"), sets
+# The configuration of many users is used as an index: each distinct rule set becomes rows (set, rule,
+# field, entry), which meet the distinct values of the data in equi-joins. Equal entries join on the value,
+# patterns on a piece of their literal text; a set is met where as many rules are met as it has.
 
+_ALL_ROWS, _NO_ROWS = -1, -2
+_PREFIX, _GRAM = 8, 3
 
-def config_visibility(
-    df: DataFrame, config: DataFrame, table: str, key: Sequence[str], unrestricted: bool = False, chunk: int = 200
-) -> DataFrame:
-    """(user_id, key...) for every configured user and each row the user may see.
 
-    Each distinct rule set is tested once per row, ``chunk`` sets in one narrow pass; only matches are
-    emitted and then joined to the users of the set. Users with full access see every row, so they are
-    left out unless asked for.
+@dataclass(frozen=True)
+class RuleIndex:
+    """``members`` (user_id, set_no), ``rules`` (set_no, rule_no, field, entry), ``sizes`` (set_no, n_rules) and the table's columns in use."""
+
+    members: DataFrame
+    rules: DataFrame
+    sizes: DataFrame
+    fields: list[str]
+
+
+def rule_index(config: DataFrame, table: str, df: DataFrame) -> RuleIndex:
+    """The rule sets of all configured users on one table. Users with the same rules share a set; nothing but
+    the names of the table's own columns in use comes to the driver."""
+    users = materialize(rule_sets(config, table, df), "rule-sets")
+    number = F.when(F.col("rule_set") == ALLOW, _ALL_ROWS).when(F.col("rule_set") == DENY, _NO_ROWS).otherwise(F.monotonically_increasing_id())
+    sets = materialize(users.select("rule_set").distinct().withColumn("set_no", number), "distinct-sets")
+    parsed = F.from_json("rule_set", "array<struct<field_name:string,value:string>>")
+    listed = sets.filter(F.col("set_no") >= 0).select("set_no", F.posexplode(parsed).alias("rule_no", "rule"))
+    rules = listed.select("set_no", "rule_no", F.lower("rule.field_name").alias("field"), F.explode(F.array_distinct(split_list(F.col("rule.value")))).alias("entry"))
+    sizes = listed.groupBy("set_no").agg(F.count(F.lit(1)).alias("n_rules"))
+    used = rules.select("field").filter(F.col("field").isin([c.lower() for c in df.columns])).distinct().collect()
+    names = {r["field"] for r in used}
+    return RuleIndex(users.join(sets, "rule_set").select("user_id", "set_no"), rules, sizes, [c for c in df.columns if c.lower() in names])
+
+
+def _anchor(entry: Column) -> Column:
+    """The literal text a pattern is looked up by: its beginning, or the first letters of its longest literal part."""
+    prefix = F.regexp_extract(entry, r"^([^%_\\]*)", 1)
+    longest = F.aggregate(F.split(entry, r"[%_\\]+"), F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
+    at_start = F.concat(F.lit("p"), F.least(F.length(prefix), F.lit(_PREFIX)), F.lit(":"), F.substring(prefix, 1, _PREFIX))
+    inside = F.concat(F.lit("g"), F.least(F.length(longest), F.lit(_GRAM)), F.lit(":"), F.substring(longest, 1, _GRAM))
+    return F.when(F.length(prefix) > 0, at_start).otherwise(inside)
+
+
+def _anchors_of_kind(value: Column, kind: str) -> Column:
+    size, tag = int(kind[1:]), F.lit(f"{kind}:")
+    if kind[0] == "p":
+        return F.array(F.concat(tag, F.substring(value, 1, size)))
+    if size == 0:
+        return F.array(tag)
+    starts = F.sequence(F.lit(1), F.greatest(F.length(value) - size + 1, F.lit(1)))
+    return F.transform(starts, lambda k: F.concat(tag, F.substr(value, k, F.lit(size))))
+
+
+def _anchors_of_value(value: Column, kinds: Sequence[str]) -> Column:
+    """Every anchor of the given kinds that a value can be found by."""
+    return F.array_distinct(F.concat(*[_anchors_of_kind(value, kind) for kind in sorted(kinds)]))
+
+
+def _hits(rules: DataFrame, values: DataFrame) -> DataFrame:
+    """(set_no, rule_no, field, value) for every rule and each value of its field that meets it."""
+    equal = rules.filter(~contains_percent(F.col("entry"))).withColumnRenamed("entry", "value").join(values, ["field", "value"])
+    # A pattern with a stray escape meets nothing, and so shuts out its own users only.
+    sound = contains_percent(F.col("entry")) & F.col("entry").rlike(r"^(?s)([^\\]|\\[%_\\])*$")
+    patterns = rules.filter(sound).withColumn("__anchor", _anchor(F.col("entry")))
+    kinds = [r["kind"] for r in patterns.select(F.substring_index("__anchor", ":", 1).alias("kind")).distinct().collect()]
+    columns = ["set_no", "rule_no", "field", "value"]
+    if not kinds:
+        return equal.select(columns)
+    # Each distinct pattern is tested once per value it may match, then given to its rules.
+    known = patterns.select("field", "entry", "__anchor").distinct()
+    found = values.withColumn("__anchor", F.explode(_anchors_of_value(F.col("value"), kinds))).join(known, ["field", "__anchor"])
+    met = found.filter(F.expr("value LIKE entry")).select("field", "value", "entry")
+    like = patterns.join(met, ["field", "entry"])
+    return equal.select(columns).unionByName(like.select(columns)).distinct()
+
+
+def _met_sets(index: RuleIndex, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(distinct values of the ruled columns with ``combo`` and ``n_rows``, (combo, set_no) of every set they meet)."""
+    texts = [F.col(f"`{c}`").cast("string").alias(f"__v{i}") for i, c in enumerate(index.fields)]
+    counted = df.select(*texts, F.lit(1).alias("__one")).groupBy(*[f"__v{i}" for i in range(len(texts))]).agg(F.count("__one").alias("n_rows"))
+    combos = materialize(counted.withColumn("combo", F.monotonically_increasing_id()), "combos")
+    if index.fields:
+        pairs = F.array(*[F.struct(F.lit(c.lower()).alias("field"), F.col(f"__v{i}").alias("value")) for i, c in enumerate(index.fields)])
+        cells = combos.select("combo", F.inline(pairs)).filter(F.col("value").isNotNull())
+        hits = materialize(_hits(index.rules, cells.select("field", "value").distinct()), "rule-hits")
+        met = cells.join(hits, ["field", "value"]).groupBy("combo", "set_no").agg(F.count(F.lit(1)).alias("n_met"))
+        met = met.join(index.sizes, "set_no").filter(F.col("n_met") == F.col("n_rules")).select("combo", "set_no")
+    else:
+        met = combos.select("combo", F.lit(_NO_ROWS).cast("bigint").alias("set_no")).filter(F.lit(False))
+    return combos, met.unionByName(combos.select("combo", F.lit(_ALL_ROWS).cast("bigint").alias("set_no")))
+
+
+def config_visibility(df: DataFrame, config: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
+    """(user_id, key...) for every configured user and each row the user may see, users with full access included.
+
+    The data is read once, whatever the number of rule sets. Values compare as text. A rule on a column
+    the table lacks, or a pattern Spark cannot read, shuts out its own users and no one else.
     """
-    users, sets = _numbered_sets(config, table, df)
-    tested = [i for i, s in enumerate(sets) if s != DENY and (unrestricted or s != ALLOW)]
-    seen = None
-    for start in range(0, max(len(tested), 1), chunk):
-        hits = [F.when(_set_column(sets[i]), F.lit(i)) for i in tested[start : start + chunk]]
-        matches = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<int>")
-        part = df.select(*key, F.explode(matches).alias("set_no"))
-        seen = part if seen is None else seen.unionByName(part)
-    return seen.join(users, "set_no").select("user_id", *key)
+    index = rule_index(config, table, df)
+    combos, met = _met_sets(index, df)
+    seen = met.join(index.members, "set_no")
+    texts = [F.col(f"`{c}`").cast("string").eqNullSafe(F.col(f"__v{i}")) for i, c in enumerate(index.fields)]
+    row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), *[F.col(f"`{c}`") for c in index.fields])
+    # Without a ruled column all rows are one combination.
+    placed = row.join(combos.drop("n_rows"), all_of(texts)) if texts else row.withColumn("combo", F.lit(combos.first()["combo"]))
+    return placed.join(seen, "combo").select("user_id", *[F.col(f"__row.`{k}`").alias(k) for k in key])
 
 
 def visibility_counts(df: DataFrame, config: DataFrame, table: str) -> DataFrame:
-    """Rows visible to each configured user: counted per rule set in one pass, then given to its users."""
-    users, sets = _numbered_sets(config, table, df)
-    counts = df.agg(*[F.count(F.when(_set_column(s), F.lit(1))).alias(f"n{i}") for i, s in enumerate(sets)])
-    pairs = [F.struct(F.lit(i).alias("set_no"), F.col(f"n{i}").alias("n_rows")) for i in range(len(sets))]
-    return users.join(counts.select(F.inline(F.array(*pairs))), "set_no").select("user_id", "n_rows")
+    """Rows visible to each configured user: counted per rule set over the distinct ruled values, then given to its users."""
+    index = rule_index(config, table, df)
+    combos, met = _met_sets(index, df)
+    counts = met.join(combos.select("combo", "n_rows"), "combo").groupBy("set_no").agg(F.sum("n_rows").alias("n_rows"))
+    return index.members.join(counts, "set_no", "left").select("user_id", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))

@@ -124,7 +124,7 @@ _SEES = {
 _SEES_ALL = {**_SEES, "U05": "TRUE", "U06": "TRUE", "U07": "TRUE", "U09": "FALSE", "U10": "FALSE", "U11": "FALSE"}
 
 
-@query(" UNION ALL ".join(f"SELECT '{u}' AS user_id, p_partkey FROM part WHERE {p}" for u, p in _SEES.items()))
+@query(" UNION ALL ".join(f"SELECT '{u}' AS user_id, p_partkey FROM part WHERE {p}" for u, p in _SEES_ALL.items()))
 def config_visibility(spark, sf):
     return policy.config_visibility(table(spark, sf, "part"), literal(spark, _CONFIG, _COLUMNS), "part", ["p_partkey"])
 
@@ -182,12 +182,43 @@ def predicate_table(spark, sf):
 
 
 @query(
-    f"SELECT user_id, CASE WHEN p = '1=1' THEN (SELECT count(*) FROM part) WHEN p = '1=0' THEN 0 WHEN field_name = 'p_size' THEN (SELECT count(*) FROM part "
-    "WHERE p_size IN (1, 2)) WHEN value = 'Brand#%' THEN (SELECT count(*) FROM part WHERE p_brand LIKE 'Brand#%') ELSE coalesce(n, 0) END AS n_rows FROM "
-    f"(SELECT *, {_DERIVED_TEXT} AS p FROM ({_DERIVED_SQL}) WHERE field_name <> 'no_such' OR table_name <> 'part') LEFT JOIN "
+    f"SELECT user_id, CASE WHEN p = '1=1' THEN (SELECT count(*) FROM part) WHEN p = '1=0' OR starts_with(p, 'no_such') THEN 0 "
+    "WHEN field_name = 'p_size' THEN (SELECT count(*) FROM part WHERE p_size IN (1, 2)) "
+    "WHEN value = 'Brand#%' THEN (SELECT count(*) FROM part WHERE p_brand LIKE 'Brand#%') ELSE coalesce(n, 0) END AS n_rows FROM "
+    f"(SELECT *, {_DERIVED_TEXT} AS p FROM ({_DERIVED_SQL})) LEFT JOIN "
     "(SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand) ON p_brand = value"
 )
 def config_counts_many_users(spark, sf):
-    """One user per customer, few distinct rule sets."""
-    config = _derived_config(spark, sf).filter("field_name <> 'no_such' OR table_name <> 'part'")
-    return policy.visibility_counts(table(spark, sf, "part"), config, "part")
+    """One user per customer; a rule on a column the table lacks shuts out its user alone."""
+    return policy.visibility_counts(table(spark, sf, "part"), _derived_config(spark, sf), "part")
+
+
+# A configuration with as many rule sets as customers: two rules each, patterns of every form.
+_OWN_RULES_SQL = (
+    "SELECT c_name, r, CASE r WHEN 0 THEN 'p_name' ELSE 'p_brand' END AS field_name, CASE WHEN r = 1 THEN "
+    "concat('Brand#', c_custkey % 5 + 1, ', Brand#', c_custkey % 7 + 1) WHEN c_custkey % 4 = 0 THEN concat('%', lower(left(c_mktsegment, 1)), '%') "
+    "WHEN c_custkey % 4 = 1 THEN concat(chr(CAST(97 + c_custkey % 26 AS INTEGER)), '%') WHEN c_custkey % 4 = 2 THEN concat('%', chr(CAST(97 + c_custkey % 26 AS INTEGER))) "
+    "ELSE concat('%', substr('redblue small', CAST(1 + c_custkey % 9 AS INTEGER), 3), '%') END AS value FROM customer, (VALUES (0), (1)) t(r)"
+)
+
+
+def _own_rules(spark, sf):
+    key, letter = F.col("c_custkey"), F.char((97 + F.col("c_custkey") % 26).cast("bigint"))
+    pattern = (
+        F.when(key % 4 == 0, F.concat(F.lit("%"), F.lower(F.substring("c_mktsegment", 1, 1)), F.lit("%")))
+        .when(key % 4 == 1, F.concat(letter, F.lit("%")))
+        .when(key % 4 == 2, F.concat(F.lit("%"), letter))
+        .otherwise(F.concat(F.lit("%"), F.substr(F.lit("redblue small"), (1 + key % 9).cast("int"), F.lit(3)), F.lit("%")))
+    )
+    brands = F.concat(F.lit("Brand#"), key % 5 + 1, F.lit(", Brand#"), key % 7 + 1)
+    rules = F.array(F.struct(F.lit("p_name").alias("field_name"), pattern.alias("value")), F.struct(F.lit("p_brand").alias("field_name"), brands.alias("value")))
+    return table(spark, sf, "customer").select(F.col("c_name").alias("user_id"), F.lit("part").alias("table_name"), F.inline(rules))
+
+
+@query(
+    f"SELECT a.c_name AS user_id, (SELECT count(*) FROM part WHERE p_name LIKE a.value AND list_contains(string_split(b.value, ', '), p_brand)) AS n_rows "
+    f"FROM ({_OWN_RULES_SQL}) a JOIN ({_OWN_RULES_SQL}) b ON a.c_name = b.c_name AND a.r = 0 AND b.r = 1"
+)
+def config_counts_own_rules(spark, sf):
+    """Every customer has rules of its own: one pattern on the name and two brands."""
+    return policy.visibility_counts(table(spark, sf, "part"), _own_rules(spark, sf), "part")

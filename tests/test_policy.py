@@ -76,9 +76,7 @@ def test_column_form_filters_like_the_text(spark, seed):
     assert policy.filter_by_config(vendors, seed["t_config_rls"], "XXX", "Vendor").isEmpty()
     assert policy.filter_by_config(vendors, seed["t_config_rls"], "U31", "Vendor").count() == 3
     seen = policy.config_visibility(vendors, seed["t_config_rls"], "Vendor", ["VendorID"])
-    assert rows(seen) == [("ADV", "UB55"), ("ADV", "VP19")]
-    everyone = policy.config_visibility(vendors, seed["t_config_rls"], "Vendor", ["VendorID"], unrestricted=True, chunk=1)
-    assert everyone.count() == 5
+    assert rows(seen) == [("ADV", "UB55"), ("ADV", "VP19"), *(("U31", v) for v in ("UB55", "VP19", "ZZ"))]
 
 
 @pytest.fixture
@@ -155,8 +153,10 @@ def python_sees(rules, row):
             continue
         entries = [e.strip(" ") for e in v.split(",")] if v else []
         if entries:
-            text = row[f.lower()]
-            conditions.append(any(re.fullmatch(".*".join(map(re.escape, e.split("%"))), text) if "%" in e else text == e for e in entries))
+            # A column the table lacks, and a pattern with a stray escape, meet no row.
+            text = row.get(f.lower())
+            like = [".*".join(re.escape(x).replace("_", ".") for x in e.split("%")) if "\\" not in e else "(?!)" for e in entries]
+            conditions.append(text is not None and any(re.fullmatch(p, text) if "%" in e else text == e for e, p in zip(entries, like, strict=True)))
     return bool(conditions) and all(conditions)
 
 
@@ -167,19 +167,38 @@ def test_random_configurations_against_brute_force(spark):
     for user in range(60):
         for _ in range(rng.randrange(1, 4)):
             config.append((f"U{user}", rng.choice(["T", "T", "T", "*", "S"]), rng.choice(["a", "A", "b", "a", "B", "*"]) if rng.random() < 0.9 else "c", rng.choice(values)))
-    # A rule of the table itself on a column it lacks is an error in both forms; only '*' rules may name one.
-    config = [(u, t if f != "c" else "*", f, v) for u, t, f, v in config]
+    config += [("U60", "T", "c", "x"), ("U60", "T", "a", "x%"), ("U61", "T", "a", "x\\\\q%"), ("U62", "T", "a", "_y%"), ("U63", "*", "*", "*")]
     data = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in ("x", "xy", "y", "z", "zz", "") for b in ("x", "y", "xy"))]
     df = literal(spark, data, "id int, a string, b string")
     rules = literal(spark, config, "user_id string, table_name string, field_name string, value string")
     expected = {
-        (f"U{u}", i) for u in range(60) for i, a, b in data if python_sees([c[1:] for c in config if c[0] == f"U{u}"], {"a": a, "b": b})
+        (f"U{u}", i) for u in range(64) for i, a, b in data if python_sees([c[1:] for c in config if c[0] == f"U{u}"], {"a": a, "b": b})
     }
-    seen = policy.config_visibility(df, rules, "T", ["id"], unrestricted=True, chunk=7)
+    seen = policy.config_visibility(df, rules, "T", ["id"])
     assert {tuple(r) for r in seen.collect()} == expected
     counts = {r.user_id: r.n_rows for r in policy.visibility_counts(df, rules, "T").collect()}
     assert counts == {u: sum(1 for e in expected if e[0] == u) for u in {c[0] for c in config}}
+    # The text form names columns as the rules do, so it is read only where the table has them.
+    bad = {u for u, t, f, v in config if t == "T" and f == "c" or "\\" in v}
+    rules = rules.filter(~F.col("user_id").isin(sorted(bad)))
+    expected = {e for e in expected if e[0] not in bad}
     known = literal(spark, [("T", "a"), ("T", "b"), ("T", "id")], "table_name string, column_name string")
     texts = policy.predicate_table(rules, rules.select("user_id", F.lit("T").alias("table_name")), known).collect()
     marks = df.select("id", *[F.expr(r.predicate).alias(r.user_id) for r in texts]).collect()
     assert {(r.user_id, m.id) for r in texts for m in marks if m[r.user_id]} == expected
+
+
+def test_visibility_reads_the_data_once_for_any_number_of_rule_sets(spark, tmp_path):
+    df = literal(spark, [(i, f"v{i % 50}", None if i % 9 == 0 else i % 7) for i in range(400)], "id int, a string, b int")
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    config = [(f"U{k}", "T", f, v) for k in range(300) for f, v in (("a", f"v{k % 50}, %{k}"), ("b", str(k % 8)))]
+    rules = literal(spark, config, "user_id string, table_name string, field_name string, value string")
+    counts = {r.user_id: r.n_rows for r in policy.visibility_counts(stored, rules, "T").collect()}
+    data = [(r.a, r.b) for r in df.collect()]
+    assert counts == {f"U{k}": sum((a == f"v{k % 50}" or a.endswith(str(k))) and b == k % 8 for a, b in data) for k in range(300)}
+    nothing = literal(spark, [], "id int, a string, b int")
+    assert policy.config_visibility(nothing, rules, "T", ["id"]).count() == 0
+    assert {r.n_rows for r in policy.visibility_counts(nothing, rules, "T").collect()} == {0}
+    only_all = rules.limit(0).unionByName(literal(spark, [("A", "*", "*", "*"), ("B", "S", "x", "y")], "user_id string, table_name string, field_name string, value string"))
+    assert policy.config_visibility(stored, only_all, "T", ["id"]).groupBy("user_id").count().collect() == [("A", 400)]
