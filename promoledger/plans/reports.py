@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoledger.functions.predicates import any_of, between, equals_if_given, half_open, live
 from promoledger.functions.scalars import MONEY, day_of, descending, percentage, zero_if_null
+from promoledger.operators.numbering import number_rows
 from promoledger.operators.relational import semi, top_k
 from promoledger.session import materialize
 
+BLOCK_ROWS = 200_000
+
 
 def partner_performance(
     partners: DataFrame, clicks: DataFrame, start, end, partner_ids: Sequence[int] | None = None, ordered: bool = True
@@ -170,6 +173,36 @@ def flag_bursts(clicks: DataFrame, threshold: int, window: str = "1 minute") ->
     return marked.withColumn("is_suspicious", flag).select(clicks.columns)
 
 
+def rolling_bursts(
+    clicks: DataFrame, threshold: int, window: str = "1 minute", key: str = "ip_address", at: str = "clicked_at", block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """``clicks`` with ``in_burst``: true for each click of any span shorter than ``window``, wherever it
+    begins, that holds ``threshold`` clicks of one address.
+
+    A span is full where the click ``threshold - 1`` places earlier is of the same address and recent
+    enough. All clicks are numbered by address and time and cut into blocks of ``block_rows``; each block
+    also gets the ``threshold - 1`` neighbours on both sides, so one address may fill any number of blocks
+    and no task holds more than a block with its borders. NULL addresses are one address; clicks without a
+    time are in no span.
+    """
+    if threshold < 1:
+        raise ValueError("a burst has at least one click")
+    reach = threshold - 1
+    size = max(block_rows, reach, 1)
+    row = clicks.select(F.struct(*[F.col(f"`{c}`") for c in clicks.columns]).alias("__click"), F.col(key).alias("__key"), F.col(at).alias("__at"))
+    numbered = number_rows(row, [F.col("__key").asc_nulls_first(), F.col("__at").asc_nulls_first()], "__no")
+    block, place = F.floor((F.col("__no") - 1) / size), (F.col("__no") - 1) % size
+    near = F.array_compact(F.array(F.lit(0), F.when(place >= size - reach, 1), F.when((place < reach) & (block > 0), -1)))
+    spread = numbered.withColumn("__off", F.explode(near)).withColumn("__block", block + F.col("__off"))
+    order = Window.partitionBy("__block").orderBy("__no")
+    back = F.lag(F.struct("__key", "__at"), reach).over(order) if reach else F.struct("__key", "__at")
+    full = F.col("__key").eqNullSafe(F.col("__back.__key")) & (F.col("__at") < F.col("__back.__at") + F.expr(f"INTERVAL {window}"))
+    ends = spread.withColumn("__back", back).withColumn("__end", F.col("__back").isNotNull() & F.coalesce(full, F.lit(False)))
+    within = F.max("__end").over(order.rowsBetween(Window.currentRow, reach))
+    marked = ends.withColumn("in_burst", within).filter(F.col("__off") == 0)
+    return marked.select(*[F.col(f"__click.`{c}`").alias(c) for c in clicks.columns], "in_burst")
+
+
 def quota_alerts(vouchers: DataFrame, ratio: str = "0.9") -> DataFrame:
     """Vouchers of which at least the given share is issued."""
     used = percentage(F.col("total_issued"), F.col("issuance_limit"))

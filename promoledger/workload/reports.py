@@ -349,6 +349,32 @@ def fraud_flags(spark, sf):
     return reports.flag_bursts(view(spark, sf, "clicks"), 5, "1 day").select("click_id", "is_suspicious")
 
 
+@query(
+    sql(
+        "SELECT click_id, ip_address, clicked_at, coalesce(bool_or(full_span) OVER (PARTITION BY ip_address ORDER BY clicked_at, click_id "
+        "ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING), FALSE) AS in_burst FROM (SELECT *, clicked_at < lag(clicked_at, 2) OVER "
+        "(PARTITION BY ip_address ORDER BY clicked_at, click_id) + INTERVAL 1 HOUR AS full_span FROM clicks)",
+        "clicks",
+    )
+)
+def rolling_bursts(spark, sf):
+    """Three clicks of one address in any span of an hour, also over the edge of a clock hour."""
+    return reports.rolling_bursts(view(spark, sf, "clicks"), 3, "1 hour").select("click_id", "ip_address", "clicked_at", "in_burst")
+
+
+@query(
+    sql(
+        "SELECT click_id, coalesce(bool_or(full_span) OVER (ORDER BY clicked_at, click_id ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING), FALSE) AS in_burst "
+        "FROM (SELECT *, clicked_at < lag(clicked_at, 19) OVER (ORDER BY clicked_at, click_id) + INTERVAL 1 HOUR AS full_span FROM clicks)",
+        "clicks",
+    )
+)
+def rolling_bursts_one_address(spark, sf):
+    """All clicks come from one address, which fills many blocks."""
+    clicks = view(spark, sf, "clicks").withColumn("ip_address", F.lit("one"))
+    return reports.rolling_bursts(clicks, 20, "1 hour", block_rows=1000).select("click_id", "in_burst")
+
+
 _COUNTED = (
     "(SELECT v.voucher_id, v.voucher_code, v.issuance_limit, CAST(least(v.issuance_limit, v.total_issued + count(a.claim_id)) AS INTEGER) "
     "AS total_issued FROM vouchers v LEFT JOIN arrivals a ON a.voucher_id = v.voucher_id "

@@ -134,3 +134,26 @@ def test_month_predicate_reaches_the_scan(spark, tmp_path, year, month):
     start, end = month_bounds(year, month)
     assert "GreaterThanOrEqual(clicked_at" in text and "LessThan(clicked_at" in text and f"= {year}-{month:02d}" in text
     assert part.count() == (10 if (year, month) == (2026, 2) else 0) and start < end
+
+
+@pytest.mark.parametrize("block_rows", [1, 7, 1000])
+def test_rolling_bursts_against_brute_force(spark, block_rows):
+    import random
+    from datetime import datetime, timedelta
+
+    rng = random.Random(block_rows)
+    start = datetime(2026, 6, 1, 11, 59, 30)
+    # Most clicks come from one address.
+    data = [(k, rng.choice(["hot"] * 6 + ["a", "b", None]), None if rng.random() < 0.05 else start + timedelta(seconds=rng.randrange(1500)), "x") for k in range(160)]
+    clicks = spark.createDataFrame(data, "click_id int, ip_address string, clicked_at timestamp_ntz, __no string")
+    for threshold in (1, 2, 5, 9):
+        marked = reports.rolling_bursts(clicks, threshold, block_rows=block_rows)
+        assert marked.columns == [*clicks.columns, "in_burst"]
+        got = {r.click_id: r.in_burst for r in marked.collect()}
+        want = {k: False for k, *_ in data}
+        for _, ip, at, _ in data:
+            span = [k for k, other, t, _ in data if at is not None and t is not None and other == ip and at <= t < at + timedelta(minutes=1)]
+            if len(span) >= threshold:
+                want |= dict.fromkeys(span, True)
+        assert got == want
+    assert reports.rolling_bursts(clicks.limit(0), 3).count() == 0
