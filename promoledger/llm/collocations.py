@@ -29,9 +29,9 @@ from promoledger.session import materialize, scratch_path, scratch_scope
 
 SHARDS, LONGEST, LEAST_COUNT, SUPPORT_PERCENT, TOP, SCALE = 3, 4, 30, 80, 2000, 2_000_000
 # Words of a written row, words of phrases counted at once, counters of a part (a power of two), bits of the largest filter; bytes of text at once,
-# words of a scanning task.
-ROW_WORDS, HELD_PHRASES, PART_BITS, FILTER_BITS = 1 << 19, 1 << 23, 18, 1 << 29
-SLICE, TASK_WORDS = 1 << 19, 1 << 22
+# words of a scanning task, phrases of a written row.
+ROW_WORDS, HELD_PHRASES, PART_BITS, FILTER_BITS = 1 << 19, 1 << 22, 18, 1 << 29
+SLICE, TASK_WORDS, ROW_PHRASES = 1 << 19, 1 << 22, 1 << 16
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 32]] = True
 _CUT = np.zeros(256, bool)
@@ -174,15 +174,15 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
         held: dict[tuple[str, int], list] = {}
         size = 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             nonlocal size
-            rows = []
-            for (lang, k), lots in held.items():
+            for lang, k in list(held):
+                lots = held.pop((lang, k))
                 phrases, counts = _counted([np.concatenate(c) for c in zip(*(lot[0] for lot in lots), strict=True)], np.concatenate([lot[1] for lot in lots]))
-                rows.append((lang, k, phrases.tobytes(), counts.astype(np.int64).tobytes()))
-            held.clear()
+                for lo in range(0, len(counts), ROW_PHRASES):
+                    blobs = (phrases[lo : lo + ROW_PHRASES].tobytes(), counts[lo : lo + ROW_PHRASES].astype(np.int64).tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([k], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], ["lang", "size", "phrases", "counts"])
             size = 0
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["lang", "size", "phrases", "counts"])
 
         for batch in batches:
             for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -206,9 +206,8 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
                     passes = now.value(part) & whole
                     passed = then.value(part) & whole if then else np.zeros(n, bool)
                 if size >= HELD_PHRASES:
-                    yield flush()
-        if held:
-            yield flush()
+                    yield from flush()
+        yield from flush()
 
     return shard.select("lang", "codes").mapInArrow(run, "lang string, size int, phrases binary, counts binary")
 
