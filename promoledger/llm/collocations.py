@@ -28,10 +28,9 @@ from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices
 from promoledger.session import materialize, scratch_path, scratch_scope
 
 SHARDS, LONGEST, LEAST_COUNT, SUPPORT_PERCENT, TOP, SCALE = 3, 4, 30, 80, 2000, 2_000_000
-# Words of a written row, words of phrases counted at once, counters of a part (a power of two), bits of the largest filter; bytes of text at once,
-# words of a scanning task, phrases of a written row.
+# Words of a written row, words of phrases counted at once, counters of a part (a power of two), bits of the largest filter; bytes of text at once, phrases of a written row.
 ROW_WORDS, HELD_PHRASES, PART_BITS, FILTER_BITS = 1 << 19, 1 << 22, 18, 1 << 29
-SLICE, TASK_WORDS, ROW_PHRASES = 1 << 19, 1 << 22, 1 << 16
+SLICE, ROW_PHRASES = 1 << 19, 1 << 16
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 32]] = True
 _CUT = np.zeros(256, bool)
@@ -289,14 +288,12 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
         raise ValueError("the threshold lies between 1 and 255")
     n_words, n_shards = shards.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.max("shard"), F.lit(0)) + 1).first()
     bits = max(12, (n_words // 4).bit_length())
-    # Few large tasks send fewer partial counts of the same phrase.
-    tasks = max(spark.sparkContext.defaultParallelism, n_words // n_shards // TASK_WORDS + 1)
     wide = max(2, bits - FILTER_BITS.bit_length() + 1)
     counters, counted = None, []
     filters = [Filter(bits, wide, bytes(1 << bits - wide - 3))]
     # A scan after this point would count what the last cycle has counted.
     while (step := len(filters) - 1) < n_shards or filters[step].raw != filters[step - n_shards].raw:
-        shard = shards.filter(F.col("shard") == step % n_shards).coalesce(tasks)
+        shard = shards.filter(F.col("shard") == step % n_shards)
         words = shard if step < n_shards else None
         short = None
         before = filters[step - n_shards] if step >= n_shards else None
