@@ -64,6 +64,21 @@ def insert_policy_rejects(spark, sf):
     return rejected.select("profile_id", "region")
 
 
+@query(
+    sql(
+        "SELECT profile_id, full_name, email, region FROM profiles UNION ALL "
+        "SELECT profile_id + 10000000, concat('new ', full_name), NULL, region FROM profiles WHERE region = 'EUROPE'",
+        "profiles",
+    )
+)
+def column_checked_insert(spark, sf):
+    """A user adds rows of the own region with granted columns only; a column left out is NULL."""
+    profiles = view(spark, sf, "profiles")
+    added = profiles.filter("region = 'EUROPE'").select((F.col("profile_id") + 10_000_000).alias("profile_id"), F.concat(F.lit("new "), "full_name").alias("full_name"), "region")
+    stored = policy.checked_insert(profiles, added, _policy(), view(spark, sf, "mapping"), "da_europe")
+    return stored.select("profile_id", "full_name", "email", "region")
+
+
 def _by_region(spark, sf, run_as):
     return policy.profiles_by_region(
         view(spark, sf, "profiles"), _policy(), view(spark, sf, "mapping"), "da_asia", "EUROPE", ["profile_id", "full_name", "region"], run_as
