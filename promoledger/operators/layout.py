@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promoledger.functions.predicates import half_open, month_bounds, ntz
+from promoledger.sources.folders import finish_replacement, replace_folder
 
 DEFAULT = "__default__"
 
@@ -191,6 +192,28 @@ def add_month(df: DataFrame, rule: MonthRange, year: int, month: int) -> tuple[D
     return df.withColumn(rule.partition, wider.value()), wider
 
 
+def add_month_stored(spark: SparkSession, rule: MonthRange, year: int, month: int, path: str, schema: T.StructType) -> MonthRange:
+    """Declare months up to the given one on stored data; only the default partition is read and rewritten.
+
+    ``schema`` is that of the rows, without the partition column. Rows of the new months are written to
+    their folders first, then the default partition is replaced by the rest, so a crash loses no row: until
+    the second step ends the moved rows stand in both places, and running the call again with the old
+    ``rule`` finishes it. Other partitions keep their files. Writers to the default partition have to wait.
+    """
+    wider = rule.extended((year, month))
+    default = f"{path}/{rule.partition}={DEFAULT}"
+    finish_replacement(spark, default)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(default)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return wider
+    rows = spark.read.schema(schema).parquet(default)
+    moved = rows.filter(wider.value() != DEFAULT)
+    if not moved.isEmpty():
+        write_partitioned(moved, wider, path, mode="overwrite")
+        replace_folder(rows.filter(wider.value() == DEFAULT), default)
+    return wider
+
+
 def cluster_by(df: DataFrame, *columns: str) -> DataFrame:
     """Order the data physically, so that Parquet min/max statistics can skip row groups."""
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)

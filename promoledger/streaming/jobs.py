@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -16,7 +16,7 @@ from promoledger.operators.counters import grant_claims
 from promoledger.operators.dml import insert_ignore
 from promoledger.operators.numbering import HOT_ROWS
 from promoledger.streaming.batches import (
-    KeyedState, event_time, read_batches, start_batches, write_batch, zoneless,
+    KeyedState, event_time, latest_updates, read_batches, sink_batches, start_batches, write_batch, zoneless,
 )
 
 
@@ -63,6 +63,26 @@ def burst_windows(
     )
 
 
+def burst_updates(windows: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Store the windows of ``burst_windows`` as they grow: every micro-batch writes those it changed.
+
+    The watermark bounds the state as before, but no window waits for it to be seen."""
+    return sink_batches(windows, path, checkpoint, "update", available_now)
+
+
+def stored_bursts(
+    spark: SparkSession, path: str, schema: T.StructType, closed_to: object | None = None, key: str = "ip_address"
+) -> DataFrame:
+    """The windows stored by ``burst_updates``, each with its last count, and ``is_final``.
+
+    ``closed_to`` is the time up to which all clicks have been delivered: windows that end later are
+    provisional. Without it the input has ended, and every window is final, the open ones included.
+    """
+    last = latest_updates(spark, path, schema, [key, "window_start", "window_end"])
+    final = F.lit(True) if closed_to is None else F.col("window_end") <= F.lit(str(closed_to)).cast("timestamp_ntz")
+    return last.withColumn("is_final", final)
+
+
 def admit_claims(
     stream: DataFrame, quotas: DataFrame, path: str, checkpoint: str, key: str, order_by: Sequence[str],
     limit: str = "issuance_limit", issued: str = "total_issued", hot_rows: int = HOT_ROWS, available_now: bool = True,

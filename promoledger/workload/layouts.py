@@ -69,6 +69,17 @@ def month_partition_added(spark, sf):
     return layout.partition_counts(moved, wider)
 
 
+@query(f"SELECT l_orderkey, l_linenumber, l_shipdate, {_MONTH_SQL.format(end='1998-12-01')} AS month FROM lineitem")
+def month_partition_added_stored(spark, sf):
+    """Months are declared to October on disk, then November is added to the stored table."""
+    lines = table(spark, sf, "lineitem")
+    path, known = scratch_path(spark, "layout"), layout.MonthRange("l_shipdate", (1996, 1), (1998, 10))
+    layout.write_partitioned(lines, known, path)
+    layout.add_month_stored(spark, known, 1998, 11, path, lines.schema)
+    stored = spark.read.schema(f"{SCHEMAS['lineitem']}, month string").parquet(path)
+    return stored.select("l_orderkey", "l_linenumber", "l_shipdate", "month")
+
+
 @query(
     "SELECT CASE WHEN l_shipdate >= TIMESTAMP '1995-12-01' AND l_shipdate < TIMESTAMP '1999-01-01' THEN strftime(l_shipdate, '%Y-%m') ELSE '__default__' END "
     "AS partition_name, count(*) AS row_count FROM lineitem GROUP BY 1"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from promoledger.functions.scalars import MONEY
-from promoledger.operators import audit, dml, quality
+from promoledger.operators import audit, cascade, dml, quality
 from promoledger.operators.numbering import number_rows
 from promoledger.operators.quality import BAD
 from promoledger.plans.reconcile import audited_update
@@ -168,6 +168,39 @@ def delete_restricted(spark, sf):
     return quality.delete_blockers(doomed, parent, {"orders": table(spark, sf, "orders")}, {"orders": child})
 
 
+_GONE_ORDERS = "(SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))"
+
+
+@query(
+    "SELECT 'customer' AS table_name, count(*) AS remaining, sum(c_custkey)::BIGINT AS key_sum FROM customer WHERE NOT coalesce(c_acctbal < 0, FALSE) UNION ALL "
+    f"SELECT 'orders', count(*), sum(o_orderkey)::BIGINT FROM orders WHERE o_orderkey NOT IN {_GONE_ORDERS} UNION ALL "
+    f"SELECT 'lineitem', count(*), sum(l_orderkey)::BIGINT FROM lineitem WHERE l_orderkey NOT IN {_GONE_ORDERS}"
+)
+def delete_along_references(spark, sf):
+    """Customers in debt go from stored tables, with their orders and order lines before them."""
+    from promoledger.sources.schemas import Col, ForeignKey, LONG, Table
+
+    owner = ForeignKey("fk_order_customer", ("o_custkey",), "customer", ("c_custkey",))
+    order = ForeignKey("fk_line_order", ("l_orderkey",), "orders", ("o_orderkey",))
+    tables = {
+        "customer": Table("customer", (Col("c_custkey", LONG, True),), ("c_custkey",)),
+        "orders": Table("orders", (Col("o_orderkey", LONG, True), Col("o_custkey", LONG)), ("o_orderkey",), foreign_keys=(owner,)),
+        "lineitem": Table("lineitem", (Col("l_orderkey", LONG, True), Col("l_linenumber", LONG, True)), ("l_orderkey", "l_linenumber"), foreign_keys=(order,)),
+    }
+    paths = {name: scratch_path(spark, f"cascade-{name}") for name in tables}
+    for name, path in paths.items():
+        table(spark, sf, name).write.parquet(path)
+    stored = {name: spark.read.parquet(path) for name, path in paths.items()}
+    doomed = cascade.doomed_rows({"customer": stored["customer"].filter("c_acctbal < 0")}, stored, tables)
+    cascade.delete_stored(spark, doomed, paths)
+    left = None
+    for name, path in paths.items():
+        first = F.sum(tables[name].key[0]).cast("bigint").alias("key_sum")
+        counts = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("remaining"), first).select(F.lit(name).alias("table_name"), "remaining", "key_sum")
+        left = counts if left is None else left.unionByName(counts)
+    return left
+
+
 # ---- units of work ------------------------------------------------------------------------------
 
 _BAD_UNIT = (

@@ -53,30 +53,46 @@ def _ingested(spark, sf, **options):
     return batches.read_batches(spark, path, clicks.schema).drop(batches.BATCH)
 
 
-@query(
-    "SELECT ip_address, window_start, window_start + INTERVAL 1 HOUR AS window_end, n_clicks FROM (SELECT props AS ip_address, "
-    "date_trunc('hour', ts)::TIMESTAMP AS window_start, count(*) AS n_clicks FROM events GROUP BY ALL) WHERE n_clicks >= 2 AND "
-    "window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
+_HOURS_SQL = (
+    "SELECT ip_address, window_start, window_start + INTERVAL 1 HOUR AS window_end, n_clicks, TRUE AS is_final FROM (SELECT props AS ip_address, "
+    "date_trunc('hour', ts)::TIMESTAMP AS window_start, count(*) AS n_clicks FROM events GROUP BY ALL) WHERE n_clicks >= 2"
 )
+
+
+@query(_HOURS_SQL)
 def streamed_fraud_windows(spark, sf):
+    return _bursts(spark, _stream(spark, sf))
+
+
+@query(_HOURS_SQL)
+def streamed_fraud_windows_in_parts(spark, sf):
+    """The same from files that arrive one after the other in time order, a micro-batch each: windows
+    over a border are counted in two batches."""
+    events = table(spark, sf, "events")
+    root = scratch_path(spark, "parts")
+    first, *cuts = events.selectExpr("percentile_approx(unix_micros(cast(ts as timestamp)), array(0.0, 0.33, 0.67))").first()[0]
+    at = F.expr("unix_micros(cast(ts as timestamp))")
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = events if low is None else events.filter(at > low)
+        (part if high is None else part.filter(at <= high)).coalesce(1).write.mode("append").parquet(root)
+    return _bursts(spark, read_feed(spark, root, events.schema, streaming=True, maxFilesPerTrigger="1"))
+
+
+def _bursts(spark, events, *window) -> DataFrame:
     path, checkpoint = _paths(spark, "bursts")
-    clicks = _stream(spark, sf).select(F.col("ts").alias("clicked_at"), F.col("props").alias("ip_address"))
-    windows = jobs.burst_windows(clicks, 2, "1 hour")
-    batches.sink_batches(windows, path, checkpoint).awaitTermination()
-    return batches.read_batches(spark, path, windows.schema).drop(batches.BATCH)
+    clicks = events.select(F.col("ts").alias("clicked_at"), F.col("props").alias("ip_address"))
+    windows = jobs.burst_windows(clicks, 2, *(window or ("1 hour",)))
+    jobs.burst_updates(windows, path, checkpoint).awaitTermination()
+    return jobs.stored_bursts(spark, path, windows.schema)
 
 
 @query(
-    "SELECT ip_address, window_start, window_start + INTERVAL 1 HOUR AS window_end, n_clicks FROM (SELECT props AS ip_address, "
+    "SELECT ip_address, window_start, window_start + INTERVAL 1 HOUR AS window_end, n_clicks, TRUE AS is_final FROM (SELECT props AS ip_address, "
     "time_bucket(INTERVAL 30 MINUTE, ts) - d * INTERVAL 30 MINUTE AS window_start, count(*) AS n_clicks FROM events, (VALUES (0), (1)) s(d) GROUP BY ALL) "
-    "WHERE n_clicks >= 2 AND window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
+    "WHERE n_clicks >= 2"
 )
 def streamed_sliding_windows(spark, sf):
-    path, checkpoint = _paths(spark, "sliding")
-    clicks = _stream(spark, sf).select(F.col("ts").alias("clicked_at"), F.col("props").alias("ip_address"))
-    windows = jobs.burst_windows(clicks, 2, "1 hour", "30 minutes")
-    batches.sink_batches(windows, path, checkpoint).awaitTermination()
-    return batches.read_batches(spark, path, windows.schema).drop(batches.BATCH)
+    return _bursts(spark, _stream(spark, sf), "1 hour", "30 minutes")
 
 
 @query(

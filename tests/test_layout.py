@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +191,37 @@ def test_prune_to_the_second():
     half = layout.MonthRange("clicked_at", (2026, 1), (2026, 6))
     assert half.prune("2026-06-20", "2026-07-01T12:00:00") == ["2026-06", layout.DEFAULT]
     assert half.prune("2026-06-20 10:00:00", "2026-07-01 00:00:00") == ["2026-06"]
+
+
+def test_month_added_on_disk_moves_default_rows_only(spark, bench, tmp_path, monkeypatch):
+    path = str(tmp_path / "clicks")
+    short = layout.MonthRange("clicked_at", (2026, 1), (2026, 4))
+    layout.write_partitioned(bench, short, path)
+
+    def files():
+        found = {}
+        for folder in sorted(os.listdir(path)):
+            if folder.startswith("month="):
+                found[folder] = {(f, os.stat(f"{path}/{folder}/{f}").st_mtime_ns) for f in os.listdir(f"{path}/{folder}")}
+        return found
+
+    before, replace = files(), layout.replace_folder
+
+    def lost(df, folder):
+        raise OSError("lost")
+
+    # Stopped after the month was written: nothing is lost, and the call may be made again.
+    monkeypatch.setattr(layout, "replace_folder", lost)
+    with pytest.raises(OSError):
+        layout.add_month_stored(spark, short, 2026, 5, path, bench.schema)
+    assert bench.select("click_id").exceptAll(stored(spark, path).select("click_id")).isEmpty()
+    monkeypatch.setattr(layout, "replace_folder", replace)
+    for _ in range(2):
+        wider = layout.add_month_stored(spark, short, 2026, 5, path, bench.schema)
+        now = stored(spark, path)
+        assert rows(now.select("click_id")) == rows(bench.select("click_id"))
+        assert now.filter(F.col("month") != wider.value()).isEmpty()
+    after = files()
+    assert after.keys() - before.keys() == {"month=2026-05"}
+    assert all(after[f] == before[f] for f in before if f != "month=__default__")
+    assert after["month=__default__"] != before["month=__default__"]

@@ -146,3 +146,20 @@ def test_alerts_and_balance_in_update_mode(spark, tmp_path):
     batches.sink_batches(balance, str(tmp_path / "lo"), str(tmp_path / "lc"), "update").awaitTermination()
     got = batches.latest_updates(spark, str(tmp_path / "lo"), balance.schema, ["program_id"])
     assert [tuple(str(v) for v in r) for r in rows(got)] == [("1", "5.00", "12.50"), ("2", "0.00", "0.00")]
+
+
+def test_bursts_open_at_the_end_are_stored_and_marked(spark, tmp_path):
+    schema, source = "clicked_at timestamp_ntz, ip_address string", str(tmp_path / "in")
+    log = [("2026-06-01 10:00:50", "a"), ("2026-06-01 10:00:10", "a")], [("2026-06-01 10:00:55", "a"), ("2026-06-01 10:20:01", "b")], [("2026-06-01 10:20:59", "b")]
+    frames = []
+    for part in log:
+        frames.append(literal(spark, part, "t string, ip_address string").selectExpr("cast(t as timestamp_ntz) as clicked_at", "ip_address"))
+        frames[-1].coalesce(1).write.mode("append").parquet(source)
+    stream = read_feed(spark, source, frames[0].schema, streaming=True, maxFilesPerTrigger="1")
+    assert stream.schema.simpleString() == f"struct<{schema.replace(' ', ':').replace(',:', ',')}>"
+    windows = jobs.burst_windows(stream, 2)
+    jobs.burst_updates(windows, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    found = jobs.stored_bursts(spark, str(tmp_path / "out"), windows.schema, "2026-06-01 10:10:59")
+    assert rows(found, "ip_address", "n_clicks", "is_final") == [("a", 3, True), ("b", 2, False)]
+    ended = jobs.stored_bursts(spark, str(tmp_path / "out"), windows.schema)
+    assert rows(ended, "ip_address", "n_clicks", "is_final") == [("a", 3, True), ("b", 2, True)]
