@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import threading
 import uuid
 from contextlib import contextmanager
@@ -74,6 +75,15 @@ def scratch_scope(spark: SparkSession):
         _delete(spark, paths)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It does so when the driver's JVM collects garbage, which in a job of many rounds may come late.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
