@@ -161,6 +161,8 @@ def class_links(classes: DataFrame, kind: str, cosine: float, tables: int, probe
             # A vector may live in a cell and never probe it too; rows are distinct per cell.
             ids, lives, t, c = who[a:b], home[a:b], int(table[a]), cell[a]
             x = np.stack([data[i] for i in ids])
+            # By a power of two, which is exact: squares of very small or large components stay in range.
+            x = np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
             norm = np.sqrt((x**2).sum(1))
             for lo in range(0, len(ids), 256):
                 hi = min(lo + 256, len(ids))
