@@ -448,7 +448,11 @@ def first_of_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = jaccard_components(docs, id_col, text_col, **options)
     firsts = found.filter(F.col(id_col).isNotNull() & (F.col("n_shingles") > 0)).groupBy("component_id").agg(F.min(id_col).alias("__id"))
     keep = firsts.select("__id").unionByName(found.filter("n_shingles = 0").select(F.col(id_col).alias("__id"))).distinct()
-    known = docs.filter(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col("__id"), "left_semi")
-    order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())
+    # Rows travel as one column, so their own columns may have any names.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    own = F.col("__row").getField(id_col)
+    known = rows.filter(own.isNotNull()).join(keep, own == F.col("__id"), "left_semi")
+    order = Window.partitionBy(own).orderBy(F.col("__row").getField(text_col).asc_nulls_last())
     known = known.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
-    return known.unionByName(docs.filter(F.col(id_col).isNull()))
+    left = known.unionByName(rows.filter(own.isNull()))
+    return left.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])

@@ -270,8 +270,11 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     keyed = docs.select(F.col(id_col).alias("id"), tag.alias("tag"), F.col(text_col).alias("text"))
     later = repeated_spans(keyed.filter(F.length("text") > 0))
     right = later.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("places").alias("__places"))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (tag == F.col("__tag"))
-    rows = docs.join(right, same, "left").select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text_col).alias("text"), "__places")
+    # Rows travel as one column, so their own columns may have any names.
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    text = F.col("row").getField(text_col)
+    same = F.col("row").getField(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__tag"))
+    rows = row.join(right, same, "left").select("row", text.alias("text"), "__places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -74,7 +74,8 @@ def plan_shards(
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> None:
     """Write ``docs`` as Parquet below ``path``, a folder per shard, rows in slot order in each file.
 
-    Rows that agree in id, source and text take the slots of their group in any order.
+    The folders are named ``shard_no=N``, with underscores added if ``docs`` has such a column. Rows that
+    agree in id, source and text take the slots of their group in any order.
     """
     plan = plan_shards(docs, id_col, text_col, source_col, **options)
     same = ["doc_id", "source", "size", "text_crc32"]
@@ -92,4 +93,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     pairs = zip(["__i", "__s", "__z", "__c", "__n"], ["__doc_id", "__source", "__size", "__text_crc32", "__k"], strict=True)
     joined = keyed.join(plan, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
     joined = joined.repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot")
-    joined.select("__row.*", F.col("shard").alias("shard_no")).write.partitionBy("shard_no").parquet(path)
+    folder = "shard_no"
+    while folder in {c.lower() for c in docs.columns}:
+        folder += "_"
+    joined.select("__row.*", F.col("shard").alias(folder)).write.partitionBy(folder).parquet(path)

@@ -468,3 +468,55 @@ def test_suffixes_of_very_many_documents_in_a_chunk(spark):
     got = suffixes.remove_repeated_bytes(spark.range(0, 72_000, 1, 1).selectExpr("id AS doc_id", f"'{text}' AS text"), with_text=False)
     kept = [r.doc_id for r in got.filter("n_removed = 0").collect()]
     assert kept == [0] and got.filter("n_removed = 50").count() == 71_999
+
+
+CLASHING = ("kept", "__id", "__copies", "__n", "__row", "row", "id", "tag", "part", "shard_no", "n_removed", "expected_grade", "c0", "component_id", "class", "n_shingles")
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    """Documents with NULLs, repeats and columns named like those the stages work with."""
+    base = docs_of(spark).limit(60)
+    text = base.filter("doc_id is not null").first().text
+    rows = [(None, None), (None, text), (10**9, text), (10**9, text), (10**9 + 1, ""), (10**9 + 2, None)]
+    extra = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for c in base.columns:
+        if c not in extra.columns:
+            extra = extra.withColumn(c, F.lit(None).cast(base.schema[c].dataType))
+    docs = base.unionByName(extra)
+    docs = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHING) if c not in docs.columns])
+    return spark.createDataFrame(docs.collect(), docs.schema)
+
+
+@pytest.mark.parametrize("rows", ["all", "none"])
+def test_pipeline_stages_with_any_column_names(spark, clashing, rows):
+    docs = clashing if rows == "all" else clashing.limit(0)
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        got = stage(spark, docs, SF)
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert got.columns == clashing.columns, name
+            values = got.collect()
+            assert all(r[c] == i for r in values for i, c in enumerate(CLASHING)), name
+            docs = spark.createDataFrame(values, clashing.schema)
+    assert (got.count() > 0) == (rows == "all")
+
+
+def test_pipeline_run(spark, clashing, tmp_path):
+    clashing.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.count() > 0 and got.filter("length > 2048 or length < 1").isEmpty()
+
+
+def test_shards_with_a_column_of_the_folder_name(spark, clashing, tmp_path):
+    sharding.write_shards(clashing, str(tmp_path / "shards"), shards=3)
+    read = spark.read.parquet(str(tmp_path / "shards"))
+    assert set(read.columns) == {*clashing.columns, "shard_no_"} and read.count() == clashing.count()
+
+
+def test_lattice_links_of_very_small_and_large_vectors(spark):
+    base = [[1.0, 0.2, -0.3, 0.5, 0.1, 0.4, -0.2, 0.6], [1.0, 0.201, -0.3, 0.5, 0.1, 0.4, -0.2, 0.6], [-1.0, 0.9, 0.1, 0.0, 0.3, -0.4, 0.2, 0.6]]
+    rows = [(3 * k + i, 1, [x * scale for x in v]) for k, scale in enumerate((1e-170, 1.0, 1e160)) for i, v in enumerate(base)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in lattice.near_duplicate_vectors(frame).collect()}
+    assert got == {i: 2 if i % 3 == 2 else 5 for i in range(9)}
