@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promoledger.llm import grading, jaccard, mixing, packing, sentences
-from promoledger.session import materialize
+from promoledger.session import scratch_path, scratch_scope
 
 
 def _documents(df: DataFrame, docs: DataFrame) -> DataFrame:
@@ -16,8 +16,10 @@ def _documents(df: DataFrame, docs: DataFrame) -> DataFrame:
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose chance of the best grade is one half or more."""
     model = grading.fit_grades(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = grading.grade_documents(docs, model, columns=docs.columns)
-    return _documents(scored.filter("kept"), docs)
+    # By place, so that columns of the documents may have the names of the verdict's.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    scored = grading.grade_documents(plain, model, text_col=plain.columns[docs.columns.index("text")], columns=plain.columns)
+    return scored.filter("kept").select(plain.columns).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,5 +58,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the documents; each result is written to the shared scratch folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        # What a stage writes besides its result goes when it ends.
+        with scratch_scope(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
     return docs
