@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from promoledger.llm.graph import components
 from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, word_ranges
-from promoledger.session import materialize
+from promoledger.session import materialize, release_shuffles
 
 LEAF, PIVOTS, SPARE, BLOCK_KEYS = 32, 8, 4, 1 << 20
 BATCH_ROWS = "500"
@@ -418,6 +418,7 @@ def _linked_roots(regions: DataFrame, sets: DataFrame, threshold: Threshold, par
         roots = _roots(links)
         if not last:
             open_ = materialize(_open_regions(open_.select("region", "class"), roots), "open-regions")
+        release_shuffles(sets.sparkSession)
     return roots
 
 
