@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from promoledger.functions.joins import null_safe_join
 from promoledger.operators.numbering import HOT_ROWS, rank_within
 from promoledger.operators.relational import unique_rows
+from promoledger.operators.selection import CELL_ROWS, has_digits, last_covered
 from promoledger.session import materialize
 
 
@@ -40,41 +41,55 @@ def grant_claims(
     order_by: Sequence[str],
     limit: str = "issuance_limit",
     issued: str = "total_issued",
-    hot_rows: int = HOT_ROWS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """``allocate_capped`` without the claim numbers: adds ``granted`` alone.
 
-    Whether a claim is in time only needs the last claim each quota still covers. Finding it takes the
-    first few claims per key, which Spark cuts in every map task before the shuffle; the claims
-    themselves are then compared with that one row per key and not sorted or moved. Quotas too large
-    for the cut fall back to numbering the claims. ``order_by`` names ascending columns; claims that tie
-    on them are ordered by a hash of the row, in either form, and never more than the quota is granted.
-    Two quota rows for one key fail the query.
+    Whether a claim is in time only needs the last claim each quota still covers, which
+    ``selection.last_covered`` finds by counting; the claims are then compared with that one row per key
+    and neither sorted nor moved. The path is the same for every quota size. ``order_by`` names
+    ascending columns; claims that tie on them are ordered by a hash of the row, and of claims that
+    agree in every column as many are granted as the quota has room for. Two quota rows for one key fail
+    the query. Order columns of a type without digits (``selection.has_digits``: floats, wide decimals,
+    nested types) are numbered instead.
     """
+    if not all(has_digits(claims.schema[c].dataType) for c in order_by):
+        order = [*[F.col(c).asc() for c in order_by], F.xxhash64(*[F.col(c) for c in claims.columns])]
+        return allocate_capped(claims, quotas, key, order, limit, issued).drop("claim_no")
     free = unique_rows(quotas.select(key, (F.col(limit) - F.col(issued)).cast("bigint").alias("__free")), [key], "quota")
-    tie = F.xxhash64(*[F.col(c) for c in claims.columns])
-    most = free.agg(F.max("__free")).first()[0] or 0
-    threshold = int(claims.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if most > threshold:
-        order = [*[F.col(c).asc() for c in order_by], tie]
-        return allocate_capped(claims, quotas, key, order, limit, issued, hot_rows).drop("claim_no")
-    at = F.struct(*order_by, tie.alias("__tie"))
-    window = Window.partitionBy(key).orderBy(*order_by, "__tie")
-    numbered = claims.select(key, *order_by, tie.alias("__tie")).withColumn("__no", F.row_number().over(window))
-    early = numbered.filter(F.col("__no") <= max(most, 1)).join(free, key).filter("__no <= __free")
-    # The last claim covered, and how many rows equal to it are: rows that agree in all columns share it.
-    here = F.struct(*order_by, "__tie")
-    last = early.filter("__no = __free").select(key, here.alias("__last"))
-    room = early.join(last.withColumnRenamed(key, "__k"), F.col(key) == F.col("__k")).filter(here == F.col("__last")).groupBy(key).agg(F.count(F.lit(1)).alias("__room"))
+    # Read by the cut and by the comparison: checked once.
+    free = materialize(free, "quotas")
+    tie = F.xxhash64(*[F.col(c) for c in claims.columns]).alias("__tie")
+    place = [*order_by, "__tie"]
+    last = last_covered(claims.select(key, *order_by, tie), free, key, place, "__free", cell_rows)
     # One row per quota; written, Spark sees its size and need not shuffle the claims to it.
-    known = materialize(free.join(last, key, "left").join(room, key, "left"), "cutoffs")
-    compared = claims.join(known, key, "left").withColumn("__at", at)
-    is_last = F.coalesce(F.col("__at") == F.col("__last"), F.lit(False))
-    in_time = F.col("__last").isNull() | (F.col("__at") < F.col("__last"))
-    sure = compared.filter(~is_last).withColumn("granted", F.coalesce((F.col("__free") > 0) & in_time, F.lit(False)))
-    equal = Window.partitionBy(key).orderBy("__at")
-    edge = compared.filter(is_last).withColumn("granted", F.row_number().over(equal) <= F.col("__room"))
-    return sure.unionByName(edge).drop("__free", "__last", "__room", "__at")
+    cuts = materialize(free.join(last, key, "left"), "cutoffs")
+    compared = claims.join(cuts, key, "left").withColumn("__at", F.struct(*order_by, tie))
+    in_time = F.col("last").isNull() | (F.col("__at") <= F.col("last"))
+    decided = compared.withColumn("granted", F.coalesce((F.col("__free") > 0) & in_time, F.lit(False)))
+    if cuts.filter("room < equal").isEmpty():
+        return decided.select(*claims.columns, "granted")
+    # Rows equal to the last one, not all of them covered: counted, then written out as often as they occurred.
+    at_cut = F.coalesce((F.col("__at") == F.col("last")) & (F.col("room") < F.col("equal")), F.lit(False))
+    alike = decided.filter(at_cut).groupBy(*claims.columns, "room").agg(F.count(F.lit(1)).alias("__n"))
+    # One row per different text of a hash: more than one only where hashes collide.
+    earlier = Window.partitionBy(key).orderBy(*[c for c in claims.columns if c != key]).rowsBetween(Window.unboundedPreceding, -1)
+    given = F.least(F.greatest(F.col("room") - F.coalesce(F.sum("__n").over(earlier), F.lit(0)), F.lit(0)), F.col("__n"))
+    counted = alike.withColumn("__given", given)
+    parts = [
+        _repeated(counted.withColumn("__times", times).select(*claims.columns, "__times")).withColumn("granted", F.lit(granted))
+        for times, granted in ((F.col("__given"), True), (F.col("__n") - F.col("__given"), False))
+    ]
+    return decided.filter(~at_cut).select(*claims.columns, "granted").unionByName(parts[0]).unionByName(parts[1])
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Every row as often as ``__times`` says, in blocks, so that no array grows with the count."""
+    block = 4096
+    columns = [c for c in rows.columns if c != "__times"]
+    blocks = rows.filter("__times > 0").withColumn("__block", F.explode(F.sequence(F.lit(0), F.expr(f"(__times - 1) div {block}"))))
+    size = F.least(F.col("__times") - F.col("__block") * block, F.lit(block)).cast("int")
+    return blocks.withColumn("__copy", F.explode(F.array_repeat(F.lit(True), size))).select(*columns)
 
 
 def advance_counters(quotas: DataFrame, allocated: DataFrame, key: str, issued: str = "total_issued") -> DataFrame:

@@ -85,7 +85,7 @@ def stored_bursts(
 
 def admit_claims(
     stream: DataFrame, quotas: DataFrame, path: str, checkpoint: str, key: str, order_by: Sequence[str],
-    limit: str = "issuance_limit", issued: str = "total_issued", hot_rows: int = HOT_ROWS, available_now: bool = True,
+    limit: str = "issuance_limit", issued: str = "total_issued", available_now: bool = True,
 ) -> StreamingQuery:
     """Quota admission. Each micro-batch is allocated as a set against the counters left by earlier
     batches, so one hot voucher still spreads over tasks.
@@ -103,7 +103,7 @@ def admit_claims(
         current = quotas.select(key, limit, issued).join(given, key, "left").select(
             key, limit, (F.col(issued) + F.coalesce("given", F.lit(0))).alias(issued)
         )
-        decided = grant_claims(batch, current, key, order_by, limit, issued, hot_rows)
+        decided = grant_claims(batch, current, key, order_by, limit, issued)
         write_batch(decided, f"{path}/claims", batch_id)
         done = read_batches(spark, f"{path}/claims", decided.schema, batch_id, batch_id + 1)
         fresh = done.filter("granted").groupBy(key).agg(F.count(F.lit(1)).alias("__n"))

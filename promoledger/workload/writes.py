@@ -282,6 +282,21 @@ def flash_sale_single_voucher(spark, sf):
     return counters.allocate_capped(claims, quota, "voucher_id", [F.col("claimed_at"), F.col("claim_id")], hot_rows=5000)
 
 
+@query(
+    sql(
+        "SELECT claim_id, voucher_id, claimed_at, row_number() OVER (PARTITION BY voucher_id ORDER BY claimed_at, claim_id) <= "
+        "CASE WHEN voucher_id = 1 THEN 5000 ELSE 3 END AS granted FROM (SELECT claim_id, claimed_at, "
+        "CAST(CASE WHEN voucher_id % 4 = 0 THEN 2 ELSE 1 END AS INTEGER) AS voucher_id FROM arrivals)",
+        "arrivals",
+    )
+)
+def flash_sale_grants(spark, sf):
+    """A wide and a narrow quota share all claims: the last claim covered comes from counting bins."""
+    claims = view(spark, sf, "arrivals").withColumn("voucher_id", F.when(F.col("voucher_id") % 4 == 0, 2).otherwise(1))
+    quotas = literal(spark, [(1, 5500, 500), (2, 3, 0)], "voucher_id int, issuance_limit int, total_issued int")
+    return counters.grant_claims(claims, quotas, "voucher_id", ["claimed_at", "claim_id"])
+
+
 @query(
     "SELECT p_partkey, CAST(CAST(p_retailprice AS DECIMAL(18,2)) + coalesce(d, 0) AS DECIMAL(18,2)) AS value FROM part LEFT JOIN "
     "(SELECT l_partkey, sum(CAST(l_quantity AS DECIMAL(18,2))) AS d FROM lineitem GROUP BY l_partkey) ON l_partkey = p_partkey"

@@ -7,6 +7,8 @@ from promoledger.operators import counters
 from promoledger.sources.literal import literal
 from tests.conftest import plan, rows
 
+_LOW = -(2**63)
+
 
 def claims_of(spark, n, voucher=1):
     return spark.range(n).select(F.col("id").alias("claim_id"), F.lit(voucher).cast("bigint").alias("voucher_id"), (F.col("id") % 7).alias("at"))
@@ -45,10 +47,9 @@ def test_allocation_against_brute_force(spark):
     quotas = literal(spark, [(v, a, b) for v, (a, b) in limits.items()], "voucher_id bigint, issuance_limit int, total_issued int")
     done = counters.allocate_capped(claims, quotas, "voucher_id", [F.col("at"), F.col("claim_id")], hot_rows=50)
     assert {r.claim_id for r in done.filter("granted").collect()} == expected
-    # By cutoff, and once more with a quota beyond the cut, which numbers the claims.
-    for more in ([], [(9, 5000, 0)]):
-        wider = quotas.unionByName(literal(spark, more, quotas.schema))
-        short = counters.grant_claims(claims, wider, "voucher_id", ["at", "claim_id"], hot_rows=50)
+    # The same by the last claim covered, with cells so small that it takes several rounds and without any.
+    for cell_rows in (1, 50, 1024):
+        short = counters.grant_claims(claims, quotas, "voucher_id", ["at", "claim_id"], cell_rows=cell_rows)
         assert short.count() == 400 and {r.claim_id for r in short.filter("granted").collect()} == expected
 
 
@@ -64,6 +65,57 @@ def test_ties_never_exceed_the_quota(spark):
         counters.grant_claims(tied, literal(spark, [(1, 3, 0), (1, 3, 0)], schema), "voucher_id", ["at"]).collect()
 
 
+def test_small_and_large_quotas_equal_sql(spark):
+    import duckdb
+
+    claims = spark.range(12_000).select(
+        F.col("id").alias("claim_id"), F.when(F.col("id") % 3 == 0, 3).otherwise(F.col("id") % 3).alias("voucher_id"),
+        F.expr("timestamp_ntz'2024-03-31 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, pmod(id * 7919, 5003) * 1.000001)").alias("at"),
+    )
+    quotas = literal(spark, [(1, 3, 0), (2, 5000, 1999), (3, 5000, 0), (4, 7, 0)], "voucher_id bigint, issuance_limit int, total_issued int")
+    con = duckdb.connect()
+    con.register("claims", claims.toArrow())
+    con.register("quotas", quotas.toArrow())
+    want = con.sql(
+        "SELECT claim_id, coalesce(no <= issuance_limit - total_issued, FALSE) FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY voucher_id ORDER BY \"at\", claim_id) AS no FROM claims) LEFT JOIN quotas USING (voucher_id)"
+    ).fetchall()
+    for cell_rows in (8, 1024):
+        done = counters.grant_claims(claims, quotas, "voucher_id", ["at", "claim_id"], cell_rows=cell_rows)
+        assert rows(done, "claim_id", "granted") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("kind", ["string", "binary", "decimal(18,4)", "date", "timestamp", "boolean", "double", "smallint"])
+def test_order_columns_of_any_type_nulls_first(spark, kind):
+    rng = random.Random(11)
+    texts = ["", "a", "a\u0000", "ab", "Zürich", "日本語日本語", "aaaaaaaaaaaaab", "aaaaaaaaaaaaac", None]
+    value = {
+        "string": lambda: rng.choice(texts), "binary": lambda: rng.choice(texts),
+        "decimal(18,4)": lambda: rng.choice([None, "-99999999999999.9999", "0.0001", "-0.0001", "12.5"]),
+        "date": lambda: rng.choice([None, "0001-01-01", "1969-12-31", "2024-02-29"]),
+        "timestamp": lambda: rng.choice([None, "1969-12-31 23:59:59.999999", "2024-02-29 00:00:00"]),
+        "boolean": lambda: rng.choice([None, "true", "false"]),
+    }.get(kind, lambda: rng.choice([None, "-3", "0", "7"]))
+    claims = literal(spark, [(i, rng.choice([1, 1, 2, None]), value()) for i in range(120)], "claim_id bigint, voucher_id bigint, at string")
+    claims = claims.withColumn("at", F.col("at").cast(kind))
+    quotas = literal(spark, [(1, 31, 0), (2, 13, 0), (3, 1, 0)], "voucher_id bigint, issuance_limit int, total_issued int")
+    want = counters.allocate_capped(claims, quotas, "voucher_id", [F.col("at").asc(), F.col("claim_id")])
+    got = counters.grant_claims(claims, quotas, "voucher_id", ["at", "claim_id"], cell_rows=2)
+    assert rows(got, "claim_id", "granted") == rows(want, "claim_id", "granted")
+
+
+def test_equal_claims_at_the_cut_and_empty_tables(spark):
+    schema = "voucher_id bigint, issuance_limit int, total_issued int"
+    same = spark.range(9000).select(F.lit(5).alias("claim_id"), F.lit(1).cast("bigint").alias("voucher_id"), F.lit(_LOW).alias("at"))
+    for cell_rows in (4, 100_000):
+        done = counters.grant_claims(same, literal(spark, [(1, 4999, 0)], schema), "voucher_id", ["at"], cell_rows=cell_rows)
+        assert (done.count(), done.filter("granted").count()) == (9000, 4999)
+    nothing = counters.grant_claims(same.limit(0), literal(spark, [(1, 3, 0)], schema), "voucher_id", ["at"])
+    assert nothing.isEmpty() and nothing.columns == ["claim_id", "voucher_id", "at", "granted"]
+    refused = counters.grant_claims(same.limit(5), literal(spark, [], schema), "voucher_id", ["at"])
+    assert rows(refused.groupBy("granted").count()) == [(False, 5)]
+
+
 def test_claims_stay_in_place_when_only_grants_are_asked(spark, tmp_path):
     claims_of(spark, 1000).write.parquet(str(tmp_path / "claims"))
     stored = spark.read.parquet(str(tmp_path / "claims"))

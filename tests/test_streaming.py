@@ -103,14 +103,13 @@ def test_sliding_windows(spark, tmp_path):
     assert [(r.ip_address, str(r.window_start), r.n_clicks) for r in got] == [("ip", "2026-06-01 10:00:30", 2)]
 
 
-@pytest.mark.parametrize("hot_rows", [5, 100_000])
-def test_admission_over_batches_equals_batch_allocation(spark, tmp_path, hot_rows):
+def test_admission_over_batches_equals_batch_allocation(spark, tmp_path):
     claims = spark.range(120).select(F.col("id").alias("claim_id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5).cast("bigint").alias("voucher_id"))
     quotas = literal(spark, [(v, 20, v) for v in range(5)], "voucher_id bigint, issuance_limit int, total_issued int")
     parts = [claims.filter((F.col("claim_id") >= a) & (F.col("claim_id") < a + 30)) for a in (0, 30, 60, 90)]
     stream = feed(spark, str(tmp_path / "in"), parts)
     before = intermediates(spark)
-    jobs.admit_claims(stream, quotas, str(tmp_path / "out"), str(tmp_path / "cp"), "voucher_id", ["claim_id"], hot_rows=hot_rows).awaitTermination()
+    jobs.admit_claims(stream, quotas, str(tmp_path / "out"), str(tmp_path / "cp"), "voucher_id", ["claim_id"]).awaitTermination()
     assert intermediates(spark) == before
     got = batches.read_batches(spark, str(tmp_path / "out" / "claims"), claims.schema.add("granted", "boolean"))
     twin = allocate_capped(claims, quotas, "voucher_id", [F.col("claim_id")])
