@@ -7,13 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from promoledger.functions.predicates import any_of, holds, live, month_bounds, half_open
-from promoledger.functions.scalars import MONEY
-from promoledger.operators.audit import PROGRAM_COLUMNS, capture_changes
+from promoledger.functions.predicates import any_of, any_true, holds, live, month_bounds, half_open
+from promoledger.functions.scalars import MONEY, distinct_from
+from promoledger.operators.audit import PROGRAM_COLUMNS
 from promoledger.operators.dml import next_ids, update_where
 from promoledger.operators.quality import BAD, flag_rows, row_rules, violations
 from promoledger.session import materialize
+from promoledger.sources.folders import finish_addition, numbered_folders, replace_and_add
 from promoledger.sources.schemas import TABLES
 from promoledger.sources.snapshots import SnapshotStore
 from promoledger.sources.literal import literal
@@ -92,29 +94,48 @@ def reconcile_month(
 
 
 def run_reconciliation(
-    store: SnapshotStore, year: int, month: int, as_of, partner_ids: Sequence[int] | None = None
+    clicks_path: str,
+    payouts_path: str,
+    partners: DataFrame,
+    rules: DataFrame,
+    year: int,
+    month: int,
+    as_of,
+    partner_ids: Sequence[int] | None = None,
+    status_id: int = 1,
 ) -> DataFrame:
-    """The job over stored tables: read one pinned version, write marks and report, commit both.
-
-    Clicks are kept one table version per month, so closing a month rewrites that month only. Until
-    the commit is written readers see the old version: a failure before it changes nothing. Payouts are
-    appended by run: earlier runs, of other partners too, stay, and a rerun adds nothing.
+    """The job over plain Parquet folders: mark the month's clicks, add the payouts of this run; all payouts of the period.
+
+    Clicks lie in ``month=yyyy-MM`` folders (``layout.write_partitioned``), so closing a month reads and
+    rewrites that month only. Payouts lie below ``period=yyyy-MM/run_no=n``, one row per partner and
+    run; a run adds a folder and no earlier one changes. Marks and payouts appear together
+    (``folders.replace_and_add``): after a crash the next run, for whichever partners, first completes or
+    drops the one cut short, so no click is paid twice or left out. A partner that was paid gets a
+    further row only for clicks that came in since; a run without any such row writes nothing. A month
+    without a folder fails the run.
     """
-    pinned = store.pin()
-    name = f"partner_click_{year:04d}_{month:02d}"
-    result = reconcile_month(
-        pinned.read(name), pinned.read("partner"), pinned.read("commission_rule"), year, month, as_of, partner_ids
-    )
-    period, payouts = f"{year:04d}-{month:02d}", f"payout_{year:04d}_{month:02d}"
-    known = pinned.read(payouts) if payouts in pinned.versions else None
-    run = 1 if known is None else (known.agg(F.max("run_no")).first()[0] or 0) + 1
-    report = result.report.withColumn("period", F.lit(period)).withColumn("run_no", F.lit(run))
-    if known is not None:
-        # A partner that was paid gets a further row only for clicks that came in since.
-        paid = known.select("partner_id").distinct()
-        report = report.filter("valid_clicks > 0").unionByName(report.filter("valid_clicks = 0").join(paid, "partner_id", "left_anti"))
-    store.commit({name: result.marked}, append={payouts: report})
-    return store.pin().read(payouts)
+    spark = partners.sparkSession
+    period = f"{year:04d}-{month:02d}"
+    clicks_folder, runs = f"{clicks_path.rstrip('/')}/month={period}", f"{payouts_path.rstrip('/')}/period={period}"
+    done = numbered_folders(spark, runs, "run_no")
+    run = done[-1] + 1 if done else 1
+    added = f"{runs}/run_no={run}"
+    finish_addition(spark, clicks_folder, added)
+    if numbered_folders(spark, runs, "run_no") != done:
+        # A run cut short has just been completed under this number.
+        return run_reconciliation(clicks_path, payouts_path, partners, rules, year, month, as_of, partner_ids, status_id)
+    result = reconcile_month(spark.read.parquet(clicks_folder), partners, rules, year, month, as_of, partner_ids, status_id)
+    report = materialize(result.report, "payouts")
+    schema = T.StructType([*report.schema.fields, T.StructField("period", T.StringType()), T.StructField("run_no", T.IntegerType())])
+    stored = spark.read.schema(schema).option("basePath", payouts_path)
+    if done:
+        paid = stored.parquet(runs).select("partner_id").distinct()
+        first = report.filter("valid_clicks = 0").join(paid, "partner_id", "left_anti")
+        report = report.filter("valid_clicks > 0").unionByName(first)
+    if not report.isEmpty():
+        replace_and_add(result.marked, clicks_folder, report, added)
+        done = [*done, run]
+    return stored.parquet(runs) if done else literal(spark, [], schema)
 
 
 @dataclass(frozen=True)
@@ -139,19 +160,42 @@ def audited_update(
 ) -> AuditedUpdate:
     """Guarded update with time stamp, row rules and history, in the order a database runs them.
 
-    Rows that would break a rule keep their old values and are listed in ``violations``.
+    Rows that would break a rule keep their old values and are listed in ``violations``. The table is read
+    once: old and new values stand side by side in a row, which gives its table, history and violation
+    rows; they are written in one folder each. No join, so repeated or NULL keys make no difference.
     """
     stamped = {**assignments, "updated_at": F.lit(str(as_of)).cast("timestamp_ntz")}
     if "updated_by" not in assignments:
         stamped["updated_by"] = actor
-    touched = programs.filter(holds(condition))
-    changed = update_where(touched, F.lit(True), stamped).table
-    flagged = flag_rows(changed, row_rules(TABLES[table]))
-    bad = violations(flagged, [key])
-    good = flagged.filter(F.size(BAD) == 0).drop(BAD)
-    rest = programs.join(good.select(key), key, "left_anti").select(programs.columns)
-    new_table = rest.unionByName(good)
-    captured = capture_changes(programs, good, key, tracked, as_of, actor)
+    hit = holds(condition)
+    pairs = programs.withColumns({"__old": F.struct(*programs.columns), "__hit": hit})
+    tried = flag_rows(update_where(pairs, F.col("__hit"), stamped).table, row_rules(TABLES[table]))
+    refused = F.col("__hit") & (F.size(BAD) > 0)
+    new, old = F.struct(*programs.columns), F.col("__old")
+    differs = any_true([distinct_from(old[c], F.col(c)) for c in tracked])
+    entry = F.struct(
+        F.col(key),
+        *[old[c].alias(f"old_{c}") for c in tracked],
+        F.lit(str(as_of)).cast("timestamp_ntz").alias("changed_at"),
+        F.coalesce("updated_by", F.lit(actor)).alias("changed_by"),
+        F.lit("UPDATE").alias("change_type"),
+    )
+
+    def tagged(tag: str, row: Column | None = None, entry_: Column | None = None, bad: Column | None = None) -> Column:
+        parts = ((row, new, "row"), (entry_, entry, "entry"), (bad, F.col(BAD), BAD))
+        # ``when`` without a branch that holds gives NULL of the right type.
+        values = [F.when(F.lit(given is not None), given if given is not None else like).alias(name) for given, like, name in parts]
+        return F.struct(F.lit(tag).alias("tag"), *values)
+
+    out = F.array_compact(F.array(
+        tagged("table", F.when(refused, old).otherwise(new)),
+        F.when(F.col("__hit") & ~refused & differs, tagged("history", entry_=entry)),
+        F.when(refused, tagged("violation", new, bad=F.col(BAD))),
+    ))
+    written = materialize(tried.select(F.inline(out)), "audited", partition_by="tag")
+    new_table = written.filter("tag = 'table'").select("row.*")
+    captured = written.filter("tag = 'history'").select("entry.*")
+    bad = violations(written.filter("tag = 'violation'").select("row.*", BAD), [key])
     numbered = next_ids(captured, history, "history_id", [F.col("changed_at"), F.col(key)])
     return AuditedUpdate(new_table, numbered.select(history.columns), bad)
 

@@ -90,8 +90,8 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and read it back.
+def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder, in folders by a column if given, and read it back.
 
     Used where a plan must not be evaluated twice with different outcomes (sampled range bounds,
     partition numbers) or where a small result feeds several branches. The written table survives
@@ -99,5 +99,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

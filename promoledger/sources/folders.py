@@ -1,4 +1,4 @@
-"""Replace one folder of a stored table so that a crash at any point can be repaired."""
+"""Replace or add folders of stored tables so that a crash at any point can be repaired."""
 
 from __future__ import annotations
 
@@ -47,3 +47,53 @@ def replace_folder(df: DataFrame, path: str) -> None:
     finish_replacement(spark, path) if fs.exists(old) else fs.rename(new, target)
     # A later read in this session must not use the listing of the old files.
     spark.catalog.refreshByPath(path)
+
+
+def finish_addition(spark: SparkSession, path: str, added: str) -> None:
+    """Repair ``replace_and_add`` that was cut short; without one nothing happens.
+
+    Until the added rows are marked ready both folders are as before, and what was staged goes. From
+    then on both changes are carried out, from whichever step is missing.
+    """
+    names = (path, _beside(path, "staged"), _beside(path, "replaced"), added, _beside(added, "staged"), _beside(added, "ready"))
+    target, fresh, old, new_folder, staged, ready = (_path(spark, p) for p in names)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(ready):
+        if fs.exists(fresh):
+            if fs.exists(target) and not fs.rename(target, old):
+                raise OSError(f"cannot move {target} to {old}")
+            if not fs.rename(fresh, target):
+                raise OSError(f"cannot move {fresh} to {target}")
+        fs.delete(old, True)
+        # The added folder comes last: a reader that sees it sees the replaced rows too.
+        if not fs.rename(ready, new_folder):
+            raise OSError(f"cannot move {ready} to {new_folder}")
+        spark.catalog.refreshByPath(path)
+    else:
+        fs.delete(staged, True)
+        fs.delete(fresh, True)
+
+
+def replace_and_add(df: DataFrame, path: str, rows: DataFrame, added: str) -> None:
+    """Replace the contents of ``path`` by ``df`` and add ``rows`` as the folder ``added``: both or neither.
+
+    Both are written beside their places, and one rename marks them ready; ``finish_addition``, called here
+    and by the next run after a crash, puts them in place. One writer at a time, as for ``replace_folder``.
+    """
+    spark = df.sparkSession
+    finish_addition(spark, path, added)
+    df.write.parquet(_beside(path, "staged"))
+    staged, ready = _path(spark, _beside(added, "staged")), _path(spark, _beside(added, "ready"))
+    rows.write.parquet(_beside(added, "staged"))
+    fs = staged.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(staged, ready):
+        raise OSError(f"cannot move {staged} to {ready}")
+    finish_addition(spark, path, added)
+
+
+def numbered_folders(spark: SparkSession, parent: str, name: str) -> list[int]:
+    """The numbers n of the folders ``name=n`` below ``parent``, ascending; none if it does not exist."""
+    root = _path(spark, parent)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{name}="))

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from promoledger.functions.predicates import month_slice
 from promoledger.functions.scalars import MONEY
+from promoledger.operators import layout
 from promoledger.operators.relational import with_pages
 from promoledger.plans import reports
-from promoledger.plans.reconcile import reconcile_month
+from promoledger.plans.reconcile import reconcile_month, run_reconciliation
 from promoledger.plans.sql_functions import register_reports
+from promoledger.session import scratch_path
 from promoledger.sources.literal import literal
 from promoledger.workload.views import AS_OF, pct_sql, sql, table, view
 
@@ -314,6 +316,24 @@ def reconcile_job_some_partners(spark, sf):
     return done.marked.select("click_id", "partner_id", "reconciliation_status_id")
 
 
+@query(
+    sql(
+        f"SELECT p.partner_id, p.partner_name, count(c.click_id) AS valid_clicks, p.payout_rate, CAST(count(c.click_id) * p.payout_rate AS DECIMAL(18,2)) "
+        "AS total_payout, '2024-01' AS period, CAST(CASE WHEN p.partner_id IN (1, 2) THEN p.no ELSE p.named + 1 END AS INTEGER) AS run_no FROM "
+        f"(SELECT *, count(*) FILTER (WHERE partner_id IN (1, 2)) OVER (ORDER BY partner_id) AS no, count(*) FILTER (WHERE partner_id IN (1, 2)) OVER () AS named FROM {_RATED}) p LEFT JOIN "
+        f"(SELECT * FROM clicks WHERE {_ELIGIBLE}) c ON c.partner_id = p.partner_id GROUP BY p.partner_id, p.partner_name, p.payout_rate, p.no, p.named",
+        "clicks", "partners", "rules",
+    )
+)
+def reconcile_job_rerun(spark, sf):
+    """The stored job for partner 1, once more for partner 1, for partner 2, then for all: each is paid in one run."""
+    clicks, payouts = scratch_path(spark, "clicks"), scratch_path(spark, "payouts")
+    layout.write_partitioned(view(spark, sf, "clicks"), layout.MonthRange("clicked_at", (2024, 1), (2024, 12)), clicks)
+    for asked in ([1], [1], [2], None):
+        paid = run_reconciliation(clicks, payouts, view(spark, sf, "partners"), view(spark, sf, "rules"), 2024, 1, AS_OF, asked)
+    return paid
+
+
 @query(
     sql(
         "SELECT DISTINCT partner_id, concat('no live, rated partner ', partner_id) AS error FROM clicks WHERE "

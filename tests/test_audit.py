@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from promoledger.operators import audit, dml
 from promoledger.plans.reconcile import audited_update, run_audited_update
 from promoledger.sources.snapshots import SnapshotStore
-from tests.conftest import AS_OF, rows
+from tests.conftest import AS_OF, plan, rows
 
 
 def program(df, *columns):
@@ -47,6 +47,21 @@ def test_rule_breaking_rows_stay_as_they_were(seed):
     assert rows(done.captured, "program_id") == [(2,), (3,)]
 
 
+def test_update_of_repeated_and_null_keys_reads_the_table_once(spark, seed, monkeypatch):
+    from promoledger.plans import reconcile
+
+    programs = seed["promotion_program"]
+    odd = programs.unionByName(programs.filter("program_id = 1")).unionByName(programs.withColumn("program_id", F.lit(None).cast("bigint")))
+    plans, real = [], reconcile.materialize
+    monkeypatch.setattr(reconcile, "materialize", lambda df, *a, **k: plans.append(plan(df, "simple")) or real(df, *a, **k))
+    done = audited_update(odd, seed["promotion_program_history"], F.col("budget_limit") == 50000000, {"budget_limit": 7}, AS_OF, "ME")
+    assert len(plans) == 1 and "Join" not in plans[0] and "Exchange" not in plans[0]
+    # The row without a key breaks a rule and stays as it was; both copies of row 1 change.
+    assert done.table.count() == 7 and done.table.filter("budget_limit = 7").count() == 2
+    assert rows(done.captured, "program_id") == [(1,), (1,)]
+    assert {r.program_id for r in done.violations.collect()} == {None}
+
+
 def test_table_and_history_become_visible_together(spark, seed, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "store"))
     assert store.pin().commit_id == 0

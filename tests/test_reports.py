@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from promoledger.operators import dml
 from promoledger.plans import reports
 from promoledger.plans.reconcile import reconcile_month, run_reconciliation
+from promoledger.sources import folders
 from promoledger.sources.literal import literal
 from promoledger.sources.schemas import TABLES
-from promoledger.sources.snapshots import SnapshotStore
 from tests.conftest import AS_OF, plan, rows
 
 
@@ -91,22 +91,76 @@ def test_reconciliation_of_named_partners(spark, seed):
     assert rows(done.marked, "partner_id", "reconciliation_status_id") == [(1, 1), (2, None), (3, None), (4, None), (5, None)]
 
 
-def test_reconciliation_job_commits_marks_and_report_together(spark, seed, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path / "store"))
-    store.commit({"partner_click_2026_06": seed["partner_click"], "partner": seed["partner"], "commission_rule": seed["commission_rule"]})
-    assert run_reconciliation(store, 2026, 6, AS_OF).agg(F.sum("valid_clicks")).first()[0] == 5
-    assert store.read("partner_click_2026_06").filter("reconciliation_status_id IS NULL").isEmpty()
-    # A rerun pays nothing and keeps the first payout.
-    assert run_reconciliation(store, 2026, 6, AS_OF).agg(F.sum("valid_clicks")).first()[0] == 5
+def stored_clicks(seed, tmp_path):
+    """Paths of the seed's clicks by month and of the payouts, and the frames the job needs."""
+    clicks = seed["partner_click"].withColumn("month", F.date_format(F.col("clicked_at").cast("date"), "yyyy-MM"))
+    clicks.write.partitionBy("month").parquet(str(tmp_path / "clicks"))
+    return str(tmp_path / "clicks"), str(tmp_path / "payouts"), seed["partner"], seed["commission_rule"]
+
+
+def test_reconciliation_job_marks_and_pays_once(spark, seed, tmp_path):
+    stored = stored_clicks(seed, tmp_path)
+    for _ in range(2):  # A rerun pays nothing and keeps the first payout.
+        paid = run_reconciliation(*stored, 2026, 6, AS_OF)
+        assert paid.agg(F.sum("valid_clicks")).first()[0] == 5 and {r.run_no for r in paid.collect()} == {1}
+        assert spark.read.parquet(stored[0]).filter("reconciliation_status_id IS NULL").isEmpty()
 
 
 def test_reconciliation_job_per_partner(spark, seed, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path / "store"))
-    store.commit({"partner_click_2026_06": seed["partner_click"], "partner": seed["partner"], "commission_rule": seed["commission_rule"]})
+    stored = stored_clicks(seed, tmp_path)
     for asked in ([1], [1], [2]):
-        paid = run_reconciliation(store, 2026, 6, AS_OF, asked)
+        paid = run_reconciliation(*stored, 2026, 6, AS_OF, asked)
+    assert [tuple(map(str, r)) for r in sorted(paid.select("partner_id", "total_payout", "run_no").collect())] == [("1", "5.00", "1"), ("2", "7.00", "2")]
+    assert spark.read.parquet(stored[0]).count() == seed["partner_click"].count()
+
+
+def test_reconciliation_of_nobody_writes_nothing(spark, seed, tmp_path):
+    stored = stored_clicks(seed, tmp_path)
+    assert run_reconciliation(*stored, 2026, 6, AS_OF, [77]).isEmpty()
+    assert not (tmp_path / "payouts").exists()
+
+
+@pytest.mark.parametrize("step", range(9))
+def test_reconciliation_job_survives_a_crash_at_any_step(spark, seed, tmp_path, step, monkeypatch):
+    stored = stored_clicks(seed, tmp_path)
+    real, calls = folders._path, []
+
+    class Stop(Exception):
+        pass
+
+    class Crashing:
+        """File system calls of the job; the one numbered ``step`` and all after it do not happen."""
+
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            def call(*args):
+                if name in ("rename", "delete"):
+                    if len(calls) == step:
+                        raise Stop
+                    calls.append(name)
+                return getattr(self.fs, name)(*args)
+
+            return call
+
+    def opened(session, path):
+        target = real(session, path)
+        system = target.getFileSystem
+        target.__dict__["getFileSystem"] = lambda conf: Crashing(system(conf))
+        return target
+
+    monkeypatch.setattr(folders, "_path", opened)
+    with pytest.raises(Stop):
+        run_reconciliation(*stored, 2026, 6, AS_OF, [1])
+    monkeypatch.setattr(folders, "_path", real)
+    paid = run_reconciliation(*stored, 2026, 6, AS_OF, [2])
+    paid = run_reconciliation(*stored, 2026, 6, AS_OF, [1])
     assert [tuple(map(str, r)) for r in sorted(paid.select("partner_id", "total_payout").collect())] == [("1", "5.00"), ("2", "7.00")]
-    assert store.read("partner_click_2026_06").count() == seed["partner_click"].count()
+    clicks = spark.read.parquet(stored[0])
+    assert clicks.count() == seed["partner_click"].count()
+    assert rows(clicks.filter("partner_id <= 2"), "partner_id", "reconciliation_status_id") == [(1, 1), (2, 1)]
+    assert not [p.name for f in ("clicks", "payouts/period=2026-06") for p in (tmp_path / f).iterdir() if p.name.startswith(".") and p.is_dir()]
 
 
 def test_payouts_and_adjustments(spark, seed):
