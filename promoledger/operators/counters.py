@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from promoledger.functions.joins import null_safe_join
 from promoledger.operators.numbering import HOT_ROWS, rank_within
-from promoledger.operators.relational import unique_rows
+from promoledger.operators.relational import repeated, unique_rows
 from promoledger.operators.selection import CELL_ROWS, has_digits, last_covered
 from promoledger.session import materialize
 
@@ -77,21 +77,12 @@ def grant_claims(
     given = F.least(F.greatest(F.col("room") - F.coalesce(F.sum("__n").over(earlier), F.lit(0)), F.lit(0)), F.col("__n"))
     counted = alike.withColumn("__given", given)
     parts = [
-        _repeated(counted.withColumn("__times", times).select(*claims.columns, "__times")).withColumn("granted", F.lit(granted))
+        repeated(counted.withColumn("__times", times).select(*claims.columns, "__times"), "__times").withColumn("granted", F.lit(granted))
         for times, granted in ((F.col("__given"), True), (F.col("__n") - F.col("__given"), False))
     ]
     return decided.filter(~at_cut).select(*claims.columns, "granted").unionByName(parts[0]).unionByName(parts[1])
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
-    """Every row as often as ``__times`` says, in blocks, so that no array grows with the count."""
-    block = 4096
-    columns = [c for c in rows.columns if c != "__times"]
-    blocks = rows.filter("__times > 0").withColumn("__block", F.explode(F.sequence(F.lit(0), F.expr(f"(__times - 1) div {block}"))))
-    size = F.least(F.col("__times") - F.col("__block") * block, F.lit(block)).cast("int")
-    return blocks.withColumn("__copy", F.explode(F.array_repeat(F.lit(True), size))).select(*columns)
-
-
 def advance_counters(quotas: DataFrame, allocated: DataFrame, key: str, issued: str = "total_issued") -> DataFrame:
     """The counters after an allocation."""
     given = allocated.filter("granted").groupBy(key).agg(F.count(F.lit(1)).alias("__given"))

@@ -34,6 +34,17 @@ def unique_rows(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     return counted.filter(only_one(F.lit(True), keys, what)).select(df.columns)
 
 
+def repeated(df: DataFrame, times: str, block: int = 4096) -> DataFrame:
+    """Every row as often as its column ``times`` says, without that column.
+
+    Rows are repeated in blocks, so no array grows with the count; a NULL or 0 gives no row.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns if c != times]
+    blocks = df.filter(F.col(times) > 0).select("*", F.explode(F.sequence(F.lit(0), F.expr(f"(`{times}` - 1) div {block}"))).alias("__block"))
+    size = F.least(F.col(times) - F.col("__block") * block, F.lit(block)).cast("int")
+    return blocks.select("*", F.explode(F.array_repeat(F.lit(True), size)).alias("__copy")).select(*columns)
+
+
 def lookup(df: DataFrame, reference: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> DataFrame:
     """Scalar lookup: add ``take`` = {new column: reference column}; NULL when nothing matches.
 
