@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.operators.numbering import number_rows
+from promoledger.operators.numbering import number_rows, rank_within
 from promoledger.session import materialize
 
 WEIGHTS, MOST_COPIES, GROUP, SEED = (5.0, 2.0, 1.0), 3.0, 32, 20261
@@ -63,12 +63,22 @@ def plan_mix(
     most: float = MOST_COPIES,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row per distinct (doc_id, source, size) with ``n_rows``, ``source_size``, ``target``, ``copies``.
+    """One row per distinct (doc_id, source, size, copies) with ``n_rows``, ``source_size``, ``target``.
 
-    Rows that agree in id, source and size are settled together. Rows without words get the whole
+    Rows that agree in id, source and size differ by at most one copy: of n such rows with a fractional part p, floor(n * p) get
+    one copy more, and one further row stands for the rest in the rounding. Rows without words get the whole
     part of their source's copies (none if the source has no words). Sizes may tie. NULL ids and NULL sources are
     values like others; an empty table gives no rows.
     """
+    lumps = _plan_lumps(docs, id_col, text_col, source_col, weights, most, seed)
+    more = F.struct((F.col("copies") + 1).alias("copies"), F.col("extra").alias("n_rows"))
+    plain = F.struct(F.col("copies"), (F.col("n_rows") - F.col("extra")).alias("n_rows"))
+    parts = lumps.withColumn("__part", F.explode(F.array(more, plain))).filter("__part.n_rows > 0")
+    return parts.select("doc_id", "source", "size", "__part.n_rows", "source_size", "target", "__part.copies")
+
+
+def _plan_lumps(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...], most: float, seed: int) -> DataFrame:
+    """One row per distinct (doc_id, source, size): of its ``n_rows`` rows ``extra`` get one more than ``copies``."""
     sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
     items = materialize(sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n_rows")), "mix-sizes")
     targets = materialize(source_targets(items, weights, most), "mix-targets")
@@ -76,9 +86,12 @@ def plan_mix(
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     near = F.when(F.abs(rate - F.round(rate)) < 1e-12, F.round(rate)).otherwise(rate)
     known = known.withColumn("__rate", near).withColumn("__whole", F.floor("__rate").cast("int"))
-    words = (F.col("size") * F.col("n_rows")).cast("double")
-    part = F.col("__rate") - F.col("__whole")
-    open_ = (words > 0) & (part > 0)
+    words = F.col("size").cast("double")
+    # Of rows that agree, so many get one copy more for certain; one row carries the rest.
+    wanted = F.when(words > 0, F.col("n_rows") * (F.col("__rate") - F.col("__whole"))).otherwise(F.lit(0.0))
+    known = known.withColumn("__sure", F.floor(wanted)).withColumn("__rest", wanted - F.col("__sure"))
+    part = F.col("__rest")
+    open_ = part > 0
     fields = ["doc_id", "source", "size"]
     largest = targets.agg(F.max("n_items")).first()[0] or 0
     group = F.pmod(F.xxhash64(*fields, F.lit(seed)), F.ceil(F.col("n_items") / GROUP))
@@ -98,7 +111,7 @@ def plan_mix(
     ups = ups.select(*[F.col(f"key.{f}").alias(f"__{f}") for f in fields], "up")
     same = [F.col(f).eqNullSafe(F.col(f"__{f}")) for f in fields]
     return known.join(ups, same, "left").select(
-        *fields, "n_rows", "source_size", "target", (F.col("__whole") + F.coalesce("up", F.lit(0))).alias("copies")
+        *fields, "n_rows", "source_size", "target", F.col("__whole").alias("copies"), (F.col("__sure") + F.coalesce("up", F.lit(0))).alias("extra")
     )
 
 
@@ -149,17 +162,38 @@ def _level(unsettled: DataFrame, salt: int) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[float, ...] = WEIGHTS,
+    most: float = MOST_COPIES,
+    seed: int = SEED,
+) -> DataFrame:
     """``docs`` with each row as many times as the mix takes it; columns unchanged.
 
     Options are those of ``plan_mix``, whose docstring states the results for NULLs, repeated rows,
-    texts without words and empty tables.
+    texts without words and empty tables. Which of the rows that agree in id, source and size get the further copy
+    follows the order in which they were written down once; their number may be any.
     """
-    plan = plan_mix(docs, id_col, text_col, source_col, **options).filter("copies > 0").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies")
+    plan = _plan_lumps(docs, id_col, text_col, source_col, weights, most, seed).select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
+        F.col("copies").alias("__copies"), F.col("extra").alias("__extra"), F.col("n_rows").alias("__n"),
     )
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     keyed = docs.select(row, F.col(id_col).alias("__key"), F.col(source_col).cast("string").alias("__from"), word_count(F.col(text_col)).alias("__words"))
     same = F.col("__key").eqNullSafe(F.col("__id")) & F.col("__from").eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
-    taken = keyed.join(plan, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    differ = (F.col("__extra") > 0) & (F.col("__extra") < F.col("__n"))
+    all_same = F.col("__copies") + (F.col("__extra") > 0).cast("int")
+    if plan.filter((F.col("__n") > 1) & differ).isEmpty():
+        taken = keyed.join(plan, same).withColumn("__times", all_same)
+    else:
+        joined = keyed.join(plan, same)
+        # Written once, so that a row keeps its number; a lump of very many rows is numbered in parts.
+        tied = materialize(joined.filter(differ).withColumn("__no", F.monotonically_increasing_id()), "mix-tied")
+        ranked = rank_within(tied, ["__id", "__source", "__size"], [F.col("__no")], "__rank").drop("__no")
+        picked = ranked.withColumn("__times", F.col("__copies") + (F.col("__rank") <= F.col("__extra")).cast("int")).drop("__rank")
+        taken = joined.filter(~differ).withColumn("__times", all_same).unionByName(picked)
+    taken = taken.filter("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))))
     return taken.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from promoledger.llm import collocations, grading, jaccard, lattice, lines, mixing, mixing_model, packing, pieces, periods, sentences, sharding, suffixes
+from promoledger.operators.relational import repeated
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -21,8 +22,7 @@ def _read(spark, sf, name):
 
 @query
 def op1_mixing(spark, sf):
-    plan = mixing.plan_mix(_read(spark, sf, "documents"))
-    rows = plan.withColumn("__row", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))))
+    rows = repeated(mixing.plan_mix(_read(spark, sf, "documents")), "n_rows")
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
 
 

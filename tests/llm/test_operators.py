@@ -463,6 +463,25 @@ def test_mixing_of_equal_sizes(spark):
         assert ((sums - got.groupby("source").target.first()).abs() <= 1).all()
 
 
+def test_mixing_of_rows_that_agree(spark):
+    # A third of all rows share a NULL id, source and size; their texts and other columns differ.
+    rows = spark.range(3000).selectExpr(
+        "if(id < 1000, null, id) AS doc_id", "concat('w', id, repeat(' w', if(id < 1000, 30, cast(id % 50 AS int)))) AS text",
+        "if(id < 1000, 'b', element_at(array('a', 'b', 'c'), cast(id % 3 AS int) + 1)) AS source", "id AS n")
+    for weights in ((5, 2, 1), (1, 2, 3), (2, 1, 5)):
+        plan = mixing.plan_mix(rows, weights=weights).toPandas()
+        taken = (plan.copies * plan["size"] * plan.n_rows).groupby(plan.source).sum()
+        assert ((taken - plan.groupby("source").target.first()).abs() <= 50).all() and plan.copies.max() <= 3
+        assert plan.n_rows.sum() == 3000
+        mixed = mixing.mix(rows, weights=weights)
+        got = mixed.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("taken")).toPandas().set_index("source").taken
+        assert (got.reindex(taken[taken > 0].index) == taken[taken > 0]).all()
+        each = mixed.filter("doc_id is null").groupBy("n").count().toPandas()["count"]
+        assert each.max() - each.min() <= 1
+    same = spark.range(500).selectExpr("cast(null AS bigint) AS doc_id", "'a b c' AS text", "if(id < 400, 'x', 'y') AS source", "map('k', 1) AS extra")
+    assert abs(mixing.mix(same).count() - 500) <= 2 and mixing.mix(same).columns == same.columns
+
+
 def test_suffixes_of_very_many_documents_in_a_chunk(spark):
     text = "abcdefghij" * 5
     got = suffixes.remove_repeated_bytes(spark.range(0, 72_000, 1, 1).selectExpr("id AS doc_id", f"'{text}' AS text"), with_text=False)
