@@ -225,3 +225,23 @@ def test_month_added_on_disk_moves_default_rows_only(spark, bench, tmp_path, mon
     assert after.keys() - before.keys() == {"month=2026-05"}
     assert all(after[f] == before[f] for f in before if f != "month=__default__")
     assert after["month=__default__"] != before["month=__default__"]
+
+
+def test_profiles_merge_from_stored_sketches(spark, tmp_path):
+    rows_ = spark.range(20_000).selectExpr(
+        "concat('2024-0', id % 3 + 1) AS month", "id AS k", "if(id % 4 = 0, null, concat('v', least(id % 100, 3))) AS word",
+        "cast(null AS double) AS gone", "if(id % 5 = 0, double('nan'), id / 10) AS x")
+    path, columns = str(tmp_path / "sketches"), ["k", "word", "gone", "x"]
+    profile.refresh_profiles(rows_, "month", columns, path)
+    march = rows_.filter("month = '2024-03'").withColumn("word", F.lit("new"))
+    profile.refresh_profiles(march, "month", columns, path)
+    got = {r.column_name: r for r in profile.merged_profile(spark.read.parquet(path), 0.25, 2).collect()}
+    assert {c: r.n_rows for c, r in got.items()} == dict.fromkeys(columns, 20_000)
+    assert abs(got["k"].n_distinct - 20_000) < 1000 and abs(got["k"].quantile - 5000) < 400 and abs(got["x"].quantile - 500) < 40
+    assert got["gone"].quantile is None and got["gone"].n_nulls == 20_000 and got["gone"].n_distinct == 0 and got["gone"].common == []
+    exact = rows_.filter("month < '2024-03'").unionByName(march).filter("word is not null").groupBy("word").count().orderBy(F.desc("count")).limit(2).collect()
+    assert [tuple(v) for v in got["word"].common] == [tuple(v) for v in exact] and got["word"].quantile is None
+    text = plan(profile.profile_sketches(rows_, "month", columns), "simple")
+    assert "Expand" not in text and text.count("Exchange") == 1
+    profile.refresh_profiles(rows_.limit(0), "month", columns, path)
+    assert profile.merged_profile(spark.read.parquet(path)).count() == 4
