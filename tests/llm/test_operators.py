@@ -406,6 +406,30 @@ def test_word_chances_add_up():
     assert owner[-1] == 255
 
 
+def test_shares_of_contexts_are_learnt():
+    rng, n = np.random.default_rng(1), 40_000
+    counts = [np.full(n, 900), np.full(n, 40)]
+    # The word before tells the next one 9 times in 10, the last bytes never do.
+    seen = [np.zeros(n, np.int64), np.where(rng.random(n) < 0.9, 40, 0)]
+    first = mixing_model.first_weights()
+    weights, used = mixing_model.learn_shares(first, np.full(n, 1e-4), seen, counts)
+    before, after = (mixing_model.context_shares(w, counts)[0] for w in (first, weights))
+    assert before[1][0] < 0.1 and 0.85 < after[1][0] < 0.95 and after[0][0] < before[0][0]
+    assert used.sum() == 2 * n
+    # Chances of all words after one context add up to 1.
+    prior, follow = np.array([0.5, 0.3, 0.2]), [np.array([900, 0, 0]), np.array([0, 30, 10])]
+    chances = mixing_model.log_chances(weights, np.log10(prior), prior, follow, [c[:3] for c in counts])
+    assert math.isclose((10**chances).sum(), 1, rel_tol=1e-12)
+    unmet = mixing_model.log_chances(weights, np.log10(prior), prior, [np.zeros(3), np.zeros(3)], [np.zeros(3), np.zeros(3)])
+    assert np.allclose(10**unmet, prior)
+
+
+def test_key_lists_are_sent_small():
+    keys = np.sort(np.random.default_rng(2).integers(0, 1 << mixing_model.KEY_BITS, 100_000)).astype(np.uint64)
+    blob = mixing_model._ascending(keys)
+    assert len(blob) < 5 * len(keys) and (np.cumsum(mixing_model._from_places(blob)[0]) == keys).all()
+
+
 def test_order_of_words_counts(spark, monkeypatch):
     monkeypatch.setattr(mixing_model, "CHUNK_BYTES", 2000)
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
