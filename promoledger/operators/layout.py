@@ -263,7 +263,8 @@ def clustering_correlation(df: DataFrame, value: Column) -> DataFrame:
     files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("__n"))
     offsets = files.select("file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     position = (F.col("__before") + F.col("__index")).cast("double")
-    return rows.join(offsets, "file").agg(F.corr("__value", position).alias("correlation"))
+    # One short row per file; dealt out by file, all rows of a file would meet in one task.
+    return rows.join(F.broadcast(offsets), "file").agg(F.corr("__value", position).alias("correlation"))
 
 
 def unreconciled_extract(clicks: DataFrame) -> DataFrame:

@@ -245,3 +245,16 @@ def test_profiles_merge_from_stored_sketches(spark, tmp_path):
     assert "Expand" not in text and text.count("Exchange") == 1
     profile.refresh_profiles(rows_.limit(0), "month", columns, path)
     assert profile.merged_profile(spark.read.parquet(path)).count() == 4
+
+
+def test_correlation_leaves_rows_in_place(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS x").coalesce(1).write.parquet(str(tmp_path / "rows"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = layout.clustering_correlation(spark.read.parquet(str(tmp_path / "rows")), F.col("x"))
+        plan = found._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert found.first()[0] > 0.999
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
