@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promoledger.llm import grading, jaccard, mixing, packing, sentences
-from promoledger.session import scratch_path, scratch_scope
+from promoledger.session import scratch_path, scratch_scope, short_batches
 
 
 def _documents(df: DataFrame, docs: DataFrame) -> DataFrame:
@@ -59,8 +59,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        # What a stage writes besides its result goes when it ends.
-        with scratch_scope(spark):
+        # What a stage writes besides its result goes when it ends. All rows hold whole texts.
+        with scratch_scope(spark), short_batches(spark):
             result = stage(spark, docs, sf_dir)
             result.write.parquet(path)
         docs = spark.read.schema(result.schema).parquet(path)

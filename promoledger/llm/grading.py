@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from promoledger.llm.kernels import LOWER, RangeHash, U, mix, slices, word_ranges
 
-BITS, SAMPLE_DOCS, MIN_DOCS, LEAST_Z, ROUNDS, GRADES, TAIL_GRADE, KEEP = 18, 4000, 4, 4.0, 150, 3, 2, 0.5
+BITS, SAMPLE_DOCS, MIN_DOCS, LEAST_Z, ROUNDS, GRADES, TAIL_GRADE, KEEP, SLICE = 18, 4000, 4, 4.0, 150, 3, 2, 0.5, 1 << 19
 _SYMBOLS, _MARKS = np.zeros(256, bool), np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 _MARKS[list(b"#*$%&|<>.,;:!?\"'()[]-")] = True
@@ -137,7 +137,7 @@ def fit_grades(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, off in slices(batch.column(1)):
+            for lo, hi, data, off in slices(batch.column(1), SLICE):
                 row, ids = features(data, off)
                 cuts = np.searchsorted(row, np.arange(hi - lo + 1))
                 flat = [ids[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -160,15 +160,18 @@ def grade_documents(
     passed = columns or [id_col]
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
     bits = len(model.weights).bit_length() - 1
+    # A text that is passed on is sent to the task once.
+    sent = passed if text_col in passed else [*passed, text_col]
+    text_at = sent.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, off in slices(batch.column(len(passed))):
+            for lo, hi, data, off in slices(batch.column(text_at), SLICE):
                 row, ids = features(data, off, bits)
                 tail = model.chances(np.bincount(row, model.weights[ids], hi - lo))
                 arrays = [batch.column(k).slice(lo, hi - lo) for k in range(len(passed))]
                 arrays += [pa.array(tail.sum(1)), pa.array(tail[:, TAIL_GRADE - 1]), pa.array(tail[:, TAIL_GRADE - 1] >= keep)]
                 yield pa.RecordBatch.from_arrays(arrays, [*passed, "expected_grade", "tail_probability", "kept"])
 
-    read = docs.select(*[F.col(f"`{c}`") for c in passed], F.col(text_col).alias("__text"))
+    read = docs.select(*[F.col(f"`{c}`") for c in sent])
     return read.mapInArrow(run, f"{fields}, expected_grade double, tail_probability double, kept boolean")

@@ -24,15 +24,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoledger.llm.graph import components
 from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, word_ranges
-from promoledger.session import materialize, release_shuffles
+from promoledger.session import materialize, release_shuffles, short_batches
 
-LEAF, PIVOTS, SPARE, BLOCK_KEYS = 32, 8, 4, 1 << 20
-BATCH_ROWS = "500"
+LEAF, PIVOTS, SPARE, BLOCK_KEYS, SLICE = 32, 8, 4, 1 << 20, 1 << 19
 BUCKETS, REGION_ROWS, HUB_ROUNDS, BEST_ROUNDS = 256, 4096, 1, 2
 
 
@@ -109,7 +108,7 @@ def _documents(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, off in slices(batch.column(1)):
+            for lo, hi, data, off in slices(batch.column(1), SLICE):
                 sets = shingle_sets(data, off, k)
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 classes = pa.array([set_class(s) if len(s) else None for s in sets], pa.int64())
@@ -157,7 +156,7 @@ def _regions(docs: DataFrame, k: int, threshold: Threshold, parts: int) -> DataF
             return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(blobs, pa.large_binary()).cast(pa.binary())], ["part", "block"])
 
         for batch in batches:
-            for _, _, data, off in slices(batch.column(0)):
+            for _, _, data, off in slices(batch.column(0), SLICE):
                 for s in shingle_sets(data, off, k):
                     if len(s) and (name := set_class(s)) not in held:
                         held[name] = slice_keys(s, tops, counts)
@@ -228,7 +227,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, off in slices(batch.column(1)):
+            for lo, hi, data, off in slices(batch.column(1), SLICE):
                 found = []
                 for c, s in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), shingle_sets(data, off, k), strict=True):
                     if len(s) and set_class(s) == c:
@@ -369,24 +368,15 @@ def _roots(links: DataFrame) -> DataFrame:
 
 def class_links(docs: DataFrame, k: int, threshold: Threshold) -> tuple[DataFrame, DataFrame]:
     """(document rows, components of the classes), both from written tables."""
-    rows = materialize(_documents(docs, k), "shingle-docs")
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    regions = materialize(_regions(docs, k, threshold, parts).distinct(), "regions")
-    wanted = rows.join(regions.select("class").distinct(), "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    with _short_batches(docs.sparkSession), _bucketed(_sets(docs, wanted, k)) as sets:
-        return rows, _linked_roots(regions, sets, threshold, parts)
-
-
-@contextmanager
-def _short_batches(spark: SparkSession) -> Iterator[None]:
-    """Fewer rows per Arrow batch: rows of pairs hold two whole sets."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, BATCH_ROWS)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    spark = docs.sparkSession
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Rows hold whole texts, later two whole sets.
+    with short_batches(spark):
+        rows = materialize(_documents(docs, k), "shingle-docs")
+        regions = materialize(_regions(docs, k, threshold, parts).distinct(), "regions")
+        wanted = rows.join(regions.select("class").distinct(), "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+        with _bucketed(_sets(docs, wanted, k)) as sets:
+            return rows, _linked_roots(regions, sets, threshold, parts)
 
 
 @contextmanager

@@ -155,6 +155,23 @@ def test_jaccard_against_brute_force(spark, odd, empty, small, monkeypatch):
         assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_short_batches_for_whole_texts(spark, odd, monkeypatch):
+    name, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard.materialize
+    before = spark.conf.get(name)
+    monkeypatch.setattr(jaccard, "materialize", lambda df, label: (seen.append((label, spark.conf.get(name))), write(df, label))[1])
+    jaccard.jaccard_components(odd)
+    # The passes over texts come first; all jobs run with few rows a batch.
+    assert [label for label, _ in seen][:2] == ["shingle-docs", "regions"]
+    assert {rows for _, rows in seen} == {"500"} and spark.conf.get(name) == before
+
+
+def test_grading_sends_a_text_once(odd):
+    columns = ["doc_id", "text", "source"]
+    out = grading.grade_documents(odd, grading.train_ordinal(*[np.zeros(0, np.int64)] * 3), columns=columns)
+    assert out._jdf.queryExecution().analyzed().children().head().output().size() == len(columns)
+    assert [tuple(r)[:3] for r in out.collect()] == [tuple(r) for r in odd.select(columns).collect()]
+
+
 def test_first_of_components(odd):
     kept = jaccard.first_of_components(odd, k=5, threshold=jaccard.Threshold(80, 100))
     assert kept.columns == odd.columns
