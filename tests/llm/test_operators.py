@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -155,6 +156,33 @@ def test_jaccard_against_brute_force(spark, odd, empty, small, monkeypatch):
         assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_prints_lose_no_link():
+    rng, threshold = np.random.default_rng(5), jaccard.Threshold(80, 100)
+    # Few distinct values, so that prints repeat inside a set.
+    sets = [np.unique(rng.integers(0, 90, 60) << 44).astype(np.uint64) for _ in range(300)] + [np.zeros(0, np.uint64)]
+    prints = [[int(v) >> 48 for v in s] for s in sets]
+    column = pa.array([np.array(p, "<u2").tobytes() for p in prints], pa.binary())
+    keys, sizes = jaccard.numbered_prints(column.slice(1))
+    assert sizes.tolist() == [len(p) for p in prints[1:]] and (np.diff(keys) > 0).all()
+    assert ((keys >> 32) & 0xFFFF).tolist() == [v for p in prints[1:] for v in p]
+    for s, t, p, q in zip(sets, sets[1:], prints, prints[1:], strict=False):
+        x, y = (set(jaccard.numbered_prints(pa.array([np.array(v, "<u2").tobytes()], pa.binary()))[0].tolist()) for v in (p, q))
+        assert len(x & y) == sum((Counter(p) & Counter(q)).values()) >= len(np.intersect1d(s, t))
+    assert threshold.linked(np.array([8, 7]), np.array([9, 9]), np.array([9, 9])).tolist() == [True, False]
+
+
+def test_whole_sets_move_for_close_pairs_only(spark, monkeypatch):
+    moved, measure = [], jaccard._measured
+    monkeypatch.setattr(jaccard, "_measured", lambda pairs, *rest: (moved.append(pairs.count()), measure(pairs, *rest))[1])
+    found = [tuple(r) for r in jaccard.jaccard_components(spark.createDataFrame(near_copies(), "doc_id bigint, text string")).drop("class").collect()]
+    assert sorted(found, key=repr) == brute_components(near_copies(), 4, 85, 100)
+    before, screen = list(moved), jaccard._close
+    moved.clear()
+    monkeypatch.setattr(jaccard, "_close", lambda pairs, *rest: pairs)
+    jaccard.jaccard_components(spark.createDataFrame(near_copies(), "doc_id bigint, text string")).count()
+    assert sum(before) < sum(moved) and screen is not jaccard._close
+
+
 def test_short_batches_for_whole_texts(spark, odd, monkeypatch):
     name, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard.materialize
     before = spark.conf.get(name)
