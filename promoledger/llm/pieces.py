@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.llm.kernels import RangeHash, slices
+from promoledger.llm.kernels import RangeHash, U, slices
 
 MODEL, CACHED_PARTS, SPACE_MARK = "piece_bpe_32k.model", 1 << 19, "▁"
 SHIFT, LOW, UNKNOWN, MERGED, NEVER, SHORT = 20, (1 << 20) - 1, -1, -2, (1 << 30) - 1, 48
@@ -31,15 +31,42 @@ USED, MARK = 1, 2
 _codecs: dict[str, PieceCodec] = {}
 
 
-def ragged(rows: list, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of ``rows[k]`` for every k of ``which`` in a row, and where each begins and the last one ends."""
-    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    flat = np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum()))
-    picked = sizes[which]
-    ends = np.zeros(len(which) + 1, np.int64)
-    np.cumsum(picked, out=ends[1:])
-    shift = np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], picked)
-    return flat[shift + np.arange(len(shift))], ends
+def ragged(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of ``flat`` in a row, and where each begins and the last one ends."""
+    ends = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    return flat[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
+
+class KnownParts:
+    """Ids of parts by the parts' hashes, in common arrays."""
+
+    def __init__(self):
+        self.keys, self.starts, self.sizes, self.ids = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, whether known) of sorted keys."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Keep new parts: sorted keys, ids in a row, ids per part."""
+        at = np.searchsorted(self.keys, keys)
+        self.starts = np.insert(self.starts, at, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.keys, self.sizes = np.insert(self.keys, at, keys), np.insert(self.sizes, at, sizes)
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+
+    def shorten(self, most: int) -> None:
+        """Drop all but the ``most`` parts that came last."""
+        if most < len(self):
+            low = np.sort(self.starts)[len(self) - most] if most else len(self.ids)
+            stay = self.starts >= low
+            self.keys, self.starts, self.sizes, self.ids = self.keys[stay], self.starts[stay] - low, self.sizes[stay], self.ids[low:].copy()
 
 
 class PieceCodec:
@@ -71,6 +98,9 @@ class PieceCodec:
         for value, i in self.byte_ids.items():
             self.surface[i] = bytes([value])
         self.surface[sp.unk_id()] = b" \xe2\x81\x87 "
+        self.surface_sizes = np.array([len(x) for x in self.surface], np.int64)
+        self.surface_starts = np.cumsum(self.surface_sizes) - self.surface_sizes
+        self.surface_bytes = np.frombuffer(b"".join(self.surface), np.uint8)
         self.controls = {i for i in range(size) if sp.is_control(i)}
         self.marked = {i for p, i in self.piece_ids.items() if p[0] == SPACE_MARK}
         self.bytes_of = {i: value for value, i in self.byte_ids.items()}
@@ -80,7 +110,7 @@ class PieceCodec:
         self.kinds = np.zeros(0x110000, np.uint8)
         self.kinds[[ord(c) for p in self.piece_ids for c in p]] = USED
         self.kinds[ord(SPACE_MARK)] = USED if inner else MARK
-        self.known: dict[int, tuple[int, ...]] = {}
+        self.known = KnownParts()
         if len(self.byte_ids) != 256 or sp.encode("a  b ") != self.encode("a  b "):
             raise ValueError(f"{path} is not a merge-type vocabulary with byte fallback and plain white space")
 
@@ -140,40 +170,53 @@ class PieceCodec:
         np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF), out=at[1:])
         keys = RangeHash(np.frombuffer(marked.encode(), np.uint8))(at[starts], at[ends])
         keys, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        known, keys = self.known, keys.tolist()
-        self._learn({key: marked[starts[k] : ends[k]] for key, k in zip(keys, first.tolist(), strict=True) if key not in known})
-        ids, where = ragged([known[key] for key in keys], which)
+        known = self.known
+        new = ~known.find(keys)[1]
+        if new.any():
+            known.add(keys[new], *self._learn(marked, points, starts[first[new]], ends[first[new]]))
+        at = known.find(keys)[0][which]
+        ids, where = ragged(known.ids, known.starts[at], known.sizes[at])
         bounds = where[np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)]))]
         if len(known) > CACHED_PARTS:
             # The older half goes; frequent parts come back with the next batch.
-            for old in list(islice(known, len(known) - CACHED_PARTS // 2)):
-                del known[old]
+            known.shorten(CACHED_PARTS // 2)
         return ids, bounds
 
-    def _learn(self, parts: dict[int, str]) -> None:
-        """Keep the ids of new parts. Short ones share an agenda, long ones and those with unknown characters have their own."""
-        short = [key for key, part in parts.items() if len(part) <= SHORT]
-        points = np.frombuffer("".join([parts[key] for key in short]).encode("utf-32-le"), np.uint32)
-        symbols, sizes = self.characters[points], np.array([len(parts[key]) for key in short], np.int64)
-        spelt = np.ones(len(short), bool)
-        spelt[np.repeat(np.arange(len(short)), sizes)[symbols == UNKNOWN]] = False
-        rows = np.flatnonzero(spelt)
-        for k, ids in zip(rows.tolist(), self.merge_all(symbols[np.repeat(spelt, sizes)], sizes[rows]), strict=True):
-            self.known[short[k]] = tuple(ids)
-        for key, part in parts.items():
-            if key not in self.known:
-                ids, start, last = [], 0, len(part)
-                for k in range(1, last + 1):
-                    if k == last or part[k - 1 : k + 1] not in self.neighbours:
-                        ids += self.merge(part[start:k])
-                        start = k
-                self.known[key] = tuple(ids)
-
-    def merge_all(self, symbols: np.ndarray, sizes: np.ndarray) -> list[list[int]]:
-        """Ids of many parts at once, given as pieces of one character: every round takes the first entry
-        of each part's agenda (best score, then leftmost), merges it and looks up the pairs it forms."""
-        out: list[list[int]] = [[] for _ in range(len(sizes))]
-        part = np.arange(len(sizes))
+    def _learn(self, marked: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, ids per part) of parts of ``marked``, whose characters are ``points``.
+
+        Short parts share an agenda, long ones and those with unknown characters have their own."""
+        sizes = ends - starts
+        own = sizes > SHORT
+        symbols, where = ragged(points, starts[~own], sizes[~own])
+        symbols = self.characters[symbols]
+        if len(symbols):
+            own[~own] = np.minimum.reduceat(symbols, where[:-1]) == UNKNOWN
+        spelt = np.flatnonzero(~own)
+        symbols = self.characters[ragged(points, starts[spelt], sizes[spelt])[0]]
+        found, lengths = self.merge_all(symbols, sizes[spelt])
+        if len(spelt) == len(sizes):
+            return found, lengths
+        others, rows = [], np.flatnonzero(own)
+        for lo, hi in zip(starts[rows].tolist(), ends[rows].tolist(), strict=True):
+            ids, start = [], lo
+            for k in range(lo + 1, hi + 1):
+                if k == hi or marked[k - 1 : k + 1] not in self.neighbours:
+                    ids += self.merge(marked[start:k])
+                    start = k
+            others.append(ids)
+        more = np.array([len(ids) for ids in others], np.int64)
+        flat, counts = np.concatenate([found, np.fromiter(chain.from_iterable(others), np.int64, int(more.sum()))]), np.concatenate([lengths, more])
+        order = np.argsort(np.concatenate([spelt, rows]))
+        return ragged(flat, (np.cumsum(counts) - counts)[order], counts[order])[0], counts[order]
+
+    def merge_all(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, ids per part) of many parts at once, given as pieces of one character: every round takes
+        the first entry of each part's agenda (best score, then leftmost), merges it and looks up the pairs it forms."""
+        if not len(sizes):
+            return np.zeros(0, np.int64), sizes
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        part, symbols = np.arange(len(sizes)), symbols.astype(np.int64)
         place, piece = self._formed(symbols, np.append(symbols[1:], UNKNOWN))
         place[np.cumsum(sizes) - 1] = NEVER
         while len(part):
@@ -181,11 +224,7 @@ class PieceCodec:
             best = np.minimum.reduceat(place << 32 | np.arange(len(place)), first)
             open_, at = best >> 32 < NEVER, best & 0xFFFFFFFF
             if not open_.all():
-                ended = ~open_
-                ids = symbols[np.repeat(ended, sizes)].tolist()
-                ends = np.cumsum(sizes[ended]).tolist()
-                for k, lo, hi in zip(part[ended].tolist(), [0, *ends], ends, strict=False):
-                    out[k] = ids[lo:hi]
+                done.append((part[~open_], sizes[~open_], symbols[np.repeat(~open_, sizes)]))
             at, last = at[open_], (first + sizes - 1)[open_]
             symbols[at] = piece[at]
             follower = np.minimum(at + 2, len(symbols) - 1)
@@ -198,7 +237,9 @@ class PieceCodec:
             keep[at + 1] = False
             symbols, place, piece = symbols[keep], place[keep], piece[keep]
             part, sizes = part[open_], sizes[open_] - 1
-        return out
+        part, sizes, ids = (np.concatenate(c) for c in zip(*done, strict=True))
+        order = np.argsort(part)
+        return ragged(ids, (np.cumsum(sizes) - sizes)[order], sizes[order])[0], sizes[order]
 
     def _formed(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the order of scores, id) of the pieces that pairs form; NEVER where they form none."""
@@ -209,8 +250,8 @@ class PieceCodec:
 
     def decode_batch(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
         """The texts of ids given as ``encode_batch`` gives them."""
-        raw, where = ragged(self.surface, ids)
-        whole, where, out = raw.astype(np.uint8).tobytes(), where[bounds].tolist(), []
+        raw, where = ragged(self.surface_bytes, self.surface_starts[ids], self.surface_sizes[ids])
+        whole, where, out = raw.tobytes(), where[bounds].tolist(), []
         plain = not np.isin(ids, list(self.controls)).any()
         for k, (a, b) in enumerate(zip(where[:-1], where[1:], strict=True)):
             try:
@@ -290,7 +331,7 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 decoded = codec.decode_batch(every, bounds)
                 lists = [every[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 rows = []
-                for ids, text, their_ids, their_text in zip(lists, decoded, codec.library.encode(texts, num_threads=1), codec.library.decode(lists), strict=True):
+                for ids, text, their_ids, their_text in zip(lists, decoded, codec.library.encode(texts, num_threads=1), codec.library.decode(lists, num_threads=1), strict=True):
                     digests = (hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(codec.decimal.__getitem__, ids)), text))
                     rows.append([len(ids), *digests, ids == their_ids and text == their_text, ids, text])
                 columns = list(zip(*rows, strict=True))

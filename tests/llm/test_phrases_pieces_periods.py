@@ -115,6 +115,33 @@ def test_full_caches_change_nothing(codec, monkeypatch):
     assert [fresh.encode(t) for t in texts] == codec.library.encode(texts) and len(fresh.known) <= 4
 
 
+def test_known_parts_hold_the_ids_of_new_and_old_parts():
+    rng, known, kept = np.random.default_rng(3), pieces.KnownParts(), {}
+    for _ in range(6):
+        keys = np.setdiff1d(rng.integers(0, 1 << 62, 50).astype(np.uint64), known.keys)
+        rows = [rng.integers(0, 1000, int(n)).tolist() for n in rng.integers(0, 5, len(keys))]
+        known.add(keys, np.array(sum(rows, []), np.int64), np.array([len(r) for r in rows], np.int64))
+        kept |= dict(zip(keys.tolist(), rows, strict=True))
+        every = np.sort(np.array(list(kept), np.uint64))
+        at, there = known.find(every)
+        ids, ends = pieces.ragged(known.ids, known.starts[at], known.sizes[at])
+        assert there.all() and not known.find(np.array([1 << 63], np.uint64))[1].any()
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [kept[k] for k in every.tolist()]
+    known.shorten(10)
+    at, there = known.find(every)
+    assert 10 <= len(known) < 50 and there.sum() == len(known)
+    ids, ends = pieces.ragged(known.ids, known.starts[at[there]], known.sizes[at[there]])
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [kept[k] for k in every[there].tolist()]
+
+
+def test_short_long_and_unknown_parts_in_one_batch(codec):
+    fresh = pieces.PieceCodec(pieces.public_tokenizers.path(pieces.MODEL))
+    texts = ["one two", "", "x" * 90 + " one", "\x01\U0001f600 two 漢字" * 3, "q" * 49, "a  b   c ", "z" * 48 + "\u0378"] * 2
+    for some in (texts[:4], texts, texts[4:]):
+        ids, bounds = fresh.encode_batch(some)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == codec.library.encode(some)
+
+
 def test_encode_pieces_odd_rows(spark, odd, codec):
     rows = pieces.encode_pieces(odd).collect()
     assert len(rows) == odd.count() and all(r.matches_library for r in rows)
