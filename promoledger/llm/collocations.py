@@ -161,6 +161,17 @@ def _counted(columns: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray,
     return rows[edge], np.diff(np.append(edge, len(rows)))
 
 
+def _packed(phrases: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Phrases (a row each) by their first word, word after word, so that equal codes lie close for the compression."""
+    order = np.argsort(phrases[:, 0], kind="stable")
+    return np.ascontiguousarray(phrases[order].T).tobytes(), counts[order].astype("<u4").tobytes()
+
+
+def _unpacked(phrases: pa.Scalar, counts: pa.Scalar, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases (a row each) and their counts, from ``_packed``."""
+    return np.frombuffer(phrases.as_buffer(), U).reshape(k, -1).T, np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64)
+
+
 def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int) -> DataFrame:
     """Phrases of two words and more to be counted in this scan: (lang, size, phrases, counts) per task and lot.
 
@@ -179,7 +190,7 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
                 lots = held.pop((lang, k))
                 phrases, counts = _counted([np.concatenate(c) for c in zip(*(lot[0] for lot in lots), strict=True)], np.concatenate([lot[1] for lot in lots]))
                 for lo in range(0, len(counts), ROW_PHRASES):
-                    blobs = (phrases[lo : lo + ROW_PHRASES].tobytes(), counts[lo : lo + ROW_PHRASES].astype(np.int64).tobytes())
+                    blobs = _packed(phrases[lo : lo + ROW_PHRASES], counts[lo : lo + ROW_PHRASES])
                     yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([k], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], ["lang", "size", "phrases", "counts"])
             size = 0
 
@@ -237,7 +248,7 @@ def _raise_counters(counters: DataFrame | None, words: DataFrame | None, phrases
     def of_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, found, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                yield _places(np.frombuffer(found.as_buffer(), U).reshape(-1, k), np.frombuffer(counts.as_buffer(), np.int64), bits, least)
+                yield _places(*_unpacked(found, counts, k), bits, least)
 
     def add(table: pa.Table) -> pa.Table:
         total, places, more = np.zeros(1 << part_bits, np.int64), [], []
@@ -278,6 +289,13 @@ def _filter(counters: DataFrame, bits: int, wide: int, least: int) -> Filter:
     return Filter(bits, wide, bytes(raw))
 
 
+def _written(counts: DataFrame) -> DataFrame:
+    """A scan's counts, written once: they stay until the end, so they are compressed well."""
+    path = scratch_path(counts.sparkSession, "phrase-counts")
+    counts.write.option("compression", "zstd").parquet(path)
+    return counts.sparkSession.read.schema(counts.schema).parquet(path)
+
+
 def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """(words, phrases): all words and phrases with ``least`` occurrences or more.
 
@@ -298,7 +316,7 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
         short = None
         before = filters[step - n_shards] if step >= n_shards else None
         if any(filters[step].raw):
-            counted.append(materialize(_scan(shard, filters[step], before, longest), "phrase-counts"))
+            counted.append(_written(_scan(shard, filters[step], before, longest)))
             # Phrases of full length start no others.
             short = counted[-1].filter(F.col("size") < longest)
         if words is not None or short is not None:
@@ -310,7 +328,7 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
         """Phrases whose shared counter has reached the threshold; those of full length all."""
         for batch in batches:
             for lang, k, phrases, counts in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                rows, n = np.frombuffer(phrases.as_buffer(), U).reshape(-1, k), np.frombuffer(counts.as_buffer(), np.int64)
+                rows, n = _unpacked(phrases, counts, k)
                 if k < longest:
                     keep = last.value(_phrase_hash([np.ascontiguousarray(rows[:, j]) for j in range(k)]))
                     rows, n = rows[keep], n[keep]

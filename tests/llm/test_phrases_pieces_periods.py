@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +116,20 @@ def test_full_caches_change_nothing(codec, monkeypatch):
     assert [fresh.encode(t) for t in texts] == codec.library.encode(texts) and len(fresh.known) <= 4
 
 
+def test_phrase_counts_are_packed_small(spark):
+    rng = np.random.default_rng(11)
+    words = rng.integers(1, 1 << 63, 300).astype(np.uint64)
+    rows = np.unique(words[rng.integers(0, 300, (20000, 3))], axis=0)
+    # In the order of their hashes, as a scan has them.
+    rows = rows[rng.permutation(len(rows))]
+    counts = rng.integers(1, 9, len(rows))
+    phrases, n = (pa.scalar(x, pa.binary()) for x in collocations._packed(rows, counts))
+    back, found = collocations._unpacked(phrases, n, 3)
+    assert dict(zip(map(tuple, back.tolist()), found.tolist(), strict=True)) == dict(zip(map(tuple, rows.tolist()), counts.tolist(), strict=True))
+    plain = len(pa.compress(rows.tobytes() + counts.tobytes(), "snappy", asbytes=True))
+    assert 2 * sum(len(pa.compress(x.as_py(), "zstd", asbytes=True)) for x in (phrases, n)) < plain
+
+
 def test_known_parts_hold_the_ids_of_new_and_old_parts():
     rng, known, kept = np.random.default_rng(3), pieces.KnownParts(), {}
     for _ in range(6):
