@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices
-from promoledger.session import materialize, scratch_path, scratch_scope
+from promoledger.session import discard, materialize, scratch_path, scratch_scope
 
 SHARDS, LONGEST, LEAST_COUNT, SUPPORT_PERCENT, TOP, SCALE = 3, 4, 30, 80, 2000, 2_000_000
 # Words of a written row, words of phrases counted at once, counters of a part (a power of two), bits of the largest filter; bytes of text at once, phrases of a written row.
@@ -289,11 +289,11 @@ def _filter(counters: DataFrame, bits: int, wide: int, least: int) -> Filter:
     return Filter(bits, wide, bytes(raw))
 
 
-def _written(counts: DataFrame) -> DataFrame:
-    """A scan's counts, written once: they stay until the end, so they are compressed well."""
-    path = scratch_path(counts.sparkSession, "phrase-counts")
-    counts.write.option("compression", "zstd").parquet(path)
-    return counts.sparkSession.read.schema(counts.schema).parquet(path)
+def _written(rows: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Rows of a scan, written once and compressed well, and their path."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
 def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -307,7 +307,7 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
     n_words, n_shards = shards.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.max("shard"), F.lit(0)) + 1).first()
     bits = max(12, (n_words // 4).bit_length())
     wide = max(2, bits - FILTER_BITS.bit_length() + 1)
-    counters, counted = None, []
+    counters, counters_path, counted = None, "", []
     filters = [Filter(bits, wide, bytes(1 << bits - wide - 3))]
     # A scan after this point would count what the last cycle has counted.
     while (step := len(filters) - 1) < n_shards or filters[step].raw != filters[step - n_shards].raw:
@@ -316,11 +316,14 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
         short = None
         before = filters[step - n_shards] if step >= n_shards else None
         if any(filters[step].raw):
-            counted.append(_written(_scan(shard, filters[step], before, longest)))
+            counted.append(_written(_scan(shard, filters[step], before, longest), "phrase-counts")[0])
             # Phrases of full length start no others.
             short = counted[-1].filter(F.col("size") < longest)
         if words is not None or short is not None:
-            counters = materialize(_raise_counters(counters, words, short, bits, least), "counters")
+            raised, path = _written(_raise_counters(counters, words, short, bits, least), "counters")
+            if counters is not None:
+                discard(spark, counters_path)
+            counters, counters_path = raised, path
         filters.append(_filter(counters, bits, wide, least))
     last = spark.sparkContext.broadcast(filters[-1])
 

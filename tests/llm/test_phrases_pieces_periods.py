@@ -116,6 +116,17 @@ def test_full_caches_change_nothing(codec, monkeypatch):
     assert [fresh.encode(t) for t in texts] == codec.library.encode(texts) and len(fresh.known) <= 4
 
 
+def test_only_the_last_counters_stay(spark, monkeypatch):
+    dropped, written = [], []
+    drop, path = collocations.discard, collocations.scratch_path
+    monkeypatch.setattr(collocations, "discard", lambda session, p: (dropped.append(p), drop(session, p)))
+    monkeypatch.setattr(collocations, "scratch_path", lambda session, label: (written.append((label, path(session, label))), written[-1][1])[1])
+    docs = spark.createDataFrame([(i, "a b c a b", "en") for i in range(40)], "doc_id bigint, text string, lang string")
+    collocations.mine_collocations(docs).collect()
+    counters = [p for label, p in written if label == "counters"]
+    assert len(counters) > 1 and dropped == counters[:-1]
+
+
 def test_phrase_counts_are_packed_small(spark):
     rng = np.random.default_rng(11)
     words = rng.integers(1, 1 << 63, 300).astype(np.uint64)
