@@ -9,10 +9,10 @@ from promoledger.session import materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every node hands the smallest id around it to its larger neighbours."""
+    """Every node hands the smallest id around it to its larger neighbours; edges may repeat."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -22,6 +22,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is a centre or has one edge to a smaller node, which is a centre. Edges have u > v."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("below")), F.struct(F.col("v").alias("node"), F.lit(0).alias("below")))).alias("e"))
+    nodes = ends.select("e.*").groupBy("node").agg(F.sum("below").alias("below"), F.count(F.lit(1)).alias("edges"))
+    return nodes.filter("below > 1 or (below = 1 and edges > 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (two bigint columns); the root is the smallest node reachable.
 
@@ -32,12 +39,8 @@ def components(links: DataFrame) -> DataFrame:
     a, b = links.columns
     pairs = links.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     pairs = materialize(pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
-    edges, state = pairs.filter("u <> v"), None
-    while True:
+    edges = pairs.filter("u <> v")
+    while not _are_stars(edges):
         edges = materialize(_small_star(_large_star(edges)), "stars")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state or now[0] == 0:
-            break
-        state = now
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     return nodes.join(edges.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))

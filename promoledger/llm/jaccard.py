@@ -11,15 +11,16 @@ Inside a region the join is by pivots. First a few rounds of hubs: members withi
 region's hub are one component and their pairs need no further look. Regions that still hold several
 components are joined recursively: members go to the Voronoi cell of the nearest pivot and, by the
 triangle inequality, to every pivot not farther by more than twice the threshold; small cells compare
-pairs of different components. Cells use the L1 distance of bucket counts, which never exceeds the
-number of differing shingles, so nothing is lost. What passes is compared on 16-bit prints of the
+pairs of different components. Cells use the Hamming distance of parity sketches (whether an odd
+number of shingles falls into each bucket, with a bucket per shingle or more), which never exceeds the
+number of differing shingles, so nothing is lost, and tells long texts apart as well as short ones. What passes is compared on 16-bit prints of the
 shingles, which never share less than the sets, and then exactly on whole sets.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -33,7 +34,9 @@ from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, t
 from promoledger.session import materialize, release_shuffles, short_batches
 
 LEAF, PIVOTS, SPARE, BLOCK_KEYS, SLICE = 32, 8, 4, 1 << 20, 1 << 19
-BUCKETS, REGION_ROWS, HUB_ROUNDS, BEST_ROUNDS = 256, 4096, 1, 2
+REGION_ROWS, HUB_ROUNDS, BEST_ROUNDS = 4096, 1, 2
+# Bits of the smallest and of the largest sketch; words of sketches compared at once.
+LEAST_BITS, MOST_BITS, COMPARED = 256, 1 << 16, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -222,8 +225,8 @@ def _measured(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(class, size, sketch, prints, set) of the wanted classes, from the text of one document each.
 
-    ``wanted`` has (class, doc_id). The sketch holds counts of shingles by hash bucket, up to 255; prints
-    are the first 16 bits of every shingle's hash, in order.
+    ``wanted`` has (class, doc_id). The sketch is that of ``parity_sketch``; prints are the first 16 bits of
+    every shingle's hash, in order.
     """
     right = wanted.select(F.col("doc_id").alias("__d"), "class")
     picked = docs.join(right, F.col("doc_id").eqNullSafe(F.col("__d"))).select("class", "text")
@@ -234,9 +237,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 found = []
                 for c, s in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), shingle_sets(data, off, k), strict=True):
                     if len(s) and set_class(s) == c:
-                        counts = np.bincount((s & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
                         prints = (s >> U(48)).astype("<u2")
-                        found.append((c, len(s), np.minimum(counts, 255).astype(np.uint8).tobytes(), prints.tobytes(), s.tobytes()))
+                        found.append((c, len(s), parity_sketch(s), prints.tobytes(), s.tobytes()))
                 if found:
                     columns = zip(*found, strict=True)
                     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
@@ -254,8 +256,8 @@ def _screened(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (text_rows(batch.column(k)) for k in (3, 4))
-            differ = np.abs(x.astype(np.int16) - y).sum(1, dtype=np.int64)
+            both = zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
+            differ = np.array([int(np.bitwise_count(x ^ y).sum()) for x, y in map(sketch_rows, both)], np.int64)
             fits = threshold.possible(differ, batch.column(2).to_numpy())
             yield batch.select([0, 1]).filter(pa.array(fits))
 
@@ -290,24 +292,39 @@ def _close(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
     return both.mapInArrow(run, "a long, b long")
 
 
-def text_rows(column: pa.Array) -> np.ndarray:
-    """A binary column of sketches as a matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+def parity_sketch(s: np.ndarray) -> bytes:
+    """A bit per hash bucket: whether it holds an odd number of shingles. One bucket per shingle or more."""
+    bits = min(max(LEAST_BITS, 1 << (len(s) - 1).bit_length()), MOST_BITS)
+    odd = np.bincount((s & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketch_rows(sketches: Sequence[bytes]) -> np.ndarray:
+    """Sketches as a matrix of words, folded to the width of the smallest; the halves of a sketch add up to that of half the width."""
+    width = min(map(len, sketches), default=8)
+    out = np.empty((len(sketches), width // 8), U)
+    for k, sketch in enumerate(sketches):
+        out[k] = np.bitwise_xor.reduce(np.frombuffer(sketch, U).reshape(-1, width // 8), axis=0)
+    return out
 
 
 class RegionJoin:
-    """Pairs of one region that may be linked: recursive Voronoi cells over the L1 distance of sketches."""
+    """Pairs of one region that may be linked: recursive Voronoi cells over the Hamming distance of sketches."""
 
     def __init__(self, names: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, threshold: Threshold):
         self.names, self.roots, self.sizes = names, roots, sizes
-        self.sketches, self.threshold = sketches.astype(np.int16), threshold
+        self.sketches, self.threshold = sketches, threshold
         top = 2 * int(sizes.max())
         self.reach = (threshold.den - threshold.num) * top // (threshold.den + threshold.num)
         self.found: list[np.ndarray] = []
         self.close: list[np.ndarray] = []
 
     def distances(self, rows: np.ndarray, to: np.ndarray) -> np.ndarray:
-        return np.abs(self.sketches[rows][:, None, :] - self.sketches[to][None, :, :]).sum(2, dtype=np.int32)
+        out = np.empty((len(rows), len(to)), np.int32)
+        step = max(1, COMPARED // (len(to) * self.sketches.shape[1]))
+        for i in range(0, len(rows), step):
+            out[i : i + step] = np.bitwise_count(self.sketches[rows[i : i + step]][:, None, :] ^ self.sketches[to][None, :, :]).sum(2, dtype=np.int32)
+        return out
 
     def compare(self, rows: np.ndarray, to: np.ndarray) -> None:
         differ, both = self.distances(rows, to), self.sizes[rows][:, None] + self.sizes[to][None, :]
@@ -352,8 +369,7 @@ def _region_pairs(open_: DataFrame, sets: DataFrame, threshold: Threshold, parts
     Regions with the same hub are joined as one, since copies meet in many regions. Unions above
     ``REGION_ROWS`` members are cut into blocks and joined block against block.
     """
-    hubs = open_.groupBy("region").agg(F.min_by("class", F.xxhash64("class")).alias("hub"))
-    unions = open_.join(hubs, "region").select("hub", "class", "root").distinct()
+    unions = open_.select("hub", "class", "root").distinct()
     counts = unions.groupBy("hub").agg(F.count(F.lit(1)).alias("members"))
     rows = unions.join(counts, "hub").join(sets.select("class", "size", "sketch"), "class")
     rows = rows.withColumn("blocks", F.ceil(F.col("members") / REGION_ROWS))
@@ -368,7 +384,7 @@ def _region_pairs(open_: DataFrame, sets: DataFrame, threshold: Threshold, parts
         cuts = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1], [True]]))
         found = [np.zeros((2, 0), np.int64)]
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            sketches = text_rows(table.column("sketch").slice(a, b - a))
+            sketches = sketch_rows(table.column("sketch").slice(a, b - a).to_pylist())
             found.append(RegionJoin(names[a:b], roots[a:b], sizes[a:b], sketches, threshold).pairs(best))
         pairs = np.unique(np.concatenate(found, axis=1), axis=1)
         return pa.table({"a": pairs[0], "b": pairs[1]})
@@ -376,21 +392,23 @@ def _region_pairs(open_: DataFrame, sets: DataFrame, threshold: Threshold, parts
     return rows.groupBy("part").applyInArrow(run, "a long, b long").distinct()
 
 
-def _open_regions(regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """(region, class, root, members) of the regions that hold several components; of regions with the
-    same members one is kept."""
-    named = regions.join(roots, "class", "left").select("region", "class", F.coalesce("root", "class").alias("root"))
+def _open_regions(regions: DataFrame, roots: DataFrame | None, step: int) -> DataFrame:
+    """(region, class, root, members, order, hub, hub_root) of the regions that hold several components; of
+    regions with the same members one is kept. The hub is a region's first member in an order that changes by step."""
+    if roots is None:
+        named = regions.select("region", "class", F.col("class").alias("root"))
+    else:
+        named = regions.join(roots, "class", "left").select("region", "class", F.coalesce("root", "class").alias("root"))
     same = F.bit_xor(F.xxhash64("class")).alias("same")
-    state = named.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"), same)
-    kept = state.filter("lo <> hi").groupBy("same", "members").agg(F.min("region").alias("region"))
-    return named.join(kept.select("region", "members"), "region")
+    hub = F.min(F.struct(F.xxhash64("class", F.lit(step)).alias("order"), F.col("class").alias("hub"), F.col("root").alias("hub_root"))).alias("h")
+    state = named.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"), same, hub)
+    kept = state.filter("lo <> hi").groupBy("same", "members").agg(F.min(F.struct("region", "h")).alias("k"))
+    return named.join(kept.select("k.region", "members", "k.h.order", "k.h.hub", "k.h.hub_root"), "region")
 
 
-def _hub_pairs(open_: DataFrame, step: int) -> DataFrame:
-    """One pair (a, b) per class: with the first hub, in an order that changes by step, of its regions."""
-    order = F.xxhash64("class", F.lit(step))
-    hubs = open_.groupBy("region").agg(F.min(F.struct(order.alias("o"), F.col("class").alias("hub"), F.col("root").alias("hub_root"))).alias("h"))
-    met = open_.join(hubs, "region").filter("root <> h.hub_root").groupBy("class").agg(F.min("h").alias("h"))
+def _hub_pairs(open_: DataFrame) -> DataFrame:
+    """One pair (a, b) per class: with the first of its regions' hubs."""
+    met = open_.filter("root <> hub_root").groupBy("class").agg(F.min(F.struct("order", "hub")).alias("h"))
     return met.select(F.greatest("class", "h.hub").alias("a"), F.least("class", "h.hub").alias("b")).distinct()
 
 
@@ -425,23 +443,28 @@ def _bucketed(sets: DataFrame) -> Iterator[DataFrame]:
 
 def _linked_roots(regions: DataFrame, sets: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
     """(class, root) of all linked classes, from written tables."""
-    alone = regions.select("class", F.col("class").alias("root")).distinct()
-    open_ = materialize(_open_regions(regions, alone), "open-regions")
-    links = None
+    open_ = materialize(_open_regions(regions, None, 0), "open-regions")
+    links, roots, fresh = None, None, True
     for step in range(HUB_ROUNDS + BEST_ROUNDS + 1):
         last = step == HUB_ROUNDS + BEST_ROUNDS
         if step < HUB_ROUNDS:
-            pairs = _screened(_hub_pairs(open_, step), sets, threshold)
-        else:
+            pairs = _screened(_hub_pairs(open_), sets, threshold)
+        elif last or fresh:
             pairs = _region_pairs(open_, sets, threshold, parts, best=not last)
-        fits = materialize(_close(materialize(pairs, "pairs"), sets, threshold), "close-pairs")
-        linked = materialize(_measured(fits, sets, threshold).filter("linked").select("a", "b"), "linked")
-        links = linked if links is None else links.unionByName(linked)
-        roots = _roots(links)
-        if not last:
-            open_ = materialize(_open_regions(open_.select("region", "class"), roots), "open-regions")
+        else:
+            # The same regions once more: only the last round, with all their pairs, can find others.
+            continue
+        pairs = materialize(pairs, "pairs")
+        fits = pairs if pairs.isEmpty() else materialize(_close(pairs, sets, threshold), "close-pairs")
+        linked = fits if fits.isEmpty() else materialize(_measured(fits, sets, threshold).filter("linked").select("a", "b"), "linked")
+        fresh = step < HUB_ROUNDS or not linked.isEmpty()
+        if not linked.isEmpty():
+            links = linked if links is None else links.unionByName(linked)
+            roots = _roots(links)
+            if not last:
+                open_ = materialize(_open_regions(open_.select("region", "class"), roots, step + 1), "open-regions")
         release_shuffles(sets.sparkSession)
-    return roots
+    return _roots(linked) if roots is None else roots
 
 
 def jaccard_components(

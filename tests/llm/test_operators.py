@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from promoledger.llm import grading, jaccard, lattice, lines, mixing, mixing_model, packing, queries, sentences, sharding, suffixes
+from promoledger.llm import grading, graph, jaccard, lattice, lines, mixing, mixing_model, packing, queries, sentences, sharding, suffixes
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -183,6 +183,41 @@ def test_whole_sets_move_for_close_pairs_only(spark, monkeypatch):
     assert sum(before) < sum(moved) and screen is not jaccard._close
 
 
+def test_parity_sketches_lose_no_link_and_tell_long_sets_apart():
+    rng, threshold = np.random.default_rng(8), jaccard.Threshold(80, 100)
+    base = rng.integers(0, 1 << 62, 9000).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[: 6000 - 500 * k], rng.integers(0, 1 << 62, 500 * k).astype(np.uint64)])) for k in range(8)]
+    sets += [np.unique(base[:100]), np.unique(rng.integers(0, 1 << 62, 6000).astype(np.uint64))]
+    for s in sets:
+        for t in sets:
+            x, y = jaccard.sketch_rows([jaccard.parity_sketch(s), jaccard.parity_sketch(t)])
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(s, t))
+    some = [sets[0], sets[1], sets[5], sets[9]]
+    sketches = jaccard.sketch_rows([jaccard.parity_sketch(s) for s in some])
+    join = jaccard.RegionJoin(np.arange(4), np.arange(4), np.array([len(s) for s in some]), sketches, threshold)
+    assert join.pairs(best=False).T.tolist() == [[1, 0]]
+
+
+def test_long_texts_with_a_common_passage_are_no_candidates(spark, monkeypatch):
+    rng, seen, write = np.random.default_rng(9), [], jaccard.materialize
+    passage = " ".join(f"w{x}" for x in rng.integers(0, 10**6, 4000))
+    rows = [(i, passage + " " + " ".join(f"w{x}" for x in rng.integers(0, 10**6, 9000))) for i in range(6)]
+    monkeypatch.setattr(jaccard, "materialize", lambda df, label: (seen.append((label, write(df, label))), seen[-1][1])[1])
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(r.component_id for r in found) == list(range(6))
+    tables = dict(seen)
+    # The passage brings all of them together; their sketches tell them apart.
+    assert tables["regions"].select("class").distinct().count() == 6 and tables["pairs"].count() == 0
+
+
+@pytest.mark.parametrize("edges, stars", [([], True), ([(2, 1), (3, 1), (5, 4)], True), ([(2, 1), (3, 2)], False), ([(3, 1), (3, 2)], False)])
+def test_components_end_at_stars(spark, edges, stars):
+    frame = spark.createDataFrame(edges, "u bigint, v bigint")
+    assert graph._are_stars(frame) is stars
+    least = {n: min(m for m in (1, 2, 3, 4, 5) if (m < 4) == (n < 4)) for e in edges for n in e}
+    assert {r.node: r.root for r in graph.components(frame).collect()} == least
+
+
 def test_short_batches_for_whole_texts(spark, odd, monkeypatch):
     name, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard.materialize
     before = spark.conf.get(name)
