@@ -15,7 +15,7 @@ Beyond that size more phrases are counted than need be, with the same result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices
-from promoledger.session import discard, materialize, scratch_path, scratch_scope
+from promoledger.session import discard, materialize, release_shuffles, retire, scratch_path, scratch_scope
 
 SHARDS, LONGEST, LEAST_COUNT, SUPPORT_PERCENT, TOP, SCALE = 3, 4, 30, 80, 2000, 2_000_000
 # Words of a written row, words of phrases counted at once, counters of a part (a power of two), bits of the largest filter; bytes of text at once, phrases of a written row.
@@ -86,7 +86,7 @@ class _Shelf:
         return pa.RecordBatch.from_arrays(columns, ["shard", "lang", "codes", "n_words", "words"])
 
 
-def write_shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", shards: int = SHARDS) -> DataFrame:
+def write_shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", shards: int = SHARDS, path: str | None = None) -> DataFrame:
     """The documents' words as rows (shard, lang, codes, n_words, words), written once, a folder per shard."""
     schema = f"shard int, lang string, codes binary, n_words bigint, words array<{_WORDS}>"
 
@@ -126,7 +126,7 @@ def write_shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                     yield from flush(list(shelves))
         yield from flush(list(shelves))
 
-    path = scratch_path(docs.sparkSession, "word-shards")
+    path = path or scratch_path(docs.sparkSession, "word-shards")
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")).mapInArrow(run, schema)
     rows.write.partitionBy("shard").option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
@@ -296,10 +296,11 @@ def _written(rows: DataFrame, label: str) -> tuple[DataFrame, str]:
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
-def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
+def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, scanned: Callable[[], None] | None = None) -> tuple[DataFrame, DataFrame]:
     """(words, phrases): all words and phrases with ``least`` occurrences or more.
 
     Words have ``lang``, ``code``, ``word``, ``n``; phrases ``lang``, ``phrase`` (codes of two words or more), ``n``.
+    ``scanned`` is called when nothing reads the shards any more, before the phrases are summed.
     """
     spark = shards.sparkSession
     if not 1 <= least <= 255:
@@ -325,6 +326,8 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
                 discard(spark, counters_path)
             counters, counters_path = raised, path
         filters.append(_filter(counters, bits, wide, least))
+        # What moved in this scan is no longer read.
+        release_shuffles(spark)
     last = spark.sparkContext.broadcast(filters[-1])
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,6 +355,8 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
     words = materialize(words.filter(F.col("n") >= least).withColumn("word", F.col("word").cast("string")), "words")
     if words.groupBy("code").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").head():
         raise ValueError("two frequent words share a 64-bit code")
+    if scanned:
+        scanned()
     if not counted:
         return words, spark.createDataFrame([], "lang string, phrase array<bigint>, n bigint")
     phrases = reduce(DataFrame.unionByName, counted).mapInArrow(often, "lang string, phrase array<bigint>, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
@@ -383,8 +388,15 @@ def mine_collocations(
     spark = docs.sparkSession
     path = scratch_path(spark, "collocations")
     with scratch_scope(spark):
-        table = write_shards(docs, text_col, lang_col, shards)
-        words, phrases = count_phrases(table, least, longest)
+        shard_path = scratch_path(spark, "word-shards")
+        table = write_shards(docs, text_col, lang_col, shards, shard_path)
+        totals = materialize(table.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
+
+        def scanned() -> None:
+            # The shards go before the phrases move.
+            retire(spark, shard_path)
+
+        words, phrases = count_phrases(table, least, longest, scanned)
         scored = _scored(words, phrases)
         # The most frequent longer phrase around each.
         longer = phrases.filter(F.size("phrase") > 2).withColumn("k", F.explode(F.sequence(F.lit(2), F.size("phrase") - 1)))
@@ -398,7 +410,6 @@ def mine_collocations(
         spelt = spelt.groupBy("lang", F.col("phrase").alias("codes"), "a", "l", "r", "score").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spelt"))
         spelt = spelt.withColumn("phrase", F.concat_ws(" ", "spelt.word"))
         ranked = spelt.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order, F.asc("phrase")))).filter(F.col("rank") <= top)
-        totals = table.groupBy("lang").agg(F.sum("n_words").alias("n"))
         result = ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
         result.write.parquet(path)
     return spark.read.schema(result.schema).parquet(path)

@@ -127,6 +127,15 @@ def test_only_the_last_counters_stay(spark, monkeypatch):
     assert len(counters) > 1 and dropped == counters[:-1]
 
 
+def test_shards_go_before_phrases_are_summed(spark, monkeypatch):
+    left, path, write, paths = {}, collocations.scratch_path, collocations.materialize, []
+    monkeypatch.setattr(collocations, "scratch_path", lambda session, label: (paths.append((label, path(session, label))), paths[-1][1])[1])
+    monkeypatch.setattr(collocations, "materialize", lambda df, label: (left.update({label: [os.path.exists(p) for k, p in paths if k == "word-shards"]}), write(df, label))[1])
+    docs = spark.createDataFrame([(i, "a b c a b", "en") for i in range(40)], "doc_id bigint, text string, lang string")
+    assert collocations.mine_collocations(docs).count() > 0
+    assert left["words"] == [True] and left["phrases"] == [False]
+
+
 def test_phrase_counts_are_packed_small(spark):
     rng = np.random.default_rng(11)
     words = rng.integers(1, 1 << 63, 300).astype(np.uint64)
