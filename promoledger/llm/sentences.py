@@ -28,6 +28,8 @@ from promoledger.llm.kernels import LOWER, SPACE, RangeHash, U, mix, slices
 
 RUN, LONG_RUN_WORDS, LEAST_WORDS = 3, 25, 6
 UNCUT_WORDS, CUT_EVERY, CHUNK_BYTES = 12, 5, 4 << 20
+# Bytes of text at once; a word's arrays take many times as much.
+SLICE = 1 << 19
 PLACE = 1 << 32
 WORD = 4  # weight of a word; characters of scripts without spaces weigh 2 or 1
 _END = np.zeros(256, bool)
@@ -228,7 +230,7 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(arrays, ["part", "id", "tag", "place", "span"])
 
         for batch in batches:
-            for lo, hi, data, off in slices(batch.column(2)):
+            for lo, hi, data, off in slices(batch.column(2), SLICE):
                 row, *found = Words(data, off).spans()
                 rows.append((row + sum(map(len, tags)), *found))
                 ids.append(batch.column(0).slice(lo, hi - lo))
@@ -278,7 +280,7 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, off in slices(batch.column(1)):
+            for lo, hi, data, off in slices(batch.column(1), SLICE):
                 size, words = hi - lo, Words(data, off)
                 places = batch.column(2).slice(lo, size)
                 first = pc.list_flatten(places).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -241,6 +241,15 @@ def test_first_of_components(odd):
     assert sorted(r.doc_id for r in kept.filter("doc_id is not null").collect()) == [1, 3, 4, 5, 6, 7, 8, 9, 10]
 
 
+def test_passages_are_cut_alike_in_short_slices(spark, odd, monkeypatch):
+    rows = [(i, f"One two three four. Five six seven eight. Nine ten eleven twelve. Text {i} has words of its own, ten{i} or more{i} of them.") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(1)
+    assert sentences.SLICE <= 1 << 19
+    whole = sorted(sentences.remove_repeated_passages(frame).collect())
+    monkeypatch.setattr(sentences, "SLICE", 150)
+    assert sorted(sentences.remove_repeated_passages(frame).collect()) == whole and any(r.n_removed for r in whole)
+
+
 def test_packing_round_trip(odd, empty):
     assert packing.pack(empty).count() == 0
     pieces = packing.pack(odd.filter("doc_id > 1 or doc_id is null").withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))).collect()
