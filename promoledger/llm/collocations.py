@@ -1,7 +1,8 @@
 """Phrase collocations by dynamic itemset counting over cyclic shard scans.
 
-The words of the documents are written once as shards of 64-bit codes. Shards are scanned one after the
-other, round and round. The first cycle counts single words; a longer phrase joins the count as soon as
+The words of the documents are written once as shards: each row has its distinct words, the most frequent
+first, and all its words as numbers of these; 64-bit codes are hashed from the words when a row is read.
+Shards are scanned one after the other, round and round. The first cycle counts single words; a longer phrase joins the count as soon as
 both phrases it consists of, without its last and without its first word, have reached the threshold in
 what was scanned so far, and leaves it after one full cycle. So lengths interleave, and a phrase that
 reaches the threshold in all documents is counted in all of them exactly once per shard.
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices
+from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, text_buffer
 from promoledger.session import discard, materialize, release_shuffles, retire, scratch_path, scratch_scope
 
 SHARDS, LONGEST, LEAST_COUNT, SUPPORT_PERCENT, TOP, SCALE = 3, 4, 30, 80, 2000, 2_000_000
@@ -35,7 +36,7 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 32]] = True
 _CUT = np.zeros(256, bool)
 _CUT[list(b".,;:!?\n\x0b\x0c\r")] = True
-_WORDS = "struct<word:binary,code:bigint,n:bigint>"
+_WORDS = "struct<word:binary,n:bigint>"
 
 
 def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -78,14 +79,37 @@ class _Shelf:
 
     def row(self, lang: str, shard: int) -> pa.RecordBatch:
         codes, counts = np.unique(np.concatenate(self.codes), return_counts=True)
-        words = pa.array([self.spelling[c] for c in codes.tolist()], pa.binary())
-        words = pa.StructArray.from_arrays([words, pa.array(codes.view(np.int64)), pa.array(counts)], ["word", "code", "n"])
+        order = np.argsort(-counts, kind="stable")
+        words = pa.array([self.spelling[c] for c in codes[order].tolist()], pa.binary())
+        words = pa.StructArray.from_arrays([words, pa.array(counts[order])], ["word", "n"])
         words = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
-        phrases = pa.array([np.concatenate(self.phrases).tobytes()], pa.binary())
+        phrases = pa.array([_numbered(np.concatenate(self.phrases), codes, order)], pa.binary())
         columns = [pa.array([shard], pa.int32()), pa.array([lang]), phrases, pa.array([self.n_words]), words]
         return pa.RecordBatch.from_arrays(columns, ["shard", "lang", "codes", "n_words", "words"])
 
 
+def _numbered(phrases: np.ndarray, codes: np.ndarray, order: np.ndarray) -> bytes:
+    """Codes as places in ``codes[order]`` from 1, 0 where a piece ends: all low bytes first, which compresses well."""
+    place = np.empty(len(codes), "<u4")
+    place[order] = np.arange(1, len(codes) + 1, dtype="<u4")
+    numbers = np.where(phrases == 0, 0, place[np.minimum(np.searchsorted(codes, phrases), len(codes) - 1)]).astype("<u4")
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _coded(raw: pa.Scalar, codes: np.ndarray) -> np.ndarray:
+    """The codes of a row's words in their order, 0 where a piece ends, from ``_numbered``."""
+    numbers = np.ascontiguousarray(np.frombuffer(raw.as_buffer(), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+    return np.concatenate([np.zeros(1, U), codes])[numbers]
+
+
+def _word_codes(words: pa.Array, seeds: int | np.ndarray) -> np.ndarray:
+    """64-bit codes of words of the languages with these seeds; 0 is none."""
+    data, off = text_buffer(words)
+    data = data[off[0] : off[-1]]
+    off = off - off[0]
+    return np.maximum(combine([np.broadcast_to(np.asarray(seeds, U), len(words)), RangeHash(data)(off[:-1], off[1:])]), U(1))
+
+
 def write_shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", shards: int = SHARDS, path: str | None = None) -> DataFrame:
     """The documents' words as rows (shard, lang, codes, n_words, words), written once, a folder per shard."""
     schema = f"shard int, lang string, codes binary, n_words bigint, words array<{_WORDS}>"
@@ -162,14 +186,22 @@ def _counted(columns: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray,
 
 
 def _packed(phrases: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Phrases (a row each) by their first word, word after word, so that equal codes lie close for the compression."""
-    order = np.argsort(phrases[:, 0], kind="stable")
-    return np.ascontiguousarray(phrases[order].T).tobytes(), counts[order].astype("<u4").tobytes()
+    """Phrases (a row each) in the order of their words, and their counts, for the compression.
+
+    First the number of distinct codes and these codes, then word after word each phrase's places in them, all low bytes first.
+    """
+    order = np.lexsort(phrases.T[::-1])
+    codes, places = np.unique(np.ascontiguousarray(phrases[order].T), return_inverse=True)
+    planes = places.reshape(phrases.shape[1], -1).astype("<u4").view(np.uint8).reshape(phrases.shape[1], -1, 4)
+    return np.array([len(codes)], "<u8").tobytes() + codes.tobytes() + np.ascontiguousarray(planes.transpose(0, 2, 1)).tobytes(), counts[order].astype("<u4").tobytes()
 
 
 def _unpacked(phrases: pa.Scalar, counts: pa.Scalar, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Phrases (a row each) and their counts, from ``_packed``."""
-    return np.frombuffer(phrases.as_buffer(), U).reshape(k, -1).T, np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64)
+    raw = np.frombuffer(phrases.as_buffer(), np.uint8)
+    first = 8 + 8 * int(raw[:8].view("<u8")[0])
+    places = np.ascontiguousarray(raw[first:].reshape(k, 4, -1).transpose(0, 2, 1)).view("<u4").reshape(k, -1)
+    return raw[8:first].view(U)[places].T, np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64)
 
 
 def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int) -> DataFrame:
@@ -189,14 +221,17 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
             for lang, k in list(held):
                 lots = held.pop((lang, k))
                 phrases, counts = _counted([np.concatenate(c) for c in zip(*(lot[0] for lot in lots), strict=True)], np.concatenate([lot[1] for lot in lots]))
+                # By their first words, so that a row has few of these.
+                order = np.argsort(phrases[:, 0], kind="stable")
+                phrases, counts = phrases[order], counts[order]
                 for lo in range(0, len(counts), ROW_PHRASES):
                     blobs = _packed(phrases[lo : lo + ROW_PHRASES], counts[lo : lo + ROW_PHRASES])
                     yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([k], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], ["lang", "size", "phrases", "counts"])
             size = 0
 
         for batch in batches:
-            for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                codes = np.frombuffer(raw.as_buffer(), U)
+            for lang, raw, words in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                codes = _coded(raw, _word_codes(words.values, _seed(lang)))
                 # Per start, while the phrase lies in one piece: both of its parts let through now, and one cycle ago.
                 whole = codes != 0
                 part = _phrase_hash([codes])
@@ -219,7 +254,7 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
                     yield from flush()
         yield from flush()
 
-    return shard.select("lang", "codes").mapInArrow(run, "lang string, size int, phrases binary, counts binary")
+    return shard.select("lang", "codes", "words.word").mapInArrow(run, "lang string, size int, phrases binary, counts binary")
 
 
 def _places(phrases: np.ndarray, counts: np.ndarray, bits: int, least: int) -> pa.RecordBatch:
@@ -241,9 +276,9 @@ def _raise_counters(counters: DataFrame | None, words: DataFrame | None, phrases
 
     def of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for found in batch.column(0):
-                codes, counts = (found.values.field(k).to_numpy(zero_copy_only=False) for k in ("code", "n"))
-                yield _places(codes.view(U).reshape(-1, 1), counts, bits, least)
+            for lang, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                codes = _word_codes(found.values.field("word"), _seed(lang))
+                yield _places(codes.reshape(-1, 1), found.values.field("n").to_numpy(zero_copy_only=False), bits, least)
 
     def of_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,7 +300,7 @@ def _raise_counters(counters: DataFrame | None, words: DataFrame | None, phrases
 
     schema, rows = "part long, places binary, counts binary", []
     if words is not None:
-        rows.append(words.select("words").mapInArrow(of_words, schema))
+        rows.append(words.select("lang", "words").mapInArrow(of_words, schema))
     if phrases is not None:
         rows.append(phrases.select("size", "phrases", "counts").mapInArrow(of_phrases, schema))
     if counters is not None:
@@ -296,6 +331,34 @@ def _written(rows: DataFrame, label: str) -> tuple[DataFrame, str]:
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
+def _frequent_words(shards: DataFrame, reached: Filter, least: int) -> DataFrame:
+    """Words with ``least`` occurrences or more: lang, code, word, n. All words must be in the filter's counters."""
+    known_by = shards.sparkSession.sparkContext.broadcast(reached)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                word, n = words.values.field("word"), words.values.field("n")
+                keep = pa.array(known_by.value(_phrase_hash([_word_codes(word, _seed(lang))])))
+                columns = [word.filter(keep), n.filter(keep)]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(columns[0]), pa.string()), *columns], ["lang", "word", "n"])
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).dictionary_encode()
+            seeds = np.array([_seed(name) for name in names.dictionary.to_pylist()], U)[names.indices.to_numpy(zero_copy_only=False)]
+            codes = pa.array(_word_codes(batch.column(1), seeds).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), codes, batch.column(1), batch.column(2)], ["lang", "code", "word", "n"])
+
+    # The code follows from language and word, so it need not move.
+    words = shards.select("lang", "words").mapInArrow(known, "lang string, word binary, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = words.filter(F.col("n") >= least).mapInArrow(coded, "lang string, code bigint, word binary, n bigint")
+    words = materialize(words.withColumn("word", F.col("word").cast("string")), "words")
+    if words.groupBy("code").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").head():
+        raise ValueError("two frequent words share a 64-bit code")
+    return words
+
+
 def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, scanned: Callable[[], None] | None = None) -> tuple[DataFrame, DataFrame]:
     """(words, phrases): all words and phrases with ``least`` occurrences or more.
 
@@ -313,21 +376,29 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
     # A scan after this point would count what the last cycle has counted.
     while (step := len(filters) - 1) < n_shards or filters[step].raw != filters[step - n_shards].raw:
         shard = shards.filter(F.col("shard") == step % n_shards)
-        words = shard if step < n_shards else None
+        new = shard if step < n_shards else None
         short = None
         before = filters[step - n_shards] if step >= n_shards else None
         if any(filters[step].raw):
             counted.append(_written(_scan(shard, filters[step], before, longest), "phrase-counts")[0])
             # Phrases of full length start no others.
             short = counted[-1].filter(F.col("size") < longest)
-        if words is not None or short is not None:
-            raised, path = _written(_raise_counters(counters, words, short, bits, least), "counters")
+        if new is not None or short is not None:
+            raised, path = _written(_raise_counters(counters, new, short, bits, least), "counters")
             if counters is not None:
                 discard(spark, counters_path)
             counters, counters_path = raised, path
         filters.append(_filter(counters, bits, wide, least))
         # What moved in this scan is no longer read.
         release_shuffles(spark)
+        if step == n_shards - 1:
+            # All words are in the counters now, and few phrases are written yet.
+            words = _frequent_words(shards, filters[-1], least)
+            release_shuffles(spark)
+    if scanned:
+        scanned()
+    if not counted:
+        return words, spark.createDataFrame([], "lang string, phrase array<bigint>, n bigint")
     last = spark.sparkContext.broadcast(filters[-1])
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,23 +413,6 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
                     phrase = pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, k), pa.int32()), pa.array(np.ascontiguousarray(rows).reshape(-1).view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(rows), pa.string()), phrase, pa.array(n)], ["lang", "phrase", "n"])
 
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, words in zip(batch.column(0), batch.column(1), strict=True):
-                fields = words.values
-                code = fields.field("code").to_numpy(zero_copy_only=False)
-                keep = pa.array(last.value(_phrase_hash([code.view(U)])))
-                columns = [fields.field(k).filter(keep) for k in ("code", "word", "n")]
-                yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(columns[0]), pa.string()), *columns], ["lang", "code", "word", "n"])
-
-    words = shards.select("lang", "words").mapInArrow(known, "lang string, code bigint, word binary, n bigint").groupBy("lang", "code", "word").agg(F.sum("n").alias("n"))
-    words = materialize(words.filter(F.col("n") >= least).withColumn("word", F.col("word").cast("string")), "words")
-    if words.groupBy("code").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").head():
-        raise ValueError("two frequent words share a 64-bit code")
-    if scanned:
-        scanned()
-    if not counted:
-        return words, spark.createDataFrame([], "lang string, phrase array<bigint>, n bigint")
     phrases = reduce(DataFrame.unionByName, counted).mapInArrow(often, "lang string, phrase array<bigint>, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return words, materialize(phrases.filter(F.col("n") >= least), "phrases")
 

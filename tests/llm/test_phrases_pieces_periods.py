@@ -136,6 +136,32 @@ def test_shards_go_before_phrases_are_summed(spark, monkeypatch):
     assert left["words"] == [True] and left["phrases"] == [False]
 
 
+def test_shards_take_less_than_their_codes(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    names = np.array([f"w{k}" for k in range(4000)])
+    texts = [" ".join(names[np.minimum(rng.zipf(1.3, 1000), 4000) - 1]) + "." for _ in range(300)]
+    table = collocations.write_shards(frame(spark, [(k, t, "en") for k, t in enumerate(texts)]).coalesce(1), path=f"{tmp_path}/shards")
+    written = sum(p.stat().st_size for p in tmp_path.rglob("*.parquet"))
+    row = table.first()
+    word = pa.array([w.word for w in row.words], pa.binary())
+    raw = pa.scalar(bytes(row.codes), pa.binary())
+    codes = collocations._coded(raw, collocations._word_codes(word, collocations._seed("en")))
+    # What the row stands for, spelt again: every word in its place, 0 after each text.
+    spelt = dict(zip(collocations._word_codes(word, collocations._seed("en")).tolist(), word.to_pylist(), strict=True)) | {0: b"."}
+    assert [spelt[c] for c in codes.tolist()] == " ".join(texts).replace(".", " .").encode().split()
+    assert 10 * written < 7 * len(pa.compress(codes.tobytes(), "zstd", asbytes=True))
+
+
+def test_frequent_words_are_summed_before_the_second_cycle(spark, monkeypatch):
+    seen, path = [], collocations.scratch_path
+    monkeypatch.setattr(collocations, "scratch_path", lambda session, label: (seen.append(label), path(session, label))[1])
+    write = collocations.materialize
+    monkeypatch.setattr(collocations, "materialize", lambda df, label: (seen.append(label), write(df, label))[1])
+    docs = spark.createDataFrame([(i, "a b c a b", "en") for i in range(40)], "doc_id bigint, text string, lang string")
+    collocations.mine_collocations(docs, shards=1).collect()
+    assert seen.index("words") < seen.index("phrase-counts")
+
+
 def test_phrase_counts_are_packed_small(spark):
     rng = np.random.default_rng(11)
     words = rng.integers(1, 1 << 63, 300).astype(np.uint64)
