@@ -56,44 +56,47 @@ class _Shelf:
     """Words of one language waiting to be written."""
 
     def __init__(self):
-        self.codes: list[np.ndarray] = []
+        self.numbers: dict[int, int] = {}
+        self.spelling: list[bytes] = []
+        self.words: list[np.ndarray] = []
         self.phrases: list[np.ndarray] = []
-        self.spelling: dict[int, bytes] = {}
         self.n_words = 0
 
     def add(self, codes: np.ndarray, pieces: np.ndarray, text: bytes, starts: np.ndarray, ends: np.ndarray) -> None:
         self.n_words += len(codes)
-        self.codes.append(codes)
-        distinct, first = np.unique(codes, return_index=True)
+        distinct, first, inverse = np.unique(codes, return_index=True, return_inverse=True)
+        # Words are numbered from 1 as they come.
         for code, k in zip(distinct.tolist(), first.tolist(), strict=True):
-            if code not in self.spelling:
-                self.spelling[code] = text[starts[k] : ends[k]]
+            if code not in self.numbers:
+                self.spelling.append(text[starts[k] : ends[k]])
+                self.numbers[code] = len(self.spelling)
+        numbers = np.array([self.numbers[code] for code in distinct.tolist()], "<u4")[inverse]
+        self.words.append(numbers)
         # Single words have no phrase; 0 ends a piece.
         follows = pieces[1:] == pieces[:-1]
         shared = np.zeros(len(codes), bool)
         shared[1:] |= follows
         shared[:-1] |= follows
-        codes, pieces = codes[shared], pieces[shared]
+        numbers, pieces = numbers[shared], pieces[shared]
         breaks = np.flatnonzero(pieces[1:] != pieces[:-1]) + 1
-        self.phrases += [np.insert(codes, breaks, U(0)), np.zeros(1, U)]
+        self.phrases += [np.insert(numbers, breaks, 0), np.zeros(1, "<u4")]
 
     def row(self, lang: str, shard: int) -> pa.RecordBatch:
-        codes, counts = np.unique(np.concatenate(self.codes), return_counts=True)
+        counts = np.bincount(np.concatenate(self.words), minlength=len(self.spelling) + 1)[1:]
         order = np.argsort(-counts, kind="stable")
-        words = pa.array([self.spelling[c] for c in codes[order].tolist()], pa.binary())
+        words = pa.array([self.spelling[k] for k in order.tolist()], pa.binary())
         words = pa.StructArray.from_arrays([words, pa.array(counts[order])], ["word", "n"])
         words = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
-        phrases = pa.array([_numbered(np.concatenate(self.phrases), codes, order)], pa.binary())
+        phrases = pa.array([_numbered(np.concatenate(self.phrases), order)], pa.binary())
         columns = [pa.array([shard], pa.int32()), pa.array([lang]), phrases, pa.array([self.n_words]), words]
         return pa.RecordBatch.from_arrays(columns, ["shard", "lang", "codes", "n_words", "words"])
 
 
-def _numbered(phrases: np.ndarray, codes: np.ndarray, order: np.ndarray) -> bytes:
-    """Codes as places in ``codes[order]`` from 1, 0 where a piece ends: all low bytes first, which compresses well."""
-    place = np.empty(len(codes), "<u4")
-    place[order] = np.arange(1, len(codes) + 1, dtype="<u4")
-    numbers = np.where(phrases == 0, 0, place[np.minimum(np.searchsorted(codes, phrases), len(codes) - 1)]).astype("<u4")
-    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T).tobytes()
+def _numbered(phrases: np.ndarray, order: np.ndarray) -> bytes:
+    """Words by their places in ``order`` from 1, 0 where a piece ends: all low bytes first, which compresses well."""
+    place = np.zeros(len(order) + 1, "<u4")
+    place[order + 1] = np.arange(1, len(order) + 1)
+    return np.ascontiguousarray(place[phrases].view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
 def _coded(raw: pa.Scalar, codes: np.ndarray) -> np.ndarray:
@@ -186,22 +189,14 @@ def _counted(columns: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray,
 
 
 def _packed(phrases: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Phrases (a row each) in the order of their words, and their counts, for the compression.
-
-    First the number of distinct codes and these codes, then word after word each phrase's places in them, all low bytes first.
-    """
-    order = np.lexsort(phrases.T[::-1])
-    codes, places = np.unique(np.ascontiguousarray(phrases[order].T), return_inverse=True)
-    planes = places.reshape(phrases.shape[1], -1).astype("<u4").view(np.uint8).reshape(phrases.shape[1], -1, 4)
-    return np.array([len(codes)], "<u8").tobytes() + codes.tobytes() + np.ascontiguousarray(planes.transpose(0, 2, 1)).tobytes(), counts[order].astype("<u4").tobytes()
+    """Phrases (a row each) by their first word, word after word, so that equal codes lie close for the compression."""
+    order = np.argsort(phrases[:, 0], kind="stable")
+    return np.ascontiguousarray(phrases[order].T).tobytes(), counts[order].astype("<u4").tobytes()
 
 
 def _unpacked(phrases: pa.Scalar, counts: pa.Scalar, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Phrases (a row each) and their counts, from ``_packed``."""
-    raw = np.frombuffer(phrases.as_buffer(), np.uint8)
-    first = 8 + 8 * int(raw[:8].view("<u8")[0])
-    places = np.ascontiguousarray(raw[first:].reshape(k, 4, -1).transpose(0, 2, 1)).view("<u4").reshape(k, -1)
-    return raw[8:first].view(U)[places].T, np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64)
+    return np.frombuffer(phrases.as_buffer(), U).reshape(k, -1).T, np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64)
 
 
 def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int) -> DataFrame:
@@ -221,9 +216,6 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
             for lang, k in list(held):
                 lots = held.pop((lang, k))
                 phrases, counts = _counted([np.concatenate(c) for c in zip(*(lot[0] for lot in lots), strict=True)], np.concatenate([lot[1] for lot in lots]))
-                # By their first words, so that a row has few of these.
-                order = np.argsort(phrases[:, 0], kind="stable")
-                phrases, counts = phrases[order], counts[order]
                 for lo in range(0, len(counts), ROW_PHRASES):
                     blobs = _packed(phrases[lo : lo + ROW_PHRASES], counts[lo : lo + ROW_PHRASES])
                     yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([k], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], ["lang", "size", "phrases", "counts"])
