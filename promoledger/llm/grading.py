@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.llm.kernels import LOWER, RangeHash, U, mix, slices, word_ranges
+from promoledger.llm.kernels import LOWER, RangeHash, U, mix, slices, tidy, word_ranges
 
 BITS, SAMPLE_DOCS, MIN_DOCS, LEAST_Z, ROUNDS, GRADES, TAIL_GRADE, KEEP, SLICE = 18, 4000, 4, 4.0, 150, 3, 2, 0.5, 1 << 19
 _SYMBOLS, _MARKS = np.zeros(256, bool), np.zeros(256, bool)
@@ -143,7 +143,7 @@ def fit_grades(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                 flat = [ids[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(flat, pa.binary())], [id_col, "ids"])
 
-    got = sorted((r[0], r[1]) for r in picked.mapInArrow(run, f"`{id_col}` {kind}, ids binary").collect())
+    got = sorted((r[0], r[1]) for r in picked.mapInArrow(tidy(run), f"`{id_col}` {kind}, ids binary").collect())
     ids = [np.frombuffer(b, "<i4").astype(np.int64) for _, b in got]
     rows = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
     return train_ordinal(rows, np.concatenate(ids) if ids else np.zeros(0, np.int64), np.array([chosen[d] for d, _ in got], np.int64))
@@ -174,4 +174,4 @@ def grade_documents(
                 yield pa.RecordBatch.from_arrays(arrays, [*passed, "expected_grade", "tail_probability", "kept"])
 
     read = docs.select(*[F.col(f"`{c}`") for c in sent])
-    return read.mapInArrow(run, f"{fields}, expected_grade double, tail_probability double, kept boolean")
+    return read.mapInArrow(tidy(run), f"{fields}, expected_grade double, tail_probability double, kept boolean")

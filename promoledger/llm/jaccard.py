@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promoledger.llm.graph import components
-from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, text_buffer, word_ranges
+from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, text_buffer, tidy, word_ranges
 from promoledger.session import materialize, release_shuffles, short_batches
 
 LEAF, PIVOTS, SPARE, BLOCK_KEYS, SLICE = 32, 8, 4, 1 << 20, 1 << 19
@@ -119,7 +119,7 @@ def _documents(docs: DataFrame, k: int) -> DataFrame:
                 classes = pa.array([set_class(s) if len(s) else None for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sizes, classes], ["doc_id", "n_shingles", "class"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, class long")
+    return docs.mapInArrow(tidy(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, class long")
 
 
 def _regions(docs: DataFrame, k: int, threshold: Threshold, parts: int) -> DataFrame:
@@ -196,7 +196,7 @@ def _regions(docs: DataFrame, k: int, threshold: Threshold, parts: int) -> DataF
         return pa.table({"region": np.concatenate(out_keys).view(np.int64), "class": np.concatenate(out_names)})
 
     # Blocks met inside a task (part -1) have a number of their own, so they spread as well.
-    sent = docs.select("text").mapInArrow(blocks, "part int, block binary")
+    sent = docs.select("text").mapInArrow(tidy(blocks), "part int, block binary")
     spread = F.when(F.col("part") >= 0, F.col("part")).otherwise(-1 - F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int"))
     return sent.select(spread.alias("part"), "block").groupBy("part").applyInArrow(meet, "region long, class long")
 
@@ -219,7 +219,7 @@ def _measured(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
             arrays = [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in (shared, a, b)), pa.array(linked, pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "shared", "size_a", "size_b", "linked"])
 
-    return both.mapInArrow(run, "a long, b long, shared long, size_a long, size_b long, linked boolean")
+    return both.mapInArrow(tidy(run), "a long, b long, shared long, size_a long, size_b long, linked boolean")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -246,7 +246,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(arrays, ["class", "size", "sketch", "prints", "set"])
 
     # Rows that share an id and a text give the same set more than once.
-    return picked.mapInArrow(run, "class long, size long, sketch binary, prints binary, set binary")
+    return picked.mapInArrow(tidy(run), "class long, size long, sketch binary, prints binary, set binary")
 
 
 def _screened(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
@@ -261,7 +261,7 @@ def _screened(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
             fits = threshold.possible(differ, batch.column(2).to_numpy())
             yield batch.select([0, 1]).filter(pa.array(fits))
 
-    return both.select("a", "b", F.col("n") + F.col("m"), "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", F.col("n") + F.col("m"), "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def numbered_prints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -289,7 +289,7 @@ def _close(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
             shared = np.bincount(keys[1:][keys[1:] == keys[:-1]] >> 48, minlength=len(n))
             yield batch.select([0, 1]).filter(pa.array(threshold.linked(shared, n, m)))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(tidy(run), "a long, b long")
 
 
 def parity_sketch(s: np.ndarray) -> bytes:

@@ -23,6 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promoledger.llm.kernels import tidy
+
 WINDOW, END_ID, ROWS_OUT = 2048, 1, 4096
 _FIELDS = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _encodings: dict[str, tiktoken.Encoding] = {}
@@ -162,4 +164,4 @@ def pack(
         if rows:
             yield flush()
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), schema)

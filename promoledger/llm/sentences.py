@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promoledger.llm.kernels import LOWER, SPACE, RangeHash, U, mix, slices
+from promoledger.llm.kernels import LOWER, SPACE, RangeHash, U, mix, slices, tidy
 
 RUN, LONG_RUN_WORDS, LEAST_WORDS = 3, 25, 6
 UNCUT_WORDS, CUT_EVERY, CHUNK_BYTES = 12, 5, 4 << 20
@@ -255,7 +255,7 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
         return pa.table([key.take(pa.array(take)), pa.array(tags[take]), pa.array(places[take])], ["id", "tag", "place"])
 
     kind = keyed.schema["id"].dataType.simpleString()
-    sent = keyed.mapInArrow(run, f"part int, id array<{kind}>, tag array<long>, place array<long>, span array<long>")
+    sent = keyed.mapInArrow(tidy(run), f"part int, id array<{kind}>, tag array<long>, place array<long>, span array<long>")
     later = sent.groupBy("part").applyInArrow(settle, f"id {kind}, tag long, place long")
     return later.groupBy("id", "tag").agg(F.collect_set("place").alias("places"))
 
@@ -292,7 +292,7 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays(arrays, ["row", "text", "n_sentences", "n_removed"])
 
     kind = rows.schema["row"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"row {kind}, text string, n_sentences long, n_removed long")
+    out = rows.mapInArrow(tidy(run), f"row {kind}, text string, n_sentences long, n_removed long")
     columns = [F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names]
     if length_col:
         columns = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c == length_col else x for c, x in zip(names, columns, strict=True)]

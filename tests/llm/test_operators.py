@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from promoledger.llm import grading, graph, jaccard, lattice, lines, mixing, mixing_model, packing, queries, sentences, sharding, suffixes
+from promoledger.llm import grading, graph, jaccard, kernels, lattice, lines, mixing, mixing_model, packing, queries, sentences, sharding, suffixes
+from promoledger.session import short_batches
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -228,6 +229,26 @@ def test_short_batches_for_whole_texts(spark, odd, monkeypatch):
     assert {rows for _, rows in seen} == {"500"} and spark.conf.get(name) == before
 
 
+def test_short_batches_hold_few_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(k) for k in names]
+    long = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    with short_batches(spark):
+        rows = [r.n for r in long.mapInArrow(sizes, "n long").collect()]
+    assert sum(rows) == 40 and max(rows) <= 5 and [spark.conf.get(k) for k in names] == before
+
+
+def test_workers_give_freed_memory_back_after_a_task(monkeypatch):
+    done = []
+    monkeypatch.setattr(kernels, "give_back", lambda: done.append(True))
+    task = kernels.tidy(lambda batches: (b for b in batches))([1, 2])
+    assert next(task) == 1 and not done and list(task) == [2] and done == [True]
+
+
 def test_grading_sends_a_text_once(odd):
     columns = ["doc_id", "text", "source"]
     out = grading.grade_documents(odd, grading.train_ordinal(*[np.zeros(0, np.int64)] * 3), columns=columns)
