@@ -25,8 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, text_buffer
-from promoledger.session import discard, materialize, release_shuffles, retire, scratch_path, scratch_scope
+from promoledger.llm.kernels import LOWER, RangeHash, U, combine, mix, slices, text_buffer, tidy
+from promoledger.session import LONG_ROW_PAGES, discard, long_rows, materialize, release_shuffles, retire, scratch_path, scratch_scope
 
 SHARDS, LONGEST, LEAST_COUNT, SUPPORT_PERCENT, TOP, SCALE = 3, 4, 30, 80, 2000, 2_000_000
 # Words of a written row, words of phrases counted at once, counters of a part (a power of two), bits of the largest filter; bytes of text at once, phrases of a written row.
@@ -154,8 +154,8 @@ def write_shards(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         yield from flush(list(shelves))
 
     path = path or scratch_path(docs.sparkSession, "word-shards")
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")).mapInArrow(run, schema)
-    rows.write.partitionBy("shard").option("compression", "zstd").parquet(path)
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")).mapInArrow(tidy(run), schema)
+    rows.write.partitionBy("shard").options(compression="zstd", **LONG_ROW_PAGES).parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -180,10 +180,20 @@ def _phrase_hash(codes: list[np.ndarray]) -> np.ndarray:
     return mix(combine(codes) + U(len(codes) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
 
 
-def _counted(columns: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct phrases (a row each) and how often they occur; phrases that share a hash stay apart."""
-    order = np.argsort(hashes, kind="stable")
-    rows = np.stack([c[order] for c in columns], axis=1)
+def _counted(columns: list[list[np.ndarray]], hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct phrases (a row each) and how often they occur; phrases that share a hash stay apart.
+
+    ``columns`` has the lots of each word, ``hashes`` those of the phrases; both are empty afterwards, so that
+    the lots don't lie beside their copies.
+    """
+    joined = np.concatenate(hashes)
+    hashes.clear()
+    order = np.argsort(joined, kind="stable")
+    del joined
+    rows = np.empty((len(order), len(columns)), U)
+    for j, lots in enumerate(columns):
+        rows[:, j] = np.concatenate(lots)[order]
+        lots.clear()
     edge = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
     return rows[edge], np.diff(np.append(edge, len(rows)))
 
@@ -208,14 +218,15 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
     now, then = sc.broadcast(reached), sc.broadcast(before) if before else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], list] = {}
+        # By language and length the lots of each word, at the end those of the hashes.
+        held: dict[tuple[str, int], list[list[np.ndarray]]] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal size
             for lang, k in list(held):
-                lots = held.pop((lang, k))
-                phrases, counts = _counted([np.concatenate(c) for c in zip(*(lot[0] for lot in lots), strict=True)], np.concatenate([lot[1] for lot in lots]))
+                *columns, hashes = held.pop((lang, k))
+                phrases, counts = _counted(columns, hashes)
                 for lo in range(0, len(counts), ROW_PHRASES):
                     blobs = _packed(phrases[lo : lo + ROW_PHRASES], counts[lo : lo + ROW_PHRASES])
                     yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([k], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], ["lang", "size", "phrases", "counts"])
@@ -238,7 +249,8 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
                     columns = [codes[j : j + n] for j in range(k)]
                     part = _phrase_hash(columns)
                     if len(count):
-                        held.setdefault((lang, k), []).append(([c[count] for c in columns], part[count]))
+                        for lots, c in zip(held.setdefault((lang, k), [[] for _ in range(k + 1)]), [*columns, part], strict=True):
+                            lots.append(c[count])
                         size += len(count) * k
                     passes = now.value(part) & whole
                     passed = then.value(part) & whole if then else np.zeros(n, bool)
@@ -246,7 +258,7 @@ def _scan(shard: DataFrame, reached: Filter, before: Filter | None, longest: int
                     yield from flush()
         yield from flush()
 
-    return shard.select("lang", "codes", "words.word").mapInArrow(run, "lang string, size int, phrases binary, counts binary")
+    return shard.select("lang", "codes", "words.word").mapInArrow(tidy(run), "lang string, size int, phrases binary, counts binary")
 
 
 def _places(phrases: np.ndarray, counts: np.ndarray, bits: int, least: int) -> pa.RecordBatch:
@@ -292,9 +304,9 @@ def _raise_counters(counters: DataFrame | None, words: DataFrame | None, phrases
 
     schema, rows = "part long, places binary, counts binary", []
     if words is not None:
-        rows.append(words.select("lang", "words").mapInArrow(of_words, schema))
+        rows.append(words.select("lang", "words").mapInArrow(tidy(of_words), schema))
     if phrases is not None:
-        rows.append(phrases.select("size", "phrases", "counts").mapInArrow(of_phrases, schema))
+        rows.append(phrases.select("size", "phrases", "counts").mapInArrow(tidy(of_phrases), schema))
     if counters is not None:
         rows.append(counters.select("part", F.lit(None).cast("binary").alias("places"), "counts"))
     return reduce(DataFrame.unionByName, rows).groupBy("part").applyInArrow(add, "part long, counts binary")
@@ -311,7 +323,7 @@ def _filter(counters: DataFrame, bits: int, wide: int, least: int) -> Filter:
 
     size = 1 << part_bits - wide - 3
     raw = bytearray(1 << bits - wide - 3)
-    for row in counters.select("part", "counts").mapInArrow(run, "part long, bit binary").toLocalIterator():
+    for row in counters.select("part", "counts").mapInArrow(tidy(run), "part long, bit binary").toLocalIterator():
         raw[row.part * size : (row.part + 1) * size] = row.bit
     return Filter(bits, wide, bytes(raw))
 
@@ -319,7 +331,7 @@ def _filter(counters: DataFrame, bits: int, wide: int, least: int) -> Filter:
 def _written(rows: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Rows of a scan, written once and compressed well, and their path."""
     path = scratch_path(rows.sparkSession, label)
-    rows.write.option("compression", "zstd").parquet(path)
+    rows.write.options(compression="zstd", **LONG_ROW_PAGES).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 
@@ -343,8 +355,8 @@ def _frequent_words(shards: DataFrame, reached: Filter, least: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), codes, batch.column(1), batch.column(2)], ["lang", "code", "word", "n"])
 
     # The code follows from language and word, so it need not move.
-    words = shards.select("lang", "words").mapInArrow(known, "lang string, word binary, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    words = words.filter(F.col("n") >= least).mapInArrow(coded, "lang string, code bigint, word binary, n bigint")
+    words = shards.select("lang", "words").mapInArrow(tidy(known), "lang string, word binary, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = words.filter(F.col("n") >= least).mapInArrow(tidy(coded), "lang string, code bigint, word binary, n bigint")
     words = materialize(words.withColumn("word", F.col("word").cast("string")), "words")
     if words.groupBy("code").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").head():
         raise ValueError("two frequent words share a 64-bit code")
@@ -405,7 +417,7 @@ def count_phrases(shards: DataFrame, least: int = LEAST_COUNT, longest: int = LO
                     phrase = pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, k), pa.int32()), pa.array(np.ascontiguousarray(rows).reshape(-1).view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(rows), pa.string()), phrase, pa.array(n)], ["lang", "phrase", "n"])
 
-    phrases = reduce(DataFrame.unionByName, counted).mapInArrow(often, "lang string, phrase array<bigint>, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    phrases = reduce(DataFrame.unionByName, counted).mapInArrow(tidy(often), "lang string, phrase array<bigint>, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return words, materialize(phrases.filter(F.col("n") >= least), "phrases")
 
 
@@ -435,14 +447,15 @@ def mine_collocations(
     path = scratch_path(spark, "collocations")
     with scratch_scope(spark):
         shard_path = scratch_path(spark, "word-shards")
-        table = write_shards(docs, text_col, lang_col, shards, shard_path)
-        totals = materialize(table.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
 
         def scanned() -> None:
             # The shards go before the phrases move.
             retire(spark, shard_path)
 
-        words, phrases = count_phrases(table, least, longest, scanned)
+        with long_rows(spark):
+            table = write_shards(docs, text_col, lang_col, shards, shard_path)
+            totals = materialize(table.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
+            words, phrases = count_phrases(table, least, longest, scanned)
         scored = _scored(words, phrases)
         # The most frequent longer phrase around each.
         longer = phrases.filter(F.size("phrase") > 2).withColumn("k", F.explode(F.sequence(F.lit(2), F.size("phrase") - 1)))

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from promoledger.llm import collocations, periods, pieces, queries
+from promoledger.session import long_rows, scratch_path
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -284,3 +286,52 @@ def test_queries_return_a_row_per_document(spark):
     codes = queries.op12_pieces(spark, SF)
     assert len(got) == docs.count() == codes.filter("matches_library").count()
     assert codes.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_long_rows_are_read_and_sent_a_few_at_once(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "scratch_path", lambda session, label: path)
+    path = scratch_path(spark, "long")
+    rows = spark.range(0, 40, 1, 1).select(F.col("id"), F.expr("cast(repeat(cast(id as string), 200000) as binary)").alias("x"))
+    table, _ = collocations._written(rows, "long")
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(next(p for p in table.inputFiles() if "part-" in p))
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(file, spark.sparkContext._jsc.hadoopConfiguration()))
+    pages = [reader.readOffsetIndex(c).getPageCount() for c in reader.getFooter().getBlocks().get(0).getColumns()]
+    reader.close()
+    # Before, one page of all 40 rows.
+    assert min(pages) >= 10
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with long_rows(spark):
+        n = [r.n for r in table.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(n) == 40 and max(n) * 400_000 <= 1 << 23
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_every_scan_has_short_batches(spark, monkeypatch):
+    seen, write = [], collocations._written
+    keys = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    monkeypatch.setattr(collocations, "_written", lambda df, label: (seen.append(tuple(int(spark.conf.get(k).rstrip("b")) for k in keys)), write(df, label))[1])
+    docs = spark.createDataFrame([(i, "a b c a b", "en") for i in range(40)], "doc_id bigint, text string, lang string")
+    assert collocations.mine_collocations(docs).count() > 0
+    assert len(seen) > 3 and max(a for a, _ in seen) <= 1 << 22 and max(b for _, b in seen) <= 4
+
+
+def test_counting_a_lot_does_not_keep_it_beside_its_copies():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(1, 300, (300_000, 2)).astype(np.uint64)
+    lots = np.array_split(rows, 30)
+    columns, hashes = [[np.ascontiguousarray(x[:, j]) for x in lots] for j in range(2)], [collocations._phrase_hash([x[:, 0], x[:, 1]]) for x in lots]
+    del lots
+    tracemalloc.start()
+    phrases, counts = collocations._counted(columns, hashes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = Counter(map(tuple, rows.tolist()))
+    assert dict(zip(map(tuple, phrases.tolist()), counts.tolist(), strict=True)) == want
+    # Lots are let go as they are copied: order, rows and one word's lots (before, all lots and the hashes too).
+    assert not any(columns) and not hashes and peak < 6.5 * 8 * len(rows)
